@@ -87,3 +87,16 @@ def enrich(events: DataFrame, profiles: DataFrame, products: DataFrame,
     """Validate, join both dimensions, derive and score; events may be a stream."""
     joined = join_products(join_profiles(require_fields(events), profiles), products)
     return score(derive(joined, as_of, literal_nulls))
+
+
+def with_segment_and_revenue(events: DataFrame, profiles: DataFrame, products: DataFrame) -> DataFrame:
+    """Events with what the analytics read of the enrichment: segment, revenue and score."""
+    joined = join_products(join_profiles(require_fields(events), profiles), products)
+    revenue = rules.event_revenue(F.col("event_type"), F.col("properties"), F.col("price"))
+    return score(joined.withColumn("event_revenue", revenue))
+
+
+def with_purchase_revenue(events: DataFrame) -> DataFrame:
+    """Events with the revenue of purchases, which needs no dimension."""
+    return events.withColumn("event_revenue", rules.event_revenue(
+        F.col("event_type"), F.col("properties"), F.lit(None).cast("double")))

@@ -97,8 +97,10 @@ def sequence_chunks(df: DataFrame, keys: list[str], columns: list[str], ts: str
     numbered = number_rows(df, keys, ts, tie, "_position", bucket)
     chunk = ((F.col("_position") - 1 - F.pmod(F.col("_position") - 1, F.lit(chunk_size)))
              / chunk_size).cast("long")
+    # by position alone: a map in the row cannot be compared
+    by_position = lambda a, b: (a["_position"] - b["_position"]).cast("int")
     listed = (numbered.groupBy(*keys, chunk.alias("chunk"))
-              .agg(F.array_sort(F.collect_list(F.struct("_position", *columns))).alias("_rows")))
+              .agg(F.array_sort(F.collect_list(F.struct("_position", *columns)), by_position).alias("_rows")))
     return listed.select(*keys, "chunk", F.size("_rows").alias("entries"), *[
         F.col(f"_rows.{c}").alias(c) for c in columns])
 

@@ -2,6 +2,9 @@
 
 from pyspark.sql import types as T
 
+# Written times keep their microseconds; without a format JSON text stops at milliseconds.
+JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 _text_map = T.MapType(T.StringType(), T.StringType())
 
 RAW_EVENT = T.StructType([

@@ -77,4 +77,4 @@ def hour_range(start: Column, end: Column) -> Column:
 
 def to_message_json(df: DataFrame) -> DataFrame:
     """Every column of a row as one JSON text named ``value``."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    return df.select(F.to_json(F.struct(*df.columns), schemas.JSON_TIME).alias("value"))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.numeric import money
+from clickloom.schemas import JSON_TIME
 from clickloom.session import configure
 
 EVENTS_TABLE = T.StructType([
@@ -23,9 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def canonical_events(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = ()) -> DataFrame:
-    """The ``events`` table as canonical events; ``types`` filters the table's own types early."""
-    return canonical(table(spark, sf_dir, "events"), types)
+def canonical_events(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = (),
+                     since: str | None = None) -> DataFrame:
+    """The ``events`` table as canonical events. ``types`` names the table's own types and
+    ``since`` the earliest time to read; both filters reach the scan."""
+    rows = table(spark, sf_dir, "events")
+    if since:
+        rows = rows.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    return canonical(rows, types)
 
 
 def canonical(rows: DataFrame, types: tuple[str, ...] = ()) -> DataFrame:
@@ -67,7 +73,8 @@ def canonical(rows: DataFrame, types: tuple[str, ...] = ()) -> DataFrame:
         F.timestamp_micros(F.unix_micros(ts) + ((number * 37 + k * 13) % 3000) * 1000)
         .alias("kafka_timestamp"),
         number.alias("offset"),
-        (F.col("user_id") % 24).cast("int").alias("partition"))
+        (F.col("user_id") % 24).cast("int").alias("partition"),
+        F.col("value"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +84,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_messages(events: DataFrame) -> DataFrame:
     body = F.to_json(F.struct("event_id", "event_type", "timestamp", "user_id", "session_id",
-                              "source", "properties", "metadata"))
+                              "source", "properties", "metadata"), JSON_TIME)
     broken = F.col("offset") % BROKEN_EVERY == 0
     return events.select(
         F.col("user_id").alias("key"),
@@ -86,6 +93,36 @@ def as_messages(events: DataFrame) -> DataFrame:
         "partition", "offset", F.col("kafka_timestamp").alias("timestamp"))
 
 
+def web_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as the batch a web client posts."""
+    record = F.struct(F.col("user_id").alias("key"), F.struct(
+        "event_id", "event_type", "timestamp", "user_id", "session_id", "source", "properties",
+        F.when(F.size("metadata") > 0, F.map_concat("metadata", F.create_map(
+            F.lit("sdk_version"), F.lit("1.0.0"),
+            F.lit("session_start_time"), F.date_format("timestamp", "yyyy-MM-dd'T'00:00:00'Z'"))))
+        .otherwise(F.col("metadata")).alias("metadata")).alias("value"))
+    return canonical_events(spark, sf_dir).select(
+        F.to_json(F.struct(F.array(record).alias("records")), JSON_TIME).alias("value"))
+
+
+def mobile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as the batch a mobile client posts, alternating the two spellings."""
+    kind = F.col("event_type")
+    name = (F.when(kind == "product_view", "product_viewed").when(kind == "add_to_cart", "product_added")
+            .when(kind == "purchase", "purchase_completed").otherwise(kind))
+    ios = F.col("offset") % 2 == 0
+    sent = F.map_concat("properties", F.create_map(
+        F.lit("platform"), F.when(ios, "ios").otherwise("android")))
+    millis = F.unix_millis("timestamp")
+    snake = F.struct(name.alias("event_name"), sent.alias("properties"), millis.alias("timestamp"),
+                     "session_id", "user_id")
+    camel = F.struct(name.alias("eventName"), sent.alias("properties"), millis.alias("timestamp"),
+                     F.col("session_id").alias("sessionId"), F.col("user_id").alias("userId"))
+    body = lambda e: F.to_json(F.struct(F.array(e).alias("events"), F.lit("key").alias("api_key"),
+                                        F.lit("prod").alias("environment")))
+    return canonical_events(spark, sf_dir).select(F.when(ios, body(snake)).otherwise(body(camel)).alias("value"))
+
+
 def profiles(spark: SparkSession, sf_dir: str, totals: bool = True) -> DataFrame:
     """Customers as user profiles; every tenth customer has none. ``totals`` adds order sums."""
     customers = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 0)
