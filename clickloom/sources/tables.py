@@ -170,9 +170,12 @@ def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_demo(canonical_events(spark, sf_dir))
+
+
+def as_demo(events: DataFrame) -> DataFrame:
     """Events on a clock 1000 times faster, so that a demo window of seconds holds several."""
     start = F.lit("2024-01-01").cast("timestamp")
-    events = canonical_events(spark, sf_dir)
     number = F.col("offset")
     country = F.element_at(F.array(*[F.lit(c) for c in COUNTRIES]),
                            (F.col("user_id").cast("int") % len(COUNTRIES) + 1))
