@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.functions.numeric import money_sum, slot_start
-from clickloom.session import shared_folder
+from clickloom.operators.warehouse import rewrite_partitions
 
 # ---- Fixed values: viewer region -> customer regions it may see ------------------------------
 REGION_ACCESS = {"US": ["US", "CA"], "EU": ["EU", "UK"]}
@@ -15,25 +15,11 @@ def without_users(events: DataFrame, opted_out: DataFrame) -> DataFrame:
 
 
 def erase_from_table(spark: SparkSession, path: str, erased: DataFrame, partitions: list[str]) -> None:
-    """Rewrite only the partitions that hold rows of erased users.
-
-    Writing no rows replaces no partition, so the folder of one that is left empty is deleted.
-    """
-    shared_folder(spark)
+    """Rewrite only the partitions that hold rows of erased users, without those rows."""
     table = spark.read.parquet(path)
-    touched = (table.join(erased.select("user_id"), "user_id", "left_semi")
-               .select(*partitions).distinct())
-    kept = without_users(table.join(touched, partitions, "left_semi"), erased).checkpoint()
-    emptied = touched.checkpoint().join(kept.select(*partitions).distinct(), partitions, "left_anti")
-    names = [p["folder"] for p in emptied.select(F.concat_ws("/", *[
-        F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in partitions]).alias("folder")).toLocalIterator()]
-    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partitions).parquet(path))
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name in names:
-        files.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
+    touched = table.join(erased.select("user_id"), "user_id", "left_semi").select(*partitions).distinct()
+    kept = without_users(table.join(touched, partitions, "left_semi"), erased)
+    rewrite_partitions(spark, path, touched, kept, partitions)
 
 
 def visible_to(customers: DataFrame, viewer_region: str, region: Column,

@@ -59,21 +59,47 @@ def upsert(target: DataFrame, staging: DataFrame, as_of: Column | None = None,
                             allowMissingColumns=True)
 
 
-def upsert_table(spark: SparkSession, path: str, staging: DataFrame, partitions: list[str],
-                 as_of: Column | None = None, key: str = "event_id") -> None:
-    """Upsert into a partitioned Parquet table, rewriting only the partitions it touches.
+def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame, rows: DataFrame,
+                       partitions: list[str]) -> None:
+    """Replace the partitions listed in ``touched`` by ``rows``, which may read the table itself.
 
-    Touched are the partitions of new rows and those that hold a matched key. The result is
-    checkpointed before the overwrite, because it reads the files it replaces.
+    Both are checkpointed first, because the overwrite removes files they read. Writing no rows
+    replaces no partition, so the folder of one that is left empty is deleted; only folder names
+    come to the driver.
     """
     shared_folder(spark)
+    touched, rows = touched.distinct().checkpoint(), rows.checkpoint()
+    write_days(rows, path, partitions)
+    emptied = touched.join(rows.select(*partitions).distinct(), partitions, "left_anti")
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in partitions])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in emptied.select(folder.alias("folder")).toLocalIterator():
+        files.delete(hadoop.Path(root, row["folder"]), True)
+
+
+def upsert_table(spark: SparkSession, path: str, staging: DataFrame, partitions: list[str],
+                 as_of: Column | None = None, key: str = "event_id",
+                 order: tuple[str, ...] = ("timestamp",), updated: list[str] | None = None) -> None:
+    """Upsert into a partitioned Parquet table, rewriting only the partitions it touches: those
+    of new rows and those that hold a matched key."""
     target = spark.read.parquet(path)
     matched = target.join(staging.select(key).distinct(), key, "left_semi").select(*partitions)
     touched = matched.unionByName(staging.select(*partitions)).distinct()
     old = target.join(touched, partitions, "left_semi")
-    result = upsert(old, staging, as_of, key=key).checkpoint()
-    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partitions).parquet(path))
+    rewrite_partitions(spark, path, touched, upsert(old, staging, as_of, order, key, updated), partitions)
+
+
+def replace_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str],
+                 partitions: list[str]) -> None:
+    """Put ``rows`` in place of all rows of the table that share their keys."""
+    target = spark.read.parquet(path)
+    changed = rows.select(*keys).distinct()
+    matched = target.join(changed, keys, "left_semi").select(*partitions)
+    touched = matched.unionByName(rows.select(*partitions)).distinct()
+    kept = target.join(touched, partitions, "left_semi").join(changed, keys, "left_anti")
+    rewrite_partitions(spark, path, touched, kept.unionByName(rows), partitions)
 
 
 def write_days(df: DataFrame, path: str, partitions: list[str]) -> None:
