@@ -5,8 +5,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickloom.functions import business as rules
 
 REQUIRED = ("event_id", "user_id", "event_type", "timestamp")
-# Rows without a product spread over this many join partitions instead of one.
-NULL_SPREAD = 4096
+# Keys of rows without a product: a prefix no product id has, and how many there are.
+NO_PRODUCT, NULL_SPREAD = "\u0000none-", 4096
 
 
 def require_fields(events: DataFrame, fields: tuple[str, ...] = REQUIRED) -> DataFrame:
@@ -22,16 +22,13 @@ def join_profiles(events: DataFrame, profiles: DataFrame) -> DataFrame:
 def join_products(events: DataFrame, products: DataFrame) -> DataFrame:
     """Left join on the product named in the properties.
 
-    Most events name none; a second key column sends those to many partitions, so they do not
-    meet in the one that null hashes to.
+    Most events name none. Their key is replaced by one of ``NULL_SPREAD`` keys that no product
+    has, so they do not all meet in the partition that null hashes to.
     """
     named = F.col("properties")["product_id"]
-    spread = F.when(named.isNull(), F.pmod(F.xxhash64("event_id"), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
-    left = events.withColumns({"_product": named, "_spread": spread.cast("int")})
-    right = products.withColumn("_side", F.lit(0))
-    joined = left.join(
-        right, (left["_product"] == right["product_id"]) & (left["_spread"] == right["_side"]), "left")
-    return joined.drop("_product", "_spread", "_side")
+    none = F.concat(F.lit(NO_PRODUCT), F.pmod(F.xxhash64("event_id"), F.lit(NULL_SPREAD)).cast("string"))
+    left = events.withColumn("_product", F.coalesce(named, none))
+    return left.join(products, left["_product"] == products["product_id"], "left").drop("_product")
 
 
 def join_updates(events: DataFrame, updates: DataFrame, key: str, updated: str,

@@ -87,24 +87,29 @@ def neighbour_pairs(df: DataFrame, keys: list[str], value: str, ts: str = "times
             .agg(F.sum("n").alias("transitions")))
 
 
-def sequence_chunks(df: DataFrame, keys: list[str], columns: list[str], ts: str = "timestamp",
-                    tie: str = "event_id", chunk_size: int = 1000, bucket: str = BUCKET) -> DataFrame:
-    """The rows of each group as ordered arrays of at most ``chunk_size`` entries.
+def chunk_rows(numbered: DataFrame, keys: list[str], columns: list[str], position: str,
+               chunk_size: int = 1000) -> DataFrame:
+    """Rows of each group as arrays of at most ``chunk_size`` entries in order of ``position``.
 
     A group up to that size is one row with its whole list; a larger one continues in the rows
     with the next ``chunk`` numbers, so nothing is cut off and no array grows without bound.
     """
-    numbered = number_rows(df, keys, ts, tie, "_position", bucket)
-    chunk = ((F.col("_position") - 1 - F.pmod(F.col("_position") - 1, F.lit(chunk_size)))
-             / chunk_size).cast("long")
+    zero_based = F.col(position) - 1
+    chunk = ((zero_based - F.pmod(zero_based, F.lit(chunk_size))) / chunk_size).cast("long")
     # by position alone: a map in the row cannot be compared
-    by_position = lambda a, b: (a["_position"] - b["_position"]).cast("int")
+    by_position = lambda a, b: (a[position] - b[position]).cast("int")
     listed = (numbered.groupBy(*keys, chunk.alias("chunk"))
-              .agg(F.array_sort(F.collect_list(F.struct("_position", *columns)), by_position).alias("_rows")))
+              .agg(F.array_sort(F.collect_list(F.struct(position, *columns)), by_position).alias("_rows")))
     return listed.select(*keys, "chunk", F.size("_rows").alias("entries"), *[
         F.col(f"_rows.{c}").alias(c) for c in columns])
 
 
+def sequence_chunks(df: DataFrame, keys: list[str], columns: list[str], ts: str = "timestamp",
+                    tie: str = "event_id", chunk_size: int = 1000, bucket: str = BUCKET) -> DataFrame:
+    """``chunk_rows`` of each group by (ts, tie)."""
+    return chunk_rows(number_rows(df, keys, ts, tie, "_position", bucket), keys, columns, "_position", chunk_size)
+
+
 def running_cart(df: DataFrame, keys: list[str], amount: Column, clears: Column,
                  ts: str = "timestamp", tie: str = "event_id", name: str = "cart_total",
                  bucket: str = BUCKET) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from clickloom import schemas
 from clickloom.functions.numeric import money, ratio, seconds
+from clickloom.sources.readers import parsed_once
 
 # ---- Fixed values ---------------------------------------------------------------------------
 FRESH_WITHIN = "1 hour"
@@ -126,15 +127,15 @@ def quarantine(messages: DataFrame, as_of: Column | None = None,
     """Messages that do not become a usable event, as dead-letter rows."""
     now = F.current_timestamp() if as_of is None else as_of
     schema = T.StructType(schemas.RAW_EVENT.fields + [T.StructField("_bad", T.StringType())])
-    parsed = messages.withColumn("_e", F.from_json(
-        F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": "_bad"}))
+    parsed = messages.withColumn("_e", F.explode(parsed_once(
+        F.col("value"), schema, {"columnNameOfCorruptRecord": "_bad"})))
     required = ["event_id", "user_id", "event_type", "timestamp"]
     absent = F.concat_ws(",", *[F.when(F.col(f"_e.{c}").isNull(), F.lit(c)) for c in required])
     unreadable = F.col("value").isNull() | F.col("_e").isNull() | F.col("_e._bad").isNotNull()
     # A record with one unreadable field still has the others; it is bad if a needed one is gone.
     kind = (F.when(absent == "", None)
             .when(unreadable, F.lit("UNPARSEABLE")).otherwise(F.lit("MISSING_FIELD")))
-    return (messages_bad(parsed, kind, absent)
+    return (parsed.withColumns({"_kind": kind, "_absent": absent}).where(F.col("_kind").isNotNull())
             .select(F.col("topic").alias("original_topic"),
                     F.col("partition").alias("original_partition"),
                     F.col("offset").alias("original_offset"),
@@ -149,10 +150,6 @@ def quarantine(messages: DataFrame, as_of: Column | None = None,
                     F.lit(MAX_RETRIES).alias("retry_count")))
 
 
-def messages_bad(parsed: DataFrame, kind: Column, absent: Column) -> DataFrame:
-    return parsed.withColumns({"_kind": kind, "_absent": absent}).where(F.col("_kind").isNotNull())
-
-
 def lag_check(high_marks: DataFrame, positions: DataFrame, max_lag: int = MAX_LAG,
               warn_lag: int = WARN_LAG) -> DataFrame:
     """Lag per topic partition from (topic, partition, high_mark) and (…, position)."""

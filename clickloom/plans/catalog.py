@@ -51,7 +51,7 @@ def events(spark, sf_dir, types=()):
 def priced_events(spark, sf_dir):
     """Events with segment, revenue and score."""
     return enrich.with_segment_and_revenue(
-        events(spark, sf_dir), tables.profiles(spark, sf_dir, totals=False),
+        events(spark, sf_dir), tables.profiles(spark, sf_dir, totals=False, places=False),
         tables.products(spark, sf_dir))
 
 

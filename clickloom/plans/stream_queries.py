@@ -16,12 +16,13 @@ from clickloom.streaming import metrics, sinks
 
 def event_stream(spark, sf_dir):
     configure(spark)
-    return tables.canonical(readers.table_stream(spark, sf_dir, tables.EVENTS_TABLE, "events.parquet"))
+    return tables.canonical(readers.table_stream(spark, sf_dir, tables.SCHEMAS["events"], "events.parquet"))
 
 
 def priced_stream(spark, sf_dir):
     return enrich.with_segment_and_revenue(
-        event_stream(spark, sf_dir), tables.profiles(spark, sf_dir, totals=False), tables.products(spark, sf_dir))
+        event_stream(spark, sf_dir), tables.profiles(spark, sf_dir, totals=False, places=False),
+        tables.products(spark, sf_dir))
 
 
 def _closed(batch_sql: str, end: str, delay: str, clock: str = "SELECT max(ts) FROM events") -> str:

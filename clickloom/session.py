@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+MARKER = "clickloom.configured"
 SQL_SETTINGS = {
     # Hours, days and partitions are cut in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -23,8 +24,10 @@ SQL_SETTINGS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL settings; everything else is left to the cluster."""
-    for name, value in SQL_SETTINGS.items():
-        spark.conf.set(name, value)
+    if spark.conf.get(MARKER, None) is None:
+        for name, value in SQL_SETTINGS.items():
+            spark.conf.set(name, value)
+        spark.conf.set(MARKER, "true")
     return spark
 
 

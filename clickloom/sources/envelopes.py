@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom import schemas
 from clickloom.functions.business import mobile_event_type
+from clickloom.sources.readers import parsed_once
 
 # ---- Fixed values: common properties a mobile client adds to every event --------------------
 MOBILE_COMMON = ["sdk_version", "platform", "app_version", "device_model", "os_version"]
@@ -13,8 +14,8 @@ WEB_METADATA = ["session_start_time", "sdk_version", "platform", "environment"]
 
 def web_events(payloads: DataFrame, value: str = "value") -> DataFrame:
     """``{records:[{key,value}]}`` -> one event per record, with the record key."""
-    parsed = payloads.select(F.from_json(value, schemas.WEB_ENVELOPE).alias("body"))
-    return (parsed.select(F.explode("body.records").alias("record"))
+    parsed = payloads.select(F.inline(parsed_once(F.col(value), schemas.WEB_ENVELOPE)))
+    return (parsed.select(F.explode("records").alias("record"))
             .select(F.col("record.key").alias("record_key"), "record.value.*"))
 
 
@@ -31,9 +32,8 @@ def mobile_events(payloads: DataFrame, value: str = "value") -> DataFrame:
     Times are epoch milliseconds. The client sends no event id, so one is derived from
     (user, session, time, name): the same event sent twice gets the same id.
     """
-    parsed = payloads.select(F.from_json(value, schemas.MOBILE_ENVELOPE).alias("body"))
-    sent = parsed.select(F.col("body.environment").alias("environment"),
-                         F.explode("body.events").alias("e"))
+    parsed = payloads.select(F.inline(parsed_once(F.col(value), schemas.MOBILE_ENVELOPE)))
+    sent = parsed.select("environment", F.explode("events").alias("e"))
     flat = sent.select(
         "environment",
         F.coalesce("e.event_name", "e.eventName").alias("name"),

@@ -1,34 +1,47 @@
 """Adapter: the star-schema tables of a data folder as events, messages and dimensions."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from clickloom.functions.numeric import money
 from clickloom.schemas import JSON_TIME
 from clickloom.session import configure
 
-EVENTS_TABLE = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
-CART_TYPES = ("product_view", "add_to_cart", "remove_from_cart")
+# Declared, so that no query opens a file only to learn its columns.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
 BROKEN_EVERY = 97
 COUNTRIES = ["US", "UK", "CA", "DE", "FR"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when a scan has fewer splits than cores.
+
+    A file with one row group is read by one task, and all per-row work up to the first shuffle
+    would stay there. A large table has more splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def canonical_events(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = (),
                      since: str | None = None) -> DataFrame:
     """The ``events`` table as canonical events. ``types`` names the table's own types and
     ``since`` the earliest time to read; both filters reach the scan."""
-    rows = table(spark, sf_dir, "events")
+    rows = spread(table(spark, sf_dir, "events"))
     if since:
         rows = rows.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     return canonical(rows, types)
@@ -38,43 +51,30 @@ def canonical(rows: DataFrame, types: tuple[str, ...] = ()) -> DataFrame:
     """Canonical events from rows of the ``events`` table, batch or stream."""
     if types:
         rows = rows.where(F.col("event_type").isin(*types))
-    rows = rows.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    k, number, kind = F.col("k"), F.col("event_id"), F.col("event_type")
-    event_type = (
-        F.when(kind == "view", "page_view")
-        .when((kind == "click") & (k % 3 == 0), "product_view")
-        .when((kind == "click") & (k % 3 == 1), "add_to_cart")
-        .when(kind == "click", "remove_from_cart")
-        .when(kind == "signup", "user_login")
-        .otherwise(kind))
-    text = lambda c: c.cast("string")
-    no_entries = F.create_map().cast("map<string,string>")
-    properties = (
-        F.when(k % 20 == 0, no_entries)
-        .when(kind == "click", F.create_map(
-            F.lit("product_id"), text(k + 100 * (number % 20)),
-            F.lit("price"), text(F.col("value")),
-            F.lit("quantity"), text(1 + k % 3), F.lit("k"), text(k)))
-        .when(kind == "purchase", F.create_map(
-            F.lit("total_amount"), text(F.col("value")), F.lit("k"), text(k)))
-        .otherwise(F.create_map(F.lit("k"), text(k))))
-    source = (F.when(number % 3 == 0, "web").when(number % 3 == 1, "mobile").otherwise("synthetic"))
-    ts = F.col("ts").cast("timestamp")
-    return rows.select(
-        text(number).alias("event_id"),
-        event_type.alias("event_type"),
-        ts.alias("timestamp"),
-        text(F.col("user_id")).alias("user_id"),
-        F.concat(text(F.col("user_id")), F.lit("_"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-        source.alias("source"),
-        properties.alias("properties"),
-        F.when(k % 10 == 0, no_entries).otherwise(F.create_map(
-            F.lit("platform"), source, F.lit("environment"), F.lit("prod"))).alias("metadata"),
-        F.timestamp_micros(F.unix_micros(ts) + ((number * 37 + k * 13) % 3000) * 1000)
-        .alias("kafka_timestamp"),
-        number.alias("offset"),
-        (F.col("user_id") % 24).cast("int").alias("partition"),
-        F.col("value"))
+    with_k = rows.withColumns({"k": F.expr("cast(get_json_object(props, '$.k') as int)"),
+                               "at": F.expr("cast(ts as timestamp)")})
+    return with_k.selectExpr(
+        "cast(event_id as string) as event_id",
+        """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'signup' THEN 'user_login'
+           WHEN 'click' THEN CASE k % 3 WHEN 0 THEN 'product_view' WHEN 1 THEN 'add_to_cart'
+                             ELSE 'remove_from_cart' END
+           ELSE event_type END AS event_type""",
+        "at AS timestamp",
+        "cast(user_id as string) AS user_id",
+        "concat(cast(user_id as string), '_', date_format(at, 'yyyyMMdd')) AS session_id",
+        "CASE event_id % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'synthetic' END AS source",
+        """CASE WHEN k % 20 = 0 THEN cast(map() as map<string, string>)
+           WHEN event_type = 'click' THEN map('product_id', cast(k + 100 * (event_id % 20) as string),
+             'price', cast(value as string), 'quantity', cast(1 + k % 3 as string), 'k', cast(k as string))
+           WHEN event_type = 'purchase' THEN map('total_amount', cast(value as string), 'k', cast(k as string))
+           ELSE map('k', cast(k as string)) END AS properties""",
+        """CASE WHEN k % 10 = 0 THEN cast(map() as map<string, string>)
+           ELSE map('platform', CASE event_id % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'synthetic' END,
+             'environment', 'prod') END AS metadata""",
+        "timestamp_micros(unix_micros(at) + ((event_id * 37 + k * 13) % 3000) * 1000) AS kafka_timestamp",
+        "event_id AS offset",
+        "cast(user_id % 24 as int) AS partition",
+        "value")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,14 +123,17 @@ def mobile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_events(spark, sf_dir).select(F.when(ios, body(snake)).otherwise(body(camel)).alias("value"))
 
 
-def profiles(spark: SparkSession, sf_dir: str, totals: bool = True) -> DataFrame:
-    """Customers as user profiles; every tenth customer has none. ``totals`` adds order sums."""
-    customers = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 0)
-    nations = table(spark, sf_dir, "nation")
-    found = customers.join(nations, customers.c_nationkey == nations.n_nationkey, "left")
-    base = found.select(
-        F.col("c_custkey").cast("string").alias("user_id"), F.col("c_name").alias("first_name"),
-        F.col("n_name").alias("location"), F.col("c_mktsegment").alias("customer_segment"))
+def profiles(spark: SparkSession, sf_dir: str, totals: bool = True, places: bool = True) -> DataFrame:
+    """Customers as user profiles; every tenth customer has none. ``totals`` adds order sums
+    and ``places`` the nation as location."""
+    base = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 0)
+    columns = [F.col("c_custkey").cast("string").alias("user_id"), F.col("c_name").alias("first_name"),
+               F.col("c_mktsegment").alias("customer_segment")]
+    if places:
+        nations = table(spark, sf_dir, "nation")
+        base = base.join(nations, base.c_nationkey == nations.n_nationkey, "left")
+        columns.append(F.col("n_name").alias("location"))
+    base = base.select(*columns)
     if not totals:
         return base
     sums = (table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("user_id"))
@@ -149,7 +152,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as purchase events; a quantity above 1 is sent as two items of one event."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders")
     half = F.floor(F.col("l_quantity") / 2).cast("int")
     rest = F.col("l_quantity").cast("int") - half
