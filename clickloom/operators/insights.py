@@ -48,30 +48,34 @@ def geo_revenue(enriched: DataFrame) -> DataFrame:
         money_sum(F.col("event_revenue")).alias("revenue"))
 
 
-def fifths(df: DataFrame, value: str, name: str, ascending: bool = True, width: int = 1024) -> DataFrame:
-    """Score 1 to 5: the fifth of all rows that reach up to the row's whole-number value.
+def fifths(df: DataFrame, key: str, scores: dict[str, tuple[str, bool]], width: int = 1024) -> DataFrame:
+    """``key``, the scored columns and a score of 1 to 5 for each: the fifth of all rows that
+    reach up to the row's whole-number value. ``scores`` is name -> (column, ascending).
 
     Equal values get equal scores. The running share goes over distinct values, cut into
     ranges of ``width``: one task orders the values of one range, and one row per range is
-    ordered as a whole.
+    ordered as a whole. All columns are scored in one pass as rows of a long table.
     """
-    counts = df.groupBy(value).agg(F.count("*").alias("_n"))
-    sign = F.col(value) if ascending else -F.col(value)
-    ranged = counts.withColumn("_v", sign).withColumn(
+    cells = [F.struct(F.lit(name).alias("_name"), (F.col(c) if up else -F.col(c)).cast("long").alias("_v"))
+             for name, (c, up) in scores.items()]
+    long = df.select(key, F.explode(F.array(*cells)).alias("_c")).select(key, "_c._name", "_c._v")
+    ranged = long.groupBy("_name", "_v").agg(F.count("*").alias("_n")).withColumn(
         "_range", ((F.col("_v") - F.pmod(F.col("_v"), F.lit(width))) / width).cast("long"))
-    ranges = ranged.groupBy("_range").agg(F.sum("_n").alias("_in"))
-    everything = Window.partitionBy(F.lit(1))
+    ranges = ranged.groupBy("_name", "_range").agg(F.sum("_n").alias("_in"))
+    everything = Window.partitionBy("_name")
     ahead = everything.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ranges.select("_range", F.coalesce(F.sum("_in").over(ahead), F.lit(0)).alias("_ahead"),
+    carry = ranges.select("_name", "_range", F.coalesce(F.sum("_in").over(ahead), F.lit(0)).alias("_ahead"),
                           F.sum("_in").over(everything).alias("_all"))
-    inside = (Window.partitionBy("_range").orderBy("_v")
+    inside = (Window.partitionBy("_name", "_range").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, 0))
-    upto = ranged.withColumn("_upto", F.sum("_n").over(inside)).join(carry, "_range")
-    reached = (F.col("_upto") + F.col("_ahead")) * 5
-    score = ((reached + F.col("_all") - 1 - F.pmod(reached + F.col("_all") - 1, F.col("_all")))
-             / F.col("_all")).cast("int")
-    scores = upto.select(F.col(value).alias("_value"), score.alias(name))
-    return df.join(scores, df[value] == scores["_value"], "left").drop("_value")
+    upto = ranged.withColumn("_upto", F.sum("_n").over(inside)).join(carry, ["_name", "_range"])
+    reached = (F.col("_upto") + F.col("_ahead")) * 5 + F.col("_all") - 1
+    score = ((reached - F.pmod(reached, F.col("_all"))) / F.col("_all")).cast("int")
+    placed = long.join(upto.select("_name", "_v", score.alias("_score")), ["_name", "_v"], "left")
+    of = lambda name, c: F.max(F.when(F.col("_name") == name, F.col(c)))
+    return placed.groupBy(key).agg(
+        *[(of(n, "_v") if up else -of(n, "_v")).alias(c) for n, (c, up) in scores.items()],
+        *[of(n, "_score").alias(n) for n in scores])
 
 
 def rfm_segments(orders: DataFrame, as_of: Column) -> DataFrame:
@@ -80,9 +84,8 @@ def rfm_segments(orders: DataFrame, as_of: Column) -> DataFrame:
         F.date_diff(as_of, F.max("timestamp")).cast("long").alias("recency_days"),
         F.count("*").alias("frequency"),
         F.floor(F.sum(money(F.col("amount")))).cast("long").alias("monetary"))
-    scored = fifths(users, "recency_days", "r_score", ascending=False)
-    scored = fifths(scored, "frequency", "f_score")
-    scored = fifths(scored, "monetary", "m_score")
+    scored = fifths(users, "user_id", {"r_score": ("recency_days", False), "f_score": ("frequency", True),
+                                       "m_score": ("monetary", True)})
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return scored.withColumn("rfm_segment", F.when(total >= 13, "champion").when(total >= 10, "loyal")
                              .when(total >= 7, "potential").otherwise("at_risk"))
@@ -162,3 +165,34 @@ def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> D
         F.col(f"_d_{c}").alias("distinct_values"),
         F.col(f"_min_{c}").alias("min_value"), F.col(f"_max_{c}").alias("max_value")) for c in columns]
     return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
+def ip_number(text: Column) -> Column:
+    """An IPv4 address as a whole number; anything else gives null."""
+    parts = F.split(text, r"\.")
+    octets = [F.get(parts, i).try_cast("int") for i in range(4)]
+    valid = F.size(parts) == 4
+    for octet in octets:
+        valid = valid & octet.between(0, 255)
+    number = octets[0].cast("long")
+    for octet in octets[1:]:
+        number = number * 256 + octet
+    return F.when(valid, number)
+
+
+def locate_ip(events: DataFrame, networks: DataFrame, address: Column, key: str = "event_id") -> DataFrame:
+    """Left join of an address with disjoint ranges (first_ip, last_ip, ...) as whole numbers.
+
+    A range is listed under each 65536-block it touches, so the join compares equal block
+    numbers and tests the bounds only inside a block. Events without an address get block
+    numbers of their own, below 0, and match nothing.
+    """
+    block = 65536
+    of = lambda n: ((n - F.pmod(n, F.lit(block))) / block).cast("long")
+    listed = networks.withColumn("_network_block", F.explode(F.sequence(of(F.col("first_ip")), of(F.col("last_ip")))))
+    nowhere = -F.lit(1) - F.pmod(F.xxhash64(key), F.lit(4096))
+    numbered = events.withColumn("_ip", address)
+    placed = numbered.withColumn("_block", F.coalesce(of(F.col("_ip")), nowhere))
+    inside = ((F.col("_block") == F.col("_network_block"))
+              & (F.col("_ip") >= F.col("first_ip")) & (F.col("_ip") <= F.col("last_ip")))
+    return placed.join(listed, inside, "left").drop("_ip", "_block", "_network_block", "first_ip", "last_ip")

@@ -414,3 +414,17 @@ def profile_columns(spark, sf_dir):
     return insights.profile_columns(
         priced_events(spark, sf_dir),
         ["event_id", "event_type", "user_id", "source", "customer_segment", "product_id"], exact=True)
+
+
+@query("ip_location", f"""WITH {EV}
+SELECT event_id, n_name AS country FROM ev LEFT JOIN nation ON n_nationkey = user_no % 32""")
+def ip_location(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    # an address whose first octet is the nation's number, or one that belongs to no nation
+    octet = lambda c, n: (c % n).cast("string")
+    address = F.concat_ws(".", octet(F.col("user_id").cast("long"), 32), octet(F.col("offset"), 256),
+                          octet(F.col("offset") * 7, 256), F.lit("1"))
+    nations = tables.table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("country"), (F.col("n_nationkey").cast("long") * 16777216).alias("first_ip"),
+        (F.col("n_nationkey").cast("long") * 16777216 + 16777215).alias("last_ip"))
+    return insights.locate_ip(rows, nations, insights.ip_number(address)).select("event_id", "country")

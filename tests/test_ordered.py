@@ -122,8 +122,19 @@ def test_first_segment_and_source(make):
 
 
 def test_fifths_share_of_rows(spark):
-    df = spark.range(10000).select((F.col("id") % 5000).alias("v"))
-    found = insights.fifths(df, "v", "score").groupBy("score").count().collect()
-    assert {r.score: r["count"] for r in found} == {i: 2000 for i in range(1, 6)}
-    tied = spark.createDataFrame([(1,), (1,), (1,), (1,), (9,)], "v long")
-    assert sorted(r.score for r in insights.fifths(tied, "v", "score").collect()) == [4, 4, 4, 4, 5]
+    df = spark.range(10000).select("id", (F.col("id") % 5000).alias("v"))
+    both = insights.fifths(df, "id", {"up": ("v", True)})
+    assert {r.up: r["count"] for r in both.groupBy("up").count().collect()} == {i: 2000 for i in range(1, 6)}
+    down = insights.fifths(df, "id", {"down": ("v", False)}).where("id = 0").first()
+    assert (down.v, down.down) == (0, 5)
+    tied = spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 1), (4, 9)], "id int, v long")
+    assert sorted(r.s for r in insights.fifths(tied, "id", {"s": ("v", True)}).collect()) == [4, 4, 4, 4, 5]
+
+
+def test_ip_lookup(spark):
+    df = spark.createDataFrame([("a", "1.2.3.4"), ("b", "1.3.0.0"), ("c", "9.9.9.9"), ("d", None), ("e", "1.2.3"),
+                                ("f", "1.2.3.256"), ("g", "1.2.2.255")], "event_id string, ip string")
+    networks = spark.createDataFrame([("X", "1.2.3.0", "1.3.0.0"), ("Y", "1.3.0.1", "2.0.0.0")], "country string, a string, b string")
+    networks = networks.select("country", insights.ip_number(F.col("a")).alias("first_ip"), insights.ip_number(F.col("b")).alias("last_ip"))
+    found = {r.event_id: r.country for r in insights.locate_ip(df, networks, insights.ip_number(F.col("ip"))).collect()}
+    assert found == {"a": "X", "b": "X", "c": None, "d": None, "e": None, "f": None, "g": None}

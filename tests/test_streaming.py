@@ -171,3 +171,20 @@ def test_interval_join_keeps_unmatched(spark, make, tmp_path):
 def test_broker_reader_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         readers.broker_stream(spark, "host:9092", readers.RAW_TOPIC)
+
+
+def test_cart_state_over_batches(spark, make, tmp_path):
+    from clickloom.streaming import carts
+    path = f"{tmp_path}/in"
+    item = lambda price: {"price": str(price), "quantity": "2"}
+    write_messages(spark, make([
+        {"event_id": "b", "ts": "2024-01-01 00:02:00", "event_type": "add_to_cart", "properties": item(5)},
+        {"event_id": "a", "ts": "2024-01-01 00:01:00", "event_type": "add_to_cart", "properties": item(10)},
+        {"event_id": "x", "ts": "2024-01-01 00:01:00", "event_type": "add_to_cart", "properties": item(1), "user_id": "u2"}]), path)
+    write_messages(spark, make([
+        {"event_id": "c", "ts": "2024-01-01 00:03:00", "event_type": "remove_from_cart", "properties": item(5)},
+        {"event_id": "d", "ts": "2024-01-01 00:04:00", "event_type": "purchase"},
+        {"event_id": "e", "ts": "2024-01-01 00:05:00", "event_type": "add_to_cart", "properties": item(3)}]), path)
+    found = {r.event_id: r.cart_total for r in sinks.drain(spark, carts.cart_totals(stream(spark, path)), "cart").collect()}
+    assert found["a"] == 20.0 and found["x"] == 2.0
+    assert found == {"a": 20.0, "b": 30.0, "c": 20.0, "d": 0.0, "e": 6.0, "x": 2.0}
