@@ -53,7 +53,8 @@ def upsert(target: DataFrame, staging: DataFrame, as_of: Column | None = None,
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in updated
         else F.when(F.col("_hit"), now).otherwise(F.col(c)).alias(c) if c == "updated_at"
         else F.col(c) for c in columns])
-    added = keyed.join(target.select(key), key, "left_anti").unionByName(
+    # distinct merges copies of a key on the map side, so a key sent often is shuffled once
+    added = keyed.join(target.select(key).distinct(), key, "left_anti").unionByName(
         staging.where(F.col(key).isNull()))
     return kept.unionByName(added.select(*[c for c in columns if c in staging.columns]),
                             allowMissingColumns=True)
@@ -102,9 +103,15 @@ def replace_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str
     rewrite_partitions(spark, path, touched, kept.unionByName(rows), partitions)
 
 
+def by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Rows of a table partition brought together before a write, so that it gets few files
+    instead of one per task; a partition above the advised size is split again at run time."""
+    return df.hint("rebalance", *[F.col(p) for p in partitions])
+
+
 def write_days(df: DataFrame, path: str, partitions: list[str]) -> None:
     """Replace the partitions present in ``df``: a repeated run leaves the same table."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (by_partition(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions).parquet(path))
 
 

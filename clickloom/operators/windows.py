@@ -4,10 +4,11 @@ Sliding windows first aggregate per slide, then spread each slide row over the w
 hold it: a row is copied after it has been combined, not before.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions import business as rules
 from clickloom.functions.numeric import money, money_sum, ratio, slot_start
+from clickloom.operators.ordered import chunk_rows
 
 FUNNEL_STAGES = {
     "sessions_with_pageview": "page_view",
@@ -92,6 +93,32 @@ def user_behavior(enriched: DataFrame, size: str = "1 hour", slide: str = "10 mi
     return behavior_columns(flat_window(wide))
 
 
+def behavior_sequences(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes",
+                       chunk_size: int = 1000) -> DataFrame:
+    """Ordered event types of each user and window, in chunks; joins to ``user_behavior``.
+
+    An event is numbered once, inside its slide; its place in each window that holds the slide
+    adds the counts of the window's earlier slides.
+    """
+    rows = events.select("user_id", "timestamp", "event_id", "event_type",
+                         slot_start(F.col("timestamp"), slide).alias("_slide"))
+    counts = rows.groupBy("user_id", "_slide").agg(F.count("*").alias("_n"))
+    earlier = (Window.partitionBy("user_id", "_window").orderBy("_slide")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    spread = counts.withColumn("_window", F.window("_slide", size, slide))
+    placed = spread.select(
+        F.col("user_id").alias("_user"), F.col("_slide").alias("_at_slide"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_ahead"),
+        F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"))
+    inside = Window.partitionBy("user_id", "_slide").orderBy("timestamp", "event_id")
+    numbered = rows.withColumn("_at", F.row_number().over(inside))
+    joined = numbered.join(placed, numbered["user_id"].eqNullSafe(placed["_user"])
+                           & (numbered["_slide"] == placed["_at_slide"]))
+    chunks = chunk_rows(joined.withColumn("position", F.col("_at") + F.col("_ahead")),
+                        ["user_id", "window_start", "window_end"], ["event_type"], "position", chunk_size)
+    return chunks.withColumnRenamed("event_type", "event_sequence")
+
+
 def with_demo_columns(events: DataFrame) -> DataFrame:
     return events.withColumns({
         "session_id": rules.hour_session_id(F.col("user_id"), F.col("timestamp")),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickloom.functions import business as rules
-from clickloom.operators import carts, enrich, kpi, ordered, sessions, windows
+from clickloom.operators import carts, enrich, kpi, ordered, sessions, warehouse, windows
 from clickloom.plans.catalog import (ENR, EV, as_of, enriched_events, events, money_sql,
                                      priced_events, query, ratio_sql, sessions_sql, slot_sql)
 from clickloom.sources import envelopes, readers, tables
@@ -172,6 +172,16 @@ def user_behavior(spark, sf_dir):
     return windows.user_behavior(priced_events(spark, sf_dir))
 
 
+@query("behavior_sequences", f"""WITH {EV},
+spread AS (SELECT ev.*, {slot_sql('"timestamp"', 600)} - to_minutes(10 * i) AS window_start
+  FROM ev, generate_series(0, 5) g(i))
+SELECT user_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, CAST(0 AS BIGINT) AS chunk,
+  count(*) AS entries, string_agg(event_type, ',' ORDER BY "timestamp", event_id) AS event_sequence
+FROM spread GROUP BY user_id, window_start""")
+def behavior_sequences(spark, sf_dir):
+    return windows.behavior_sequences(events(spark, sf_dir))
+
+
 _DEMO = EV + """,
 demo AS (SELECT event_id, make_timestamp(epoch_us(TIMESTAMP '2024-01-01')
     + (epoch_us("timestamp") - epoch_us(TIMESTAMP '2024-01-01')) // 1000) AS "timestamp",
@@ -249,7 +259,6 @@ SELECT CASE WHEN total_spent > 1000 AND total_orders > 10 THEN 'VIP'
        WHEN total_spent > 100 AND total_orders > 2 THEN 'Regular' ELSE 'New' END AS customer_value_segment,
   count(*) AS users, {money_sql('total_spent')} AS total_spent FROM profile GROUP BY 1""")
 def customer_value_segments(spark, sf_dir):
-    from clickloom.operators import warehouse
     return warehouse.user_segments(tables.profiles(spark, sf_dir), rules.customer_value_segment(
         F.col("total_spent"), F.col("total_orders")))
 

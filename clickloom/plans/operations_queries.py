@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 from clickloom.functions import business as rules
-from clickloom.functions.numeric import slot_start
+from clickloom.functions.numeric import money, slot_start
 from clickloom.operators import enrich, privacy, quality, sessions, warehouse
 from clickloom.plans.catalog import (ENR, EV, REVENUE, as_of, events, money_sql, priced_events,
                                      query, ratio_sql, sessions_sql, slot_sql)
 from clickloom.plans.event_queries import _item_ctes
 from clickloom.plans.report_queries import HOUR, revenue_events
-from clickloom.sources import envelopes, readers, tables
+from clickloom.sources import envelopes, tables
 
 LATE = "2024-01-30 23:00:00"
 
@@ -72,7 +72,6 @@ t AS (SELECT count(*) FILTER (WHERE NOT discount BETWEEN 0 AND o_totalprice * CA
 SELECT 'discount_within_a_fifth' AS rule, a AS value, a = 0 AS passed FROM t
 UNION ALL SELECT 'total_is_sum_of_items', b, b = 0 FROM t""")
 def order_violations(spark, sf_dir):
-    from clickloom.functions.numeric import money
     lines = tables.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.sum(money(F.col("l_extendedprice"))).alias("items_total"),
         F.sum(money(F.col("l_extendedprice") * F.col("l_discount"))).cast("double").alias("discount_amount"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickloom.functions.numeric import band
+from clickloom.functions.numeric import band, money_sum, ratio, slot_start
 from clickloom.operators import enrich, insights, kpi, sessions, timeseries as ts
 from clickloom.plans.catalog import (ENR, EV, REVENUE, as_of, events, money_sql, priced_events,
                                      query, ratio_sql, sessions_sql, slot_sql)
@@ -43,7 +43,6 @@ SELECT source, {money_sql('event_revenue')} AS revenue, count(*) AS orders,
   {money_sql('event_revenue')} / count(*) AS average_order_value
 FROM rev WHERE event_type = 'purchase' GROUP BY source""")
 def average_order_value(spark, sf_dir):
-    from clickloom.functions.numeric import money_sum, ratio
     return (revenue_events(spark, sf_dir, ("purchase",)).groupBy("source")
             .agg(money_sum(F.col("event_revenue")).alias("revenue"), F.count("*").alias("orders"))
             .withColumn("average_order_value", ratio(F.col("revenue"), F.col("orders"))))
@@ -77,7 +76,6 @@ c AS (SELECT {slot_sql('"timestamp"', 86400)} AS slot_start, category, count(*)
 r AS (SELECT *, row_number() OVER (PARTITION BY slot_start ORDER BY views DESC, category) AS rank FROM c)
 SELECT * FROM r WHERE rank <= 5""")
 def top_categories_daily(spark, sf_dir):
-    from clickloom.functions.numeric import slot_start
     views = enrich.join_products(events(spark, sf_dir, ("click",)), tables.products(spark, sf_dir))
     counts = (views.where((F.col("event_type") == "product_view") & F.col("category").isNotNull())
               .groupBy(slot_start(F.col("timestamp"), "1 day").alias("slot_start"), "category")
@@ -199,8 +197,8 @@ def counter_increase(spark, sf_dir):
 
 
 @query("counter_rate", f"""WITH {EV}, {_COUNTERS}
-SELECT event_type, window_start, sum(increase / CAST(21600 AS DOUBLE)) AS per_second
-FROM increase GROUP BY ALL""".replace("sum(increase / CAST(21600 AS DOUBLE))", "sum(increase) / CAST(21600 AS DOUBLE)"))
+SELECT event_type, window_start, sum(increase) / CAST(21600 AS DOUBLE) AS per_second
+FROM increase GROUP BY ALL""")
 def counter_rate(spark, sf_dir):
     # counters hold whole numbers: the sum of increases is exact, the division comes last
     grown = ts.sum_by(ts.counter_increase(_counters(spark, sf_dir), "6 hours"), ["event_type"],
@@ -270,7 +268,6 @@ SELECT source, min(slot_start) AS started_at, max(slot_start) AS last_breach, co
   min(slot_start) + INTERVAL 2 HOUR AS fired_at FROM b GROUP BY source, run
 HAVING max(slot_start) - min(slot_start) >= INTERVAL 2 HOUR""")
 def sustained_alerts(spark, sf_dir):
-    from clickloom.functions.numeric import ratio, slot_start
     rates = (events(spark, sf_dir)
              .groupBy("source", slot_start(F.col("timestamp"), "1 hour").alias("slot_start"))
              .agg(ratio(F.count_if(F.col("event_type") == "error"), F.count("*")).alias("error_rate")))

@@ -6,12 +6,14 @@ milliseconds) closed; the SQL keeps the same windows.
 
 from pyspark.sql import functions as F
 
+from clickloom import schemas
+from clickloom.functions.numeric import money_sum
 from clickloom.operators import enrich, sessions, windows
 from clickloom.plans import event_queries  # its SQL is reused below
-from clickloom.plans.catalog import EV, ORACLES, as_of, query
-from clickloom.session import configure
+from clickloom.plans.catalog import ENR, EV, ORACLES, as_of, money_sql, query
+from clickloom.session import configure, fresh_path
 from clickloom.sources import readers, tables
-from clickloom.streaming import metrics, sinks
+from clickloom.streaming import carts, jobs, metrics, sinks
 
 
 def event_stream(spark, sf_dir):
@@ -117,3 +119,38 @@ def stream_demo_user_behavior(spark, sf_dir):
 @query("stream_simple_summary", _closed(ORACLES["simple_summary"], "window_end", "10 SECOND", _DEMO_CLOCK))
 def stream_simple_summary(spark, sf_dir):
     return sinks.drain(spark, metrics.simple_summary(demo_stream(spark, sf_dir), "price"), "simple")
+
+
+@query("stream_cart_totals", ORACLES["cart_totals"])
+def stream_cart_totals(spark, sf_dir):
+    found = carts.cart_totals(event_stream(spark, sf_dir))
+    return sinks.drain(spark, found, "carts").select("event_id", "user_id", "event_type", "timestamp", "cart_total")
+
+
+@query("stream_enrichment_job", f"""WITH {ENR}
+SELECT CAST(hour("timestamp") AS BIGINT) AS hour_of_day, count(*) AS events, count(DISTINCT user_id) AS users,
+  {money_sql('event_revenue')} AS revenue FROM enr
+WHERE n % 97 <> 0 AND data_quality_score > CAST(0.7 AS DOUBLE) GROUP BY 1""")
+def stream_enrichment_job(spark, sf_dir):
+    """Messages through the shared enrichment job into its lake table, read back."""
+    sent = tables.as_messages(event_stream(spark, sf_dir))
+    target = fresh_path(spark, "enrichment")
+    jobs.enrichment_job_shared(sent, tables.profiles(spark, sf_dir), tables.products(spark, sf_dir), target,
+                               fresh_path(spark, "enrichment-checkpoint"), once=True).awaitTermination()
+    return spark.read.parquet(f"{target}/data_lake").groupBy("hour_of_day").agg(
+        F.count("*").alias("events"), F.count_distinct("user_id").alias("users"),
+        money_sum(F.col("event_revenue")).alias("revenue"))
+
+
+@query("stream_session_job", f"""SELECT * FROM ({ORACLES["session_metrics"]}) AS batch
+WHERE window_end <= date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 30 MINUTE""")
+def stream_session_job(spark, sf_dir):
+    """Enriched messages through the job that writes sessions and alerts from one state."""
+    rows = priced_stream(spark, sf_dir)
+    sent = rows.select(
+        F.to_json(F.struct(*[f.name for f in schemas.SESSION_EVENT.fields]), schemas.JSON_TIME).alias("value"),
+        F.col("kafka_timestamp").alias("timestamp"), "offset", "partition")
+    target = fresh_path(spark, "sessions")
+    jobs.sessions_and_alerts(sent, target, fresh_path(spark, "sessions-checkpoint"), once=True).awaitTermination()
+    found = spark.read.parquet(f"{target}/session_metrics")
+    return found.withColumn("window_end", F.col("session_window.end")).drop("session_window", "batch")

@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickloom.operators.warehouse import write_days
 from clickloom.session import fresh_path
 from clickloom.sources.readers import to_message_json
 
@@ -83,9 +84,7 @@ def write_each(df: DataFrame, name: str, checkpoints: str,
 
 def replace_batch(df: DataFrame, path: str, number: int, partitions: tuple[str, ...] = ()) -> None:
     """Write a batch under its number; a repeated batch replaces its own files only."""
-    from pyspark.sql import functions as F
-    (df.withColumn("batch", F.lit(number)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch", *partitions).parquet(path))
+    write_days(df.withColumn("batch", F.lit(number)), path, ["batch", *partitions])
 
 
 def drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
