@@ -1,13 +1,16 @@
 """Tumbling and sliding window metrics over tables.
 
-Sliding windows first aggregate per slide, then spread each slide row over the windows that
-hold it: a row is copied after it has been combined, not before.
+Sliding windows first aggregate per slide. A distinct count over a window of ``k`` slides is a
+sum over its slides: the slide at place ``d`` of the window (0 to k-1) adds the values whose
+previous slide lies before the window, that is more than ``d`` slides back. These ``k`` counts
+per slide are found by looking back once per value, so only slide totals, not events or values,
+are copied into the windows that hold them.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions import business as rules
-from clickloom.functions.numeric import money, money_sum, ratio, slot_start
+from clickloom.functions.numeric import money, money_sum, ratio, seconds, slot, slot_start
 from clickloom.operators.ordered import chunk_rows
 
 FUNNEL_STAGES = {
@@ -50,23 +53,48 @@ def funnel_rates(df: DataFrame) -> DataFrame:
     })
 
 
+def _slides(size: str, slide: str) -> int:
+    if seconds(size) % seconds(slide):
+        raise ValueError(f"{slide} does not divide {size}")
+    return seconds(size) // seconds(slide)
+
+
+def _new_within(name: str, present: Column, before: Column, k: int) -> list[Column]:
+    """``name_d``: rows present in this slide and not in the ``d`` slides before it."""
+    return [F.count(F.when(present & (before.isNull() | (F.col("_s") - before > d)), 1)).alias(f"{name}_{d}")
+            for d in range(k)]
+
+
+def _over_windows(slides: DataFrame, keys: list[str], size: str, slide: str, distinct: list[str],
+                  additive: list[str]) -> DataFrame:
+    """Window rows from slide totals: ``distinct`` take the count of their place, ``additive`` add up."""
+    k, width = _slides(size, slide), seconds(slide)
+    cells = [F.struct((F.col("_s") - d).alias("_w"), *[F.col(f"{n}_{d}").alias(n) for n in distinct], *additive)
+             for d in range(k)]
+    summed = (slides.select(*keys, F.inline(F.array(*cells))).groupBy("_w", *keys)
+              .agg(*[F.sum(n).alias(n) for n in distinct + additive]))
+    return summed.select(F.timestamp_seconds(F.col("_w") * width).alias("window_start"),
+                         F.timestamp_seconds((F.col("_w") + k) * width).alias("window_end"),
+                         *keys, *distinct, *additive)
+
+
 def conversion_funnel(enriched: DataFrame, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """Sessions that reached each stage at least once in the window, in any order."""
-    kind = F.col("event_type")
+    kind, keys, k = F.col("event_type"), ["source", "customer_segment"], _slides(size, slide)
+    stages = list(FUNNEL_STAGES)
     # A null session is not counted, its revenue is.
-    reached = {name: F.max(((kind == stage) & F.col("session_id").isNotNull()).cast("int")).alias(name)
-               for name, stage in FUNNEL_STAGES.items()}
-    revenue = F.sum(F.when(kind == "purchase", money(F.col("event_revenue")))).alias("_revenue")
-    per_slide = (enriched.groupBy(slot_start(F.col("timestamp"), slide).alias("_slide"),
-                                  "source", "customer_segment", "session_id")
-                 .agg(*reached.values(), revenue))
-    per_session = (per_slide.groupBy(F.window("_slide", size, slide), "source", "customer_segment",
-                                     "session_id")
-                   .agg(*[F.max(n).alias(n) for n in FUNNEL_STAGES], F.sum("_revenue").alias("_revenue")))
-    counted = per_session.groupBy("window", "source", "customer_segment").agg(
-        *[F.sum(n).alias(n) for n in FUNNEL_STAGES],
-        F.sum("_revenue").cast("double").alias("total_revenue"))
-    return funnel_rates(flat_window(counted))
+    reached = [F.max(((kind == stage) & F.col("session_id").isNotNull()).cast("int")).alias(name)
+               for name, stage in FUNNEL_STAGES.items()]
+    per_session = (enriched.groupBy(slot(F.col("timestamp"), slide).alias("_s"), *keys, "session_id")
+                   .agg(*reached, F.sum(F.when(kind == "purchase", money(F.col("event_revenue")))).alias("_revenue")))
+    earlier = (Window.partitionBy(*keys, "session_id").orderBy("_s")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    dated = per_session.withColumns({
+        f"_last_{n}": F.max(F.when(F.col(n) == 1, F.col("_s"))).over(earlier) for n in stages})
+    counts = [c for n in stages for c in _new_within(n, F.col(n) == 1, F.col(f"_last_{n}"), k)]
+    slides = dated.groupBy("_s", *keys).agg(*counts, F.sum("_revenue").alias("_revenue"))
+    wide = _over_windows(slides, keys, size, slide, stages, ["_revenue"])
+    return funnel_rates(wide.withColumn("total_revenue", F.col("_revenue").cast("double")).drop("_revenue"))
 
 
 def behavior_columns(df: DataFrame) -> DataFrame:
@@ -80,17 +108,61 @@ def behavior_columns(df: DataFrame) -> DataFrame:
 
 
 def user_behavior(enriched: DataFrame, size: str = "1 hour", slide: str = "10 minutes") -> DataFrame:
-    per_slide = (enriched.groupBy("user_id", slot_start(F.col("timestamp"), slide).alias("_slide"),
-                                  "session_id", "event_type", "customer_segment")
-                 .agg(F.count("*").alias("_n"), F.sum(money(F.col("event_revenue"))).alias("_revenue"),
-                      F.min("timestamp").alias("_first")))
-    wide = per_slide.groupBy("user_id", F.window("_slide", size, slide)).agg(
-        F.sum("_n").alias("events_count"),
-        F.count_distinct("session_id").alias("session_count"),
-        F.count_distinct("event_type").alias("unique_event_types"),
-        F.sum("_revenue").cast("double").alias("hourly_revenue"),
-        F.min(F.struct("_first", "customer_segment"))["customer_segment"].alias("customer_segment"))
-    return behavior_columns(flat_window(wide))
+    """Activity of each user per window; the segment is that of the window's first event.
+
+    An event is counted under its session, its type and its segment. The slide totals of a user
+    are put in order, and each slide yields the windows in which it is the user's first one, by
+    looking ahead to the slides that follow inside the window.
+    """
+    k, width = _slides(size, slide), seconds(slide)
+    cell = lambda tag, c: F.struct(F.lit(tag).alias("tag"), F.col(c).alias("id"))
+    rows = enriched.select(
+        "user_id", slot(F.col("timestamp"), slide).alias("_s"), "timestamp", money(F.col("event_revenue")).alias("_money"),
+        F.inline(F.array(cell("session", "session_id"), cell("type", "event_type"), cell("segment", "customer_segment"))))
+    values = rows.groupBy("user_id", "_s", "tag", "id").agg(
+        F.count("*").alias("_n"), F.sum("_money").alias("_money"), F.min("timestamp").alias("_first"))
+    before = F.lag("_s").over(Window.partitionBy("user_id", "tag", "id").orderBy("_s"))
+    dated = values.withColumn("_before", before)
+    is_segment = F.col("tag") == "segment"
+    counted = lambda tag: (F.col("tag") == tag) & F.col("id").isNotNull()
+    slides = dated.groupBy("user_id", "_s").agg(
+        F.sum(F.when(is_segment, F.col("_n"))).alias("n"),
+        F.sum(F.when(is_segment, F.col("_money"))).alias("money"),
+        F.min(F.when(is_segment, F.struct("_first", "id")))["id"].alias("customer_segment"),
+        *_new_within("session", counted("session"), F.col("_before"), k),
+        *_new_within("type", counted("type"), F.col("_before"), k))
+    totals = slides.select(
+        "user_id", "_s", "customer_segment", F.struct(
+            "n", "money", F.array(*[f"session_{d}" for d in range(k)]).alias("session"),
+            F.array(*[f"type_{d}" for d in range(k)]).alias("type")).alias("_t"))
+    ordered = Window.partitionBy("user_id").orderBy("_s")
+    ahead = totals.withColumns({
+        "_before": F.lag("_s").over(ordered),
+        **{f"_t{o}": F.first("_t").over(ordered.rangeBetween(o, o)) for o in range(k)}})
+
+    def window(place: int) -> Column:
+        """The window in which this slide has ``place``; its later slides are those up to the end."""
+        held = range(k - place)
+        add = lambda pick, zero: sum((F.coalesce(pick(o), zero) for o in held[1:]), pick(0))
+        none = F.lit(0).cast("long")
+        money_in = F.coalesce(*[F.col(f"_t{o}.money") for o in held])
+        return F.struct(
+            (F.col("_s") - place).alias("_w"),
+            add(lambda o: F.col(f"_t{o}.n"), none).alias("events_count"),
+            add(lambda o: F.col(f"_t{o}.session")[place + o], none).alias("session_count"),
+            add(lambda o: F.col(f"_t{o}.type")[place + o], none).alias("unique_event_types"),
+            F.when(money_in.isNotNull(), sum(
+                (F.coalesce(F.col(f"_t{o}.money"), F.lit(0).cast("decimal(28,4)")) for o in held),
+                F.lit(0).cast("decimal(28,4)"))).cast("double").alias("hourly_revenue"))
+
+    opened = F.array(*[F.when(F.col("_before").isNull() | (F.col("_s") - F.col("_before") > d), window(d))
+                       for d in range(k)])
+    wide = ahead.select("user_id", "customer_segment", F.inline(opened)).where(F.col("_w").isNotNull())
+    shaped = wide.select(
+        F.timestamp_seconds(F.col("_w") * width).alias("window_start"),
+        F.timestamp_seconds((F.col("_w") + k) * width).alias("window_end"),
+        "user_id", "events_count", "session_count", "unique_event_types", "hourly_revenue", "customer_segment")
+    return behavior_columns(shaped)
 
 
 def behavior_sequences(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes",
@@ -128,16 +200,24 @@ def with_demo_columns(events: DataFrame) -> DataFrame:
     })
 
 
+def _per_user_slides(events: DataFrame, keys: list[str], size: str, slide: str, sums: dict[str, Column]) -> DataFrame:
+    """Slide totals of ``sums`` and the ``unique_users_d`` counts."""
+    per_user = (events.groupBy(slot(F.col("timestamp"), slide).alias("_s"), *keys, "user_id")
+                .agg(*[c.alias(n) for n, c in sums.items()]))
+    before = F.lag("_s").over(Window.partitionBy(*keys, "user_id").orderBy("_s"))
+    return per_user.withColumn("_before", before).groupBy("_s", *keys).agg(
+        *[F.sum(n).alias(n) for n in sums],
+        *_new_within("unique_users", F.col("user_id").isNotNull(), F.col("_before"), _slides(size, slide)))
+
+
 def demo_event_metrics(events: DataFrame, size: str = "30 seconds", slide: str = "10 seconds") -> DataFrame:
-    per_slide = (events.groupBy(slot_start(F.col("timestamp"), slide).alias("_slide"),
-                                "event_type", "source", "user_id")
-                 .agg(F.count("*").alias("_n"), F.sum("event_value").alias("_value"),
-                      F.sum(money(F.col("price"))).alias("_price"), F.count("price").alias("_prices")))
-    wide = per_slide.groupBy(F.window("_slide", size, slide), "event_type", "source").agg(
-        F.sum("_n").alias("event_count"), F.sum("_value").alias("total_value"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.round(F.try_divide(F.sum("_price"), F.sum("_prices")), 2).cast("double").alias("avg_price"))
-    return flat_window(wide)
+    sums = {"event_count": F.count("*"), "total_value": F.sum("event_value"),
+            "_price": F.sum(money(F.col("price"))), "_prices": F.count("price")}
+    keys = ["event_type", "source"]
+    wide = _over_windows(_per_user_slides(events, keys, size, slide, sums), keys, size, slide,
+                         ["unique_users"], list(sums))
+    rounded = F.round(F.try_divide(F.col("_price"), F.col("_prices")), 2).cast("double")
+    return wide.withColumn("avg_price", rounded).drop("_price", "_prices")
 
 
 def demo_user_behavior(events: DataFrame, size: str = "1 minute", more_than: int = 2) -> DataFrame:
@@ -152,10 +232,7 @@ def demo_user_behavior(events: DataFrame, size: str = "1 minute", more_than: int
 
 def simple_summary(events: DataFrame, value: str = "value_usd", size: str = "20 seconds",
                    slide: str = "5 seconds") -> DataFrame:
-    per_slide = (events.groupBy(slot_start(F.col("timestamp"), slide).alias("_slide"),
-                                "event_type", "user_id")
-                 .agg(F.count("*").alias("_n"), F.sum(money(F.col(value))).alias("_value")))
-    return flat_window(
-        per_slide.groupBy(F.window("_slide", size, slide), "event_type")
-        .agg(F.sum("_n").alias("count"), F.sum("_value").cast("double").alias("total_value"),
-             F.count_distinct("user_id").alias("unique_users")))
+    sums = {"count": F.count("*"), "total_value": F.sum(money(F.col(value)))}
+    wide = _over_windows(_per_user_slides(events, ["event_type"], size, slide, sums), ["event_type"], size, slide,
+                         ["unique_users"], list(sums))
+    return wide.withColumn("total_value", F.col("total_value").cast("double"))

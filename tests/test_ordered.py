@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from clickloom.operators import carts, insights, ordered, sessions
+from clickloom.operators import carts, insights, ordered, sessions, windows
 
 
 @pytest.fixture(scope="module")
@@ -96,6 +96,53 @@ def test_sessions_equal_session_window(skewed, gap):
     assert key(found.collect()) == key(plain.collect())
 
 
+def same_rows(left, right):
+    key = lambda df: sorted(map(str, df.select(*right.columns).collect()))
+    return key(left) == key(right)
+
+
+@pytest.fixture(scope="module")
+def gappy(skewed):
+    """The skewed events with some types, users and revenues missing."""
+    n = F.col("event_id").cast("int")
+    return skewed.withColumns({
+        "event_type": F.when(n % 11 != 0, F.col("event_type")), "user_id": F.when(n % 13 != 0, F.col("user_id")),
+        "event_revenue": F.when(n % 5 != 0, F.col("event_revenue")),
+        "customer_segment": F.when(n % 4 == 0, "B").when(n % 4 == 1, "A"), "event_value": n % 7, "price": F.col("event_revenue")})
+
+
+@pytest.mark.parametrize("size, slide", [("1 hour", "10 minutes"), ("5 minutes", "1 minute"), ("1 hour", "1 hour")])
+def test_sliding_windows_equal_plain_windows(gappy, size, slide):
+    window = F.window("timestamp", size, slide)
+    bounds = lambda df: df.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")}).drop("window")
+    behaviour = bounds(gappy.groupBy("user_id", window).agg(
+        F.count("*").alias("events_count"), F.count_distinct("session_id").alias("session_count"),
+        F.count_distinct("event_type").alias("unique_event_types"), F.sum("event_revenue").alias("hourly_revenue"),
+        F.min(F.struct("timestamp", "customer_segment"))["customer_segment"].alias("customer_segment")))
+    assert same_rows(windows.user_behavior(gappy, size, slide), behaviour)
+    stage = lambda t: F.count_distinct(F.when(F.col("event_type") == t, F.col("session_id")))
+    funnel = bounds(gappy.groupBy(window, "source", "customer_segment").agg(
+        stage("page_view").alias("sessions_with_pageview"), stage("add_to_cart").alias("sessions_with_add_to_cart"),
+        stage("purchase").alias("sessions_with_purchase"),
+        F.sum(F.when(F.col("event_type") == "purchase", F.col("event_revenue"))).alias("total_revenue")))
+    assert same_rows(windows.conversion_funnel(gappy, size, slide), funnel)
+    demo = bounds(gappy.groupBy(window, "event_type", "source").agg(
+        F.count("*").alias("event_count"), F.sum("event_value").alias("total_value"),
+        F.count_distinct("user_id").alias("unique_users"), F.round(F.avg("price"), 2).alias("avg_price")))
+    assert same_rows(windows.demo_event_metrics(gappy, size, slide), demo)
+    simple = bounds(gappy.groupBy(window, "event_type").agg(
+        F.count("*").alias("count"), F.sum("price").alias("total_value"), F.count_distinct("user_id").alias("unique_users")))
+    assert same_rows(windows.simple_summary(gappy, "price", size, slide), simple)
+
+
+def test_behavior_sequences(gappy):
+    wanted = gappy.groupBy("user_id", F.window("timestamp", "1 hour", "10 minutes").alias("w")).agg(F.count("*").alias("n"))
+    found = windows.behavior_sequences(gappy, chunk_size=5)
+    assert found.agg(F.max("entries")).first()[0] <= 5
+    sums = found.groupBy("user_id", "window_start").agg(F.sum("entries").alias("n"))
+    assert same_rows(sums, wanted.select("user_id", F.col("w.start").alias("window_start"), "n"))
+
+
 def test_gap_edges(make):
     exact = make([{"ts": "2024-01-01 00:00:00"}, {"ts": "2024-01-01 00:30:00"}])
     over = make([{"ts": "2024-01-01 00:00:00"}, {"ts": "2024-01-01 00:30:01"}])
