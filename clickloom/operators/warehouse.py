@@ -150,7 +150,8 @@ def daily_metrics(enriched: DataFrame) -> DataFrame:
 def user_segments(profiles: DataFrame, segment: Column) -> DataFrame:
     return profiles.groupBy(segment.alias("customer_value_segment")).agg(
         F.count("*").alias("users"),
-        F.sum(money(F.col("total_spent"))).cast("double").alias("total_spent"))
+        # a total in thousands has five decimals: four would round half of the values
+        F.sum(F.col("total_spent").cast("decimal(20,6)")).cast("double").alias("total_spent"))
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str, order: list[str]) -> DataFrame:

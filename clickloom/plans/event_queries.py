@@ -257,7 +257,7 @@ def group_count(spark, sf_dir):
 SELECT CASE WHEN total_spent > 1000 AND total_orders > 10 THEN 'VIP'
        WHEN total_spent > 500 AND total_orders > 5 THEN 'Premium'
        WHEN total_spent > 100 AND total_orders > 2 THEN 'Regular' ELSE 'New' END AS customer_value_segment,
-  count(*) AS users, {money_sql('total_spent')} AS total_spent FROM profile GROUP BY 1""")
+  count(*) AS users, CAST(sum(CAST(total_spent AS DECIMAL(20,6))) AS DOUBLE) AS total_spent FROM profile GROUP BY 1""")
 def customer_value_segments(spark, sf_dir):
     return warehouse.user_segments(tables.profiles(spark, sf_dir), rules.customer_value_segment(
         F.col("total_spent"), F.col("total_orders")))
