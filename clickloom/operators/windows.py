@@ -59,10 +59,10 @@ def _slides(size: str, slide: str) -> int:
     return seconds(size) // seconds(slide)
 
 
-def _new_within(name: str, present: Column, before: Column, k: int) -> list[Column]:
+def _new_within(name: str, present: str, before: str, k: int) -> list[Column]:
     """``name_d``: rows present in this slide and not in the ``d`` slides before it."""
-    return [F.count(F.when(present & (before.isNull() | (F.col("_s") - before > d)), 1)).alias(f"{name}_{d}")
-            for d in range(k)]
+    return [F.expr(f"count(CASE WHEN {present} AND ({before} IS NULL OR _s - {before} > {d}) THEN 1 END)")
+            .alias(f"{name}_{d}") for d in range(k)]
 
 
 def _over_windows(slides: DataFrame, keys: list[str], size: str, slide: str, distinct: list[str],
@@ -91,7 +91,7 @@ def conversion_funnel(enriched: DataFrame, size: str = "5 minutes", slide: str =
                .rowsBetween(Window.unboundedPreceding, -1))
     dated = per_session.withColumns({
         f"_last_{n}": F.max(F.when(F.col(n) == 1, F.col("_s"))).over(earlier) for n in stages})
-    counts = [c for n in stages for c in _new_within(n, F.col(n) == 1, F.col(f"_last_{n}"), k)]
+    counts = [c for n in stages for c in _new_within(n, f"{n} = 1", f"_last_{n}", k)]
     slides = dated.groupBy("_s", *keys).agg(*counts, F.sum("_revenue").alias("_revenue"))
     wide = _over_windows(slides, keys, size, slide, stages, ["_revenue"])
     return funnel_rates(wide.withColumn("total_revenue", F.col("_revenue").cast("double")).drop("_revenue"))
@@ -124,13 +124,13 @@ def user_behavior(enriched: DataFrame, size: str = "1 hour", slide: str = "10 mi
     before = F.lag("_s").over(Window.partitionBy("user_id", "tag", "id").orderBy("_s"))
     dated = values.withColumn("_before", before)
     is_segment = F.col("tag") == "segment"
-    counted = lambda tag: (F.col("tag") == tag) & F.col("id").isNotNull()
+    counted = lambda tag: f"tag = '{tag}' AND id IS NOT NULL"
     slides = dated.groupBy("user_id", "_s").agg(
         F.sum(F.when(is_segment, F.col("_n"))).alias("n"),
         F.sum(F.when(is_segment, F.col("_money"))).alias("money"),
         F.min(F.when(is_segment, F.struct("_first", "id")))["id"].alias("customer_segment"),
-        *_new_within("session", counted("session"), F.col("_before"), k),
-        *_new_within("type", counted("type"), F.col("_before"), k))
+        *_new_within("session", counted("session"), "_before", k),
+        *_new_within("type", counted("type"), "_before", k))
     totals = slides.select(
         "user_id", "_s", "customer_segment", F.struct(
             "n", "money", F.array(*[f"session_{d}" for d in range(k)]).alias("session"),
@@ -140,23 +140,18 @@ def user_behavior(enriched: DataFrame, size: str = "1 hour", slide: str = "10 mi
         "_before": F.lag("_s").over(ordered),
         **{f"_t{o}": F.first("_t").over(ordered.rangeBetween(o, o)) for o in range(k)}})
 
-    def window(place: int) -> Column:
+    def window(place: int) -> str:
         """The window in which this slide has ``place``; its later slides are those up to the end."""
         held = range(k - place)
-        add = lambda pick, zero: sum((F.coalesce(pick(o), zero) for o in held[1:]), pick(0))
-        none = F.lit(0).cast("long")
-        money_in = F.coalesce(*[F.col(f"_t{o}.money") for o in held])
-        return F.struct(
-            (F.col("_s") - place).alias("_w"),
-            add(lambda o: F.col(f"_t{o}.n"), none).alias("events_count"),
-            add(lambda o: F.col(f"_t{o}.session")[place + o], none).alias("session_count"),
-            add(lambda o: F.col(f"_t{o}.type")[place + o], none).alias("unique_event_types"),
-            F.when(money_in.isNotNull(), sum(
-                (F.coalesce(F.col(f"_t{o}.money"), F.lit(0).cast("decimal(28,4)")) for o in held),
-                F.lit(0).cast("decimal(28,4)"))).cast("double").alias("hourly_revenue"))
-
-    opened = F.array(*[F.when(F.col("_before").isNull() | (F.col("_s") - F.col("_before") > d), window(d))
-                       for d in range(k)])
+        total = lambda part: " + ".join(f"coalesce(_t{o}.{part(o)}, 0)" for o in held)
+        seen = " OR ".join(f"_t{o}.money IS NOT NULL" for o in held)
+        return f"""IF(_before IS NULL OR _s - _before > {place}, named_struct(
+            '_w', _s - {place}, 'events_count', {total(lambda o: "n")},
+            'session_count', {total(lambda o: f"session[{place + o}]")},
+            'unique_event_types', {total(lambda o: f"type[{place + o}]")},
+            'hourly_revenue', CASE WHEN {seen} THEN cast({total(lambda o: "money")} AS double) END), NULL)"""
+
+    opened = F.expr(f"array({', '.join(window(d) for d in range(k))})")
     wide = ahead.select("user_id", "customer_segment", F.inline(opened)).where(F.col("_w").isNotNull())
     shaped = wide.select(
         F.timestamp_seconds(F.col("_w") * width).alias("window_start"),
@@ -207,7 +202,7 @@ def _per_user_slides(events: DataFrame, keys: list[str], size: str, slide: str,
     before = F.lag("_s").over(Window.partitionBy(*keys, "user_id").orderBy("_s"))
     return per_user.withColumn("_before", before).groupBy("_s", *keys).agg(
         *[F.sum(n).alias(n) for n in sums],
-        *_new_within("unique_users", F.col("user_id").isNotNull(), F.col("_before"), _slides(size, slide)))
+        *_new_within("unique_users", "user_id IS NOT NULL", "_before", _slides(size, slide)))
 
 
 def demo_event_metrics(events: DataFrame, size: str = "30 seconds", slide: str = "10 seconds") -> DataFrame:
