@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, rule_ledger
+from clickloom.llm import chat_format, decontaminate, rule_ledger
 from clickloom.llm.common import read
 
 
@@ -30,9 +30,20 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars", "valid")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.annotate(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   read(spark, sf_dir, "benchmark"))
+    items = F.col("contamination.items")
+    return found.select("doc_id", "contamination.n_words", decontaminate.n_hit().alias("n_hit"),
+                        F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+                        decontaminate.contaminated().alias("contaminated"), "contamination.longest")
+
+
 QUERIES = {
     "op2_rule_ledger": op2_rule_ledger,
     "op6_chat_format": op6_chat_format,
+    "op9_decontamination": op9_decontamination,
 }
 ORACLES = {
     "op2_rule_ledger": r"""
@@ -49,7 +60,7 @@ x AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(s, '[\x20\
         length(regexp_replace(s, '\P{Ll}+', '', 'g'))::BIGINT AS n_lower FROM m LEFT JOIN c USING (rid)),
 f AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
         + CASE WHEN word_chars < 2 * n_words THEN 4 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 8 ELSE 0 END
-        + CASE WHEN 2 * n_symbols > n_words THEN 16 ELSE 0 END
+        + CASE WHEN 5 * n_symbols > n_words THEN 16 ELSE 0 END
         + CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 32 ELSE 0 END
         + CASE WHEN 10 * n_lower < 3 * word_chars THEN 64 ELSE 0 END)::BIGINT AS failures FROM x)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed,
@@ -68,4 +79,27 @@ SELECT conv_id, count(*) AS n_turns,
   bool_and(before || '>' || role IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user'))
     AND coalesce(bool_or(after IS NULL AND role = 'assistant'), false) AS valid
 FROM e GROUP BY conv_id""",
+    "op9_decontamination": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS item, coalesce(item_id::VARCHAR, '') AS item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+s AS (SELECT item, item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS j FROM b WHERE len(w) > 0),
+t AS (SELECT item, item_id, j, least(13, len(w)) AS n, array_to_string(w[j:j + 12], ' ') AS gram FROM s),
+z AS (SELECT DISTINCT n FROM t),
+p AS (SELECT rid, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, z WHERE len(w) >= n),
+g AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram FROM p),
+h AS (SELECT rid, i, item, item_id, j, n FROM g JOIN t USING (n, gram)),
+c AS (SELECT rid, count(DISTINCT i + k) AS n_hit FROM h, range(13) AS r(k) WHERE k < n GROUP BY rid),
+m AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT rid, item_id FROM h) GROUP BY rid),
+r AS (SELECT rid, n, i, item, i - j AS diagonal, i - row_number() OVER (PARTITION BY rid, item, i - j ORDER BY i) AS run FROM h),
+x AS (SELECT rid, max(k) AS longest FROM (SELECT rid, max(n) + count(*) - 1 AS k FROM r GROUP BY rid, item, diagonal, run)
+      GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated,
+  coalesce(longest, 0)::BIGINT AS longest
+FROM d LEFT JOIN c USING (rid) LEFT JOIN m USING (rid) LEFT JOIN x USING (rid)""",
 }

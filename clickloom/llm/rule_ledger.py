@@ -28,7 +28,7 @@ RULES = (
     Rule("repeated_words", "100 * n_repeat_words > 20 * n_words"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 20 * n_words"),
-    Rule("symbols", "2 * n_symbols > n_words"),
+    Rule("symbols", "5 * n_symbols > n_words"),
     Rule("repeated_lines", "n_lines >= 4 AND 2 * n_dup_lines > n_lines"),
     Rule("no_lower_case", "10 * n_lower < 3 * word_chars"),
 )
