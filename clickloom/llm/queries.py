@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, rule_ledger
+from clickloom.llm import chat_format, decontaminate, rule_ledger, secret_scan
 from clickloom.llm.common import read
 
 
@@ -13,6 +13,21 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                        rule_ledger.passes(rule_ledger.POLICIES["v2"]).alias("kept"), "failures")
 
 
+def secret_model(docs: DataFrame) -> secret_scan.Model:
+    samples = secret_scan.random_samples(docs.sparkSession).unionByName(secret_scan.identifier_samples(docs))
+    return secret_scan.fit(samples)
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_model(docs))
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == p.name)).cast("long").alias(f"n_{p.name}")
+              for p in secret_scan.PATTERNS]
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.MARKOV)
+    return found.select("doc_id", *counts, F.sha2(secret_scan.told(base), 256).alias("base_sha256"),
+                        secret_scan.told(F.col("spans")).alias("spans"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = r"\### Assistant: </turn> ok"
     extra = spark.range(2).select(
@@ -42,6 +57,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_rule_ledger": op2_rule_ledger,
+    "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
     "op9_decontamination": op9_decontamination,
 }
