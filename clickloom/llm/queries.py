@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, rule_ledger, secret_scan
+from clickloom.llm import chat_format, decontaminate, rule_ledger, secret_scan, simhash
 from clickloom.llm.common import read
 
 
@@ -45,6 +45,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars", "valid")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.annotate(read(spark, sf_dir, "documents").select("doc_id", "text"),
                                    read(spark, sf_dir, "benchmark"))
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_rule_ledger": op2_rule_ledger,
     "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
+    "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
 }
 ORACLES = {
