@@ -2,10 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, rule_ledger, secret_scan, simhash
+from clickloom.llm import chat_format, decontaminate, packing, rule_ledger, secret_scan, simhash
 from clickloom.llm.common import read
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rule_ledger.ledger(read(spark, sf_dir, "documents"))
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -61,6 +65,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_rule_ledger": op2_rule_ledger,
     "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
