@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, packing, rule_ledger, secret_scan, simhash
+from clickloom.llm import chat_format, decontaminate, packing, rule_ledger, secret_scan, simhash, warc_zip
 from clickloom.llm.common import read
 
 
@@ -17,6 +17,12 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                        rule_ledger.passes(rule_ledger.POLICIES["v2"]).alias("kept"), "failures")
 
 
+def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc_zip.round_trip(read(spark, sf_dir, "pages"))
+    return back.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def secret_model(docs: DataFrame) -> secret_scan.Model:
     samples = secret_scan.random_samples(docs.sparkSession).unionByName(secret_scan.identifier_samples(docs))
     return secret_scan.fit(samples)
@@ -67,6 +73,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_rule_ledger": op2_rule_ledger,
+    "op4_warc_zip": op4_warc_zip,
     "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
     "op8_simhash": op8_simhash,
@@ -92,6 +99,16 @@ f AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_re
         + CASE WHEN 10 * n_lower < 3 * word_chars THEN 64 ELSE 0 END)::BIGINT AS failures FROM x)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed,
        failures = 0 AS kept, failures FROM f""",
+    "op4_warc_zip": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+b AS (SELECT *, list_transform(string_split_regex(x, ''), lambda c: instr('0123456789abcdef', c) - 1) AS v FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + (((v[(5 * i) // 4 + 1] * 256 + coalesce(v[(5 * i) // 4 + 2], 0) * 16 + coalesce(v[(5 * i) // 4 + 3], 0))
+        >> (7 - (5 * i) % 4)) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM b""",
     "op6_chat_format": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
   UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) AS r(i)),
