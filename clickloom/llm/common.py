@@ -1,8 +1,10 @@
 """Small helpers shared by the operators of this package."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from clickloom.session import configure, fresh_path
 
@@ -35,3 +37,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """The fold of the contracts: crc32 of the id as text leaves remainder 1 by 3. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def annotated(docs: DataFrame, column: str, kind: DataType, compute: Callable[[list], pa.Array]) -> DataFrame:
+    """``docs`` with all its columns and ``column``, computed from the texts of a batch; an older one is replaced."""
+    docs = docs.drop(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                yield batch.append_column(column, compute(batch.column("text").to_pylist()))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, kind)]))

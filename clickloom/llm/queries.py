@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import chat_format, decontaminate, packing, rule_ledger, secret_scan, simhash, warc_zip
-from clickloom.llm.common import read
+from clickloom.llm import (
+    chat_format, decontaminate, language_id, packing, quality_model, rule_ledger, secret_scan, simhash, warc_zip)
+from clickloom.llm.common import held_out, read
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,20 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars", "valid")
 
 
+def fitted_quality(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality_model.Model:
+    """The model learned from the rows of ``docs`` that are not held out."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality_model.fit(docs, labels.where(~held_out(F.col("doc_id"))))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_model.score(docs, fitted_quality(spark, sf_dir, docs))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                         F.col(quality_model.COLUMN).alias("score"),
+                         (F.col(quality_model.COLUMN) >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -70,14 +85,24 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontaminate.contaminated().alias("contaminated"), "contamination.longest")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
+    found = language_id.identify(docs.select("doc_id", "text"), network)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_rule_ledger": op2_rule_ledger,
     "op4_warc_zip": op4_warc_zip,
     "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
+    "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
+    "op10_language": op10_language,
 }
 ORACLES = {
     "op2_rule_ledger": r"""
