@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
-    chat_format, decontaminate, language_id, packing, quality_model, rule_ledger, secret_scan, simhash, warc_zip)
+    chat_format, decontaminate, language_id, packing, quality_model, rule_ledger, secret_scan, simhash,
+    suffix_dedup, warc_zip)
 from clickloom.llm.common import held_out, read
 
 
@@ -18,6 +19,11 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                        rule_ledger.passes(rule_ledger.POLICIES["v2"]).alias("kept"), "failures")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc_zip.round_trip(read(spark, sf_dir, "pages"))
     return back.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
@@ -96,6 +102,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_rule_ledger": op2_rule_ledger,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc_zip": op4_warc_zip,
     "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,

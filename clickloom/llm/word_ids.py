@@ -52,14 +52,23 @@ def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each span's bytes; spans are disjoint, in order and not empty."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
+def weighted_sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums (one entry more) of the bytes times powers of the base; ``range_hashes`` reads any range from them."""
     weighted = np.empty(len(data), np.uint64)
     for at in range(0, len(data), STEP):
         part = data[at:at + STEP]
         np.multiply(part.astype(np.uint64) + np.uint64(1), _FORWARD[:len(part)], out=weighted[at:at + len(part)])
         weighted[at:at + len(part)] *= _FORWARD_HIGH[at >> 16]
-    total = np.concatenate([[np.uint64(0)], np.cumsum(weighted, dtype=np.uint64)])
-    return mixed((total[ends] - total[starts]) * power_at(starts, back=True))
+    return np.concatenate([[np.uint64(0)], np.cumsum(weighted, dtype=np.uint64)])
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each range, wherever the range lies."""
+    return mixed((sums[ends] - sums[starts]) * power_at(starts, back=True))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span's bytes; spans are disjoint, in order and not empty."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    return range_hashes(weighted_sums(data), starts, ends)
