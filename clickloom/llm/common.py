@@ -26,6 +26,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_, name__, ... that no column of ``df`` has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``like`` alone."""
+    return df.select(*[F.col(f"`{c}`") for c in like.columns])
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and kept when executors are lost."""
     spark = df.sparkSession

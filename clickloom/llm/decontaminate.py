@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from clickloom.llm.common import free_name, same_columns
 from clickloom.llm.word_ids import joined, span_hashes, spans
 
 WINDOW = 13
@@ -196,12 +197,13 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[lis
     yield part
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents with all their columns and ``contamination``: n_words, hits (start and end word of each hit range
+def annotate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+             column: str = RESULT) -> DataFrame:
+    """The documents with all their columns and ``column``: n_words, hits (start and end word of each hit range
     by turns), items (ids of matching items) and longest (words of the longest verbatim match)."""
     spark = docs.sparkSession
-    out = docs.drop(RESULT)
-    schema = StructType([*out.schema.fields, StructField(RESULT, FIELDS)])
+    out = docs.drop(column)
+    schema = StructType([*out.schema.fields, StructField(column, FIELDS)])
     for number, block in enumerate(blocks(benchmark, block_bytes)):
         tests = spark.sparkContext.broadcast(Searches(block, window))
 
@@ -210,31 +212,31 @@ def annotate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
                 texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
                 rows = [row for part in shards(texts) for row in search(tests.value, part)]
                 if earlier:
-                    before = batch.column(RESULT).to_pylist()
+                    before = batch.column(column).to_pylist()
                     rows = [(n, merged(b["hits"], hits), sorted({*b["items"], *names}), max(b["longest"], longest))
                             for b, (n, hits, names, longest) in zip(before, rows)]
-                    batch = batch.drop_columns([RESULT])
+                    batch = batch.drop_columns([column])
                 columns = [pa.array(c, t) for c, t in zip(
                     zip(*rows) if rows else [[]] * 4,
                     (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.int64()))]
-                yield batch.append_column(RESULT, pa.StructArray.from_arrays(columns, FIELDS.names))
+                yield batch.append_column(column, pa.StructArray.from_arrays(columns, FIELDS.names))
 
         out = out.mapInArrow(find, schema)
     return out
 
 
-def n_hit() -> Column:
+def n_hit(column: str = RESULT) -> Column:
     """Words of a document inside any hit range."""
-    hits = F.col(f"{RESULT}.hits")
-    return F.aggregate(F.transform(hits, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"),
-                       lambda a, x: a + x)
+    signed = F.transform(F.col(f"{column}.hits"), lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
+    return F.aggregate(signed, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def contaminated() -> Column:
+def contaminated(column: str = RESULT) -> Column:
     """At least one word in twenty is hit."""
-    return (n_hit() > 0) & (20 * n_hit() >= F.col(f"{RESULT}.n_words"))
+    return (n_hit(column) > 0) & (20 * n_hit(column) >= F.col(f"{column}.n_words"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with the columns they came with."""
-    return annotate(docs, benchmark).where(~contaminated()).select(*[f"`{c}`" for c in docs.columns])
+    column = free_name(docs, RESULT)
+    return same_columns(annotate(docs, benchmark, column=column).where(~contaminated(column)), docs)

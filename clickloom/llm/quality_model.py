@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from clickloom.llm.common import annotated
+from clickloom.llm.common import annotated, free_name, same_columns
 from clickloom.llm.word_ids import joined, mixed, span_hashes, spans
 
 BUCKETS = 1 << 16
@@ -160,7 +160,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, epochs:
     return train(rows, epochs, seed=seed)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with all their columns and ``quality_score``, the probability of label 1."""
+def score(docs: DataFrame, model: Model, column: str = COLUMN) -> DataFrame:
+    """The documents with all their columns and ``column``, the probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return annotated(docs, COLUMN, DoubleType(), lambda texts: pa.array(shared.value.scores(texts), pa.float64()))
+    return annotated(docs, column, DoubleType(), lambda texts: pa.array(shared.value.scores(texts), pa.float64()))
+
+
+def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents with a score of ``least`` or more, with the columns they came with."""
+    column = free_name(docs, COLUMN)
+    return same_columns(score(docs, model, column).where(F.col(column) >= least), docs)

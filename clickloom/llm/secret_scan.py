@@ -6,7 +6,7 @@ label and pair of characters). Offsets are code points, ends exclusive. The mode
 characters, learned from labelled samples with add-one smoothing; a candidate is a long run of key characters that
 overlaps no pattern's span, and is a span when its mean ratio per character is above the threshold.
 
-Defined cases: a null text is empty; ids may be null or repeated; samples that are null or shorter than two
+Defined cases: a null text is empty (and stays null when redacted); other columns pass through; ids may be null or repeated; samples that are null or shorter than two
 characters teach nothing, and a model without samples scores 0 everywhere, so it adds no span. A text with n matches
 costs n squared copies of offsets of 16 bytes, which 100,000 matches in one text keep below some seconds.
 """
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.llm.common import let
+from clickloom.llm.common import free_name, let, same_columns
 
 # The characters of candidates; a model has one row and column for each, and pairs with others teach nothing.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -130,15 +130,18 @@ def pattern_spans(text: Column) -> Column:
     return F.flatten(F.array(*[matches(text, p, i) for i, p in enumerate(PATTERNS)]))
 
 
-def scan(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text and ``spans``: all spans (start, order, kind, finish) by start, then kind as listed."""
+def scan(docs: DataFrame, model: Model, threshold: float = THRESHOLD, column: str = "spans") -> DataFrame:
+    """The documents with all their columns and ``column``: all spans (start, order, kind, finish) by start, then kind as
+    listed. An older column of that name is replaced."""
+    docs = docs.drop(column)
+    base, candidates = free_name(docs, "base"), free_name(docs, "candidates")
     text = F.coalesce("text", F.lit(""))
-    based = docs.select("doc_id", "text", F.inline(F.array(F.struct(
-        pattern_spans(text).alias("base"), matches(text, CANDIDATE, len(PATTERNS)).alias("candidates")))))
-    free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"])))
+    based = docs.select("*", F.inline(F.array(F.struct(
+        pattern_spans(text).alias(base), matches(text, CANDIDATE, len(PATTERNS)).alias(candidates)))))
+    free = F.filter(candidates, lambda c: ~F.exists(base, lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"])))
     random = F.filter(free, lambda c: model.score(
         F.substr(text, c["start"] + 1, c["finish"] - c["start"])) > threshold)
-    return based.select("doc_id", "text", F.sort_array(F.concat("base", random)).alias("spans"))
+    return based.withColumn(column, F.sort_array(F.concat(base, random))).drop(base, candidates)
 
 
 def told(spans: Column) -> Column:
@@ -155,3 +158,13 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
                         F.greatest(a["at"], s["finish"]).alias("at"))
     whole = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))))
     return F.when(F.size(spans) == 0, text).otherwise(whole)
+
+
+def redact(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with their columns and every secret of ``text`` replaced; ``n_chars``, if there, is counted anew."""
+    column = free_name(docs, "spans")
+    found = scan(docs, model, threshold, column).withColumn("text", redacted(F.col("text"), F.col(column)))
+    if "n_chars" in docs.columns:
+        counted = F.when(F.size(column) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+        found = found.withColumn("n_chars", counted.otherwise(F.col("n_chars")))
+    return same_columns(found, docs)

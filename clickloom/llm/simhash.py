@@ -10,17 +10,17 @@ Scale: only distinct fingerprints are joined, so copies cost nothing, and a key
 many documents there are. Links go to ``components``; documents get their class by a join on the fingerprint.
 
 Defined cases: null, empty and wordless texts have fingerprint 0 and are linked like any other; ids may be null
-(ignored by the minimum; a component of null ids has a null id) or repeated (one row each); other columns are ignored.
+(ignored by the minimum; a component of null ids has a null id) or repeated (one row each); other columns pass through
+``keep_one`` whatever their names.
 """
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType
 
-from clickloom.llm.common import written
+from clickloom.llm.common import annotated, free_name, same_columns, written
 from clickloom.llm.components import components
 
 SHINGLE = 3
@@ -48,16 +48,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > len(starts), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and ``fingerprint`` (signed 64-bit) per document."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [fingerprint(text.as_py()) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.int64())],
-                                             ["doc_id", "fingerprint"])
-
-    typed = docs.select("doc_id", "text")
-    return typed.mapInArrow(run, f"doc_id {typed.schema['doc_id'].dataType.simpleString()}, fingerprint long")
+def fingerprints(docs: DataFrame, column: str = "fingerprint") -> DataFrame:
+    """The documents with all their columns and their fingerprint (signed 64-bit)."""
+    return annotated(docs, column, LongType(), lambda texts: pa.array(map(fingerprint, texts), pa.int64()))
 
 
 def turned(value: Column, start: int) -> Column:
@@ -94,17 +87,31 @@ def links(values: DataFrame) -> DataFrame:
             .select(F.col("a.fingerprint").alias("u"), F.col("b.fingerprint").alias("v")).distinct())
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, ``fingerprint``, ``root`` (a fingerprint that names the component) and ``component_id`` (its smallest
-    doc_id) per document."""
-    marked = written(fingerprints(docs), "fingerprints")
+def classes(marked: DataFrame) -> DataFrame:
+    """From (doc_id, fingerprint): each distinct ``fingerprint``, its ``root`` (a fingerprint that names the component)
+    and ``component_id`` (the component's smallest doc_id)."""
     values = written(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(values))
+    roots = components(written(links(values), "pairs"))
     rooted = values.join(roots, values.fingerprint == roots.node, "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root")
-    return marked.join(named.select("fingerprint", "root", "component_id"), "fingerprint").select(
-        "doc_id", "fingerprint", "root", "component_id")
+    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.select("fingerprint", "root").join(named, "root")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, ``fingerprint``, ``root`` and ``component_id`` per document."""
+    marked = written(fingerprints(docs.select("doc_id", "text")).drop("text"), "fingerprints")
+    return marked.join(classes(marked), "fingerprint").select("doc_id", "fingerprint", "root", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Of each component the document with the smallest id (one of them, if ids repeat), with all its columns."""
+    mark, root, smallest = (free_name(docs, name) for name in ("fingerprint", "root", "component_id"))
+    marked = written(fingerprints(docs, mark), "fingerprints")
+    found = classes(marked.select("doc_id", F.col(mark).alias("fingerprint"))).toDF(root, "print", smallest)
+    found = found.withColumnRenamed("print", mark)
+    first = marked.join(found, mark).where(F.col("doc_id").eqNullSafe(F.col(smallest)))
+    return same_columns(first.dropDuplicates([root]), docs)
 
 
 def hex_digits(value: Column) -> Column:
