@@ -12,8 +12,9 @@ def seconds(duration: str) -> int:
 
 
 def money(value: Column) -> Column:
-    """A fixed-point copy: sums of it do not depend on the order of the rows."""
-    return value.cast("decimal(18,4)")
+    """A fixed-point copy: sums of it do not depend on the order of the rows. A value that does not fit (too large, not
+    a number, infinite) is missing; ``quality.fits_money`` counts those."""
+    return value.try_cast("decimal(18,4)")
 
 
 def money_sum(value: Column) -> Column:

@@ -8,14 +8,28 @@ from clickloom.operators.ordered import neighbour_pairs
 
 def anomaly_windows(events: DataFrame, every: str = "1 hour", trailing: int = 24,
                     limit: float = 3.0, least: int = 3) -> DataFrame:
-    """Hourly counts per type against the mean and deviation of the windows before them."""
+    """Hourly counts per type against the mean and deviation of the windows before them.
+
+    Every type has a row for every window between the first and the last event, so a window without events counts as 0
+    and can be an anomaly. Types and windows bound the rows, whatever the number of events.
+    """
     counts = (events.groupBy("event_type", slot_start(F.col("timestamp"), every).alias("slot_start"))
               .agg(F.count("*").alias("events")))
+    span = counts.agg(F.min("slot_start").alias("first"), F.max("slot_start").alias("last"),
+                      F.collect_set("event_type").alias("types"))
+    slots = F.sequence("first", "last", F.expr(f"interval {every}"))
+    grid = (span.where("first IS NOT NULL").select(F.explode("types").alias("event_type"), slots.alias("slots"))
+            .select("event_type", F.explode("slots").alias("slot_start")))
+    counts = grid.join(counts, ["event_type", "slot_start"], "left").fillna(0, ["events"])
     before = Window.partitionBy("event_type").orderBy("slot_start").rowsBetween(-trailing, -1)
+    # Squares of counts pass the range of a long.
+    exact = F.col("events").cast("decimal(18,0)")
     n, total = F.count("events").over(before), F.sum("events").over(before)
-    squares = F.sum(F.col("events") * F.col("events")).over(before)
+    squares = F.sum((exact * exact).cast("decimal(38,0)")).over(before)
     # n*sum(x^2) - sum(x)^2 in whole numbers: no rounding before the root
-    spread = F.sqrt((n * squares - total * total) / (n * (n - 1)))
+    whole = total.cast("decimal(19,0)")
+    apart = (n.cast("decimal(4,0)") * squares).cast("decimal(38,0)") - (whole * whole).cast("decimal(38,0)")
+    spread = F.sqrt(apart.cast("double") / (n * (n - 1)))
     scored = counts.withColumns({"_n": n, "_mean": ratio(total, n),
                                  "_spread": F.when(n >= least, spread)})
     z = F.try_divide(F.col("events") - F.col("_mean"), F.col("_spread"))

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.functions.numeric import slot
+from clickloom.functions.numeric import money, slot
 
 BUCKET = "10 minutes"
 
@@ -116,7 +116,7 @@ def running_cart(df: DataFrame, keys: list[str], amount: Column, clears: Column,
     """Running sum of ``amount`` in each group; a row where ``clears`` holds sets it to 0."""
     order = _inside(keys, [ts, tie]).rowsBetween(Window.unboundedPreceding, 0)
     rows = _bucketed(df, ts, bucket).withColumns({
-        "_amount": F.when(clears, F.lit(0).cast("decimal(18,4)")).otherwise(amount.cast("decimal(18,4)")),
+        "_amount": F.when(clears, F.lit(0).cast("decimal(18,4)")).otherwise(money(amount)),
         "_clears": clears.cast("int")})
     marked = rows.withColumn("_part", F.sum("_clears").over(order))
     since = (Window.partitionBy(*keys, "_bucket", "_part").orderBy(ts, tie)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.functions.numeric import money_sum, slot_start
-from clickloom.operators.warehouse import rewrite_partitions
+from clickloom.operators.warehouse import in_partitions, rewrite_partitions
 
 # ---- Fixed values: viewer region -> customer regions it may see ------------------------------
 REGION_ACCESS = {"US": ["US", "CA"], "EU": ["EU", "UK"]}
@@ -18,7 +18,7 @@ def erase_from_table(spark: SparkSession, path: str, erased: DataFrame, partitio
     """Rewrite only the partitions that hold rows of erased users, without those rows."""
     table = spark.read.parquet(path)
     touched = table.join(erased.select("user_id"), "user_id", "left_semi").select(*partitions).distinct()
-    kept = without_users(table.join(touched, partitions, "left_semi"), erased)
+    kept = without_users(in_partitions(table, touched, partitions), erased)
     rewrite_partitions(spark, path, touched, kept, partitions)
 
 

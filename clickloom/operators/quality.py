@@ -79,6 +79,11 @@ def matches(column: str, pattern: str) -> Rule:
     return Rule(f"{column}_matches", F.col(column).isNull() | F.col(column).rlike(pattern))
 
 
+def fits_money(column: str) -> Rule:
+    """Values that sums of money can hold; the others are left out of such sums."""
+    return Rule(f"{column}_fits_money", F.col(column).isNull() | money(F.col(column)).isNotNull())
+
+
 def unique(*columns: str) -> Rule:
     return Rule("_".join(columns) + "_unique", unique=columns)
 

@@ -60,24 +60,35 @@ def upsert(target: DataFrame, staging: DataFrame, as_of: Column | None = None,
                             allowMissingColumns=True)
 
 
+def in_partitions(df: DataFrame, touched: DataFrame, partitions: list[str]) -> DataFrame:
+    """Rows of the listed partitions; a null partition value is a value like any other."""
+    t, same = touched.select(*partitions).distinct().alias("_t"), F.lit(True)
+    rows = df.alias("_rows")
+    for p in partitions:
+        same = same & F.col(f"_rows.`{p}`").eqNullSafe(F.col(f"_t.`{p}`"))
+    return rows.join(t, same, "left_semi")
+
+
 def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame, rows: DataFrame,
                        partitions: list[str]) -> None:
     """Replace the partitions listed in ``touched`` by ``rows``, which may read the table itself.
 
-    Both are checkpointed first, because the overwrite removes files they read. Writing no rows
-    replaces no partition, so the folder of one that is left empty is deleted; only folder names
-    come to the driver.
+    Both are checkpointed first, because the overwrite removes files they read. The overwrite replaces every partition
+    that gets rows. One that is left without rows keeps its old files, and exactly these are deleted: their names are
+    taken from the table, not built from values, so null and escaped values need no care. Only names come to the driver.
+    A run that stops before the deletion leaves old rows beside new ones and never loses one; a repeated run ends it.
     """
     shared_folder(spark)
-    touched, rows = touched.distinct().checkpoint(), rows.checkpoint()
+    touched, rows = touched.select(*partitions).distinct().checkpoint(), rows.checkpoint()
+    old = (in_partitions(spark.read.parquet(path).withColumn("_file", F.col("_metadata.file_path")), touched, partitions)
+           .select("_file").distinct().checkpoint())
     write_days(rows, path, partitions)
-    emptied = touched.join(rows.select(*partitions).distinct(), partitions, "left_anti")
-    folder = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in partitions])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for row in emptied.select(folder.alias("folder")).toLocalIterator():
-        files.delete(hadoop.Path(root, row["folder"]), True)
+    java, context = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in old.toLocalIterator():
+        file = java.org.apache.hadoop.fs.Path(java.java.net.URI(row["_file"]))
+        files = file.getFileSystem(context)
+        if files.exists(file) and not files.delete(file, False):
+            raise OSError(f"{file} is still in the table")
 
 
 def upsert_table(spark: SparkSession, path: str, staging: DataFrame, partitions: list[str],
@@ -88,7 +99,7 @@ def upsert_table(spark: SparkSession, path: str, staging: DataFrame, partitions:
     target = spark.read.parquet(path)
     matched = target.join(staging.select(key).distinct(), key, "left_semi").select(*partitions)
     touched = matched.unionByName(staging.select(*partitions)).distinct()
-    old = target.join(touched, partitions, "left_semi")
+    old = in_partitions(target, touched, partitions)
     rewrite_partitions(spark, path, touched, upsert(old, staging, as_of, order, key, updated), partitions)
 
 
@@ -99,7 +110,7 @@ def replace_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str
     changed = rows.select(*keys).distinct()
     matched = target.join(changed, keys, "left_semi").select(*partitions)
     touched = matched.unionByName(rows.select(*partitions)).distinct()
-    kept = target.join(touched, partitions, "left_semi").join(changed, keys, "left_anti")
+    kept = in_partitions(target, touched, partitions).join(changed, keys, "left_anti")
     rewrite_partitions(spark, path, touched, kept.unionByName(rows), partitions)
 
 

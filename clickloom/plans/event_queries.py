@@ -113,19 +113,32 @@ def session_metrics_6h(spark, sf_dir):
     return _flat_sessions(_sessions(spark, sf_dir, "6 hours"))
 
 
-_SEQUENCES = """SELECT session_id, user_id, min("timestamp") AS session_start, CAST(0 AS BIGINT) AS chunk,
+def _sequences_sql(size: int) -> str:
+    return f"""WITH {ENR} {sessions_sql(21600)},
+placed AS (SELECT *, row_number() OVER (PARTITION BY session_id, user_id, run ORDER BY "timestamp", event_id) - 1 AS place,
+  min("timestamp") OVER (PARTITION BY session_id, user_id, run) AS session_start FROM numbered)
+SELECT session_id, user_id, session_start, CAST(place // {size} AS BIGINT) AS chunk,
   count(*) AS entries, string_agg(event_type, ',' ORDER BY "timestamp", event_id) AS event_sequence,
   string_agg(coalesce(product_id, '-'), ',' ORDER BY "timestamp", event_id) AS product_sequence
-FROM numbered GROUP BY session_id, user_id, run"""
+FROM placed GROUP BY session_id, user_id, run, session_start, place // {size}"""
 
 
-@query("session_sequences", f"WITH {ENR} {sessions_sql(21600)} {_SEQUENCES}")
-def session_sequences(spark, sf_dir):
-    rows = sessions.session_sequences(events(spark, sf_dir), "6 hours")
+def _sequences(spark, sf_dir, size):
+    rows = sessions.session_sequences(events(spark, sf_dir), "6 hours", size)
     names = F.transform("event_properties", lambda m: F.coalesce(m["product_id"], F.lit("-")))
     return rows.withColumn("product_sequence", names).drop("event_properties")
 
 
+@query("session_sequences", _sequences_sql(1000))
+def session_sequences(spark, sf_dir):
+    return _sequences(spark, sf_dir, 1000)
+
+
+@query("session_sequences_in_chunks", _sequences_sql(2))
+def session_sequences_in_chunks(spark, sf_dir):
+    return _sequences(spark, sf_dir, 2)
+
+
 @query("session_alerts", f"""WITH {ENR} {sessions_sql(21600)}
 SELECT session_id, user_id, session_start, session_end, session_revenue, abandoned_cart,
   CASE WHEN abandoned_cart THEN 'CART_ABANDONMENT' WHEN session_revenue > 500 THEN 'HIGH_VALUE_SESSION'
@@ -174,10 +187,11 @@ def user_behavior(spark, sf_dir):
 
 @query("behavior_sequences", f"""WITH {EV},
 spread AS (SELECT ev.*, {slot_sql('"timestamp"', 600)} - to_minutes(10 * i) AS window_start
-  FROM ev, generate_series(0, 5) g(i))
-SELECT user_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, CAST(0 AS BIGINT) AS chunk,
+  FROM ev, generate_series(0, 5) g(i)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, window_start ORDER BY "timestamp", event_id) - 1 AS place FROM spread)
+SELECT user_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, CAST(place // 1000 AS BIGINT) AS chunk,
   count(*) AS entries, string_agg(event_type, ',' ORDER BY "timestamp", event_id) AS event_sequence
-FROM spread GROUP BY user_id, window_start""")
+FROM placed GROUP BY user_id, window_start, place // 1000""")
 def behavior_sequences(spark, sf_dir):
     return windows.behavior_sequences(events(spark, sf_dir))
 

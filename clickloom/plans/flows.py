@@ -38,9 +38,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _require(checks: DataFrame, what: str) -> None:
-    failed = [row[0] for row in checks.where("NOT passed").take(20)]
+    failed = checks.where("NOT passed").agg(F.array_join(F.array_sort(F.collect_list(checks.columns[0])), ", ")).first()[0]
     if failed:
-        raise ValueError(f"{what}: {', '.join(failed)}")
+        raise ValueError(f"{what}: {failed}")
 
 
 def hourly_run(spark: SparkSession, messages: DataFrame, profiles: DataFrame, products: DataFrame,

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickloom.functions import business as rules
-from clickloom.functions.numeric import money, slot_start
+from clickloom.functions.numeric import money, money_sum, slot_start
 from clickloom.operators import enrich, privacy, quality, sessions, warehouse
 from clickloom.plans.catalog import (ENR, EV, REVENUE, as_of, events, money_sql, priced_events,
                                      query, ratio_sql, sessions_sql, slot_sql)
@@ -308,3 +308,16 @@ def source_switch(spark, sf_dir):
     rows = events(spark, sf_dir)
     switches = rows.select("source", (F.col("source") != "synthetic").alias("enabled")).distinct()
     return privacy.by_source_switch(rows, switches).groupBy("source", "event_type").agg(F.count("*").alias("events"))
+
+
+@query("odd_amounts", f"""WITH {EV}, t AS (SELECT event_type, n % 13 = 0 AS odd, CASE WHEN n % 13 = 0 THEN NULL ELSE v END AS v FROM ev)
+SELECT event_type, CAST(sum(CAST(v AS DECIMAL(18,4))) AS DOUBLE) AS revenue, count(*) FILTER (WHERE odd) AS left_out
+FROM t GROUP BY 1""")
+def odd_amounts(spark, sf_dir):
+    """Every 13th amount is one that no sum of money can hold: it is left out and counted, and stops nothing."""
+    n = F.col("offset")
+    texts = F.when(n % 39 == 0, "1e20").when(n % 39 == 13, "NaN").when(n % 39 == 26, "-Infinity")
+    rows = events(spark, sf_dir).withColumn("amount", F.coalesce(texts, F.col("value").cast("string")).cast("double"))
+    return rows.groupBy("event_type").agg(
+        money_sum(F.col("amount")).alias("revenue"),
+        F.count_if(~quality.fits_money("amount").holds).alias("left_out"))

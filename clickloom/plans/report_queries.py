@@ -278,7 +278,10 @@ def sustained_alerts(spark, sf_dir):
 # ---- insights --------------------------------------------------------------------------------
 
 @query("anomaly_windows", f"""WITH {EV},
-c AS (SELECT event_type, {HOUR} AS slot_start, count(*) AS events FROM ev GROUP BY ALL),
+k AS (SELECT event_type, {HOUR} AS slot_start, count(*) AS n FROM ev GROUP BY ALL),
+g AS (SELECT unnest(generate_series(min(slot_start), max(slot_start), INTERVAL 1 HOUR)) AS slot_start FROM k),
+c AS (SELECT event_type, slot_start, coalesce(k.n, 0) AS events
+  FROM (SELECT * FROM g, (SELECT DISTINCT event_type FROM k)) LEFT JOIN k USING (event_type, slot_start)),
 w AS (SELECT *, count(*) OVER b AS n, sum(events) OVER b AS s, sum(events * events) OVER b AS s2 FROM c
   WINDOW b AS (PARTITION BY event_type ORDER BY slot_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)),
 d AS (SELECT *, CAST(s AS DOUBLE) / nullif(n, 0) AS mean,

@@ -100,3 +100,56 @@ def hourly_run(spark, sf_dir):
                      tables.products(spark, sf_dir), root, as_of(), "40 days")
     return spark.read.parquet(f"{root}/daily_summary").select(
         "report_date", "total_events", "unique_users", "total_revenue", "conversion_rate", "avg_session_duration")
+
+
+# Partition values that folder names escape, and nulls on both levels.
+_PLACES = """CASE CASE WHEN no_properties THEN 0 ELSE k END % 5 WHEN 0 THEN NULL WHEN 1 THEN 'h/w:1' WHEN 2 THEN 'a b%20' ELSE 'plain' END AS place,
+  CASE WHEN user_no % 4 = 0 THEN NULL ELSE 'u' || CAST(user_no % 4 AS VARCHAR) END AS part"""
+_ODD = ["place", "part"]
+
+
+def _odd_table(spark, sf_dir):
+    k, user = F.col("properties")["k"].cast("int"), F.col("user_id").cast("int")
+    rows = events(spark, sf_dir).withColumn("k", F.coalesce(k, F.lit(0))).select(
+        "event_id", "user_id", "timestamp", "event_type",
+        F.when(F.col("k") % 5 == 1, "h/w:1").when(F.col("k") % 5 == 2, "a b%20").when(F.col("k") % 5 != 0, "plain").alias("place"),
+        F.when(user % 4 != 0, F.concat(F.lit("u"), (user % 4).cast("string"))).alias("part"))
+    path = fresh_path(spark, "odd")
+    warehouse.write_days(rows, path, _ODD)
+    return path, rows
+
+
+@query("erase_odd_partitions", f"""WITH {EV}, t AS (SELECT event_id, user_no, {_PLACES} FROM ev)
+SELECT event_id, place, part FROM t WHERE user_no % 10 <> 8 AND user_no % 4 <> 1""")
+def erase_odd_partitions(spark, sf_dir):
+    """Erases some users everywhere and every user of some partitions."""
+    path, rows = _odd_table(spark, sf_dir)
+    user = F.col("user_id").cast("int")
+    gone = rows.where((user % 10 == 8) | (user % 4 == 1)).select("user_id").distinct()
+    privacy.erase_from_table(spark, path, gone, _ODD)
+    return spark.read.parquet(path).select("event_id", "place", "part")
+
+
+@query("upsert_odd_partitions", f"""WITH {EV}, t AS (SELECT event_id, n, event_type, {_PLACES} FROM ev)
+SELECT event_id, place, part, CASE WHEN n % 7 = 0 AND (place IS NULL OR place <> 'plain') THEN 'changed' ELSE event_type END AS event_type FROM t
+UNION ALL SELECT 'new' || event_id, place, part, event_type FROM t WHERE n % 11 = 0 AND part IS NULL""")
+def upsert_odd_partitions(spark, sf_dir):
+    path, rows = _odd_table(spark, sf_dir)
+    number = F.col("event_id").cast("long")
+    changed = rows.where((number % 7 == 0) & ~F.col("place").eqNullSafe("plain")).withColumn("event_type", F.lit("changed"))
+    new = rows.where((number % 11 == 0) & F.col("part").isNull()).withColumn("event_id", F.concat(F.lit("new"), "event_id"))
+    warehouse.upsert_table(spark, path, changed.unionByName(new), _ODD, as_of(), updated=["event_type"])
+    return spark.read.parquet(path).select("event_id", "place", "part", "event_type")
+
+
+@query("replace_odd_partitions", f"""WITH {EV}, t AS (SELECT event_id, n, user_id, user_no, {_PLACES} FROM ev)
+SELECT event_id, user_id, place, part FROM t WHERE user_no % 6 <> 0
+UNION ALL SELECT 'all', user_id, NULL, 'moved' FROM t WHERE user_no % 6 = 0 GROUP BY user_id""")
+def replace_odd_partitions(spark, sf_dir):
+    """All rows of some users become one row each in a new partition."""
+    path, rows = _odd_table(spark, sf_dir)
+    moved = rows.where(F.col("user_id").cast("int") % 6 == 0).groupBy("user_id").agg(
+        F.lit("all").alias("event_id"), F.max("timestamp").alias("timestamp"), F.lit("merged").alias("event_type"),
+        F.lit(None).cast("string").alias("place"), F.lit("moved").alias("part"))
+    warehouse.replace_rows(spark, path, moved, ["user_id"], _ODD)
+    return spark.read.parquet(path).select("event_id", "user_id", "place", "part")

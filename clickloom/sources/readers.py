@@ -32,13 +32,6 @@ def broker_stream(spark: SparkSession, servers: str, topic: str,
     return reader.options(**options).load()
 
 
-def rate_stream(spark: SparkSession, rows_per_second: int, ramp_up: str | None = None) -> DataFrame:
-    reader = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
-    if ramp_up:
-        reader = reader.option("rampUpTime", ramp_up)
-    return reader.load()
-
-
 def table_stream(spark: SparkSession, path: str, schema: T.StructType | str, glob: str | None = None,
                  files_per_trigger: int = 1000) -> DataFrame:
     """New Parquet objects under a folder, each read once: the raw-zone arrival trigger."""

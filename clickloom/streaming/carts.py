@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from clickloom.functions.numeric import money
 from clickloom.operators.carts import cart_change
 
 OUTPUT = "user_id string, event_id string, event_type string, timestamp timestamp, cart_total double"
@@ -36,6 +37,6 @@ class CartState(StatefulProcessor):
 def cart_totals(events: DataFrame) -> DataFrame:
     changes = (events.where(F.col("event_type").isin("add_to_cart", "remove_from_cart", "purchase"))
                .select("user_id", "event_id", "event_type", "timestamp",
-                       cart_change().cast("decimal(18,4)").alias("change")))
+                       F.coalesce(money(cart_change()), F.lit(0).cast("decimal(18,4)")).alias("change")))
     return changes.groupBy("user_id").transformWithState(
         statefulProcessor=CartState(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")

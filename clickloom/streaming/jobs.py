@@ -1,11 +1,11 @@
-"""The two streaming jobs and the demo streams."""
+"""The two streaming jobs."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom import schemas
 from clickloom.operators import enrich, quality, sessions, windows
-from clickloom.sources.readers import parse_events, rate_stream
+from clickloom.sources.readers import parse_events
 from clickloom.streaming import metrics, sinks
 
 
@@ -73,35 +73,6 @@ def sessions_and_alerts(messages: DataFrame, target: str, checkpoints: str, once
     return sinks.write_each(metrics.session_metrics(events), "session_metrics", checkpoints, outputs, once)
 
 
-def demo_source(spark: SparkSession, rows_per_second: int = 10) -> DataFrame:
-    """A rate stream dressed as events by remainder of its counter."""
-    n = F.col("value")
-    pick = lambda names: F.element_at(F.array(*[F.lit(x) for x in names]), (n % len(names) + 1).cast("int"))
-    return rate_stream(spark, rows_per_second, "5s").select(
-        "timestamp", (n % 1000).cast("string").alias("user_id"),
-        pick(["page_view", "product_view", "add_to_cart", "search", "remove_from_cart", "purchase"]).alias("event_type"),
-        (n % 10_000).alias("product_id"),
-        F.when(n % 10 == 0, (n % 500 + 10).cast("double")).alias("price"),
-        pick(["web", "mobile", "tablet"]).alias("source"),
-        pick(["US", "UK", "CA", "DE", "FR"]).alias("country"))
-
-
-def demo_job(events: DataFrame, checkpoints: str, once: bool = False) -> list[StreamingQuery]:
-    """Raw rows, event metrics and user behaviour on the console."""
-    dressed = windows.with_demo_columns(events)
-    return [
-        sinks.write_console(dressed, "demo_raw", checkpoints, "append", 5, once),
-        sinks.write_console(metrics.demo_event_metrics(dressed, exact=False), "demo_metrics", checkpoints,
-                            "complete", 20, once),
-        sinks.write_console(metrics.demo_user_behavior(dressed), "demo_behavior", checkpoints, "append", 10, once),
-    ]
-
-
-def simple_job(events: DataFrame, checkpoints: str, once: bool = False) -> StreamingQuery:
-    return sinks.write_console(metrics.simple_summary(events, exact=False), "simple_summary", checkpoints,
-                               "update", 20, once)
-
-
 def wait_all(queries: list[StreamingQuery]) -> None:
     """Wait for any query to end, so that a failure of a later one is seen at once."""
     if queries:

@@ -1,4 +1,4 @@
-"""Stream sinks: message files or topics, partitioned tables, consoles."""
+"""Stream sinks: message files or topics, partitioned tables."""
 
 from collections.abc import Callable
 
@@ -19,10 +19,6 @@ TRIGGERS = {
     "conversion_funnel": "1 minute",
     "user_behavior": "2 minutes",
     "session_alerts": "10 seconds",
-    "demo_raw": "10 seconds",
-    "demo_metrics": "30 seconds",
-    "demo_behavior": "1 minute",
-    "simple_summary": "10 seconds",
 }
 TOPICS = {
     "enriched_events": "ecommerce-events-enriched",
@@ -62,13 +58,6 @@ def write_table(df: DataFrame, name: str, target: str, checkpoints: str, partiti
     return _start(rows, name, checkpoints, once)
 
 
-def write_console(df: DataFrame, name: str, checkpoints: str, mode: str, rows: int = 20,
-                  once: bool = False) -> StreamingQuery:
-    writer = (df.writeStream.outputMode(mode).format("console")
-              .option("truncate", "false").option("numRows", rows))
-    return _start(writer, name, checkpoints, once)
-
-
 def write_each(df: DataFrame, name: str, checkpoints: str,
                outputs: Callable[[DataFrame, int], None], once: bool = False) -> StreamingQuery:
     """One stream for several outputs: a batch is computed once and handed to ``outputs``,
@@ -88,16 +77,11 @@ def replace_batch(df: DataFrame, path: str, number: int, partitions: tuple[str,
 
 
 def drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Run a stream over what its source holds now and return the rows it appended."""
+    """Run a stream over what its source holds now and return the rows it appended.
+
+    State has one store per shuffle partition of the session for as long as its checkpoint lives."""
     path, checkpoint = fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint")
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    if spark.sparkContext.master.startswith("local"):
-        # state has one store per shuffle partition, which no later step can merge
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    try:
-        running = (df.writeStream.outputMode("append").format("parquet").option("path", path)
-                   .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        running.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    running = (df.writeStream.outputMode("append").format("parquet").option("path", path)
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    running.awaitTermination()
     return spark.read.schema(df.schema).parquet(path)

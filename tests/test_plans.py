@@ -96,10 +96,3 @@ def test_events_without_product_are_spread(spark, small_limits):
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(sizes) == 40000 and max(sizes) < 40000 / 3
     assert joined.where("price = 9").count() == 400
-
-
-def test_spread_leaves_large_scans_alone(spark, sf_dir):
-    wide = spark.range(0, 100, numPartitions=64)
-    assert tables.spread(wide) is wide
-    narrow = tables.spread(tables.table(spark, sf_dir, "events"))
-    assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -1,4 +1,4 @@
-"""Readers, envelopes and dimensions."""
+"""Readers and envelopes."""
 
 import json
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators import enrich, quality
-from clickloom.sources import dimensions, envelopes, readers
+from clickloom.sources import envelopes, readers
 
 
 def payloads(spark, *bodies):
@@ -67,17 +67,6 @@ def test_mobile_envelope(spark):
     assert rows[2].event_type == "app_opened" and rows[2].event_id != first.event_id and rows[2].user_id is None
 
 
-def test_numbered_dimensions(spark):
-    rows = spark.range(20000).withColumnRenamed("id", "value")
-    people = dimensions.numbered_profiles(rows).where("user_id = '7' AND email = 'user10007@example.com'").first()
-    assert (people.age_group, people.location, people.customer_segment) == ("50+", "Chicago", "New")
-    assert (people.total_orders, people.total_spent) == (10007 % 50, 7.0)
-    item = dimensions.numbered_products(rows).where("product_id = 'prod-604'").first()
-    assert (item.category, item.brand, item.price, item.cost, item.margin) == ("Sports", "Brand 4", 114.0, 9.0, 105.0)
-    assert dimensions.numbered_profiles(rows).drop("email").columns == [
-        f.name for f in schemas.USER_PROFILE.fields if f.name != "email"]
-
-
 def test_lake_layouts_prune(spark, tmp_path):
     df = spark.range(48).select(F.timestamp_seconds(F.col("id") * 3600 + 1704067200).alias("timestamp"), "id")
     day = f"{tmp_path}/day"
