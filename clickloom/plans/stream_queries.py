@@ -4,13 +4,13 @@ Append mode emits what the last watermark (latest event less the delay, in whole
 milliseconds) closed; the SQL keeps the same windows.
 """
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from clickloom import schemas
 from clickloom.functions.numeric import money_sum
 from clickloom.operators import enrich, sessions, windows
 from clickloom.plans import event_queries  # its SQL is reused below
-from clickloom.plans.catalog import ENR, EV, ORACLES, as_of, money_sql, query
+from clickloom.plans.catalog import ENR, EV, ORACLES, as_of, money_sql, query, sessions_sql
 from clickloom.session import configure, fresh_path
 from clickloom.sources import readers, tables
 from clickloom.streaming import carts, jobs, metrics, sinks
@@ -21,6 +21,26 @@ def event_stream(spark, sf_dir):
     return tables.canonical(readers.table_stream(spark, sf_dir, tables.SCHEMAS["events"], "events.parquet"))
 
 
+def event_batches(spark, sf_dir):
+    """The same stream in several batches, out of order: four files, one a trigger, of about a week each; every other
+    event of the last half hour before a cut comes with the next file."""
+    configure(spark)
+    path = fresh_path(spark, "event-files")
+    rows = tables.table(spark, sf_dir, "events")
+    late = F.when(F.col("event_id") % 2 == 1, 1800).otherwise(0)
+    since = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
+    numbered = rows.withColumn("part", F.least(F.lit(3), F.floor((since + late) / (8 * 86400))))
+    for part in range(4):
+        numbered.where(F.col("part") == part).drop("part").write.mode("append").parquet(path)
+    return tables.canonical(readers.table_stream(spark, path, tables.SCHEMAS["events"], files_per_trigger=1))
+
+
+def priced_batches(spark, sf_dir):
+    return enrich.with_segment_and_revenue(
+        event_batches(spark, sf_dir), tables.profiles(spark, sf_dir, totals=False, places=False),
+        tables.products(spark, sf_dir))
+
+
 def priced_stream(spark, sf_dir):
     return enrich.with_segment_and_revenue(
         event_stream(spark, sf_dir), tables.profiles(spark, sf_dir, totals=False, places=False),
@@ -121,9 +141,12 @@ def stream_simple_summary(spark, sf_dir):
     return sinks.drain(spark, metrics.simple_summary(demo_stream(spark, sf_dir), "price"), "simple")
 
 
-@query("stream_cart_totals", ORACLES["cart_totals"])
+@query("stream_cart_totals", f"""WITH {EV} SELECT * FROM ({ORACLES["cart_totals"]}) AS batch
+WHERE "timestamp" <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM ev
+  WHERE event_type IN ('add_to_cart', 'remove_from_cart', 'purchase')) - INTERVAL 30 MINUTE""")
 def stream_cart_totals(spark, sf_dir):
-    found = carts.cart_totals(event_stream(spark, sf_dir))
+    """Events come in several batches and out of order; the totals are those of event-time order."""
+    found = carts.cart_totals(event_batches(spark, sf_dir))
     return sinks.drain(spark, found, "carts").select("event_id", "user_id", "event_type", "timestamp", "cart_total")
 
 
@@ -153,4 +176,138 @@ def stream_session_job(spark, sf_dir):
     target = fresh_path(spark, "sessions")
     jobs.sessions_and_alerts(sent, target, fresh_path(spark, "sessions-checkpoint"), once=True).awaitTermination()
     found = spark.read.parquet(f"{target}/session_metrics")
-    return found.withColumn("window_end", F.col("session_window.end")).drop("session_window", "batch")
+    return found.withColumn("window_end", F.col("session_window.end")).drop("session_window", "run", "batch")
+
+
+@query("stream_session_batches", _closed(ORACLES["session_metrics"], "window_end", "30 MINUTE"))
+def stream_session_batches(spark, sf_dir):
+    found = metrics.session_metrics(priced_batches(spark, sf_dir))
+    flat = found.withColumn("window_end", F.col("session_window.end")).drop("session_window")
+    return sinks.drain(spark, flat, "sessions")
+
+
+@query("stream_dedup_batches", f"""WITH {EV} SELECT event_id, event_type, "timestamp", user_id FROM ev""")
+def stream_dedup_batches(spark, sf_dir):
+    """Every event comes twice: the second copies are files of their own, one batch each."""
+    sent = event_batches(spark, sf_dir).union(event_batches(spark, sf_dir))
+    return sinks.drain(spark, metrics.deduplicated(sent).select("event_id", "event_type", "timestamp", "user_id"), "dedup")
+
+
+@query("stream_late_events", f"""WITH {EV},
+d AS (SELECT date_trunc('day', "timestamp") AS window_start, event_type, "timestamp" AS t,
+  n % 3 = 0 AND "timestamp" < TIMESTAMP '2024-01-20' AS is_late FROM ev),
+m AS (SELECT date_trunc('milliseconds', max(t)) - INTERVAL 10 MINUTE AS last_mark, date_trunc('milliseconds',
+  max(t) FILTER (NOT is_late AND t < TIMESTAMP '2024-01-20')) - INTERVAL 10 MINUTE AS first_mark FROM d)
+SELECT window_start, event_type, count(*) AS events FROM d
+WHERE window_start + INTERVAL 1 DAY <= (SELECT last_mark FROM m)
+  AND NOT (is_late AND window_start + INTERVAL 1 DAY <= (SELECT first_mark FROM m)) GROUP BY ALL""")
+def stream_late_events(spark, sf_dir):
+    """Days are counted on a stream whose third file is too late for the days that the first one closed: a batch leaves
+    out rows that the watermark before the last batch had passed."""
+    configure(spark)
+    path = fresh_path(spark, "late-files")
+    rows = tables.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")
+    late = (F.col("event_id") % 3 == 0) & early
+    for part in (~late & early, ~early, late):
+        rows.where(part).write.mode("append").parquet(path)
+    sent = tables.canonical(readers.table_stream(spark, path, tables.SCHEMAS["events"], files_per_trigger=1))
+    counted = (sent.withWatermark("timestamp", "10 minutes").groupBy(F.window("timestamp", "1 day"), "event_type")
+               .agg(F.count("*").alias("events")))
+    return sinks.drain(spark, counted.select(F.col("window.start").alias("window_start"), "event_type", "events"), "late")
+
+
+@query("stream_interval_unmatched", f"""WITH {EV}, u AS (SELECT user_id, "timestamp" AS updated FROM ev WHERE event_type = 'user_login'),
+m AS (SELECT least((SELECT max("timestamp") FROM ev WHERE event_type <> 'user_login'), (SELECT max(updated) FROM u)) AS mark)
+SELECT e.event_id, e.user_id, e."timestamp" FROM ev e, m WHERE e.event_type <> 'user_login'
+  AND e."timestamp" < mark - INTERVAL 1 DAY AND NOT EXISTS (SELECT 1 FROM u WHERE u.user_id = e.user_id
+    AND u.updated <= e."timestamp" AND u.updated >= e."timestamp" - INTERVAL 1 HOUR)""")
+def stream_interval_unmatched(spark, sf_dir):
+    """The other half of the left join: events without an update, a day and more before the end of the stream."""
+    rows = event_batches(spark, sf_dir).select("event_id", "user_id", "event_type", "timestamp")
+    updates = event_batches(spark, sf_dir).where(F.col("event_type") == "user_login").select(
+        "user_id", F.col("timestamp").alias("updated"), F.col("event_id").alias("update_id"))
+    joined = enrich.join_updates(rows.where(F.col("event_type") != "user_login"), updates, "user_id", "updated")
+    found = joined.where(F.col("update_id").isNull()).select("event_id", "user_id", "timestamp")
+    drained = sinks.drain(spark, found, "unmatched")
+    table = tables.canonical_events(spark, sf_dir)
+    ends = table.agg(F.least(F.max(F.when(F.col("event_type") != "user_login", F.col("timestamp"))),
+                             F.max(F.when(F.col("event_type") == "user_login", F.col("timestamp")))).alias("mark"))
+    return drained.join(F.broadcast(ends), F.col("timestamp") < F.col("mark") - F.expr("interval 1 day")).drop("mark")
+
+
+def _sent(rows, schema):
+    """Events as messages with one JSON text each."""
+    return rows.select(
+        F.to_json(F.struct(*[f.name for f in schema.fields]), schemas.JSON_TIME).alias("value"),
+        F.col("kafka_timestamp").alias("timestamp"), "offset", "partition")
+
+
+def _run_job(spark, sf_dir, output):
+    """Run one output of the two jobs over several batches of messages; returns its folder."""
+    target, checkpoints = fresh_path(spark, output), fresh_path(spark, f"{output}-checkpoint")
+    if output in jobs.ENRICHMENT_OUTPUTS:
+        started = jobs.enrichment_job(_sent(event_batches(spark, sf_dir), schemas.RAW_EVENT), tables.profiles(spark, sf_dir),
+                                      tables.products(spark, sf_dir), target, checkpoints, True, outputs=(output,))
+    else:
+        started = jobs.session_job(_sent(priced_batches(spark, sf_dir), schemas.SESSION_EVENT), target, checkpoints, True,
+                                   outputs=(output,))
+    for running in started:
+        running.awaitTermination()
+    return f"{target}/{output}"
+
+
+def _messages_of(spark, folder, schema):
+    return spark.read.text(folder).select(F.inline(readers.parsed_once(F.col("value"), _struct(schema))))
+
+
+def _struct(text):
+    return T.StructType.fromDDL(text)
+
+
+@query("stream_metrics_sink", _closed(ORACLES["realtime_metrics"], "window_end", "10 MINUTE"))
+def stream_metrics_sink(spark, sf_dir):
+    return _messages_of(spark, _run_job(spark, sf_dir, "realtime_metrics"), """window_start timestamp, window_end timestamp,
+        event_type string, source string, customer_segment string, event_count long, unique_users long,
+        unique_sessions long, total_revenue double, avg_quality_score double""")
+
+
+@query("stream_issues_sink", f"""WITH {ENR}
+SELECT event_id, user_id, event_type, "timestamp", data_quality_score, 'LOW_QUALITY_SCORE' AS issue_type
+FROM enr WHERE NOT data_quality_score > CAST(0.7 AS DOUBLE)""")
+def stream_issues_sink(spark, sf_dir):
+    return _messages_of(spark, _run_job(spark, sf_dir, "quality_issues"), """event_id string, user_id string,
+        event_type string, timestamp timestamp, data_quality_score double, issue_type string""")
+
+
+@query("stream_lake_table", f"""WITH {ENR}
+SELECT CAST("timestamp" AS DATE) AS processing_date, count(*) AS events, {money_sql('event_revenue')} AS revenue
+FROM enr WHERE data_quality_score > CAST(0.7 AS DOUBLE) GROUP BY 1""")
+def stream_lake_table(spark, sf_dir):
+    """The lake table as its own stream writes it: by event day, in several batches."""
+    lake = spark.read.parquet(_run_job(spark, sf_dir, "data_lake"))
+    return lake.groupBy(F.to_date("timestamp").alias("processing_date")).agg(
+        F.count("*").alias("events"), money_sum(F.col("event_revenue")).alias("revenue"))
+
+
+@query("stream_funnel_sink", _closed(ORACLES["conversion_funnel"], "window_end", "30 MINUTE"))
+def stream_funnel_sink(spark, sf_dir):
+    return _messages_of(spark, _run_job(spark, sf_dir, "conversion_funnel"), """window_start timestamp,
+        window_end timestamp, source string, customer_segment string, sessions_with_pageview long,
+        sessions_with_product_view long, sessions_with_add_to_cart long, sessions_with_purchase long,
+        total_revenue double, product_view_rate double, add_to_cart_rate double, conversion_rate double,
+        overall_conversion_rate double""")
+
+
+@query("stream_behavior_table", _closed(ORACLES["user_behavior"], "window_end", "30 MINUTE"))
+def stream_behavior_table(spark, sf_dir):
+    """The behaviour table by segment; users without a profile are in its null partition."""
+    return spark.read.parquet(_run_job(spark, sf_dir, "user_behavior"))
+
+
+@query("stream_alerts_sink", f"""SELECT session_id, user_id, session_start, session_end, session_revenue, abandoned_cart, alert_type
+FROM ({ORACLES["session_alerts"].replace(sessions_sql(21600), sessions_sql(1800))}) AS batch
+WHERE session_end + INTERVAL 30 MINUTE <= date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 30 MINUTE""")
+def stream_alerts_sink(spark, sf_dir):
+    return _messages_of(spark, _run_job(spark, sf_dir, "session_alerts"), """session_id string, user_id string,
+        session_start timestamp, session_end timestamp, session_revenue double, abandoned_cart boolean, alert_type string""")

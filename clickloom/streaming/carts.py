@@ -1,42 +1,78 @@
-"""Cart value per user on a stream, kept in a state of one number."""
+"""Cart value per user on a stream, counted in event-time order."""
 
 from collections.abc import Iterator
+from datetime import datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from clickloom.functions.numeric import money
+from clickloom.functions.numeric import money, seconds
 from clickloom.operators.carts import cart_change
 
 OUTPUT = "user_id string, event_id string, event_type string, timestamp timestamp, cart_total double"
+WAITING = "timestamp timestamp, event_id string, event_type string, change decimal(18,4)"
+DELAY, IDLE = "30 minutes", "90 days"
+
+
+def _millis(moment: datetime) -> int:
+    """The first whole millisecond not before the moment."""
+    micros = round(moment.replace(tzinfo=moment.tzinfo or timezone.utc).timestamp() * 1_000_000)
+    return -(-micros // 1000)
 
 
 class CartState(StatefulProcessor):
     """Adds each event's change to the user's total; a purchase sets it to 0.
 
-    The rows of one user and batch are put in event order first; the rate limit of the source
-    bounds how many there are. Across batches events count in order of arrival.
+    Events wait until the watermark has passed them and are then counted by (timestamp, event id), so the order of
+    arrival does not matter; a user holds the events of one watermark delay and batch. A user without events for
+    ``idle`` milliseconds is forgotten.
     """
 
+    def __init__(self, idle: int):
+        self.idle = idle
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "total decimal(18,4)")
+        self.handle = handle
+        self.total = handle.getValueState("total", "total decimal(18,4), last long")
+        self.waiting = handle.getListState("waiting", WAITING)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        total = self.total.get()[0] if self.total.exists() else Decimal(0)
-        for row in sorted(rows, key=lambda r: (r.timestamp, r.event_id)):
-            total = Decimal(0) if row.event_type == "purchase" else total + row.change
-            yield Row(user_id=key[0], event_id=row.event_id, event_type=row.event_type,
-                      timestamp=row.timestamp, cart_total=float(total))
-        self.total.update((total,))
+        new = [(r.timestamp, r.event_id, r.event_type, r.change) for r in rows]
+        if new:
+            self.waiting.appendList(new)
+            for at in {_millis(r[0]) for r in new}:
+                self.handle.registerTimer(at)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        ready = sorted((r for r in held if _millis(r[0]) <= watermark), key=lambda r: (r[0], r[1]))
+        total, last = self.total.get() if self.total.exists() else (Decimal(0), 0)
+        for timestamp, event_id, event_type, change in ready:
+            total = Decimal(0) if event_type == "purchase" else total + change
+            last = max(last, _millis(timestamp))
+            yield Row(user_id=key[0], event_id=event_id, event_type=event_type,
+                      timestamp=timestamp, cart_total=float(total))
+        rest = [r for r in held if _millis(r[0]) > watermark]
+        if ready:
+            self.waiting.put(rest) if rest else self.waiting.clear()
+            self.total.update((total, last))
+            self.handle.registerTimer(last + self.idle)
+        elif not rest and self.total.exists() and last + self.idle <= watermark:
+            self.total.clear()
 
     def close(self) -> None:
         pass
 
 
-def cart_totals(events: DataFrame) -> DataFrame:
+def cart_totals(events: DataFrame, delay: str = DELAY, idle: str = IDLE) -> DataFrame:
+    """The cart after each event that the watermark has passed."""
     changes = (events.where(F.col("event_type").isin("add_to_cart", "remove_from_cart", "purchase"))
                .select("user_id", "event_id", "event_type", "timestamp",
-                       F.coalesce(money(cart_change()), F.lit(0).cast("decimal(18,4)")).alias("change")))
+                       F.coalesce(money(cart_change()), F.lit(0).cast("decimal(18,4)")).alias("change"))
+               .withWatermark("timestamp", delay))
     return changes.groupBy("user_id").transformWithState(
-        statefulProcessor=CartState(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+        statefulProcessor=CartState(1000 * seconds(idle)), outputStructType=OUTPUT, outputMode="Append",
+        timeMode="EventTime")

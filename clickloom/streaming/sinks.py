@@ -1,5 +1,6 @@
 """Stream sinks: message files or topics, partitioned tables."""
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,22 +59,29 @@ def write_table(df: DataFrame, name: str, target: str, checkpoints: str, partiti
     return _start(rows, name, checkpoints, once)
 
 
+# What marks the rows of a batch: the stream's own id, which its checkpoint keeps, and the batch number.
+Stamp = tuple[str, int]
+
+
 def write_each(df: DataFrame, name: str, checkpoints: str,
-               outputs: Callable[[DataFrame, int], None], once: bool = False) -> StreamingQuery:
-    """One stream for several outputs: a batch is computed once and handed to ``outputs``,
-    which must leave the same result when a batch is repeated."""
+               outputs: Callable[[DataFrame, Stamp], None], once: bool = False) -> StreamingQuery:
+    """One stream for several outputs: a batch is computed once and handed to ``outputs`` with its stamp; they must
+    leave the same result when a batch is repeated."""
     def handle(batch: DataFrame, number: int) -> None:
+        kept = batch.sparkSession.read.text(f"{checkpoints}/{name}/metadata").first()["value"]
         batch.persist()
         try:
-            outputs(batch, number)
+            outputs(batch, (json.loads(kept)["id"], number))
         finally:
             batch.unpersist()
     return _start(df.writeStream.foreachBatch(handle), name, checkpoints, once)
 
 
-def replace_batch(df: DataFrame, path: str, number: int, partitions: tuple[str, ...] = ()) -> None:
-    """Write a batch under its number; a repeated batch replaces its own files only."""
-    write_days(df.withColumn("batch", F.lit(number)), path, ["batch", *partitions])
+def replace_batch(df: DataFrame, path: str, stamp: Stamp, partitions: tuple[str, ...] = ()) -> None:
+    """Write a batch under its stamp, below the table's own partitions: a repeated batch replaces its own files only,
+    and a stream with a new checkpoint, whose numbers start again, replaces none."""
+    run, number = stamp
+    write_days(df.withColumns({"run": F.lit(run), "batch": F.lit(number)}), path, [*partitions, "run", "batch"])
 
 
 def drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
