@@ -10,6 +10,8 @@ from clickloom.session import configure, shared_folder
 from clickloom.sources.readers import parse_events
 
 DAY = ["event_date"]
+# Of copies of an event the last one counts: by event time, then by place in the log.
+LAST = ("timestamp", "offset", "partition")
 
 
 @dataclass(frozen=True)
@@ -24,7 +26,11 @@ class Enrichment:
 
 def enrichment(messages: DataFrame, profiles: DataFrame, products: DataFrame,
                as_of: Column | None = None) -> Enrichment:
-    scored = enrich.enrich(parse_events(messages), profiles, products, as_of)
+    return derived(enrich.enrich(parse_events(messages), profiles, products, as_of), messages, as_of)
+
+
+def derived(scored: DataFrame, messages: DataFrame, as_of: Column | None = None) -> Enrichment:
+    """The outputs of scored events and of the messages they came from."""
     return Enrichment(
         events=scored, lake=enrich.valid_events(scored),
         metrics=windows.stamped(windows.realtime_metrics(scored), as_of),
@@ -37,6 +43,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def _days(df: DataFrame) -> list:
+    """The distinct days of a table, one value per calendar day, to prune partitions with."""
+    return sorted(row[0] for row in df.select(*DAY).where("event_date IS NOT NULL").distinct().collect())
+
+
 def _require(checks: DataFrame, what: str) -> None:
     failed = checks.where("NOT passed").agg(F.array_join(F.array_sort(F.collect_list(checks.columns[0])), ", ")).first()[0]
     if failed:
@@ -45,49 +56,61 @@ def _require(checks: DataFrame, what: str) -> None:
 
 def hourly_run(spark: SparkSession, messages: DataFrame, profiles: DataFrame, products: DataFrame,
                root: str, as_of: Column, within: str = quality.FRESH_WITHIN) -> DataFrame:
-    """Freshness, enrichment, gate, upsert, sessions, checks, reports; returns the run's checks.
+    """Freshness, enrichment, gate, upsert, sessions, gate, reports; returns the run's checks.
 
-    Tables under ``root``: events and user_sessions by day, daily_summary, daily_metrics,
-    user_segments, dead_letters. A run repeated with the same messages leaves the same tables.
+    Tables under ``root``: events and user_sessions by day, daily_summary, daily_metrics, user_segments, and by run
+    dead_letters, quality_issues and realtime_metrics. A run repeated with the same messages leaves the same tables; a
+    failed check leaves no report. Of the stored events only days are read that the run's events, or stored sessions
+    with their ids, lie in; the upsert reads the other days' keys alone.
     """
     configure(spark)
     shared_folder(spark)
     fresh = quality.freshness(enrich.require_fields(parse_events(messages)), as_of, within)
     _require(fresh.select(F.lit("no new events").alias("what"), "passed"), "freshness")
 
-    made = enrichment(messages, profiles, products, as_of)
     # Read by several steps below, so it is computed once and survives lost executors.
+    scored = enrich.enrich(parse_events(messages), profiles, products, as_of).checkpoint()
+    made = derived(scored, messages, as_of)
     staging = (made.lake.withColumns({
         "event_date": F.to_date("timestamp"), "updated_at": F.lit(None).cast("timestamp")})
-        .drop("enriched_timestamp", "processing_date").checkpoint())
+        .drop("enriched_timestamp", "processing_date"))
     _require(quality.expect(staging, [
         quality.not_null("event_id"), quality.not_null("user_id"), quality.not_null("event_type"),
         quality.between("data_quality_score", 0.0, 1.0), quality.row_count(1)]).select("rule", "passed"),
         "enriched events")
-    # Dead letters are kept per run: the folder is named by the time of the run.
-    warehouse.write_days(made.dead_letters.withColumn("run", F.date_format(as_of, "yyyyMMddHHmmss")),
-                         f"{root}/dead_letters", ["run"])
+    # These are kept per run: the folder is named by the time of the run.
+    for name, rows in (("dead_letters", made.dead_letters), ("quality_issues", made.issues),
+                       ("realtime_metrics", made.metrics)):
+        warehouse.write_days(rows.withColumn("run", F.date_format(as_of, "yyyyMMddHHmmss")), f"{root}/{name}", ["run"])
 
     events_path, sessions_path = f"{root}/events", f"{root}/user_sessions"
     if _exists(spark, events_path):
-        warehouse.upsert_table(spark, events_path, staging, DAY, as_of)
+        warehouse.upsert_table(spark, events_path, staging, DAY, as_of, order=LAST)
     else:
-        warehouse.write_days(warehouse.latest_per_key(staging, ["event_id"], ["timestamp"]), events_path, DAY)
+        warehouse.write_days(warehouse.latest_per_key(staging, ["event_id"], list(LAST)), events_path, DAY)
     events = spark.read.parquet(events_path)
 
     # A new event can lengthen a session or join two: all sessions of its session id are redone.
     ids = staging.select("session_id", "user_id").distinct()
-    redone = sessions.session_metrics(events.join(ids, ["session_id", "user_id"], "left_semi"))
+    days = _days(staging)
+    stored = _exists(spark, sessions_path)
+    if stored:
+        earlier = spark.read.parquet(sessions_path).join(ids, ["session_id", "user_id"], "left_semi").select(F.explode(
+            F.sequence(F.to_date("session_start"), F.to_date("session_end"))).alias("event_date"))
+        days = sorted({*days, *_days(earlier)})
+    redone = sessions.session_metrics(events.where(F.col("event_date").isin(days)).join(
+        ids, ["session_id", "user_id"], "left_semi"))
     redone = redone.withColumn("event_date", F.to_date("session_start"))
-    if _exists(spark, sessions_path):
+    if stored:
         warehouse.replace_rows(spark, sessions_path, redone, ["session_id", "user_id"], DAY)
     else:
         warehouse.write_days(redone, sessions_path, DAY)
 
-    days = staging.select(*DAY).distinct()
-    today = events.join(days, DAY, "left_semi")
+    today = events.where(F.col("event_date").isin(_days(staging)))
     checks = quality.expect(today, [
-        quality.row_count(1), quality.not_null("event_id"), quality.unique("event_id")])
+        quality.row_count(1), quality.not_null("event_id"), quality.unique("event_id"),
+        quality.fits_money("event_revenue")])
+    _require(checks.select("rule", "passed"), "stored events")
     all_sessions = spark.read.parquet(sessions_path)
     of_today = all_sessions.join(today.select("session_id").distinct(), "session_id", "left_semi")
     warehouse.write_days(warehouse.daily_summary(today, of_today).withColumn("created_at", as_of),

@@ -131,5 +131,18 @@ def test_hourly_run(spark, sf_dir, tmp_path):
     before = key(found)
     run(late, "2024-01-31 00:00:00")
     assert key(spark.read.parquet(f"{root}/user_sessions")) == before
+    issues = spark.read.parquet(f"{root}/quality_issues")
+    assert issues.select("event_id").distinct().count() == whole.issues.count() > 0
+    assert spark.read.parquet(f"{root}/realtime_metrics").count() > 0
     with pytest.raises(ValueError, match="freshness"):
         flows.hourly_run(spark, early, people, goods, root, F.lit("2024-06-01").cast("timestamp"))
+
+
+def test_failed_check_leaves_no_report(spark, sf_dir, tmp_path, monkeypatch):
+    from clickloom.operators import quality as rules
+    root = f"{tmp_path}/house"
+    monkeypatch.setattr(rules, "unique", lambda *columns: rules.Rule("never", F.lit(False)))
+    with pytest.raises(ValueError, match="stored events: never"):
+        flows.hourly_run(spark, tables.messages(spark, sf_dir), tables.profiles(spark, sf_dir),
+                         tables.products(spark, sf_dir), root, F.lit("2024-01-31").cast("timestamp"), "40 days")
+    assert os.path.exists(f"{root}/events") and not os.path.exists(f"{root}/daily_summary")
