@@ -61,6 +61,7 @@ class Rule:
     holds: Column | None = None
     unique: tuple[str, ...] = ()
     min_rows: int | None = None
+    columns: tuple[tuple[str, str], ...] = ()
 
 
 def not_null(column: str) -> Rule:
@@ -92,12 +93,21 @@ def row_count(at_least: int) -> Rule:
     return Rule("row_count", min_rows=at_least)
 
 
+def has_columns(**types: str) -> Rule:
+    """The table has these columns, with these types; judged by its schema alone."""
+    return Rule("has_columns", columns=tuple(types.items()))
+
+
 def expect(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """All rules in one aggregation: (rule, value, passed), value counting what breaks a rule
-    (for ``row_count``: the rows)."""
-    aggs, checks = [], []
+    (for ``row_count``: the rows; for ``has_columns``: columns that are missing or of another type)."""
+    aggs, checks, found = [F.count("*").alias("_rows")], [], dict(df.dtypes)
     for i, rule in enumerate(rules):
         c = F.col(f"_r{i}")
+        if rule.columns:
+            wrong = sum(found.get(name) != kind for name, kind in rule.columns)
+            checks.append((rule.name, F.lit(wrong), F.lit(wrong == 0)))
+            continue
         if rule.min_rows is not None:
             aggs.append(F.count("*").alias(f"_r{i}"))
             checks.append((rule.name, c, c >= rule.min_rows))

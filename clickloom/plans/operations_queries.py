@@ -44,7 +44,8 @@ def warehouse_checks(spark, sf_dir):
 SELECT 'event_id_not_null' AS rule, a AS value, a = 0 AS passed FROM t
 UNION ALL SELECT 'event_type_in_set', b, b = 0 FROM t UNION ALL SELECT 'price_between', c, c = 0 FROM t
 UNION ALL SELECT 'session_id_matches', 0, TRUE FROM t UNION ALL SELECT 'event_id_unique', d, d = 0 FROM t
-UNION ALL SELECT 'product_id_not_null', e, e = 0 FROM t UNION ALL SELECT 'row_count', n, n >= 100 FROM t""")
+UNION ALL SELECT 'product_id_not_null', e, e = 0 FROM t UNION ALL SELECT 'row_count', n, n >= 100 FROM t
+UNION ALL SELECT 'has_columns', 2, FALSE FROM t""")
 def expectations(spark, sf_dir):
     p = F.col("properties")
     rows = events(spark, sf_dir).withColumns({
@@ -52,7 +53,9 @@ def expectations(spark, sf_dir):
     return quality.expect(rows, [
         quality.not_null("event_id"), quality.in_set("event_type", quality.EVENT_TYPES),
         quality.between("price", 10, 500), quality.matches("session_id", r"^\d+_\d{8}$"),
-        quality.unique("event_id"), quality.not_null("product_id"), quality.row_count(100)])
+        quality.unique("event_id"), quality.not_null("product_id"), quality.row_count(100),
+        # two of these are not so: there is no coupon, and a price is a double
+        quality.has_columns(event_id="string", timestamp="timestamp", price="string", coupon="string")])
 
 
 @query("rule_violations", f"""WITH {_item_ctes()}, t AS (SELECT count(*) FILTER (WHERE quantity < 1) AS a,
