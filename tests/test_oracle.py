@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from clickloom.plans.registered import ORACLES as SQL, QUERIES
 from tests.compare import connect, differences
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -15,6 +14,7 @@ def con(sf_dir):
 
 def test_each_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 # The small tables hold no row for these; the larger scale does.
