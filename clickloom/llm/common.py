@@ -47,6 +47,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """About ``n`` rows, and never more than 2 * n: those with the smallest hashes of ``keys``.
+
+    The rows are counted first, so that a hash bound picks them where they are; no task sends more than its share.
+    """
+    total = df.count()
+    if total > n:
+        df = df.where(F.xxhash64(*keys) < F.lit(int((1 << 64) * n / total) - (1 << 63)))
+    return df.limit(2 * n)
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold of the contracts: crc32 of the id as text leaves remainder 1 by 3. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

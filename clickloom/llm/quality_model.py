@@ -1,6 +1,6 @@
 """Quality classifier: learned vectors of hashed words and character n-grams, averaged per document, and a softmax.
 
-Training: a bounded sample of labelled rows (``per_label`` of each label, those with the smallest id hashes) is turned
+Training: a bounded sample of labelled rows (about ``per_label`` of each label, at most twice that) is turned
 into bucket counts by Spark tasks and fitted on the driver by numpy stochastic gradient descent. Scoring: the output
 layer is linear in the average, so each bucket's vector is folded into one number per label difference; a task sums
 these over whole texts and nothing is shuffled.
@@ -12,6 +12,8 @@ Defined cases: a null or empty text has no feature and gets the score of the bia
 0.5; null labels and ids are not learned from; other columns pass through; an empty table gives no rows.
 """
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from clickloom.llm.common import annotated, free_name, same_columns
+from clickloom.llm.common import annotated, bounded_sample, free_name, same_columns
 from clickloom.llm.word_ids import joined, mixed, span_hashes, spans
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 GRAMS = (3, 4, 5)
 PER_LABEL = 1000
+SAMPLE_TASKS = 8
 EPOCHS = 6
 RATE = 0.5
 STEP_BYTES = 2 << 20
@@ -110,7 +113,7 @@ def counted(rows: DataFrame) -> DataFrame:
                 for _, group in parts([text]):
                     counts += np.bincount(features(group)[0], minlength=BUCKETS)
                 at = np.flatnonzero(counts)
-                out.append((at.astype("<u4").tobytes(), (counts[at] / counts.sum()).astype("<f4").tobytes()))
+                out.append((at.astype("<u2").tobytes(), (counts[at] / counts.sum()).astype("<f4").tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), *(pa.array([x[i] for x in out], pa.binary()) for i in range(2))],
                 ["label", "buckets", "shares"])
@@ -119,14 +122,15 @@ def counted(rows: DataFrame) -> DataFrame:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
-    """At most ``per_label`` rows (label int, text) of each label 0 and 1. ``labels`` has doc_id and label."""
+    """About ``per_label`` rows (label int, text) of each label 0 and 1. ``labels`` has doc_id and label."""
     chosen = None
     for value in (0, 1):
-        some = (labels.where((F.col("label") == value) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label).withColumn("label", F.lit(value)))
+        ids = labels.where((F.col("label") == value) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+        some = bounded_sample(ids, per_label, "doc_id").withColumn("label", F.lit(value))
         chosen = some if chosen is None else chosen.unionByName(some)
     # Ids may repeat in docs: the limit holds for rows, too.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text").limit(4 * per_label)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text").limit(
+        4 * per_label).repartition(SAMPLE_TASKS)
 
 
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, rate: float = RATE,
@@ -138,7 +142,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     for epoch in range(epochs if {label for label, _, _ in rows} == {0, 1} else 0):
         step = rate * (1 - epoch / epochs)
         for i in draw.permutation(len(rows)):
-            label, buckets, shares = rows[i]
+            label, buckets, shares = rows[i][0], rows[i][1].astype(np.int64), rows[i][2].astype(float)
             mean = shares @ vectors[buckets]
             logits = mean @ output + bias
             logits -= logits.max()
@@ -154,10 +158,18 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, epochs: int = EPOCHS, seed: int = 0) -> Model:
-    rows = [(label, np.frombuffer(buckets, "<u4").astype(np.int64), np.frombuffer(shares, "<f4").astype(float))
+    # Views of the collected bytes, six a bucket: the sample takes some 30 kB a document on the driver.
+    rows = [(label, np.frombuffer(buckets, "<u2"), np.frombuffer(shares, "<f4"))
             for label, buckets, shares in counted(sample(docs, labels, per_label)).collect()]
     rows.sort(key=lambda row: (row[0], len(row[1]), row[1].tobytes(), row[2].tobytes()))
-    return train(rows, epochs, seed=seed)
+    model = train(rows, epochs, seed=seed)
+    known = dict(labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("label")
+                 .agg(F.count_distinct("doc_id")).collect())
+    seen = Counter(label for label, _, _ in rows)
+    if len(seen) < 2:
+        return model
+    # The sample has about as many rows of either label; the bias is set back to how frequent the labels are.
+    return Model(model.weights, model.bias + math.log(known[1] / known[0] * seen[0] / seen[1]))
 
 
 def score(docs: DataFrame, model: Model, column: str = COLUMN) -> DataFrame:
