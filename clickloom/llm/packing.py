@@ -10,7 +10,9 @@ Defined cases: a null or empty text is the closing id alone; null or repeated id
 equal in all that is read are interchangeable; other columns are ignored; an empty table has no pieces.
 """
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,6 +21,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
 from clickloom.llm.common import written
 
@@ -27,16 +30,59 @@ CLOSING = 2
 DIMENSIONS, BITS = 4, 8
 CELL_BITS = 14
 SALTS = 128
-# Words whose ids a worker keeps; the store is emptied when it is full.
-KEPT_WORDS = 300_000
+# Words, and pieces of words, whose ids a worker keeps: the first it meets, which holds the frequent ones.
+KEPT = 400_000
+# Fixed value: the split pattern of the tokenizer file whose texts can be encoded piece by piece.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same on lower-case Latin 1. Other spaces than ASCII's six, other characters and marks of special tokens are left
+# to the library, word by word.
+LETTER, DIGIT, SPACE = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\x20\x09-\x0d"
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^{SPACE}{LETTER}{DIGIT}]+")
+LATIN = re.compile("[\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xff]*")
+WORD = re.compile(f"[^{SPACE}]+")
+
+
+class Encoded(dict):
+    """The ids of words (as bytes) that this worker has met; the others are encoded when they are first asked for."""
+
+    def __init__(self, tokenizer: Tokenizer, kind: np.dtype):
+        self.tokenizer, self.kind, self.pieces = tokenizer, kind, {}
+        self.tokenize = tokenizer.model.tokenize
+        self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+
+    def piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            shown = piece if piece.isascii() and piece.isalpha() else self.to_bytes(piece)[0][0]
+            found = np.array([t.id for t in self.tokenize(shown)], self.kind).tobytes()
+            if len(self.pieces) < KEPT:
+                self.pieces[piece] = found
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        if plain(word):
+            found = b"".join(map(self.piece, PIECE.findall(word.lower())))
+        else:
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        if len(self) < KEPT:
+            self[word] = found
+        return found
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str):
-    """The tokenizer of a file and the ids of words seen so far in this worker."""
+def encoder(path: str) -> tuple[Tokenizer, Encoded | None]:
+    """The tokenizer of a file, and the store of words if it splits as ``SPLIT`` does."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path), {}
+    with open(path) as file:
+        steps = (json.load(file).get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    tokenizer = Tokenizer.from_file(path)
+    by_word = steps[0].get("pattern") == {"Regex": SPLIT}
+    return tokenizer, Encoded(tokenizer, id_type(tokenizer)) if by_word else None
+
+
+def id_type(tokenizer: Tokenizer) -> np.dtype:
+    """The narrowest unsigned type for all ids of a tokenizer."""
+    return np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
 
 @lru_cache(maxsize=2)
@@ -48,27 +94,26 @@ def signs(size: int, dimensions: int = DIMENSIONS) -> np.ndarray:
     return ((n >> np.uint64(40)) & np.uint64(1)).astype(np.int8).reshape(size, dimensions) * 2 - 1
 
 
-def id_type(path: str) -> np.dtype:
-    """The narrowest unsigned type for all ids of a tokenizer."""
-    return np.dtype("<u2" if encoder(path)[0].get_vocab_size() <= 1 << 16 else "<u4")
+def plain(text: str) -> bool:
+    """Whether ``PIECE`` on the lower-case text cuts what the tokenizer would."""
+    return LATIN.fullmatch(text) is not None and "<|" not in text
 
 
 def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
-    """The ids of each text and the closing id. The pre-tokenizer never joins across white space, so the ids of a text
-    are those of its words; a worker keeps those of words it has met."""
+    """The ids of each text and the closing id. No piece of ``SPLIT`` crosses white space, so the ids of a text are
+    those of its words; words repeat, and a worker keeps the ids of those it has met."""
     tokenizer, known = encoder(path)
-    kind = id_type(path)
-    parts = [(text or "").encode().split() for text in texts]
-    new = list({word for words in parts for word in words} - known.keys())
-    if len(known) + len(new) > KEPT_WORDS:
-        known.clear()
-        new = list({word for words in parts for word in words})
-    for at in range(0, len(new), 10_000):
-        some = new[at:at + 10_000]
-        found = tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-        known.update((w, np.array(e.ids, kind).tobytes()) for w, e in zip(some, found))
+    kind = id_type(tokenizer)
     closing = np.array([CLOSING], kind).tobytes()
-    return [np.frombuffer(b"".join(map(known.__getitem__, words)) + closing, kind) for words in parts]
+    out = []
+    for text in texts:
+        text = text or ""
+        if known is None:
+            body = np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+        else:
+            body = b"".join(map(known.__getitem__, text.lower().split() if plain(text) else WORD.findall(text)))
+        out.append(np.frombuffer(body + closing, kind))
+    return out
 
 
 def point(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -136,7 +181,7 @@ def placed(tokens: DataFrame) -> DataFrame:
 def cut(rows: DataFrame, path: str, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
     """The pieces of placed documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked
     for, ``ids`` (little-endian unsigned 32-bit)."""
-    kind = id_type(path)
+    kind = id_type(encoder(path)[0])
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
