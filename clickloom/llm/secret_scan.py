@@ -1,14 +1,14 @@
 """Secret scans: fixed patterns, and strings that a character Markov model of random strings explains better than one
 of ordinary identifiers.
 
-All of it is Column expressions over one row; only the counts of a training run are shuffled (at most one row per
-label and pair of characters). Offsets are code points, ends exclusive. The models are log-likelihood ratios per pair of neighbouring
-characters, learned from labelled samples with add-one smoothing; a candidate is a long run of key characters that
-overlaps no pattern's span, and is a span when its mean ratio per character is above the threshold.
-
-Defined cases: a null text is empty (and stays null when redacted); other columns pass through; ids may be null or repeated; samples that are null or shorter than two
-characters teach nothing, and a model without samples scores 0 everywhere, so it adds no span. A text with n matches
-costs n squared copies of offsets of 16 bytes, which 100,000 matches in one text keep below some seconds.
+All of it is Column expressions over one row; only the counts of a training run are shuffled (at most one row per label
+and pair of characters). Offsets are code points, ends exclusive. The models are log-likelihood ratios per pair of
+neighbouring characters, learned from labelled samples with add-one smoothing; a candidate is a long run of key
+characters that overlaps no pattern's span, and is a span when its mean ratio per character is above the threshold.
+
+Defined cases: a null text is empty (and stays null when redacted); other columns pass through; ids may be null or
+repeated; samples that are null or shorter than two characters teach nothing, and a model without samples scores 0
+everywhere, so it adds no span. The list of a text's spans grows by copying, some seconds at 100,000 spans in one text.
 """
 
 import math
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.llm.common import free_name, let, same_columns
+from clickloom.llm.common import bounded_sample, free_name, let, same_columns
 
 # The characters of candidates; a model has one row and column for each, and pairs with others teach nothing.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -42,6 +42,7 @@ CANDIDATE = Pattern(MARKOV, r"[A-Za-z0-9+/_=-]{20,}", 0, 20)
 THRESHOLD = 0.6
 RANDOM_SAMPLES = 6000
 IDENTIFIER_DOCS = 400
+SAMPLE_TASKS = 8
 
 
 @dataclass(frozen=True)
@@ -87,10 +88,9 @@ def random_samples(spark: SparkSession, n: int = RANDOM_SAMPLES) -> DataFrame:
 
 
 def identifier_samples(docs: DataFrame, n: int = IDENTIFIER_DOCS) -> DataFrame:
-    """Ordinary identifiers: words of the ``n`` documents with the smallest id hashes (a bounded sample of labelled
-    rows), each joined with the next word in snake, camel and path spelling."""
-    some = (docs.select("text", F.xxhash64(F.col("doc_id")).alias("h"), F.xxhash64("text").alias("t"))
-            .orderBy("h", "t").limit(n))
+    """Ordinary identifiers: words of about ``n`` documents (a bounded sample of labelled rows), each joined with the
+    next word in snake, camel and path spelling."""
+    some = bounded_sample(docs.select("doc_id", "text"), n, "doc_id", "text").repartition(SAMPLE_TASKS)
     found = F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\b[A-Za-z]{2,}\b"), F.lit(0)))
     second = lambda f, i: F.coalesce(F.get(f, i + 1), F.lit(""))
     joined = let(found, lambda f: F.transform(f, lambda w, i: F.concat(
