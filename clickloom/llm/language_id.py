@@ -2,8 +2,8 @@
 
 A text is cut into windows of a fixed number of bytes that overlap by the widest filter, so that no n-gram is missed and
 memory does not grow with the text. All windows of a batch go through the network together; a document's logits are the
-average of its windows' by bytes. Training takes a bounded sample of labelled rows (``sample_rows``, smallest id hashes,
-``sample_windows`` windows of each, spread over the whole text) to the driver and fits in numpy.
+average of its windows' by bytes. Training takes a bounded sample of labelled rows (about ``rows``, at most twice that,
+``per_text`` windows of each, spread over the whole text) to the driver and fits in numpy.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, and so is every text when no row has a
 language; rows without a language are not learned from; other columns pass through; an empty table gives no rows.
@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from clickloom.llm.common import annotated
+from clickloom.llm.common import annotated, bounded_sample
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 DEPTH = 8
-SAMPLE_ROWS, SAMPLE_WINDOWS = 2000, 4
+SAMPLE_ROWS, SAMPLE_WINDOWS = 3000, 4
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 STEP_WINDOWS = 256
 UNKNOWN = "und"
@@ -158,7 +158,7 @@ def train(data: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int =
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, per_text: int = SAMPLE_WINDOWS) -> DataFrame:
-    """At most ``rows`` rows (lang, windows): the ``per_text`` windows of a text are spread over all of it."""
+    """About ``rows`` rows (lang, windows): the ``per_text`` windows of a text are spread over all of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -166,13 +166,11 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, per_text: int = SAMPLE_WIND
                 data, _ = windows(text.encode())
                 at = np.unique(np.linspace(0, len(data) - 1, per_text).astype(int))
                 out.append(data[at].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("order"), pa.array(out, pa.binary())],
-                                             ["lang", "order", "windows"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.binary())], ["lang", "windows"])
 
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    cut = labelled.select("lang", "text", F.xxhash64("doc_id").alias("order")).mapInArrow(
-        run, "lang string, order long, windows binary")
-    return cut.orderBy("order", "lang", "windows").limit(rows).select("lang", "windows")
+    labelled = bounded_sample(docs.where(F.col("lang").isNotNull()), rows, "doc_id", "text")
+    return labelled.where(F.col("text").rlike(r"\p{L}")).select("lang", "text").mapInArrow(
+        run, "lang string, windows binary")
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, epochs: int = EPOCHS, seed: int = 0) -> Network:
