@@ -39,6 +39,8 @@ def test_tokens_of_words_are_tokens_of_the_text():
              "\x85", "İ", "a_b", "\x00", "‍"]
     texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "\n", "\t", "\x0b"]) for _ in range(rng.randint(0, 9)))
              for _ in range(500)]
+    latin = [chr(i) for i in range(256)] + ["'s", "'LL", "the", "É", "12"]
+    texts += ["".join(rng.choice(latin) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
     for text, ids in zip(texts, packing.encode(texts, path)):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2]
 
@@ -215,6 +217,25 @@ def test_small_packages_and_ranges(spark, sf_dir, tmp_path):
     pages = common.read(spark, sf_dir, "pages")
     packages = warc_zip.write(warc_zip.typed(pages), f"file://{tmp_path}", package_bytes=20_000, force64=True)
     assert packages.count() > 3
-    assert warc_zip.ranges(packages, 3).count() > packages.count()
-    found = {r.page_id: bytes(r.payload) for r in warc_zip.read(packages).where("payload is not null").collect()}
+    found = {r.page_id: bytes(r.payload) for r in warc_zip.read(packages, 3).where("payload is not null").collect()}
     assert found == {str(r.page_id): r.html.encode() for r in pages.collect()}
+
+
+def test_samples_are_bounded(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    some = common.bounded_sample(rows, 500, "doc_id")
+    again = {r.doc_id for r in common.bounded_sample(rows, 500, "doc_id").collect()}
+    assert 400 < some.count() < 600 and {r.doc_id for r in some.collect()} == again
+    assert common.bounded_sample(rows.limit(7), 500, "doc_id").count() == 7
+    assert common.bounded_sample(rows.limit(0), 500, "doc_id").count() == 0
+    same = spark.range(5000).select(F.lit(1).alias("doc_id"))
+    assert common.bounded_sample(same, 100, "doc_id").count() <= 200
+
+
+def test_classifier_without_labels(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents")
+    labels = spark.createDataFrame([], "doc_id long, label int")
+    scored = quality_model.score(docs, quality_model.fit(docs, labels)).select("quality_score").distinct().collect()
+    assert [r[0] for r in scored] == [0.5]
+    one = spark.createDataFrame([(1, 1), (2, 1), (None, 0), (3, None)], "doc_id long, label int")
+    assert quality_model.fit(docs, one).bias == 0.0
