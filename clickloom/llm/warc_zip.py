@@ -31,7 +31,7 @@ from clickloom.llm.common import written
 from clickloom.session import fresh_path
 
 PACKAGE_BYTES = 32 << 20
-RANGE_RECORDS = 2000
+RANGE_RECORDS = 500
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 # Fixed values of the ZIP format.
 LOCAL, CENTRAL, END, END64, LOCATOR64 = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
@@ -230,56 +230,46 @@ def opened(path: str):
     return handle, Reader(handle.size(), fetch)
 
 
-def ranges(packages: DataFrame, most: int = RANGE_RECORDS) -> DataFrame:
-    """From the index of each package: runs of at most ``most`` neighbouring records as (path, spans)."""
-    def run(batches):
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                handle, reader = opened(path)
-                with handle:
-                    (archive, _), (index, size) = reader.stored(ARCHIVE), reader.stored(INDEX)
-                    entries = [tuple(map(int, line.split())) for line in reader.fetch(index, size).splitlines()]
-                for at in range(0, len(entries), most):
-                    spans = [x for begin, length in entries[at:at + most] for x in (archive + begin, length)]
-                    yield pa.RecordBatch.from_pydict({"path": [path], "spans": [spans]})
+def locations(reader: Reader) -> list[tuple[int, int]]:
+    """Start in the package and length of every record, from the package's index."""
+    (archive, _), (index, size) = reader.stored(ARCHIVE), reader.stored(INDEX)
+    entries = (map(int, line.split()) for line in reader.fetch(index, size).splitlines())
+    return [(archive + begin, length) for begin, length in entries]
 
-    return packages.select("path").repartition("path").mapInArrow(run, "path string, spans array<long>")
 
-
-def read(packages: DataFrame) -> DataFrame:
-    """All records, read by range: page_id (text), url, record_type, refers_to (text), payload_digest, payload_bytes and
-    ``payload`` (null for revisits)."""
+def read(packages: DataFrame, most: int = RANGE_RECORDS) -> DataFrame:
+    """All records, read by range, ``most`` held at a time: page_id (text), url, record_type, refers_to (text),
+    payload_digest, payload_bytes and ``payload`` (null for revisits)."""
     names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
     kinds = [pa.string()] * 5 + [pa.int64(), pa.binary()]
     schema = pa.schema(list(zip(names, kinds)))
 
     def name(uri):
-        text = uri[len("<urn:page:"):-1]
-        return text or None
-
-    def records(path, spans):
-        store, base = fs.FileSystem.from_uri(path)
-        with store.open_input_file(base) as handle:
-            for begin, length in zip(spans[::2], spans[1::2]):
-                handle.seek(begin)
-                headers, payload = parsed(zlib.decompress(handle.read(length), 31))
-                kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
-                if kind == "response":
-                    if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                        raise ValueError(f"{path}: the payload at {begin} does not match its digest")
-                    size = len(payload)
-                else:
-                    payload, size = None, int(headers["x-payload-length"])
-                yield (name(headers["warc-record-id"]), headers["warc-target-uri"], kind,
-                       name(headers["warc-refers-to"]) if kind == "revisit" else None, digest, size, payload)
+        return uri[len("<urn:page:"):-1] or None
+
+    def record_at(path, reader, begin, length):
+        headers, payload = parsed(zlib.decompress(reader.fetch(begin, length), 31))
+        kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
+        if kind == "response":
+            if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+                raise ValueError(f"{path}: the payload at {begin} does not match its digest")
+            return (name(headers["warc-record-id"]), headers["warc-target-uri"], kind, None, digest, len(payload), payload)
+        return (name(headers["warc-record-id"]), headers["warc-target-uri"], kind, name(headers["warc-refers-to"]), digest,
+                int(headers["x-payload-length"]), None)
 
     def run(batches):
         for batch in batches:
-            for path, spans in zip(batch.column("path").to_pylist(), batch.column("spans").to_pylist()):
-                rows = list(records(path, spans))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], schema=schema)
-
-    return ranges(packages).repartition("path", F.element_at("spans", 1)).mapInArrow(
+            for path in batch.column("path").to_pylist():
+                handle, reader = opened(path)
+                with handle:
+                    spans = locations(reader)
+                    for at in range(0, len(spans), most):
+                        rows = [record_at(path, reader, *span) for span in spans[at:at + most]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], schema=schema)
+
+    # Packages have a bounded size: one is a task. The number keeps the small table of names from being one partition.
+    tasks = max(1, packages.count())
+    return packages.select("path").repartition(tasks).mapInArrow(
         run, "page_id string, url string, record_type string, refers_to string, payload_digest string, "
              "payload_bytes long, payload binary")
 
