@@ -3,8 +3,10 @@ of ordinary identifiers.
 
 All of it is Column expressions over one row; only the counts of a training run are shuffled (at most one row per label
 and pair of characters). Offsets are code points, ends exclusive. The models are log-likelihood ratios per pair of
-neighbouring characters, learned from labelled samples with add-one smoothing; a candidate is a long run of key
-characters that overlaps no pattern's span, and is a span when its mean ratio per character is above the threshold.
+neighbouring characters, learned from labelled samples with add-one smoothing. A candidate is a run of key characters; the patterns' spans are cut out of
+it, and each piece of 20 or more characters left is a span when its mean ratio per pair is above the threshold. If it is
+not, its windows of 20 characters are judged, so that no path or word around a key hides it: those above the threshold,
+with what stands around them up to the next separator, are spans.
 
 Defined cases: a null text is empty (and stays null when redacted); other columns pass through; ids may be null or
 repeated; samples that are null or shorter than two characters teach nothing, and a model without samples scores 0
@@ -43,6 +45,7 @@ THRESHOLD = 0.6
 RANDOM_SAMPLES = 6000
 IDENTIFIER_DOCS = 400
 SAMPLE_TASKS = 8
+SPAN = "struct<start:int,order:int,kind:string,finish:int>"
 
 
 @dataclass(frozen=True)
@@ -51,14 +54,32 @@ class Model:
     the alphabet of n characters."""
     ratios: tuple[float, ...]
 
-    def score(self, text: Column) -> Column:
-        """Mean ratio per neighbouring pair of a candidate."""
+    def pairs(self, text: Column) -> Column:
+        """The ratio of each neighbouring pair of a text of two or more characters."""
         table = F.expr(f"array({', '.join(f'{r:.6f}D' for r in self.ratios)})")
-        place = lambda i: F.instr(F.lit(ALPHABET), F.substr(text, i, F.lit(1))) - 1
-        pairs = F.transform(F.sequence(F.lit(1), F.length(text) - 1),
-                            lambda i: F.get(table, place(i) * len(ALPHABET) + place(i + 1)))
-        total = F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x)
-        return F.when(F.length(text) < 2, 0.0).otherwise(total / (F.length(text) - 1))
+        places = F.transform(F.slice(F.split(text, ""), F.lit(1), F.length(text)), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+        return let(places, lambda p: F.transform(F.sequence(F.lit(0), F.length(text) - 2), lambda i: F.get(
+            table, F.get(p, i) * len(ALPHABET) + F.get(p, i + 1))))
+
+    def spans(self, text: Column, threshold: float, order: int) -> Column:
+        """The parts of one piece of a candidate that are random, as spans within it."""
+        total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+        least = CANDIDATE.least
+        whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(order).alias("order"), F.lit(MARKOV).alias("kind"),
+                                 F.length(text).alias("finish")).cast(SPAN))
+
+        def windows(pairs):
+            above = F.transform(F.sequence(F.lit(1), F.size(pairs) - least + 2),
+                                lambda i: total(F.slice(pairs, i, F.lit(least - 1))) > threshold * (least - 1))
+            # x: a character of a window above the threshold; s: another separator; o: another character.
+            signs = let(above, lambda a: F.transform(F.split(F.regexp_replace(
+                F.regexp_replace(text, "[A-Za-z0-9]", "o"), "[^o]", "s"), ""), lambda c, i: F.when(F.exists(
+                    F.slice(a, F.greatest(i - least + 2, F.lit(1)), F.least(i + 1, F.lit(least))), lambda x: x), "x").otherwise(c)))
+            return F.when(F.exists(above, lambda x: x), let(F.array_join(signs, ""), lambda mask: matches(
+                mask, Pattern(MARKOV, "(?<![xo])o*+x[xo]*+", 0, least), order))).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+        return let(self.pairs(text), lambda pairs: F.when(total(pairs) > threshold * F.size(pairs), whole).otherwise(
+            windows(pairs)))
 
 
 def fit(samples: DataFrame) -> Model:
@@ -103,19 +124,18 @@ def matches(text: Column, pattern: Pattern, order: int) -> Column:
     """Spans (start, order, kind, finish) of the leftmost non-overlapping matches, those too short dropped."""
     whole = F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(0))
     measured = F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(pattern.group)) if pattern.group else whole
-    span = "struct<start:int,order:int,kind:string,finish:int>"
-    none = F.lit(None).cast(f"array<{span}>")
+    none = F.lit(None).cast(f"array<{SPAN}>")
 
     def located(found):
         gaps = F.split(text, pattern.regex, -1)
         parts = F.arrays_zip(F.transform(found["w"], lambda x: F.length(x)).alias("size"),
                              F.transform(found["m"], lambda x: F.length(x)).alias("rest"),
                              F.transform(F.slice(gaps, F.lit(1), F.size(found["w"])), lambda x: F.length(x)).alias("gap"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
         def step(a, p):
             begin = a["at"] + p["gap"]
             here = F.struct(begin.alias("start"), F.lit(order).alias("order"), F.lit(pattern.name).alias("kind"),
-                            (begin + p["size"]).alias("finish")).cast(span)
+                            (begin + p["size"]).alias("finish")).cast(SPAN)
             return F.struct((begin + p["size"]).alias("at"), F.when(
                 p["rest"] >= pattern.least, F.concat(a["spans"], F.array(here))).otherwise(a["spans"]).alias("spans"))
         return F.aggregate(parts, start, step, lambda a: a["spans"])
@@ -123,13 +143,25 @@ def matches(text: Column, pattern: Pattern, order: int) -> Column:
     # Texts without a match that is long enough, nearly all, are not cut.
     return let(F.struct(whole.alias("w"), measured.alias("m")), lambda found: F.coalesce(F.when(
         F.exists(found["m"], lambda m: F.length(m) >= pattern.least), located(found)), F.coalesce(
-            none, F.array().cast(f"array<{span}>"))))
+            none, F.array().cast(f"array<{SPAN}>"))))
 
 
 def pattern_spans(text: Column) -> Column:
     return F.flatten(F.array(*[matches(text, p, i) for i, p in enumerate(PATTERNS)]))
 
 
+def free_pieces(candidate: Column, base: Column) -> Column:
+    """What the spans ``base`` leave of a candidate: pieces (start, finish) that are long enough."""
+    kind = "struct<start:int,finish:int>"
+    piece = lambda a, b: F.when(b - a >= CANDIDATE.least, F.array(F.struct(a.alias("start"), b.alias("finish")).cast(kind))
+                                ).otherwise(F.array().cast(f"array<{kind}>"))
+    cuts = F.filter(F.sort_array(base), lambda b: (b["start"] < candidate["finish"]) & (candidate["start"] < b["finish"]))
+    start = F.struct(candidate["start"].alias("at"), F.array().cast(f"array<{kind}>").alias("done"))
+    return F.aggregate(cuts, start, lambda a, b: F.struct(
+        F.greatest(a["at"], b["finish"]).alias("at"), F.concat(a["done"], piece(a["at"], b["start"])).alias("done")),
+        lambda a: F.concat(a["done"], piece(a["at"], candidate["finish"])))
+
+
 def scan(docs: DataFrame, model: Model, threshold: float = THRESHOLD, column: str = "spans") -> DataFrame:
     """The documents with all their columns and ``column``: all spans (start, order, kind, finish) by start, then kind as
     listed. An older column of that name is replaced."""
@@ -138,9 +170,12 @@ def scan(docs: DataFrame, model: Model, threshold: float = THRESHOLD, column: st
     text = F.coalesce("text", F.lit(""))
     based = docs.select("*", F.inline(F.array(F.struct(
         pattern_spans(text).alias(base), matches(text, CANDIDATE, len(PATTERNS)).alias(candidates)))))
-    free = F.filter(candidates, lambda c: ~F.exists(base, lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"])))
-    random = F.filter(free, lambda c: model.score(
-        F.substr(text, c["start"] + 1, c["finish"] - c["start"])) > threshold)
+    pieces = F.flatten(F.transform(candidates, lambda c: free_pieces(c, F.col(base))))
+    random = F.flatten(F.transform(pieces, lambda c: let(
+        model.spans(F.substr(text, c["start"] + 1, c["finish"] - c["start"]), threshold, len(PATTERNS)),
+        lambda found: F.transform(found, lambda s: F.struct(
+            (s["start"] + c["start"]).alias("start"), s["order"].alias("order"), s["kind"].alias("kind"),
+            (s["finish"] + c["start"]).alias("finish")).cast(SPAN)))))
     return based.withColumn(column, F.sort_array(F.concat(base, random))).drop(base, candidates)
 
 
