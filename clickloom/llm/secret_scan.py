@@ -3,7 +3,8 @@ of ordinary identifiers.
 
 All of it is Column expressions over one row; only the counts of a training run are shuffled (at most one row per label
 and pair of characters). Offsets are code points, ends exclusive. The models are log-likelihood ratios per pair of
-neighbouring characters, learned from labelled samples with add-one smoothing. A candidate is a run of key characters; the patterns' spans are cut out of
+neighbouring characters, learned from labelled samples; a pair that a class has not shown goes towards the distribution
+of both classes, that is towards no evidence. A candidate is a run of key characters; the patterns' spans are cut out of
 it, and each piece of 20 or more characters left is a span when its mean ratio per pair is above the threshold. If it is
 not, its windows of 20 characters are judged, so that no path or word around a key hides it: those above the threshold,
 with what stands around them up to the next separator, are spans.
@@ -90,11 +91,14 @@ def fit(samples: DataFrame) -> Model:
              .select("label", place(F.col("i")).alias("a"), place(F.col("i") + 1).alias("b"))
              .where("label IN (0, 1) AND a > 0 AND b > 0"))
     n = len(ALPHABET)
-    counts = [[[1.0] * n for _ in range(n)] for _ in range(2)]
+    counts = [[[0.0] * n for _ in range(n)] for _ in range(2)]
     for label, a, b, seen in pairs.groupBy("label", "a", "b").count().collect():
         counts[label][a - 1][b - 1] += seen
-    totals = [[sum(row) for row in table] for table in counts]
-    return Model(tuple(math.log(counts[1][a][b] / totals[1][a]) - math.log(counts[0][a][b] / totals[0][a])
+    # The distribution of both classes with equal weight stands for n pairs in each row.
+    single = [[1 + sum(row[b] for row in table) for b in range(n)] for table in counts]
+    prior = [sum(share[b] / sum(share) for share in single) / 2 for b in range(n)]
+    chance = lambda row, b: (row[b] + n * prior[b]) / (sum(row) + n)
+    return Model(tuple(math.log(chance(counts[1][a], b)) - math.log(chance(counts[0][a], b))
                        for a in range(n) for b in range(n)))
 
 
@@ -108,16 +112,45 @@ def random_samples(spark: SparkSession, n: int = RANDOM_SAMPLES) -> DataFrame:
     return spark.range(n).select(text.alias("sample"), F.lit(1).alias("label"))
 
 
+def number_samples(spark: SparkSession, n: int = RANDOM_SAMPLES) -> DataFrame:
+    """Ordinary strings without words: numbers, dates, ranges of dates, rules and borders of tables, by digests of numbers."""
+    digits = F.regexp_replace(F.sha2(F.concat(F.lit("n"), F.col("id")), 256), "[a-f]", "")
+    day = lambda shift: F.date_add(F.lit("1950-01-01").cast("date"), F.pmod(F.xxhash64("id") + shift, F.lit(36500)).cast("int"))
+    part = lambda places: F.element_at(F.array(*[F.lit(c) for c in places]), (F.col("id") / 6 % len(places)).cast("int") + 1)
+    dash = F.repeat(part("-=_"), (F.col("id") / 18 % 20).cast("int") + 2)
+    mark = part("-/_=+")
+    text = (F.when(F.col("id") % 6 == 0, F.substring(digits, 1, 30))
+            .when(F.col("id") % 6 == 1, F.concat_ws("_", day(0).cast("string"), day(90).cast("string")))
+            .when(F.col("id") % 6 == 2, F.concat_ws("/", F.date_format(day(0), "yyyy/MM/dd"), F.substring(digits, 1, 6)))
+            .when(F.col("id") % 6 == 3, F.concat_ws("-", *[F.substring(digits, 1 + 4 * i, 4) for i in range(6)]))
+            .when(F.col("id") % 6 == 4, F.concat(F.lit("+"), dash, F.lit("+"), dash, F.lit("+")))
+            .otherwise(F.repeat(mark, 30)))
+    return spark.range(n).select(text.alias("sample"), F.lit(0).alias("label"))
+
+
 def identifier_samples(docs: DataFrame, n: int = IDENTIFIER_DOCS) -> DataFrame:
-    """Ordinary identifiers: words of about ``n`` documents (a bounded sample of labelled rows), each joined with the
-    next word in snake, camel and path spelling."""
+    """Ordinary strings: words of about ``n`` documents (a bounded sample of labelled rows), each joined with the next word
+    in snake, camel and path spelling; some of them in capitals, with a number or a date, and single letters repeated; the
+    candidate runs of those documents that hold no pattern's span, if they have no mixture of digits and both cases as keys
+    have; and numbers, dates and rules."""
     some = bounded_sample(docs.select("doc_id", "text"), n, "doc_id", "text").repartition(SAMPLE_TASKS)
     found = F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\b[A-Za-z]{2,}\b"), F.lit(0)))
     second = lambda f, i: F.coalesce(F.get(f, i + 1), F.lit(""))
     joined = let(found, lambda f: F.transform(f, lambda w, i: F.concat(
         w, F.element_at(F.array(F.lit("_"), F.lit("-"), F.lit("/"), F.lit("")), i % 4 + 1),
         F.when(i % 4 == 3, F.initcap(second(f, i))).otherwise(second(f, i)))))
-    return some.select(F.explode(joined).alias("sample"), F.lit(0).alias("label"))
+    number = lambda w: F.abs(F.xxhash64(w) % 3000).cast("string")
+    more = let(found, lambda f: F.transform(f, lambda w, i: F.when(i % 16 == 0, F.concat_ws("_", F.upper(w), F.upper(second(f, i))))
+               .when(i % 16 == 4, F.concat_ws("-", w, number(w), second(f, i))).when(i % 16 == 8, F.concat(w, number(w)))
+               .when(i % 16 == 12, F.concat_ws("/", number(w), w, number(second(f, i)), second(f, i)))
+               .when(i % 32 == 15, F.repeat(F.substr(w, i % F.length(w) + 1, F.lit(1)), F.lit(24)))))
+    text = F.coalesce("text", F.lit(""))
+    clean = F.when(F.size(pattern_spans(text)) == 0, F.regexp_extract_all(text, F.lit(CANDIDATE.regex), F.lit(0)))
+    runs = F.filter(F.coalesce(clean, F.array().cast("array<string>")), lambda r: ~(
+        F.regexp_like(r, F.lit("[0-9]")) & F.regexp_like(r, F.lit("[A-Z]")) & F.regexp_like(r, F.lit("[a-z]"))))
+    samples = F.concat(joined, F.filter(more, lambda x: x.isNotNull()), F.array_distinct(runs))
+    return some.select(F.explode(samples).alias("sample"), F.lit(0).alias("label")).unionByName(
+        number_samples(docs.sparkSession))
 
 
 def matches(text: Column, pattern: Pattern, order: int) -> Column:

@@ -15,6 +15,10 @@ SECRETS = {
     "two in a path": (f"/usr/local/share/{KEY}/settings/applications/and/other/things/{KEY[::-1]}", KEY[::-1]),
     "alone": (f"key {KEY}", KEY),
 }
+ORDINARY = ["-" * 20, "_" * 30, "/" * 20, "=" * 80, "+---------+-----------+", "+=====+=========+========+", "q" * 40, "t" * 25,
+            "12345678901234567890123", "00000000000000000000", "2024-01-15_2024-02-15", "1999-12-31_2024-01-15_2024-02-15",
+            "2024/01/15/2024/02/15/2024", "1234-5678-9012-3456-7890", "users/settings/security/applications/tokens",
+            "theseothersandthings_and_thentheothers"]
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +37,8 @@ def test_keys_beside_spans_and_in_paths(spark, model):
     for (name, (text, key)), (spans, clean) in zip(SECRETS.items(), found(spark, model, [t for t, _ in SECRETS.values()])):
         assert any(kind == "markov" and key in part for kind, part in spans), (name, spans)
         assert key not in clean and "[SECRET]" in clean, name
+
+
+def test_ordinary_runs_stay(spark, model):
+    texts = [f"before {t} after" for t in ORDINARY]
+    assert [(t, s) for t, (s, _) in zip(texts, found(spark, model, texts)) if s] == []
