@@ -1,10 +1,11 @@
-"""Benchmark decontamination: suffix arrays over the training texts, searched with every benchmark suffix.
+"""Benchmark decontamination: suffix arrays over the training texts, searched with every benchmark window.
 
 Documents stay where they are read. A task cuts its documents into shards of bounded size, sorts the word suffixes of
 a shard by their first ``window`` words (a suffix array to the depth that a window needs), and binary-searches each
-benchmark suffix in it; neighbours of the found place share the window, and runs of such places on one diagonal give
-the longest verbatim match. Suffixes that begin with a word no benchmark text holds cannot match and are left out of
-the array. The benchmark goes to the tasks in blocks of at most ``block_bytes``; each further block is one more pass
+window of the benchmark in it (all ``window`` words of an item from one place, or a shorter item as a whole; the last
+suffixes of an item, shorter than a window, are not searched). Neighbours of the found place share the window, and runs
+of such places on one diagonal give the longest verbatim match of at least one window (0 if there is none); its place in
+the benchmark is not returned. Suffixes with fewer known words than the shortest window cannot match and are left out. The benchmark goes to the tasks in blocks of at most ``block_bytes``; each further block is one more pass
 over the documents, so its size is bounded whatever the benchmark's.
 
 Defined cases: null or wordless texts have no words and no hits; items without words have no windows, items shorter

@@ -5,8 +5,7 @@ into bucket counts by Spark tasks and fitted on the driver by numpy stochastic g
 layer is linear in the average, so each bucket's vector is folded into one number per label difference; a task sums
 these over whole texts and nothing is shuffled.
 
-Features of a text: its words, its byte n-grams, and a marker for each word equal to the word before it or to the one
-at the same place of the line before. Labels, languages, sources and ids are no inputs.
+Features of a text: its words, its byte n-grams, and a marker for each word equal to the word before it. Labels, languages, sources and ids are no inputs.
 
 Defined cases: a null or empty text has no feature and gets the score of the bias; without labelled rows all scores are
 0.5; null labels and ids are not learned from; other columns pass through; an empty table gives no rows.
