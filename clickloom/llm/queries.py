@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
-    chat_format, decontaminate, language_id, packing, quality_model, rule_ledger, secret_scan, simhash,
+    chat_format, decontaminate, language_id, merkle, packing, quality_model, rule_ledger, secret_scan, simhash,
     suffix_dedup, warc_zip)
 from clickloom.llm.common import held_out, read
 
@@ -99,6 +99,17 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    found = merkle.manifest(docs, F.col("n_chars").cast("long") + F.when(tampered, 1).otherwise(0))
+    folded = merkle.folded(merkle.hex_text(F.col("shown")), F.col("path"))
+    shown = [merkle.hex_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    told = found.select("doc_id", *shown, merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                        folded.alias("folded_root"))
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_rule_ledger": op2_rule_ledger,
@@ -110,6 +121,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_language": op10_language,
+    "op11_merkle": op11_merkle,
 }
 ORACLES = {
     "op2_rule_ledger": r"""
@@ -178,4 +190,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated,
   coalesce(longest, 0)::BIGINT AS longest
 FROM d LEFT JOIN c USING (rid) LEFT JOIN m USING (rid) LEFT JOIN x USING (rid)""",
+    "op11_merkle": r"""
+WITH RECURSIVE d AS (SELECT *, lang AS l, doc_id::VARCHAR AS i, coalesce(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split_regex(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda x, y:
+    list_reduce(list_prepend(xor(x, y), range(8)), lambda p, q: xor(p >> 1, 3988292384 * (p & 1)))), 0) AS crc FROM documents),
+e AS (SELECT *, coalesce((xor(crc, 4294967295) % 7 = 0)::INT, 0) AS more FROM d),
+f AS (SELECT row_number() OVER () AS rid, doc_id, l,
+    coalesce(strlen(i) || ':' || i, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS stored,
+    coalesce(strlen((n_chars + more)::VARCHAR) || ':' || (n_chars + more)::VARCHAR, '-') AS found,
+    coalesce(strlen(text) || ':' || text, '-') AS tail FROM e),
+g AS (SELECT rid, doc_id, l, sha256(head || stored || tail) AS leaf, sha256(head || found || tail) AS shown FROM f),
+a AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY doc_id NULLS FIRST, leaf) - 1 AS lo,
+    count(*) OVER (PARTITION BY l) AS n FROM g),
+u AS (SELECT l, 0 AS level, lo AS k, n, leaf AS h FROM a UNION ALL
+    SELECT l, level + 1, k // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY k)) FROM u WHERE n > 1
+    GROUP BY l, level, k // 2, n),
+s AS (SELECT l, h AS subroot, row_number() OVER (ORDER BY l NULLS FIRST) - 1 AS pos, count(*) OVER () AS m FROM u WHERE n = 1),
+v AS (SELECT 0 AS level, pos AS k, m AS n, subroot AS h FROM s UNION ALL
+    SELECT level + 1, k // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY k)) FROM v WHERE n > 1
+    GROUP BY level, k // 2, n),
+w AS (SELECT rid, level, 0 AS part, h FROM a JOIN u ON u.l IS NOT DISTINCT FROM a.l AND u.n > 1
+      AND u.k = xor(a.lo >> level, 1)
+    UNION ALL SELECT rid, v.level, 1, v.h FROM a JOIN s ON s.l IS NOT DISTINCT FROM a.l
+      JOIN v ON v.n > 1 AND v.k = xor(s.pos >> v.level, 1)),
+p AS (SELECT rid, string_agg(h, '' ORDER BY part, level) AS siblings FROM w GROUP BY rid),
+x AS (SELECT rid, l, 0 AS level, lo AS k, n, shown AS h FROM a UNION ALL
+    SELECT x.rid, x.l, x.level + 1, x.k // 2, (x.n + 1) // 2, sha256(CASE WHEN u.h IS NULL THEN x.h
+      WHEN x.k % 2 = 1 THEN u.h || x.h ELSE x.h || u.h END)
+    FROM x LEFT JOIN u ON u.l IS NOT DISTINCT FROM x.l AND u.level = x.level AND u.k = xor(x.k, 1) WHERE x.n > 1),
+y AS (SELECT x.rid, 0 AS level, s.pos AS k, s.m AS n, x.h FROM x JOIN s ON s.l IS NOT DISTINCT FROM x.l WHERE x.n = 1 UNION ALL
+    SELECT y.rid, y.level + 1, y.k // 2, (y.n + 1) // 2, sha256(CASE WHEN v.h IS NULL THEN y.h
+      WHEN y.k % 2 = 1 THEN v.h || y.h ELSE y.h || v.h END)
+    FROM y LEFT JOIN v ON v.level = y.level AND v.k = xor(y.k, 1) WHERE y.n > 1)
+SELECT a.doc_id, a.leaf, s.subroot, v.h AS root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+  y.h AS folded_root, y.h = v.h AS verified
+FROM a JOIN s ON s.l IS NOT DISTINCT FROM a.l JOIN v ON v.n = 1 JOIN y ON y.rid = a.rid AND y.n = 1 LEFT JOIN p ON p.rid = a.rid""",
 }
