@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
-    chat_format, decontaminate, language_id, merkle, packing, quality_model, rule_ledger, secret_scan, simhash,
-    suffix_dedup, warc_zip)
+    chat_format, decontaminate, language_id, line_index, merkle, packing, quality_model, rule_ledger, secret_scan,
+    simhash, suffix_dedup, warc_zip)
 from clickloom.llm.common import held_out, read
 
 
@@ -110,6 +110,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_index.LineIndex.build(docs).apply(docs)
+    result = F.col(line_index.COLUMN)
+    return found.select("doc_id", result["n_lines"].alias("n_lines"), result["n_dropped"].alias("n_dropped"),
+                        F.sha2(result["kept"], 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_rule_ledger": op2_rule_ledger,
@@ -122,6 +130,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_language": op10_language,
     "op11_merkle": op11_merkle,
+    "op13_line_dedup": op13_line_dedup,
 }
 ORACLES = {
     "op2_rule_ledger": r"""
@@ -227,4 +236,16 @@ y AS (SELECT x.rid, 0 AS level, s.pos AS k, s.m AS n, x.h FROM x JOIN s ON s.l I
 SELECT a.doc_id, a.leaf, s.subroot, v.h AS root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
   y.h AS folded_root, y.h = v.h AS verified
 FROM a JOIN s ON s.l IS NOT DISTINCT FROM a.l JOIN v ON v.n = 1 JOIN y ON y.rid = a.rid AND y.n = 1 LEFT JOIN p ON p.rid = a.rid""",
+    "op13_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, i, lines[i] AS line, translate(regexp_replace(lines[i],
+    '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+c AS (SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT rid, doc_id, key FROM l WHERE length(key) >= 20)
+  GROUP BY key HAVING count(*) >= 3),
+m AS (SELECT rid, i, line, c.keeper IS NOT NULL AND (doc_id IS NULL OR doc_id < c.keeper) AS gone
+  FROM l LEFT JOIN c ON c.key = l.key)
+SELECT any_value(d.doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m JOIN d USING (rid) GROUP BY rid""",
 }
