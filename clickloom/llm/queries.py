@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
-    chat_format, decontaminate, language_id, line_index, merkle, packing, quality_model, rule_ledger, secret_scan,
-    simhash, suffix_dedup, warc_zip)
+    alignment, chat_format, decontaminate, language_id, line_index, merkle, packing, quality_model, rule_ledger,
+    secret_scan, simhash, suffix_dedup, warc_zip)
 from clickloom.llm.common import held_out, read
 
 
@@ -110,6 +110,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(read(spark, sf_dir, "documents"), with_groups=False)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = line_index.LineIndex.build(docs).apply(docs)
@@ -130,6 +135,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_language": op10_language,
     "op11_merkle": op11_merkle,
+    "op12_alignment": op12_alignment,
     "op13_line_dedup": op13_line_dedup,
 }
 ORACLES = {
