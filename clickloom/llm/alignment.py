@@ -5,14 +5,14 @@ whose byte ranges overlap are linked; a pair of ids is counted by its links in a
 
 1. A block of documents is cut by both tokenizers. Its (pair, document, links) records are radix-partitioned by the B id,
    sorted, and spilled as zstd runs: the pairs with their totals, and the records.
-2. The runs of totals of each partition are merged by a heap, ``FAN_IN`` at a time, in as many rounds as it takes. Pairs come
+2. The runs of totals of each partition are merged by a heap, ``fan_in`` at a time, in as many rounds as it takes. Pairs come
    out ordered by B id first, so the highest count of each B id is known where its pairs end.
 3. The runs of records stream past the merged counts of their partition and hand back what each document gains: links whose
    pair has the highest count of its B id, and the sum of the counts. A block's parts are added up.
 
 Scale: a record run belongs to one block, so a pair that a third of all documents hold is one entry of each run. Runs and
 counts lie in written tables. A partition's merged counts hold at most 2 ** 31 / RADIX pairs, in practice thousands, and are
-copied once for every ``PART_BLOCKS`` blocks.
+copied once for every ``part_blocks`` blocks.
 
 Words between ASCII spaces repeat, and no token of either vocabulary crosses the start of one, so a worker keeps the ids of
 the words it has met (``KEPT`` at most).
@@ -44,7 +44,7 @@ from clickloom.llm.pair_runs import best_of_each, frames, merged_run, packed, ru
 RADIX = 64
 FAN_IN = 64
 PART_BLOCKS = 64
-BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 1 << 14
+BLOCK_CHARS, BLOCK_DOCS = 2 << 20, 1 << 14
 KEPT, KEPT_CHARS = 400_000, 64
 # A word starts at a space between visible ASCII characters: neither vocabulary has a token across such a place.
 START = re.compile(r"(?<=[!-~]) (?=[!-~])")
@@ -188,18 +188,18 @@ def spilled(block: Aligned) -> Iterator[tuple[int, bytes, bytes]]:
                           links[a:b].astype("<u4")))
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def blocks(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
     start, size = 0, 0
     for k, text in enumerate(texts):
         size += len(text or "")
-        if size >= BLOCK_BYTES or k + 1 - start == BLOCK_DOCS:
+        if size >= most or k + 1 - start == BLOCK_DOCS:
             yield start, k + 1
             start, size = k + 1, 0
     if start < len(texts):
         yield start, len(texts)
 
 
-def spill(docs: DataFrame, a_path: str, b_path: str, with_groups: bool) -> DataFrame:
+def spill(docs: DataFrame, a_path: str, b_path: str, with_groups: bool, block_chars: int) -> DataFrame:
     """One row per document (``place`` in its ``block``, counts, groups) and one per run (``block``, ``radix``, blobs)."""
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"]
@@ -215,7 +215,7 @@ def spill(docs: DataFrame, a_path: str, b_path: str, with_groups: bool) -> DataF
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             none = lambda n, t: pa.nulls(n, t)
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, block_chars):
                 found, n = aligned(texts[a:b], a_path, b_path), b - a
                 groups = pa.array(found.groups if with_groups else [None] * n, pa.string())
                 digests = [g and hashlib.sha256(g.encode()).hexdigest() for g in found.groups]
@@ -265,11 +265,11 @@ def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
-def counted(runs: DataFrame, count: int) -> DataFrame:
+def counted(runs: DataFrame, count: int, fan_in: int) -> DataFrame:
     """(radix, ``pairs``): one run of all pairs and their counts for each partition, from the runs of ``count`` blocks."""
     runs = runs.select("radix", "block", "pairs")
     while True:
-        count = -(-count // FAN_IN)
+        count = -(-count // fan_in)
         runs = runs.withColumn("block", F.pmod(F.xxhash64("block", F.lit(count)), F.lit(count)).cast("long"))
         runs = written(runs.repartition("radix", "block").sortWithinPartitions("radix", "block").mapInArrow(
             merge_runs, "radix int, block long, pairs binary"), "merged")
@@ -319,15 +319,16 @@ def settled(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
         yield batch.filter(pa.array([not t for t in told])).select(names)
 
 
-def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, with_groups: bool = True) -> DataFrame:
+def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, with_groups: bool = True,
+          block_chars: int = BLOCK_CHARS, fan_in: int = FAN_IN, part_blocks: int = PART_BLOCKS) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 and, if wanted, ``groups``
     (``a1,a2|b1;a3|b2,b3``: the ids of each group; without tokens empty)."""
     paths = a_path or public_tokenizers.path("byte_bpe_50k.json"), b_path or public_tokenizers.path("piece_bpe_32k.model")
-    found = written(spill(docs, *paths, with_groups), "spilled")
+    found = written(spill(docs, *paths, with_groups, block_chars), "spilled")
     runs = found.where("radix IS NOT NULL")
     count = runs.agg(F.count_distinct("block")).first()[0]
-    parts = -(-count // PART_BLOCKS) or 1
-    counts = counted(runs, count)
+    parts = -(-count // part_blocks) or 1
+    counts = counted(runs, count, fan_in)
 
     none = lambda kind: F.lit(None).cast(kind)
     copies = counts.select("radix", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"),
@@ -347,10 +348,11 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
         partial(settled, names=names), schema)
 
 
-def mapping(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+def mapping(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, block_chars: int = BLOCK_CHARS,
+            fan_in: int = FAN_IN) -> DataFrame:
     """The counted pairs of a corpus: ``b_id``, ``a_id``, ``links`` and whether it is the ``best`` of its B id."""
     paths = a_path or public_tokenizers.path("byte_bpe_50k.json"), b_path or public_tokenizers.path("piece_bpe_32k.model")
-    runs = written(spill(docs, *paths, False).where("radix IS NOT NULL").select("radix", "block", "pairs"), "spilled")
+    runs = written(spill(docs, *paths, False, block_chars).where("radix IS NOT NULL").select("radix", "block", "pairs"), "spilled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,4 +363,4 @@ def mapping(docs: DataFrame, a_path: str | None = None, b_path: str | None = Non
                      pa.array(totals, pa.int64()), pa.array(best_of_each(pairs, totals))], ["b_id", "a_id", "links", "best"])
 
     count = runs.agg(F.count_distinct("block")).first()[0]
-    return counted(runs, count).select("pairs").mapInArrow(run, "b_id int, a_id int, links long, best boolean")
+    return counted(runs, count, fan_in).select("pairs").mapInArrow(run, "b_id int, a_id int, links long, best boolean")

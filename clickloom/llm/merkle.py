@@ -6,7 +6,7 @@ the leaf's rank; the sibling at a level is what the parent's interval holds besi
 one after it, or none. A proof is the list of these labelled siblings, level by level; the groups' subroots are the
 leaves of one more tree.
 
-Scale: ranks are prefix sums over a range-sorted table. Levels come in bands of ``BAND``: a bucket of at most 2 ** BAND
+Scale: ranks are prefix sums over a range-sorted table. Levels come in bands of ``width``: a bucket of at most 2 ** width
 neighbouring nodes is one small piece of work, however large its group, and hands one node on to the next band. Paths of
 upper bands (a thousandth of the rows, then a millionth) are attached by joins on the bucket and containment.
 
@@ -76,11 +76,11 @@ def digests(values: list[bytes]) -> list[bytes]:
     return [sha(b"".join(shown[i:i + 2])).digest() for i in range(0, len(shown), 2)]
 
 
-def climb(lows: np.ndarray, n: int, base: int, values: list[bytes]) -> tuple[list[tuple], bytes]:
+def climb(lows: np.ndarray, n: int, base: int, width: int, values: list[bytes]) -> tuple[list[tuple], bytes]:
     """For a bucket of neighbouring nodes of level ``base``, in order: for each level of the band the sibling's interval,
     side and digest of every node, and the digest of the bucket's one node above."""
     steps, own = [], lows
-    for level in range(base, base + BAND):
+    for level in range(base, base + width):
         if n - 1 >> level == 0:
             break
         # The ancestor of each node at this level is the one whose interval holds the node's own.
@@ -108,7 +108,7 @@ def paths(steps: list[tuple], count: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * len(steps), pa.int32()), flat)
 
 
-def band(nodes: DataFrame, base: int) -> DataFrame:
+def band(nodes: DataFrame, base: int, width: int) -> DataFrame:
     """``nodes`` (g, lo, n, digest, ...) of level ``base`` with the ``path`` of each through this band, and on the first
     node of each bucket ``top``, the digest of the bucket's node above."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +125,7 @@ def band(nodes: DataFrame, base: int) -> DataFrame:
                 yield from climbed(whole.combine_chunks())
 
     def starts(table: pa.Table) -> list[int]:
-        bucket = table.column("lo").to_numpy() >> base + BAND
+        bucket = table.column("lo").to_numpy() >> base + width
         group = table.column("g").combine_chunks().dictionary_encode().indices.to_numpy()
         change = (bucket[1:] != bucket[:-1]) | (group[1:] != group[:-1])
         return [0, *(np.flatnonzero(change) + 1).tolist(), len(bucket)]
@@ -136,14 +136,14 @@ def band(nodes: DataFrame, base: int) -> DataFrame:
         values = table.column("digest").to_pylist()
         found, tops = [], []
         for a, b in zip(cuts, cuts[1:]):
-            steps, top = climb(lows[a:b], int(sizes[a]), base, values[a:b])
+            steps, top = climb(lows[a:b], int(sizes[a]), base, width, values[a:b])
             found.append(paths(steps, b - a))
             tops += [top] + [None] * (b - a - 1)
         table = table.append_column("path", pa.chunked_array(found)).append_column("top", pa.array(tops, pa.binary()))
         yield from table.combine_chunks().to_batches()
 
     kind = StructType([*nodes.schema.fields, StructField("path", ArrayType(STEP)), StructField("top", BinaryType())])
-    return nodes.repartition("g", F.shiftright("lo", base + BAND)).sortWithinPartitions("g", "lo").mapInArrow(run, kind)
+    return nodes.repartition("g", F.shiftright("lo", base + width)).sortWithinPartitions("g", "lo").mapInArrow(run, kind)
 
 
 def attached(rows: DataFrame, above: DataFrame, base: int) -> DataFrame:
@@ -156,32 +156,32 @@ def attached(rows: DataFrame, above: DataFrame, base: int) -> DataFrame:
     return found.withColumn("path", F.concat("path", "above_path")).drop(*node.columns)
 
 
-def tree(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def tree(nodes: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """From leaves (g, lo, n, digest, ...): the leaves with their whole ``path``, and (g, digest) of each group's root."""
     largest = nodes.agg(F.max("n")).first()[0] or 1
-    rows, base, bands = written(band(nodes, 0), "band"), BAND, []
+    rows, base, bands = written(band(nodes, 0, width), "band"), width, []
     top = rows
     while True:
         level = top.where("top IS NOT NULL").select("g", "lo", "n", F.col("top").alias("digest"))
         if largest - 1 >> base == 0:
             break
         level = level.withColumn("hi", F.least(F.col("lo") + (1 << base), F.col("n")))
-        top = written(band(level, base), "band")
+        top = written(band(level, base, width), "band")
         bands.append((top, base))
-        base += BAND
+        base += width
     rows = rows.drop("top", "digest", "n")
     for above, at in bands:
         rows = attached(rows, above, at)
     return rows, level.select("g", "digest")
 
 
-def proofs(leaves: DataFrame) -> DataFrame:
+def proofs(leaves: DataFrame, width: int = BAND) -> DataFrame:
     """From ``leaves`` (g, doc_id, leaf, ...): all their columns, ``subroot``, ``root`` and ``path`` (up to the root)."""
     nodes = ranked(leaves, "doc_id", "leaf").withColumn("digest", F.col("leaf"))
-    rows, subroots = tree(nodes)
+    rows, subroots = tree(nodes, width)
     subroots = written(subroots, "subroots")
     groups = ranked(subroots.select(F.lit("").alias("g"), F.col("g").alias("name"), "digest"), "name")
-    upper, root = tree(groups.withColumn("subroot", F.col("digest")))
+    upper, root = tree(groups.withColumn("subroot", F.col("digest")), width)
     upper = written(upper.join(root.withColumnRenamed("digest", "root"), "g").select(
         F.col("name").alias("g"), "subroot", "root", F.col("path").alias("upper_path")), "upper")
     return (rows.join(upper, "g").withColumn("path", F.concat("path", "upper_path")).drop("upper_path", "lo", "g"))
@@ -201,10 +201,10 @@ def proof_digest(path: Column) -> Column:
     return F.sha2(F.array_join(shown, ""), 256)
 
 
-def manifest(docs: DataFrame, n_chars: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, n_chars: Column | None = None, width: int = BAND) -> DataFrame:
     """Per document: doc_id, ``leaf``, ``shown`` (the leaf with ``n_chars`` in place of the stored one, as somebody who
     checks the document finds it), ``subroot``, ``root`` (all 32 bytes) and ``path`` (the labelled siblings)."""
     of = lambda count: leaf(F.col("doc_id"), F.col("source"), F.col("lang"), count, F.col("text"))
     stored = of(F.col("n_chars"))
     return proofs(docs.select(group_key(F.col("lang")).alias("g"), "doc_id", stored.alias("leaf"),
-                              (stored if n_chars is None else of(n_chars)).alias("shown")))
+                              (stored if n_chars is None else of(n_chars)).alias("shown")), width)
