@@ -9,7 +9,8 @@ import numpy as np
 import corpus_pipeline
 from clickloom.llm import queries, secret_scan
 from clickloom.llm.common import read, written
-from tests.llm.test_queries import base_spans, grouped, simhash
+from tests.llm.test_near_dedup import least_ids
+from tests.llm.test_queries import base_spans
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -45,8 +46,8 @@ def test_stages(spark, tables):
     labels = {r["doc_id"]: r["quality"] for r in tables(folder, "labels")}
     assert np.mean([(d in good) == (q == 1) for d, q in labels.items()]) > 0.9
 
-    classes = grouped([(d, simhash(r.text)) for d, r in good.items()])
-    assert set(single) == {root for _, _, root in classes}
+    wanted, _ = least_ids(list(good), [r.text for r in good.values()])
+    assert set(single) == wanted
 
     items = [words(r["text"]) for r in tables(folder, "benchmark")]
     windows = {tuple(item[j:j + 13]) for item in items if item for j in range(max(1, len(item) - 12))}
