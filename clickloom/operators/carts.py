@@ -1,22 +1,52 @@
-"""Cart value after every event of a user."""
+"""Cart value after every event of a user.
 
-from pyspark.sql import DataFrame, functions as F
+A cart holds products, each with a number of units and one price: that of its latest addition. A removal carries no price
+of its own; it takes units of the product away, never more than are there. A purchase empties the cart. Without a product
+id the event is about one nameless product; a missing quantity is 1, a missing price keeps the product's (0 at first).
+"""
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import business as rules
-from clickloom.operators.ordered import running_cart
+from clickloom.functions.numeric import money
+from clickloom.operators.ordered import RANGE, Running, ranged, running
+
+CART_TYPES = ("add_to_cart", "remove_from_cart", "purchase")
+
+
+def cart_columns() -> dict[str, Column]:
+    """``_product``, the signed ``_units`` of a cart event and, on additions, the ``_price``."""
+    p, kind = F.col("properties"), F.col("event_type")
+    units = F.coalesce(rules.number(p, "quantity", "int"), F.lit(1)).cast("long")
+    return {"_product": p["product_id"],
+            "_units": F.when(kind == "add_to_cart", units).when(kind == "remove_from_cart", -units).otherwise(F.lit(0)),
+            "_price": F.when(kind == "add_to_cart", money(rules.number(p, "price")))}
+
 
+def cart_totals(events: DataFrame, keys: list[str] | None = None, ts: str = "timestamp",
+                tie: str = "event_id") -> DataFrame:
+    """Value of the cart after each cart event and purchase.
 
-def cart_change():
-    """Signed value of a cart event: price times quantity, negative when removed."""
-    p = F.col("properties")
-    worth = (F.coalesce(rules.number(p, "price"), F.lit(0.0))
-             * F.coalesce(rules.number(p, "quantity", "int"), F.lit(1)))
-    return (F.when(F.col("event_type") == "add_to_cart", worth)
-            .when(F.col("event_type") == "remove_from_cart", -worth)
-            .otherwise(F.lit(0.0)))
+    A cart lies between two purchases. Within it the units of a product are their running sum less what removals took
+    too much, the lowest value the sum has had below 0, and the price is the last one given. An event changes the total by
+    the product's worth after it less that before it.
+    """
+    keys, order = keys or ["user_id"], [ts, tie]
+    names = events.columns
+    rows = events.where(F.col("event_type").isin(*CART_TYPES)).withColumns(cart_columns())
+    bought = (F.col("event_type") == "purchase").cast("int")
+    rows = running(ranged(rows, keys, order), keys, order, _cart=Running("sum", bought))
 
+    held = [*keys, "_cart", "_product"]
+    items = running(ranged(rows, held, order), held, order,
+                    _sum=Running("sum", F.col("_units")), _known=Running("last", F.col("_price")))
+    items = running(items, held, order, _low=Running("min", F.col("_sum")))
+    zero = F.lit(0).cast("decimal(18,4)")
+    units = F.col("_sum") - F.least(F.col("_low"), F.lit(0))
+    items = items.withColumn("_worth", (units.cast("decimal(19,0)") * F.coalesce("_known", zero)).cast("decimal(37,4)"))
+    items = running(items, held, order, _before=Running("last", F.col("_worth"), before=True))
 
-def cart_totals(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Running value of the cart at each cart event and purchase; a purchase empties it."""
-    relevant = events.where(F.col("event_type").isin("add_to_cart", "remove_from_cart", "purchase"))
-    return running_cart(relevant, keys or ["user_id"], cart_change(), F.col("event_type") == "purchase")
+    change = F.col("_worth") - F.coalesce("_before", zero)
+    whole = [*keys, "_cart"]
+    totals = running(ranged(items, whole, order), whole, order, cart_total=Running("sum", change))
+    return totals.select(*[F.col(f"`{c}`") for c in names], F.col("cart_total").cast("double").alias("cart_total"))

@@ -1,87 +1,107 @@
-"""Ordered operators that stay spread out when one group holds a large share of all rows.
+"""Ordered operators that stay spread out however the rows lie: by group, by time, by nothing.
 
-A window over a whole group sorts that group in one task. Here a group is cut into time
-buckets; a row looks back inside its own (group, bucket) and gets what it needs of earlier
-buckets from one small row per (group, bucket). A task therefore holds at most one bucket of
-one group, and the window over a whole group sees only its bucket rows: at most the covered
-time divided by the bucket length.
+A window over a whole group sorts that group in one task. Here the rows are range-partitioned by (group, time, id), so a
+group that holds half of all rows, all of one minute if need be, lies in many ranges of equal size, and one range may hold
+many groups. Inside a range a group is counted by a window; what the group's earlier ranges leave behind comes from one
+row per range in which it goes on. The ranges are stored once, since their bounds are drawn from a sample.
+
+Rows of equal group, time and id (copies of one event) lie in one range.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.functions.numeric import money, slot
+from clickloom.session import stored
+
+RANGE = "_range"
+
 
-BUCKET = "10 minutes"
+def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``_range``, the number of the range of (keys, order) that a row lies in."""
+    spread = df.drop(RANGE).repartitionByRange(*keys, *order)
+    return stored(spread.withColumn(RANGE, F.spark_partition_id()), "ranged")
 
 
-def _bucketed(df: DataFrame, ts: str, bucket: str) -> DataFrame:
-    return df.withColumn("_bucket", slot(F.col(ts), bucket))
+@dataclass(frozen=True)
+class Running:
+    """A running ``sum``, ``max``, ``min`` or ``last`` (non-null) value, up to a row or to the one before it."""
 
+    kind: str
+    value: Column
+    before: bool = False
 
-def _inside(keys: list[str], order: list[str]):
-    return Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    def over(self, frame) -> Column:
+        if self.kind == "last":
+            return F.last(self.value, ignorenulls=True).over(frame)
+        return getattr(F, self.kind)(self.value).over(frame)
 
+    def of_range(self, order: list[str]) -> Column:
+        if self.kind == "last":
+            return F.max_by(self.value, F.when(self.value.isNotNull(), F.struct(*order)))
+        return getattr(F, self.kind)(self.value)
 
-def _earlier(keys: list[str]):
-    return (Window.partitionBy(*keys).orderBy("_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1))
+    def with_carry(self, here: Column, carry: Column) -> Column:
+        if self.kind == "sum":
+            return F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0))
+        if self.kind == "last":
+            return F.coalesce(here, carry)
+        # these skip nulls
+        return F.greatest(here, carry) if self.kind == "max" else F.least(here, carry)
 
 
-def _attach(local: DataFrame, carry: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Add the carry columns of a row's (group, bucket); a null key matches itself."""
-    names = keys + ["_bucket"]
-    right = carry.select(*[F.col(n).alias(f"_carry_{n}") for n in names], *columns)
-    same = [local[n].eqNullSafe(right[f"_carry_{n}"]) for n in names]
-    joined = local.join(right, reduce(lambda a, b: a & b, same), "left")
-    return joined.drop(*[f"_carry_{n}" for n in names], "_bucket")
+def running(rows: DataFrame, keys: list[str], order: list[str], **values: Running) -> DataFrame:
+    """``rows`` of ``ranged`` with each of ``values`` as a column, running within ``keys`` by ``order``."""
+    inside = Window.partitionBy(RANGE, *keys).orderBy(*order)
+    frame = {b: inside.rowsBetween(Window.unboundedPreceding, -1 if b else 0) for b in (False, True)}
+    by_range = Window.partitionBy(*keys).orderBy(RANGE)
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    pieces = rows.groupBy(RANGE, *keys).agg(*[v.of_range(order).alias(n) for n, v in values.items()])
+    left = lambda n, v: Running(v.kind, F.col(n)).over(earlier).alias(f"_carry_{n}")
+    same = lambda n: F.col(n).alias(f"_carry_{n}")
+    carry = (pieces.withColumn("_piece", F.row_number().over(by_range))
+             .select("_piece", *[same(n) for n in (RANGE, *keys)], *[left(n, v) for n, v in values.items()])
+             .where("_piece > 1").drop("_piece"))
+    local = rows.withColumns({f"_here_{n}": v.over(frame[v.before]) for n, v in values.items()})
+    match = [F.col(n).eqNullSafe(F.col(f"_carry_{n}")) for n in (RANGE, *keys)]
+    whole = local.join(carry, reduce(lambda a, b: a & b, match), "left")
+    return whole.select(*[F.col(f"`{c}`") for c in rows.columns if c not in values], *[
+        v.with_carry(F.col(f"_here_{n}"), F.col(f"_carry_{n}")).alias(n) for n, v in values.items()])
 
 
 def number_rows(df: DataFrame, keys: list[str], ts: str = "timestamp", tie: str = "event_id",
-                name: str = "session_sequence", bucket: str = BUCKET) -> DataFrame:
+                name: str = "session_sequence") -> DataFrame:
     """1-based position of each row in its group by (ts, tie)."""
-    rows = _bucketed(df, ts, bucket)
-    counts = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    carry = counts.withColumn("_before", F.sum("_n").over(_earlier(keys)))
-    local = rows.withColumn("_at", F.row_number().over(_inside(keys, [ts, tie])))
-    whole = _attach(local, carry, keys, ["_before"])
-    return (whole.withColumn(name, F.col("_at") + F.coalesce("_before", F.lit(0)))
-            .drop("_at", "_before"))
+    order = [ts, tie]
+    return running(ranged(df, keys, order), keys, order, **{name: Running("sum", F.lit(1))}).drop(RANGE)
 
 
 def latest_so_far(df: DataFrame, keys: list[str], value: Column, ts: str = "timestamp",
-                  tie: str = "event_id", name: str = "latest", bucket: str = BUCKET) -> DataFrame:
+                  tie: str = "event_id", name: str = "latest") -> DataFrame:
     """Largest non-null ``value`` at or before each row of its group."""
-    rows = _bucketed(df, ts, bucket).withColumn("_value", value)
-    carry = (rows.groupBy(*keys, "_bucket").agg(F.max("_value").alias("_m"))
-             .withColumn("_before", F.max("_m").over(_earlier(keys))))
-    upto = _inside(keys, [ts, tie]).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumn("_at", F.max("_value").over(upto))
-    whole = _attach(local, carry, keys, ["_before"])
-    # greatest() skips nulls
-    return whole.withColumn(name, F.greatest("_at", "_before")).drop("_value", "_at", "_before")
+    order = [ts, tie]
+    return running(ranged(df, keys, order), keys, order, **{name: Running("max", value)}).drop(RANGE)
 
 
 def neighbour_pairs(df: DataFrame, keys: list[str], value: str, ts: str = "timestamp",
-                    tie: str = "event_id", bucket: str = BUCKET) -> DataFrame:
+                    tie: str = "event_id") -> DataFrame:
     """How often ``value`` is followed directly by another value, over all groups.
 
-    Pairs inside a bucket and pairs across two buckets are counted apart and added, so no row
+    Pairs inside a range and pairs across two ranges are counted apart and added, so no row
     has to be joined to its predecessor.
     """
-    rows = _bucketed(df, ts, bucket)
-    step = rows.withColumn("_next", F.lead(F.struct(value)).over(_inside(keys, [ts, tie])))
+    rows = ranged(df.select(*dict.fromkeys([*keys, value, ts, tie])), keys, [ts, tie])
+    step = rows.withColumn("_next", F.lead(F.struct(value)).over(Window.partitionBy(RANGE, *keys).orderBy(ts, tie)))
     at = F.struct(ts, tie)
     inner = (step.where(F.col("_next").isNotNull())
              .groupBy(F.col(value).alias("from_value"), F.col(f"_next.{value}").alias("to_value"))
              .agg(F.count("*").alias("n")))
-    edges = rows.groupBy(*keys, "_bucket").agg(
-        F.min_by(value, at).alias("_first"), F.max_by(value, at).alias("_last"))
-    following = Window.partitionBy(*keys).orderBy("_bucket")
-    outer = (edges.withColumn("_to", F.lead(F.struct("_first")).over(following))
-             .where(F.col("_to").isNotNull())
-             .groupBy(F.col("_last").alias("from_value"), F.col("_to._first").alias("to_value"))
+    edges = rows.groupBy(*keys, RANGE).agg(
+        F.min_by(F.struct(value), at).alias("_first"), F.max_by(F.struct(value), at).alias("_last"))
+    following = Window.partitionBy(*keys).orderBy(RANGE)
+    outer = (edges.withColumn("_to", F.lead("_first").over(following)).where(F.col("_to").isNotNull())
+             .groupBy(F.col(f"_last.{value}").alias("from_value"), F.col(f"_to.{value}").alias("to_value"))
              .agg(F.count("*").alias("n")))
     return (inner.unionByName(outer).groupBy("from_value", "to_value")
             .agg(F.sum("n").alias("transitions")))
@@ -105,36 +125,6 @@ def chunk_rows(numbered: DataFrame, keys: list[str], columns: list[str], positio
 
 
 def sequence_chunks(df: DataFrame, keys: list[str], columns: list[str], ts: str = "timestamp",
-                    tie: str = "event_id", chunk_size: int = 1000, bucket: str = BUCKET) -> DataFrame:
+                    tie: str = "event_id", chunk_size: int = 1000) -> DataFrame:
     """``chunk_rows`` of each group by (ts, tie)."""
-    return chunk_rows(number_rows(df, keys, ts, tie, "_position", bucket), keys, columns, "_position", chunk_size)
-
-
-def running_cart(df: DataFrame, keys: list[str], amount: Column, clears: Column,
-                 ts: str = "timestamp", tie: str = "event_id", name: str = "cart_total",
-                 bucket: str = BUCKET) -> DataFrame:
-    """Running sum of ``amount`` in each group; a row where ``clears`` holds sets it to 0."""
-    order = _inside(keys, [ts, tie]).rowsBetween(Window.unboundedPreceding, 0)
-    rows = _bucketed(df, ts, bucket).withColumns({
-        "_amount": F.when(clears, F.lit(0).cast("decimal(18,4)")).otherwise(money(amount)),
-        "_clears": clears.cast("int")})
-    marked = rows.withColumn("_part", F.sum("_clears").over(order))
-    since = (Window.partitionBy(*keys, "_bucket", "_part").orderBy(ts, tie)
-             .rowsBetween(Window.unboundedPreceding, 0))
-    local = marked.withColumn("_at", F.sum("_amount").over(since))
-    # What a bucket leaves behind: the sum after its last clearing row, or its whole sum.
-    parts = local.groupBy(*keys, "_bucket", "_part").agg(F.sum("_amount").alias("_sum"))
-    left = parts.groupBy(*keys, "_bucket").agg(
-        F.max_by("_sum", "_part").alias("_tail"), F.max("_part").alias("_cleared"))
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    runs = left.withColumn("_run", F.sum(F.when(F.col("_cleared") > 0, 1).otherwise(0)).over(
-        by_bucket.rowsBetween(Window.unboundedPreceding, 0)))
-    in_run = (Window.partitionBy(*keys, "_run").orderBy("_bucket")
-              .rowsBetween(Window.unboundedPreceding, 0))
-    carry = (runs.withColumn("_upto", F.sum("_tail").over(in_run))
-             .withColumn("_before", F.lag("_upto").over(by_bucket)))
-    whole = _attach(local, carry, keys, ["_before"])
-    zero = F.lit(0).cast("decimal(18,4)")
-    total = F.coalesce("_at", zero) + F.when(F.col("_part") == 0, F.coalesce("_before", zero)).otherwise(zero)
-    return (whole.withColumn(name, total.cast("double"))
-            .drop("_amount", "_clears", "_part", "_at", "_before"))
+    return chunk_rows(number_rows(df, keys, ts, tie, "_position"), keys, columns, "_position", chunk_size)

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions import business as rules
 from clickloom.functions.numeric import money, seconds, slot
-from clickloom.operators.ordered import BUCKET, chunk_rows, latest_so_far
+from clickloom.operators.ordered import chunk_rows, latest_so_far, number_rows
+from clickloom.session import stored
 
 SESSION_KEYS = ["session_id", "user_id"]
 GAP = "30 minutes"
@@ -77,29 +78,21 @@ def session_metrics(events: DataFrame, gap: str = GAP) -> DataFrame:
 def events_with_session(events: DataFrame, keys: list[str] | None = None, gap: str = GAP) -> DataFrame:
     """Events with the ``session_start`` of their session and their ``position`` in it.
 
-    An event is numbered inside its slot; the events of the session's earlier slots are added
-    from the slot rows. The join and the numbering share one shuffle by (keys, slot).
+    The rows of the slots are stored before the join: one that holds a large share of the events
+    is then split at run time.
     """
     keys = keys or SESSION_KEYS
     us = F.unix_micros("timestamp")
-    width = min(gap, BUCKET, key=seconds)
-    rows = events.withColumn("_slot", slot(F.col("timestamp"), width))
-    slots = rows.groupBy(*keys, "_slot").agg(
-        F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.count("*").alias("n"))
-    earlier = (Window.partitionBy(*keys, "session_us").orderBy("_slot")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    located = (_slots_with_session(slots, keys, gap)
-               .withColumn("_ahead", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-               .select(*[F.col(k).alias(f"_slot_{k}") for k in keys], F.col("_slot").alias("_slot_no"),
-                       F.timestamp_micros("session_us").alias("session_start"), "_ahead"))
-    inside = Window.partitionBy(*keys, "_slot").orderBy("timestamp", "event_id")
-    numbered = rows.withColumn("_at", F.row_number().over(inside))
-    same = numbered["_slot"] == located["_slot_no"]
+    rows = events.withColumn("_slot", slot(F.col("timestamp"), gap))
+    slots = rows.groupBy(*keys, "_slot").agg(F.min(us).alias("first_us"), F.max(us).alias("last_us"))
+    located = stored(_slots_with_session(slots, keys, gap).select(
+        *[F.col(k).alias(f"_slot_{k}") for k in keys], F.col("_slot").alias("_slot_no"),
+        F.timestamp_micros("session_us").alias("session_start")), "slots")
+    same = F.col("_slot") == F.col("_slot_no")
     for k in keys:
-        same = same & numbered[k].eqNullSafe(located[f"_slot_{k}"])
-    return (numbered.join(located, same, "inner")
-            .withColumn("position", F.col("_at") + F.col("_ahead"))
-            .drop("_slot", "_slot_no", "_at", "_ahead", *[f"_slot_{k}" for k in keys]))
+        same = same & F.col(k).eqNullSafe(F.col(f"_slot_{k}"))
+    found = rows.join(located, same).drop("_slot", "_slot_no", *[f"_slot_{k}" for k in keys])
+    return number_rows(found, [*keys, "session_start"], name="position")
 
 
 def session_sequences(events: DataFrame, gap: str = GAP, chunk_size: int = 1000) -> DataFrame:

@@ -6,9 +6,10 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.numeric import seconds, slot_start
-from clickloom.operators.ordered import BUCKET
 
 SERIES = ["metric", "series"]
+# Samples of one series are ordered within such slots; one row per slot joins them.
+BUCKET = "10 minutes"
 
 # ---- Fixed values ---------------------------------------------------------------------------
 # Histogram bounds in seconds (the default bounds of the Prometheus client libraries).

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions import business as rules
 from clickloom.functions.numeric import money, money_sum, ratio, seconds, slot, slot_start
-from clickloom.operators.ordered import chunk_rows
+from clickloom.operators.ordered import chunk_rows, number_rows
 
 FUNNEL_STAGES = {
     "sessions_with_pageview": "page_view",
@@ -177,8 +177,7 @@ def behavior_sequences(events: DataFrame, size: str = "1 hour", slide: str = "10
         F.col("user_id").alias("_user"), F.col("_slide").alias("_at_slide"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_ahead"),
         F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"))
-    inside = Window.partitionBy("user_id", "_slide").orderBy("timestamp", "event_id")
-    numbered = rows.withColumn("_at", F.row_number().over(inside))
+    numbered = number_rows(rows, ["user_id", "_slide"], name="_at")
     joined = numbered.join(placed, numbered["user_id"].eqNullSafe(placed["_user"])
                            & (numbered["_slide"] == placed["_at_slide"]))
     chunks = chunk_rows(joined.withColumn("position", F.col("_at") + F.col("_ahead")),

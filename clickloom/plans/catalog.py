@@ -87,7 +87,7 @@ ev AS (SELECT CAST(n AS VARCHAR) AS event_id, n, k, v, user_no,
   CASE n % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'synthetic' END AS source,
   k % 20 = 0 AS no_properties, k % 10 = 0 AS no_metadata,
   CASE WHEN t = 'click' AND k % 20 <> 0 THEN CAST(k + 100 * (n % 20) AS VARCHAR) END AS product_id,
-  CASE WHEN t = 'click' AND k % 20 <> 0 THEN v END AS property_price,
+  CASE WHEN t = 'click' AND k % 20 <> 0 AND k % 3 <> 2 THEN v END AS property_price,
   CASE WHEN t = 'click' AND k % 20 <> 0 THEN 1 + k % 3 END AS quantity,
   CASE WHEN t = 'purchase' AND k % 20 <> 0 THEN v END AS total_amount,
   ts + to_microseconds(((n * 37 + k * 13) % 3000) * 1000) AS kafka_timestamp

@@ -113,14 +113,15 @@ def session_metrics_6h(spark, sf_dir):
     return _flat_sessions(_sessions(spark, sf_dir, "6 hours"))
 
 
-def _sequences_sql(size: int) -> str:
+def sequences_sql(size: int, closed: str = "true") -> str:
     return f"""WITH {ENR} {sessions_sql(21600)},
 placed AS (SELECT *, row_number() OVER (PARTITION BY session_id, user_id, run ORDER BY "timestamp", event_id) - 1 AS place,
-  min("timestamp") OVER (PARTITION BY session_id, user_id, run) AS session_start FROM numbered)
+  min("timestamp") OVER (PARTITION BY session_id, user_id, run) AS session_start,
+  max("timestamp") OVER (PARTITION BY session_id, user_id, run) AS session_end FROM numbered)
 SELECT session_id, user_id, session_start, CAST(place // {size} AS BIGINT) AS chunk,
   count(*) AS entries, string_agg(event_type, ',' ORDER BY "timestamp", event_id) AS event_sequence,
   string_agg(coalesce(product_id, '-'), ',' ORDER BY "timestamp", event_id) AS product_sequence
-FROM placed GROUP BY session_id, user_id, run, session_start, place // {size}"""
+FROM placed WHERE {closed} GROUP BY session_id, user_id, run, session_start, place // {size}"""
 
 
 def _sequences(spark, sf_dir, size):
@@ -129,12 +130,12 @@ def _sequences(spark, sf_dir, size):
     return rows.withColumn("product_sequence", names).drop("event_properties")
 
 
-@query("session_sequences", _sequences_sql(1000))
+@query("session_sequences", sequences_sql(1000))
 def session_sequences(spark, sf_dir):
     return _sequences(spark, sf_dir, 1000)
 
 
-@query("session_sequences_in_chunks", _sequences_sql(2))
+@query("session_sequences_in_chunks", sequences_sql(2))
 def session_sequences_in_chunks(spark, sf_dir):
     return _sequences(spark, sf_dir, 2)
 
@@ -277,20 +278,53 @@ def customer_value_segments(spark, sf_dir):
         F.col("total_spent"), F.col("total_orders")))
 
 
-@query("cart_totals", f"""WITH {EV},
-cart AS (SELECT *, CASE event_type WHEN 'add_to_cart' THEN 1 WHEN 'remove_from_cart' THEN -1 ELSE 0 END
-    * coalesce(property_price, 0) * coalesce(quantity, 1) AS change,
-  sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id
-    ORDER BY "timestamp", event_id ROWS UNBOUNDED PRECEDING) AS part
-  FROM ev WHERE event_type IN ('add_to_cart', 'remove_from_cart', 'purchase'))
-SELECT event_id, user_id, event_type, "timestamp", CAST(sum(CAST(change AS DECIMAL(18,4))) OVER (
-  PARTITION BY user_id, part ORDER BY "timestamp", event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cart_total
-FROM cart""")
+def _cart_sql(source: str) -> str:
+    """Steps through each user's events with the items of the cart as a map; ``source`` ends in ``cart``."""
+    def items(held):
+        entry = f"{held}[o.product]"
+        return f"""CASE o.event_type WHEN 'purchase' THEN MAP {{}}::MAP(VARCHAR, STRUCT(units BIGINT, price DECIMAL(18,4)))
+    ELSE map_concat({held}, MAP([o.product], [struct_pack(
+      units := greatest(0, coalesce({entry}.units, 0) + CASE o.event_type WHEN 'add_to_cart' THEN o.quantity ELSE -o.quantity END),
+      price := CASE WHEN o.event_type = 'add_to_cart' THEN coalesce(o.price, {entry}.price) ELSE {entry}.price END)])) END"""
+    return f"""WITH RECURSIVE {source},
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) AS at FROM cart),
+r AS (SELECT o.user_id, o.at, o.event_id, o.event_type, o."timestamp",
+    {items("(MAP {}::MAP(VARCHAR, STRUCT(units BIGINT, price DECIMAL(18,4))))")} AS items FROM o WHERE o.at = 1
+  UNION ALL SELECT o.user_id, o.at, o.event_id, o.event_type, o."timestamp", {items("r.items")}
+  FROM r JOIN o ON o.user_id = r.user_id AND o.at = r.at + 1)
+SELECT event_id, user_id, event_type, "timestamp", CAST(coalesce(list_sum(list_transform(map_values(items),
+  lambda x: CAST(x.units * coalesce(x.price, 0) AS DECIMAL(38,4)))), 0) AS DOUBLE) AS cart_total FROM r"""
+
+
+@query("cart_totals", _cart_sql(f"""{EV},
+cart AS (SELECT event_id, user_id, event_type, "timestamp", coalesce(product_id, '') AS product,
+  coalesce(quantity, 1) AS quantity, CAST(property_price AS DECIMAL(18,4)) AS price
+  FROM ev WHERE event_type IN ('add_to_cart', 'remove_from_cart', 'purchase'))"""))
 def cart_totals(spark, sf_dir):
     return carts.cart_totals(events(spark, sf_dir, ("click", "purchase"))).select(
         "event_id", "user_id", "event_type", "timestamp", "cart_total")
 
 
+CART_LINES = """lines AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    CAST(l_quantity AS BIGINT), CAST(floor(l_extendedprice) AS BIGINT)) AS id,
+  CAST(o_custkey AS VARCHAR) AS user_id, o_orderdate + to_seconds(60 * l_linenumber) AS t, CAST(l_partkey % 50 AS VARCHAR) AS product,
+  CAST(l_quantity AS BIGINT) AS n, floor(l_extendedprice / l_quantity) AS price, l_linenumber AS line
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+cart AS (SELECT id || '-a' AS event_id, user_id, 'add_to_cart' AS event_type, t AS "timestamp", product, n AS quantity,
+    CASE WHEN line % 7 <> 6 THEN CAST(price AS DECIMAL(18,4)) END AS price FROM lines
+  UNION ALL SELECT id || '-r', user_id, 'remove_from_cart', t + to_seconds(90), product, CASE line % 4 WHEN 0 THEN 99 ELSE n // 2 END,
+    NULL FROM lines WHERE line % 2 = 0
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), 'purchase', o_orderdate + INTERVAL 12 HOUR, '', 1, NULL
+    FROM orders WHERE o_orderkey % 3 = 0)"""
+
+
+@query("cart_items", _cart_sql(CART_LINES))
+def cart_items(spark, sf_dir):
+    """Order lines as carts: products come again at other prices, removals carry none and may take more than is there."""
+    return carts.cart_totals(tables.cart_events(spark, sf_dir)).select(
+        "event_id", "user_id", "event_type", "timestamp", "cart_total")
+
+
 def _idle_query(seconds):
     return f"""WITH {EV},
 gaps AS (SELECT *, CASE WHEN epoch_us("timestamp") - epoch_us(lag("timestamp") OVER w) <= {seconds * 1_000_000}

@@ -11,9 +11,9 @@ from clickloom.functions.numeric import money_sum
 from clickloom.operators import enrich, sessions, windows
 from clickloom.plans import event_queries  # its SQL is reused below
 from clickloom.plans.catalog import ENR, EV, ORACLES, as_of, money_sql, query, sessions_sql
-from clickloom.session import configure, fresh_path
+from clickloom.session import configure, fresh_path, stored
 from clickloom.sources import readers, tables
-from clickloom.streaming import carts, jobs, metrics, sinks
+from clickloom.streaming import carts, jobs, metrics, ordered as stream_ordered, sinks
 
 
 def event_stream(spark, sf_dir):
@@ -141,15 +141,54 @@ def stream_simple_summary(spark, sf_dir):
     return sinks.drain(spark, metrics.simple_summary(demo_stream(spark, sf_dir), "price"), "simple")
 
 
-@query("stream_cart_totals", f"""WITH {EV} SELECT * FROM ({ORACLES["cart_totals"]}) AS batch
-WHERE "timestamp" <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM ev
-  WHERE event_type IN ('add_to_cart', 'remove_from_cart', 'purchase')) - INTERVAL 30 MINUTE""")
+# What a stream of ordered state has taken: the seconds that the last watermark has passed.
+def _passed(clock: str, delay: str = "30 MINUTE", time: str = '"timestamp"') -> str:
+    return f"date_trunc('second', {time}) + INTERVAL 1 SECOND <= date_trunc('milliseconds', ({clock})) - INTERVAL {delay}"
+
+
+_CART_CLOCK = f"""WITH {EV} SELECT max("timestamp") FROM ev WHERE event_type IN ('add_to_cart', 'remove_from_cart', 'purchase')"""
+
+
+@query("stream_cart_totals", f"""SELECT * FROM ({ORACLES["cart_totals"]}) AS batch WHERE {_passed(_CART_CLOCK)}""")
 def stream_cart_totals(spark, sf_dir):
     """Events come in several batches and out of order; the totals are those of event-time order."""
     found = carts.cart_totals(event_batches(spark, sf_dir))
     return sinks.drain(spark, found, "carts").select("event_id", "user_id", "event_type", "timestamp", "cart_total")
 
 
+@query("stream_cart_items", f"""SELECT * FROM ({ORACLES["cart_items"]}) AS batch
+WHERE {_passed(f'WITH {event_queries.CART_LINES} SELECT max("timestamp") FROM cart', "1 DAY")}""")
+def stream_cart_items(spark, sf_dir):
+    """Carts of order lines in batches of three years; every other event of the last day before a cut comes a batch late."""
+    path, rows = fresh_path(spark, "cart-files"), tables.cart_events(spark, sf_dir)
+    year = lambda shift: F.floor(F.year(F.col("timestamp") + F.expr(f"interval {shift}")) / 3)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    numbered = stored(rows.withColumn("part", F.when(late, year("20 hours")).otherwise(year("0 hours"))), "cart-events")
+    for part in sorted(r[0] for r in numbered.select("part").distinct().collect()):
+        numbered.where(F.col("part") == part).drop("part").write.mode("append").parquet(path)
+    sent = readers.table_stream(spark, path, rows.schema, files_per_trigger=1)
+    found = carts.cart_totals(sent, "1 day", "9000 days")
+    return sinks.drain(spark, found, "carts").select("event_id", "user_id", "event_type", "timestamp", "cart_total")
+
+
+_EVENT_CLOCK = "SELECT max(ts) FROM events"
+
+
+@query("stream_session_sequence", f"""SELECT * FROM ({ORACLES["session_sequence"]}) AS batch WHERE {_passed(_EVENT_CLOCK)}""")
+def stream_session_sequence(spark, sf_dir):
+    found = stream_ordered.session_positions(event_batches(spark, sf_dir))
+    return sinks.drain(spark, found, "positions").select("event_id", "session_id", "timestamp", "session_sequence")
+
+
+@query("stream_session_sequences", event_queries.sequences_sql(
+    1000, _passed(_EVENT_CLOCK, time="(session_end + INTERVAL 6 HOUR)")))
+def stream_session_sequences(spark, sf_dir):
+    """The lists of closed sessions, from events in several batches and out of order."""
+    found = sinks.drain(spark, stream_ordered.session_sequences(event_batches(spark, sf_dir), "6 hours"), "lists")
+    names = F.transform("event_properties", lambda m: F.coalesce(m["product_id"], F.lit("-")))
+    return found.withColumn("product_sequence", names).drop("event_properties")
+
+
 @query("stream_enrichment_job", f"""WITH {ENR}
 SELECT CAST(hour("timestamp") AS BIGINT) AS hour_of_day, count(*) AS events, count(DISTINCT user_id) AS users,
   {money_sql('event_revenue')} AS revenue FROM enr

@@ -54,6 +54,8 @@ def canonical(rows: DataFrame, types: tuple[str, ...] = ()) -> DataFrame:
         "concat(cast(user_id as string), '_', date_format(at, 'yyyyMMdd')) AS session_id",
         "CASE event_id % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'synthetic' END AS source",
         """CASE WHEN k % 20 = 0 THEN cast(map() as map<string, string>)
+           WHEN event_type = 'click' AND k % 3 = 2 THEN map('product_id', cast(k + 100 * (event_id % 20) as string),
+             'quantity', cast(1 + k % 3 as string), 'k', cast(k as string))
            WHEN event_type = 'click' THEN map('product_id', cast(k + 100 * (event_id % 20) as string),
              'price', cast(value as string), 'quantity', cast(1 + k % 3 as string), 'k', cast(k as string))
            WHEN event_type = 'purchase' THEN map('total_amount', cast(value as string), 'k', cast(k as string))
@@ -162,6 +164,37 @@ def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.lit("items"), F.to_json(items)).alias("properties")))
 
 
+def cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as additions to the customer's cart, every second line partly removed again, every third order bought.
+    A removal names its product and quantity alone."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    text, line = lambda c: c.cast("string"), F.col("l_linenumber")
+    number = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long"),
+                         F.floor("l_extendedprice"))
+    at = F.unix_micros(F.col("o_orderdate").cast("timestamp")) + line * 60_000_000
+    product = text(F.col("l_partkey") % 50)
+    quantity = F.col("l_quantity").cast("long")
+    price = text(F.floor(F.col("l_extendedprice") / F.col("l_quantity")))
+    names = lambda *keys: F.array(*[F.lit(k) for k in keys])
+    priced = F.map_from_arrays(names("product_id", "quantity", "price"), F.array(product, text(quantity), price))
+    plain = F.map_from_arrays(names("product_id", "quantity"), F.array(product, text(quantity)))
+    taken = F.when(line % 4 == 0, 99).otherwise(F.floor(quantity / 2))
+    removed = F.map_from_arrays(names("product_id", "quantity"), F.array(product, text(taken)))
+    event = lambda suffix, kind, micros, properties: F.struct(
+        F.concat(number, F.lit(suffix)).alias("event_id"), F.lit(kind).alias("event_type"),
+        F.timestamp_micros(micros).alias("timestamp"), properties.alias("properties"))
+    added = event("-a", "add_to_cart", at, F.when(line % 7 != 6, priced).otherwise(plain))
+    gone = event("-r", "remove_from_cart", at + 90_000_000, removed)
+    user = text(F.col("o_custkey")).alias("user_id")
+    of_lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        user, F.inline(F.when(line % 2 == 0, F.array(added, gone)).otherwise(F.array(added))))
+    bought = orders.where(F.col("o_orderkey") % 3 == 0).select(
+        user, text(F.col("o_orderkey")).alias("event_id"), F.lit("purchase").alias("event_type"),
+        (F.col("o_orderdate").cast("timestamp") + F.expr("interval 12 hours")).alias("timestamp"),
+        F.create_map(F.lit("order_id"), text(F.col("o_orderkey"))).alias("properties"))
+    return of_lines.unionByName(bought)
+
+
 def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_demo(canonical_events(spark, sf_dir))
 

@@ -1,78 +1,59 @@
 """Cart value per user on a stream, counted in event-time order."""
 
-from collections.abc import Iterator
-from datetime import datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Row, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessorHandle
 
-from clickloom.functions.numeric import money, seconds
-from clickloom.operators.carts import cart_change
+from clickloom.functions.numeric import seconds
+from clickloom.operators.carts import CART_TYPES, cart_columns
+from clickloom.streaming.ordered import DELAY, IDLE, TimeOrdered, ordered
 
-OUTPUT = "user_id string, event_id string, event_type string, timestamp timestamp, cart_total double"
-WAITING = "timestamp timestamp, event_id string, event_type string, change decimal(18,4)"
-DELAY, IDLE = "30 minutes", "90 days"
+OUTPUT = "user_id string, event_id string, event_type string, us long, cart_total double"
 
 
-def _millis(moment: datetime) -> int:
-    """The first whole millisecond not before the moment."""
-    micros = round(moment.replace(tzinfo=moment.tzinfo or timezone.utc).timestamp() * 1_000_000)
-    return -(-micros // 1000)
+class CartState(TimeOrdered):
+    """A map from product to units and price, and the total; the rules are those of ``operators.carts``."""
 
-
-class CartState(StatefulProcessor):
-    """Adds each event's change to the user's total; a purchase sets it to 0.
-
-    Events wait until the watermark has passed them and are then counted by (timestamp, event id), so the order of
-    arrival does not matter; a user holds the events of one watermark delay and batch. A user without events for
-    ``idle`` milliseconds is forgotten.
-    """
-
-    def __init__(self, idle: int):
-        self.idle = idle
+    fields = {"event_type": "string", "product": "string", "units": "long", "price": "decimal(18,4)"}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.total = handle.getValueState("total", "total decimal(18,4), last long")
-        self.waiting = handle.getListState("waiting", WAITING)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.timestamp, r.event_id, r.event_type, r.change) for r in rows]
-        if new:
-            self.waiting.appendList(new)
-            for at in {_millis(r[0]) for r in new}:
-                self.handle.registerTimer(at)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        ready = sorted((r for r in held if _millis(r[0]) <= watermark), key=lambda r: (r[0], r[1]))
-        total, last = self.total.get() if self.total.exists() else (Decimal(0), 0)
-        for timestamp, event_id, event_type, change in ready:
-            total = Decimal(0) if event_type == "purchase" else total + change
-            last = max(last, _millis(timestamp))
-            yield Row(user_id=key[0], event_id=event_id, event_type=event_type,
-                      timestamp=timestamp, cart_total=float(total))
-        rest = [r for r in held if _millis(r[0]) > watermark]
-        if ready:
-            self.waiting.put(rest) if rest else self.waiting.clear()
-            self.total.update((total, last))
-            self.handle.registerTimer(last + self.idle)
-        elif not rest and self.total.exists() and last + self.idle <= watermark:
-            self.total.clear()
-
-    def close(self) -> None:
-        pass
+        super().init(handle)
+        self.items = handle.getMapState("items", "product string", "units long, price decimal(18,4)")
+        self.total = handle.getValueState("total", "total decimal(38,4)")
+
+    def take(self, key, events):
+        total = self.total.get()[0] if self.total.exists() else Decimal(0)
+        touched, emptied = {}, False
+        for event in events:
+            if event.event_type == "purchase":
+                total, touched, emptied = Decimal(0), {}, True
+            else:
+                product = "" if event.product is None else f"={event.product}"
+                if product not in touched:
+                    kept = None if emptied or not self.items.containsKey((product,)) else self.items.getValue((product,))
+                    touched[product] = (0, None) if kept is None else tuple(kept)
+                units, price = touched[product]
+                after = max(0, units + event.units), price if event.price is None else event.price
+                total += after[0] * (after[1] or Decimal(0)) - units * (price or Decimal(0))
+                touched[product] = after
+            yield Row(user_id=key[0], event_id=event.event_id, event_type=event.event_type, us=event.us,
+                      cart_total=float(total))
+        if emptied:
+            self.items.clear()
+        for product, held in touched.items():
+            self.items.updateValue((product,), held)
+        self.total.update((total,))
+
+    def forget(self):
+        self.items.clear()
+        self.total.clear()
 
 
 def cart_totals(events: DataFrame, delay: str = DELAY, idle: str = IDLE) -> DataFrame:
-    """The cart after each event that the watermark has passed."""
-    changes = (events.where(F.col("event_type").isin("add_to_cart", "remove_from_cart", "purchase"))
-               .select("user_id", "event_id", "event_type", "timestamp",
-                       F.coalesce(money(cart_change()), F.lit(0).cast("decimal(18,4)")).alias("change"))
-               .withWatermark("timestamp", delay))
-    return changes.groupBy("user_id").transformWithState(
-        statefulProcessor=CartState(1000 * seconds(idle)), outputStructType=OUTPUT, outputMode="Append",
-        timeMode="EventTime")
+    """The cart after each event whose second the watermark has passed."""
+    names = {"_product": "product", "_units": "units", "_price": "price"}
+    rows = (events.where(F.col("event_type").isin(*CART_TYPES)).withColumns(cart_columns())
+            .select("user_id", "event_id", "event_type", "timestamp", *[F.col(a).alias(b) for a, b in names.items()]))
+    found = ordered(rows, ["user_id"], CartState(1000 * seconds(idle)), OUTPUT, delay)
+    return found.withColumn("timestamp", F.timestamp_micros("us")).drop("us")

@@ -17,7 +17,8 @@ def skewed(spark):
         second = rnd.randrange(0, 4 * 86400) if i % 7 else 3600
         kind = rnd.choice(["add_to_cart", "remove_from_cart", "purchase", "page_view", "session_started"])
         rows.append((f"{i:05d}", kind, second * 1_000_000 + rnd.randrange(3) * 500_000, session or "nobody", session,
-                     rnd.choice(["web", "mobile"]), {"price": str(rnd.randrange(1, 50)), "quantity": "2"},
+                     rnd.choice(["web", "mobile"]), {"product_id": str(rnd.randrange(4)), "quantity": str(rnd.randrange(1, 4))}
+                     | ({"price": str(rnd.randrange(1, 50))} if kind == "add_to_cart" else {}),
                      "A", float(rnd.randrange(10))))
     df = spark.createDataFrame(rows, "event_id string, event_type string, us long, user_id string, session_id string, "
                                "source string, properties map<string,string>, customer_segment string, event_revenue double")
@@ -42,24 +43,40 @@ def test_latest_so_far(skewed):
     assert found.where("NOT (plain <=> latest)").count() == 0
 
 
-def test_cart_totals(skewed):
-    rows = sorted(skewed.collect(), key=lambda r: (r.user_id, r.timestamp, r.event_id))
-    wanted, total, user = {}, 0.0, None
-    for r in rows:
-        if r.user_id != user:
-            user, total = r.user_id, 0.0
-        worth = float(r.properties["price"]) * 2
+def plain_carts(rows):
+    """The total after each event, by a dictionary of products for each user."""
+    wanted, carts_of = {}, {}
+    for r in sorted(rows, key=lambda r: (r.timestamp, r.event_id)):
+        cart = carts_of.setdefault(r.user_id, {})
+        product, n = r.properties.get("product_id"), int(r.properties.get("quantity", 1))
+        units, price = cart.get(product, (0, 0.0))
         if r.event_type == "add_to_cart":
-            total += worth
+            cart[product] = units + n, float(r.properties.get("price", price))
         elif r.event_type == "remove_from_cart":
-            total -= worth
+            cart[product] = max(0, units - n), price
         elif r.event_type == "purchase":
-            total = 0.0
+            cart.clear()
         else:
             continue
-        wanted[r.event_id] = total
-    found = {r.event_id: r.cart_total for r in carts.cart_totals(skewed).collect()}
-    assert found == wanted
+        wanted[r.event_id] = sum(u * p for u, p in cart.values())
+    return wanted
+
+
+def test_cart_totals(skewed):
+    assert {r.event_id: r.cart_total for r in carts.cart_totals(skewed).collect()} == plain_carts(skewed.collect())
+
+
+def test_removals_take_the_price_of_the_addition(make):
+    item = lambda product, quantity, price=None: {"product_id": product, "quantity": str(quantity)} | (
+        {"price": str(price)} if price else {})
+    steps = [("add_to_cart", item("a", 2, 10)), ("add_to_cart", item("b", 1, 5)), ("remove_from_cart", item("a", 2)),
+             ("remove_from_cart", item("a", 3)), ("add_to_cart", item("a", 1, 7)), ("add_to_cart", item("a", 1)),
+             ("add_to_cart", {"price": "bad"}), ("remove_from_cart", item("z", 1)), ("purchase", {}), ("remove_from_cart", item("b", 1)),
+             ("add_to_cart", item("b", 2))]
+    events = make([{"ts": f"2024-01-01 00:{i:02d}:00", "event_id": f"{i:02d}", "event_type": t, "properties": p}
+                   for i, (t, p) in enumerate(steps)])
+    found = [r.cart_total for r in carts.cart_totals(events).orderBy("event_id").collect()]
+    assert found == [20.0, 25.0, 5.0, 5.0, 12.0, 19.0, 19.0, 19.0, 0.0, 0.0, 0.0]
 
 
 def test_transitions(skewed):
@@ -185,3 +202,31 @@ def test_ip_lookup(spark):
     networks = networks.select("country", insights.ip_number(F.col("a")).alias("first_ip"), insights.ip_number(F.col("b")).alias("last_ip"))
     found = {r.event_id: r.country for r in insights.locate_ip(df, networks, insights.ip_number(F.col("ip"))).collect()}
     assert found == {"a": "X", "b": "X", "c": None, "d": None, "e": None, "f": None, "g": None}
+
+
+def test_no_range_holds_a_hot_group(spark, monkeypatch):
+    """Half of all rows in ten minutes of one session, the other half without a session id."""
+    n = F.col("id")
+    rows = spark.range(0, 40000, numPartitions=8).select(
+        F.format_string("%06d", n).alias("event_id"), F.when(n % 2 == 0, "hot").alias("session_id"), F.lit("u").alias("user_id"),
+        F.timestamp_micros(1_704_067_200_000_000 + (n * 7919 % 40000) * 15_000).alias("timestamp"),
+        F.when(n % 5 == 0, "purchase").otherwise("add_to_cart").alias("event_type"), F.create_map(F.lit("k"), F.lit("1")).alias("properties"))
+    tables, keep = [], ordered.stored
+    monkeypatch.setattr(ordered, "stored", lambda df, name: tables.append(keep(df, name)) or tables[-1])
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        plain = Window.partitionBy("session_id").orderBy(*ORDER)
+        checked = rows.withColumn("plain", F.row_number().over(plain))
+        assert ordered.number_rows(checked, ["session_id"]).where("plain <> session_sequence").count() == 0
+        sessions.session_sequences(rows).count()
+        insights.journey_transitions(rows).count()
+        sessions.session_age(rows, "purchase").count()
+        carts.cart_totals(rows, ["session_id"]).count()
+        windows.behavior_sequences(rows).count()
+    finally:
+        spark.conf.set(name, "true")
+    assert len(tables) == 8
+    for table in tables:
+        sizes = sorted(r["count"] for r in table.groupBy("_range").count().collect())
+        assert len(sizes) > 4 and sizes[-1] < 2 * sizes[len(sizes) // 2]
