@@ -48,6 +48,8 @@ BLOCK_CHARS, BLOCK_DOCS = 2 << 20, 1 << 14
 KEPT, KEPT_CHARS = 400_000, 64
 # A word starts at a space between visible ASCII characters: neither vocabulary has a token across such a place.
 START = re.compile(r"(?<=[!-~]) (?=[!-~])")
+VISIBLE = re.compile(r"[!-~](?s:.*[!-~])?")
+TOGETHER = 4000
 SEPARATORS = (",", "|", ";", "")
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -68,19 +70,45 @@ class Words(dict):
     def of(self, words: list[str]) -> list[tuple[bytes, bytes, bool]]:
         new = [w for w in dict.fromkeys(words) if w not in self]
         fresh = {}
-        for at in range(0, len(new), 1000):
-            some = new[at:at + 1000]
-            a_ids = [e.ids for e in self.a.encode_batch([" " + w for w in some], add_special_tokens=False)]
-            for word, a, b in zip(some, a_ids, self.b.encode(some, num_threads=1)):
+        for at in range(0, len(new), TOGETHER):
+            fresh |= self.encoded(new[at:at + TOGETHER])
+        for word, found in fresh.items():
+            if len(self) < KEPT and len(word) <= KEPT_CHARS:
+                self[word] = found
+        return [fresh.get(w) or self[w] for w in words]
+
+    def encoded(self, words: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
+        """Words that start and end in visible ASCII are encoded as one text and cut apart; the others one by one."""
+        many = [w for w in words if VISIBLE.fullmatch(w)]
+        text = " ".join(many)
+        sides = [self.cut(ids, side, text, many) for ids, side in (
+            (self.a.encode(" " + text, add_special_tokens=False).ids, self.a_bytes),
+            (self.b.encode(text, num_threads=1), self.b_bytes))] if many else [[], []]
+        if None in sides:
+            many, sides = [], [[], []]
+        found = {w: (a, b, True) for w, a, b in zip(many, *sides)}
+        for word in words:
+            if word not in found:
+                a, b = self.a.encode(" " + word, add_special_tokens=False).ids, self.b.encode(word, num_threads=1)
                 body = (" " + word).encode()
                 same = (b"".join(map(self.a_bytes.__getitem__, a)) == body
                         and b"".join(map(self.b_bytes.__getitem__, b)) == body)
-                found = np.array(a, "<u2").tobytes(), np.array(b, "<u2").tobytes(), same
-                if len(self) < KEPT and len(word) <= KEPT_CHARS:
-                    self[word] = found
-                else:
-                    fresh[word] = found
-        return [self.get(w) or fresh[w] for w in words]
+                found[word] = np.array(a, "<u2").tobytes(), np.array(b, "<u2").tobytes(), same
+        return found
+
+    @staticmethod
+    def cut(ids: list[int], side: list[bytes], text: str, words: list[str]) -> list[bytes] | None:
+        """The ids of each word, as 16-bit numbers; none if the tokens do not end where the words do."""
+        tokens = list(map(side.__getitem__, ids))
+        if b"".join(tokens) != (" " + text).encode():
+            return None
+        ends = np.cumsum(list(map(len, tokens)))
+        wanted = np.cumsum([len(w.encode()) + 1 for w in words])
+        last = np.searchsorted(ends, wanted)
+        if (ends[last] != wanted).any():
+            return None
+        body, stops = np.array(ids, "<u2").tobytes(), (2 * (last + 1)).tolist()
+        return [body[a:b] for a, b in zip([0, *stops], stops)]
 
 
 @lru_cache(maxsize=1)
