@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.numeric import money, money_sum, ratio, slot_start
 from clickloom.operators.ordered import neighbour_pairs
+from clickloom.session import stored
 
 
 def anomaly_windows(events: DataFrame, every: str = "1 hour", trailing: int = 24,
@@ -145,20 +146,82 @@ def product_performance(events: DataFrame, items: DataFrame, products: DataFrame
             .withColumn("units_per_view", ratio(F.col("units"), F.col("views"))))
 
 
+# What a text can be read as. The bits of several values are merged by "or"; the kind they make together is the lowest one
+# that holds them all.
+INTEGER, NUMBER, BOOLEAN, TEXT = 1, 2, 4, 8
+
+
+def value_kind(text: Column) -> Column:
+    """The bit of a value's kind; 0 for null."""
+    return (F.when(text.isNull(), 0).when(text.rlike(r"^[+-]?\d{1,18}$"), INTEGER)
+            .when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), NUMBER)
+            .when(F.lower(text).isin("true", "false"), BOOLEAN).otherwise(TEXT))
+
+
+def kind_name(bits: Column) -> Column:
+    """integer < number < text and boolean < text; null is below all."""
+    has = lambda bit: bits.bitwiseAND(bit) != 0
+    return (F.when(has(TEXT) | has(BOOLEAN) & has(INTEGER | NUMBER), "text").when(has(BOOLEAN), "boolean")
+            .when(has(NUMBER), "number").when(has(INTEGER), "integer").otherwise("null"))
+
+
+def kind_bits(name: Column) -> Column:
+    return (F.when(name == "integer", INTEGER).when(name == "number", NUMBER).when(name == "boolean", BOOLEAN)
+            .when(name == "text", TEXT).otherwise(0))
+
+
 def schema_drift(events: DataFrame, baseline: DataFrame, field: str = "properties") -> DataFrame:
-    """Map keys of each day and type that the baseline (event_type, key) does not list, and
-    listed ones that are absent that day."""
-    keys = (events.select(F.to_date("timestamp").alias("day"), "event_type",
-                          F.explode(F.map_keys(field)).alias("key")).groupBy("day", "event_type", "key")
-            .agg(F.count("*").alias("rows")))
-    known = baseline.select("event_type", "key").distinct()
-    unknown = keys.join(known, ["event_type", "key"], "left_anti").withColumn("drift", F.lit("new_key"))
-    days = events.select(F.to_date("timestamp").alias("day"), "event_type").distinct()
-    due = days.join(known, "event_type")
+    """What differs from the baseline (event_type, key and perhaps ``kind``) on a day: keys it does not list, listed ones
+    that are absent, and keys whose values no longer fit their listed kind.
+
+    The events are read once, to one row per day, type and key.
+    """
+    cells = F.explode_outer(F.map_entries(field)).alias("cell")
+    daily = stored(events.select(F.to_date("timestamp").alias("day"), "event_type", cells)
+                   .groupBy("day", "event_type", F.col("cell.key").alias("key"))
+                   .agg(F.count("*").alias("rows"), F.bit_or(value_kind(F.col("cell.value"))).alias("bits")), "daily-keys")
+    keys = daily.where(F.col("key").isNotNull())
+    kind = F.col("kind") if "kind" in baseline.columns else F.lit(None).cast("string")
+    known = baseline.select("event_type", "key", kind.alias("kind")).distinct()
+    found = keys.join(known.withColumn("listed", F.lit(True)), ["event_type", "key"], "left")
+    fits = kind_name(F.col("bits").bitwiseOR(kind_bits(F.col("kind")))) == F.col("kind")
+    drift = F.when(F.col("listed").isNull(), "new_key").when(~fits, "changed_type")
+    present = found.withColumn("drift", drift).where("drift IS NOT NULL").select("day", "event_type", "key", "rows", "drift")
+    due = daily.select("day", "event_type").distinct().join(known, "event_type")
     absent = (due.join(keys, ["day", "event_type", "key"], "left_anti")
               .select("day", "event_type", "key", F.lit(0).cast("long").alias("rows"),
                       F.lit("missing_key").alias("drift")))
-    return unknown.select("day", "event_type", "key", "rows", "drift").unionByName(absent)
+    return present.unionByName(absent)
+
+
+def daily_sketches(df: DataFrame, columns: list[str], day: Column) -> DataFrame:
+    """One row per day and column, to be merged over any range of days: rows, nulls, smallest and largest text, and
+    sketches of the distinct values and, for numeric columns, of the quantiles."""
+    numeric = {c for c in columns if df.schema[c].dataType.typeName() in ("double", "float", "long", "integer", "short")}
+    aggs = [F.count("*").alias("rows")]
+    for c in columns:
+        text = F.col(c).cast("string")
+        quantiles = F.kll_sketch_agg_double(F.col(c).cast("double")) if c in numeric else F.lit(None).cast("binary")
+        aggs += [F.struct(
+            F.lit(c).alias("column_name"), F.count(c).alias("values"), F.hll_sketch_agg(text).alias("distinct"),
+            (F.when(F.count(c) > 0, quantiles) if c in numeric else quantiles).alias("quantiles"),
+            F.min(text).alias("min_value"), F.max(text).alias("max_value")).alias(f"_{c}")]
+    one = df.groupBy(day.alias("day")).agg(*aggs)
+    return one.select("day", "rows", F.inline(F.array(*[f"_{c}" for c in columns])))
+
+
+def merged_profile(sketches: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """The profile of the days of ``sketches``: rows, null share, estimated distinct values and quantiles, bounds."""
+    merged = sketches.groupBy("column_name").agg(
+        F.sum("rows").alias("rows"), F.sum("values").alias("values"),
+        F.hll_union_agg("distinct").alias("distinct"), F.kll_merge_agg_double("quantiles").alias("sketch"),
+        F.count("quantiles").alias("sketched"), F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"))
+    ranks = F.array(*[F.lit(q) for q in quantiles])
+    return merged.select(
+        "column_name", "rows", (ratio(F.col("rows") - F.col("values"), F.col("rows")) * 100.0).alias("null_percent"),
+        F.hll_sketch_estimate("distinct").alias("distinct_values"),
+        F.when(F.col("sketched") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("quantiles"),
+        "min_value", "max_value")
 
 
 def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> DataFrame:
@@ -194,19 +257,40 @@ def ip_number(text: Column) -> Column:
     return F.when(valid, number)
 
 
+def address_prefixes(networks: DataFrame) -> DataFrame:
+    """Each range (first_ip, last_ip, ...) as the fewest aligned blocks that make it up: ``_bits`` (the size of a block as a
+    power of two) and ``_prefix`` (the address without these bits). A range has at most two blocks of a size."""
+    first, end = F.col("first_ip"), F.col("last_ip") + 1
+    low = lambda bits: F.shiftright(first + F.lit((1 << bits) - 1), bits)
+    high = lambda bits: F.shiftright(end, bits)
+    blocks = []
+    for bits in range(33):
+        # Complete blocks of this size that do not lie in a complete one of the next.
+        within = low(bits + 1) < high(bits + 1)
+        left = F.when(low(bits) < F.when(within, 2 * low(bits + 1)).otherwise(high(bits)), low(bits))
+        right = F.when(within, F.when(2 * high(bits + 1) < high(bits), 2 * high(bits + 1))).when(
+            low(bits) + 1 < high(bits), low(bits) + 1)
+        blocks += [F.struct(F.lit(bits).alias("_bits"), side.alias("_prefix")) for side in (left, right)]
+    return networks.select("*", F.inline(F.filter(F.array(*blocks), lambda b: b["_prefix"].isNotNull())))
+
+
 def locate_ip(events: DataFrame, networks: DataFrame, address: Column, key: str = "event_id") -> DataFrame:
-    """Left join of an address with disjoint ranges (first_ip, last_ip, ...) as whole numbers.
+    """Left join of an address with ranges (first_ip, last_ip, ...) as whole numbers; of several ranges the one with the
+    longest matching prefix counts, then the first by its columns.
 
-    A range is listed under each 65536-block it touches, so the join compares equal block
-    numbers and tests the bounds only inside a block. Events without an address get block
-    numbers of their own, below 0, and match nothing.
+    Ranges become prefixes, and every distinct address asks once for each prefix length in use: an equality join, however
+    many ranges lie in one block. Events without an address get numbers of their own, below 0, and match nothing.
     """
-    block = 65536
-    of = lambda n: ((n - F.pmod(n, F.lit(block))) / block).cast("long")
-    listed = networks.withColumn("_network_block", F.explode(F.sequence(of(F.col("first_ip")), of(F.col("last_ip")))))
+    names = [c for c in networks.columns if c not in ("first_ip", "last_ip")]
+    listed = stored(address_prefixes(networks).select("_bits", "_prefix", *names), "prefixes")
+    # At most 33 numbers.
+    lengths = sorted(r[0] for r in listed.select("_bits").distinct().collect())
     nowhere = -F.lit(1) - F.pmod(F.xxhash64(key), F.lit(4096))
-    numbered = events.withColumn("_ip", address)
-    placed = numbered.withColumn("_block", F.coalesce(of(F.col("_ip")), nowhere))
-    inside = ((F.col("_block") == F.col("_network_block"))
-              & (F.col("_ip") >= F.col("first_ip")) & (F.col("_ip") <= F.col("last_ip")))
-    return placed.join(listed, inside, "left").drop("_ip", "_block", "_network_block", "first_ip", "last_ip")
+    numbered = events.withColumn("_ip", F.coalesce(address, nowhere))
+    asked = F.array(*[F.struct(F.lit(b).alias("_bits"), F.shiftright("_ip", b).alias("_prefix")) for b in lengths]).cast(
+        "array<struct<_bits:int,_prefix:bigint>>")
+    asking = numbered.select("_ip").where("_ip >= 0").distinct().select("_ip", F.inline(asked))
+    best = F.min(F.struct("_bits", *names)).alias("_best")
+    hits = stored(asking.join(listed, ["_bits", "_prefix"]).groupBy("_ip").agg(best), "located")
+    found = numbered.join(hits, "_ip", "left")
+    return found.select(*[F.col(f"`{c}`") for c in events.columns], *[F.col(f"_best.`{n}`").alias(n) for n in names])

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.functions.numeric import money_sum, slot_start
-from clickloom.operators.warehouse import in_partitions, rewrite_partitions
+from clickloom.operators import snapshots
 
 # ---- Fixed values: viewer region -> customer regions it may see ------------------------------
 REGION_ACCESS = {"US": ["US", "CA"], "EU": ["EU", "UK"]}
@@ -14,12 +14,9 @@ def without_users(events: DataFrame, opted_out: DataFrame) -> DataFrame:
     return events.join(opted_out.select("user_id"), "user_id", "left_anti")
 
 
-def erase_from_table(spark: SparkSession, path: str, erased: DataFrame, partitions: list[str]) -> None:
-    """Rewrite only the partitions that hold rows of erased users, without those rows."""
-    table = spark.read.parquet(path)
-    touched = table.join(erased.select("user_id"), "user_id", "left_semi").select(*partitions).distinct()
-    kept = without_users(in_partitions(table, touched, partitions), erased)
-    rewrite_partitions(spark, path, touched, kept, partitions)
+def erase_from_table(spark: SparkSession, path: str, erased: DataFrame) -> None:
+    """Remove all rows of the erased users from a snapshot table; only files that hold such rows are rewritten."""
+    snapshots.erase(spark, path, erased, ["user_id"])
 
 
 def visible_to(customers: DataFrame, viewer_region: str, region: Column,

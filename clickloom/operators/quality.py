@@ -137,13 +137,27 @@ def order_rules(total: str = "total_amount", discount: str = "discount_amount",
     ]
 
 
+def parsed_messages(messages: DataFrame) -> DataFrame:
+    """Messages with ``_e``, the parsed record and, as ``_bad``, what could not be read of it."""
+    schema = T.StructType(schemas.RAW_EVENT.fields + [T.StructField("_bad", T.StringType())])
+    return messages.withColumn("_e", F.explode(parsed_once(F.col("value"), schema, {"columnNameOfCorruptRecord": "_bad"})))
+
+
+def events_of(parsed: DataFrame) -> DataFrame:
+    """The events of ``parsed_messages``, as ``parse_events`` gives them."""
+    return parsed.select(*[F.col(f"_e.{f.name}") for f in schemas.RAW_EVENT.fields],
+                         F.col("timestamp").alias("kafka_timestamp"), "offset", "partition")
+
+
 def quarantine(messages: DataFrame, as_of: Column | None = None,
                processor: str = "event_parser") -> DataFrame:
     """Messages that do not become a usable event, as dead-letter rows."""
+    return dead_letters(parsed_messages(messages), as_of, processor)
+
+
+def dead_letters(parsed: DataFrame, as_of: Column | None = None, processor: str = "event_parser") -> DataFrame:
+    """The same from parsed messages."""
     now = F.current_timestamp() if as_of is None else as_of
-    schema = T.StructType(schemas.RAW_EVENT.fields + [T.StructField("_bad", T.StringType())])
-    parsed = messages.withColumn("_e", F.explode(parsed_once(
-        F.col("value"), schema, {"columnNameOfCorruptRecord": "_bad"})))
     required = ["event_id", "user_id", "event_type", "timestamp"]
     absent = F.concat_ws(",", *[F.when(F.col(f"_e.{c}").isNull(), F.lit(c)) for c in required])
     unreadable = F.col("value").isNull() | F.col("_e").isNull() | F.col("_e._bad").isNotNull()

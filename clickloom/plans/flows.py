@@ -5,9 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.functions import business as rules
-from clickloom.operators import enrich, quality, sessions, warehouse, windows
+from clickloom.operators import enrich, quality, sessions, snapshots, warehouse, windows
 from clickloom.session import configure, shared_folder
-from clickloom.sources.readers import parse_events
 
 DAY = ["event_date"]
 # Of copies of an event the last one counts: by event time, then by place in the log.
@@ -26,21 +25,16 @@ class Enrichment:
 
 def enrichment(messages: DataFrame, profiles: DataFrame, products: DataFrame,
                as_of: Column | None = None) -> Enrichment:
-    return derived(enrich.enrich(parse_events(messages), profiles, products, as_of), messages, as_of)
+    parsed = quality.parsed_messages(messages)
+    return derived(enrich.enrich(quality.events_of(parsed), profiles, products, as_of), parsed, as_of)
 
 
-def derived(scored: DataFrame, messages: DataFrame, as_of: Column | None = None) -> Enrichment:
-    """The outputs of scored events and of the messages they came from."""
+def derived(scored: DataFrame, parsed: DataFrame, as_of: Column | None = None) -> Enrichment:
+    """The outputs of scored events and of the parsed messages they came from."""
     return Enrichment(
         events=scored, lake=enrich.valid_events(scored),
         metrics=windows.stamped(windows.realtime_metrics(scored), as_of),
-        issues=enrich.quality_issues(scored, as_of), dead_letters=quality.quarantine(messages, as_of))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+        issues=enrich.quality_issues(scored, as_of), dead_letters=quality.dead_letters(parsed, as_of))
 
 
 def _days(df: DataFrame) -> list:
@@ -61,16 +55,20 @@ def hourly_run(spark: SparkSession, messages: DataFrame, profiles: DataFrame, pr
     Tables under ``root``: events and user_sessions by day, daily_summary, daily_metrics, user_segments, and by run
     dead_letters, quality_issues and realtime_metrics. A run repeated with the same messages leaves the same tables; a
     failed check leaves no report. Of the stored events only days are read that the run's events, or stored sessions
-    with their ids, lie in; the upsert reads the other days' keys alone.
+    with their ids, lie in; the upsert opens the files that hold its keys, by the key index. Both tables are snapshots: a
+    run that stops leaves the last published version.
     """
     configure(spark)
     shared_folder(spark)
-    fresh = quality.freshness(enrich.require_fields(parse_events(messages)), as_of, within)
+    # Parsed once, for freshness, for the events and for the dead letters.
+    parsed = quality.parsed_messages(messages).checkpoint()
+    raw = quality.events_of(parsed)
+    fresh = quality.freshness(enrich.require_fields(raw), as_of, within)
     _require(fresh.select(F.lit("no new events").alias("what"), "passed"), "freshness")
 
     # Read by several steps below, so it is computed once and survives lost executors.
-    scored = enrich.enrich(parse_events(messages), profiles, products, as_of).checkpoint()
-    made = derived(scored, messages, as_of)
+    scored = enrich.enrich(raw, profiles, products, as_of).checkpoint()
+    made = derived(scored, parsed, as_of)
     staging = (made.lake.withColumns({
         "event_date": F.to_date("timestamp"), "updated_at": F.lit(None).cast("timestamp")})
         .drop("enriched_timestamp", "processing_date"))
@@ -84,34 +82,34 @@ def hourly_run(spark: SparkSession, messages: DataFrame, profiles: DataFrame, pr
         warehouse.write_days(rows.withColumn("run", F.date_format(as_of, "yyyyMMddHHmmss")), f"{root}/{name}", ["run"])
 
     events_path, sessions_path = f"{root}/events", f"{root}/user_sessions"
-    if _exists(spark, events_path):
-        warehouse.upsert_table(spark, events_path, staging, DAY, as_of, order=LAST)
+    if snapshots.exists(spark, events_path):
+        snapshots.upsert(spark, events_path, staging, as_of, order=LAST)
     else:
-        warehouse.write_days(warehouse.latest_per_key(staging, ["event_id"], list(LAST)), events_path, DAY)
-    events = spark.read.parquet(events_path)
+        snapshots.create(spark, events_path, warehouse.latest_per_key(staging, ["event_id"], list(LAST)), DAY, ["event_id"])
+    events = snapshots.read(spark, events_path)
 
     # A new event can lengthen a session or join two: all sessions of its session id are redone.
     ids = staging.select("session_id", "user_id").distinct()
     days = _days(staging)
-    stored = _exists(spark, sessions_path)
+    stored = snapshots.exists(spark, sessions_path)
     if stored:
-        earlier = spark.read.parquet(sessions_path).join(ids, ["session_id", "user_id"], "left_semi").select(F.explode(
+        earlier = snapshots.read(spark, sessions_path).join(ids, ["session_id", "user_id"], "left_semi").select(F.explode(
             F.sequence(F.to_date("session_start"), F.to_date("session_end"))).alias("event_date"))
         days = sorted({*days, *_days(earlier)})
     redone = sessions.session_metrics(events.where(F.col("event_date").isin(days)).join(
         ids, ["session_id", "user_id"], "left_semi"))
     redone = redone.withColumn("event_date", F.to_date("session_start"))
     if stored:
-        warehouse.replace_rows(spark, sessions_path, redone, ["session_id", "user_id"], DAY)
+        snapshots.replace_rows(spark, sessions_path, redone, ["session_id", "user_id"])
     else:
-        warehouse.write_days(redone, sessions_path, DAY)
+        snapshots.create(spark, sessions_path, redone, DAY, ["session_id", "user_id"])
 
     today = events.where(F.col("event_date").isin(_days(staging)))
     checks = quality.expect(today, [
         quality.row_count(1), quality.not_null("event_id"), quality.unique("event_id"),
         quality.fits_money("event_revenue")])
     _require(checks.select("rule", "passed"), "stored events")
-    all_sessions = spark.read.parquet(sessions_path)
+    all_sessions = snapshots.read(spark, sessions_path)
     of_today = all_sessions.join(today.select("session_id").distinct(), "session_id", "left_semi")
     warehouse.write_days(warehouse.daily_summary(today, of_today).withColumn("created_at", as_of),
                          f"{root}/daily_summary", ["report_date"])

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from clickloom.functions.numeric import band, money_sum, ratio, slot_start
-from clickloom.operators import enrich, insights, kpi, sessions, timeseries as ts
+from clickloom.operators import enrich, insights, kpi, sessions, timeseries as ts, warehouse
 from clickloom.plans.catalog import (ENR, EV, REVENUE, as_of, events, money_sql, priced_events,
                                      query, ratio_sql, sessions_sql, slot_sql)
 from clickloom.plans.event_queries import _item_ctes
+from clickloom.session import fresh_path, stored
 from clickloom.sources import envelopes, metrics, tables
 
 HOUR = slot_sql('"timestamp"', 3600)
@@ -381,7 +382,8 @@ def product_performance(spark, sf_dir):
 
 @query("schema_drift", f"""WITH {EV},
 keys AS (SELECT CAST("timestamp" AS DATE) AS day, event_type, UNNEST(
-  CASE WHEN product_id IS NOT NULL THEN ['k', 'price', 'product_id', 'quantity']
+  CASE WHEN event_type = 'remove_from_cart' THEN ['k', 'product_id', 'quantity']
+       WHEN product_id IS NOT NULL THEN ['k', 'price', 'product_id', 'quantity']
        WHEN event_type = 'purchase' THEN ['k', 'total_amount'] ELSE ['k'] END) AS key
   FROM ev WHERE NOT no_properties),
 daily AS (SELECT day, event_type, key, count(*) AS "rows" FROM keys GROUP BY ALL),
@@ -390,14 +392,19 @@ known AS (SELECT DISTINCT event_type, key FROM keys WHERE event_type <> 'purchas
 days AS (SELECT DISTINCT CAST("timestamp" AS DATE) AS day, event_type FROM ev)
 SELECT *, 'new_key' AS drift FROM daily d WHERE NOT EXISTS (SELECT 1 FROM known k
   WHERE k.event_type = d.event_type AND k.key = d.key)
+UNION ALL SELECT *, 'changed_type' FROM daily WHERE key = 'price' AND event_type = 'add_to_cart'
 UNION ALL SELECT days.day, days.event_type, known.key, 0, 'missing_key' FROM days JOIN known USING (event_type)
   WHERE NOT EXISTS (SELECT 1 FROM daily d WHERE d.day = days.day AND d.event_type = days.event_type AND d.key = known.key)""")
 def schema_drift(spark, sf_dir):
     rows = events(spark, sf_dir)
     listed = (rows.where(F.col("event_type") != "purchase")
               .select("event_type", F.explode(F.map_keys("properties")).alias("key")).distinct())
+    # Prices of additions are listed as whole numbers, which they are not; those of views as numbers.
+    listed = listed.withColumn("kind", F.when(F.col("key") != "price", "integer").when(
+        F.col("event_type") == "add_to_cart", "integer").otherwise("number"))
     # a key the contract lists and nobody sends
-    promised = rows.where(F.col("event_type") == "error").select("event_type", F.lit("code").alias("key")).distinct()
+    promised = rows.where(F.col("event_type") == "error").select(
+        "event_type", F.lit("code").alias("key"), F.lit("text").alias("kind")).distinct()
     return insights.schema_drift(rows, listed.unionByName(promised))
 
 
@@ -416,6 +423,46 @@ def profile_columns(spark, sf_dir):
         ["event_id", "event_type", "user_id", "source", "customer_segment", "product_id"], exact=True)
 
 
+_SKETCHED = ["event_id", "user_id", "product_id", "event_revenue"]
+
+
+def _sketches_sql():
+    texts = [f"""SELECT '{c}' AS column_name, count(*) AS "rows", {ratio_sql(f'count(*) - count({n})', 'count(*)')} * 100 AS null_percent,
+  count(DISTINCT {n}) AS exact_distinct, true AS distinct_near, CAST(NULL AS BOOLEAN) AS quantiles_near,
+  min({n}) AS min_value, max({n}) AS max_value FROM enr"""
+             for c, n in (("event_id", "event_id"), ("user_id", "user_id"), ("product_id", "known_product"))]
+    return " UNION ALL ".join([*texts, """SELECT 'event_revenue', count(*), CAST(0 AS DOUBLE), count(DISTINCT event_revenue), true,
+  true, NULL, NULL FROM enr"""])
+
+
+@query("daily_sketches", f"WITH {ENR} {_sketches_sql()}")
+def daily_sketches(spark, sf_dir):
+    """Sketches kept by day: a first run over the days before the 25th, then one day at a time, merged at the end. Distinct
+    counts are within 5 % of the exact ones, the values of the quantiles within 2 % of their rank."""
+    path, rows = fresh_path(spark, "sketches"), priced_events(spark, sf_dir)
+    store = lambda part: warehouse.write_days(insights.daily_sketches(part, _SKETCHED, F.to_date("timestamp")), path, ["day"])
+    start = lambda day: F.lit(f"2024-01-{day}").cast("timestamp")
+    store(rows.where(F.col("timestamp") < start(25)))
+    for day in range(25, 31):
+        store(rows.where((F.col("timestamp") >= start(day)) & (F.col("timestamp") < start(day + 1))))
+    store(rows.where(F.col("timestamp") >= start(31)))
+    ranks = (0.5, 0.95)
+    found = stored(insights.merged_profile(spark.read.parquet(path), ranks), "profile")
+    values = found.where("column_name = 'event_revenue'").first()["quantiles"]
+    share = lambda test: F.avg(test.cast("int"))
+    inside = [share(F.col("event_revenue") < v).alias(f"below_{i}") for i, v in enumerate(values)]
+    inside += [share(F.col("event_revenue") <= v).alias(f"upto_{i}") for i, v in enumerate(values)]
+    shares = rows.agg(*inside).first()
+    close = all(shares[f"below_{i}"] - 0.02 <= q <= shares[f"upto_{i}"] + 0.02 for i, q in enumerate(ranks))
+    exact = insights.profile_columns(rows, _SKETCHED, exact=True).select("column_name", F.col("distinct_values").alias("exact_distinct"))
+    near = F.abs(F.col("distinct_values") - F.col("exact_distinct")) <= F.col("exact_distinct") * 0.05
+    numeric = F.col("column_name") == "event_revenue"
+    return found.join(exact, "column_name").select(
+        "column_name", "rows", "null_percent", "exact_distinct", near.alias("distinct_near"),
+        F.when(numeric, F.lit(close)).alias("quantiles_near"),
+        F.when(~numeric, F.col("min_value")).alias("min_value"), F.when(~numeric, F.col("max_value")).alias("max_value"))
+
+
 @query("ip_location", f"""WITH {EV}
 SELECT event_id, n_name AS country FROM ev LEFT JOIN nation ON n_nationkey = user_no % 32""")
 def ip_location(spark, sf_dir):

@@ -4,6 +4,8 @@ Append mode emits what the last watermark (latest event less the delay, in whole
 milliseconds) closed; the SQL keeps the same windows.
 """
 
+import time
+
 from pyspark.sql import functions as F, types as T
 
 from clickloom import schemas
@@ -243,17 +245,21 @@ WHERE window_start + INTERVAL 1 DAY <= (SELECT last_mark FROM m)
 def stream_late_events(spark, sf_dir):
     """Days are counted on a stream whose third file is too late for the days that the first one closed: a batch leaves
     out rows that the watermark before the last batch had passed."""
+    return sinks.drain(spark, late_days(spark, sf_dir), "late")
+
+
+def late_days(spark, sf_dir, seen=lambda rows: rows):
     configure(spark)
     path = fresh_path(spark, "late-files")
     rows = tables.table(spark, sf_dir, "events")
     early = F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")
     late = (F.col("event_id") % 3 == 0) & early
     for part in (~late & early, ~early, late):
-        rows.where(part).write.mode("append").parquet(path)
-    sent = tables.canonical(readers.table_stream(spark, path, tables.SCHEMAS["events"], files_per_trigger=1))
+        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+    sent = seen(tables.canonical(readers.table_stream(spark, path, tables.SCHEMAS["events"], files_per_trigger=1)))
     counted = (sent.withWatermark("timestamp", "10 minutes").groupBy(F.window("timestamp", "1 day"), "event_type")
                .agg(F.count("*").alias("events")))
-    return sinks.drain(spark, counted.select(F.col("window.start").alias("window_start"), "event_type", "events"), "late")
+    return counted.select(F.col("window.start").alias("window_start"), "event_type", "events")
 
 
 @query("stream_interval_unmatched", f"""WITH {EV}, u AS (SELECT user_id, "timestamp" AS updated FROM ev WHERE event_type = 'user_login'),
@@ -350,3 +356,96 @@ WHERE session_end + INTERVAL 30 MINUTE <= date_trunc('milliseconds', (SELECT max
 def stream_alerts_sink(spark, sf_dir):
     return _messages_of(spark, _run_job(spark, sf_dir, "session_alerts"), """session_id string, user_id string,
         session_start timestamp, session_end timestamp, session_revenue double, abandoned_cart boolean, alert_type string""")
+
+
+def _windows_stream(spark, sf_dir, name, found, mode):
+    """A windowed stream over several batches in update or complete mode, through the sink that numbers its batches."""
+    path = fresh_path(spark, name)
+    sinks.write_each(found, name, fresh_path(spark, f"{name}-checkpoint"),
+                     lambda batch, stamp: sinks.replace_batch(batch, path, stamp), True, mode).awaitTermination()
+    return sinks.batches(spark, path)
+
+
+@query("stream_update_mode", f"""SELECT window_start, window_end, event_type, "count", total_value
+FROM ({ORACLES["simple_summary"]}) AS batch""")
+def stream_update_mode(spark, sf_dir):
+    """Update mode: every batch writes the windows it changed, the latest value of each counts. Open windows are there."""
+    found = metrics.simple_summary(tables.as_demo(event_batches(spark, sf_dir)), "price", exact=False)
+    rows = _windows_stream(spark, sf_dir, "update", found.drop("unique_users"), "update")
+    return sinks.latest_values(rows, ["window_start", "window_end", "event_type"])
+
+
+@query("stream_complete_mode", f"""SELECT window_start, window_end, event_type, source, event_count, total_value, avg_price
+FROM ({ORACLES["demo_event_metrics"]}) AS batch""")
+def stream_complete_mode(spark, sf_dir):
+    """Complete mode: every batch writes the whole result, the last one counts."""
+    dressed = windows.with_demo_columns(tables.as_demo(event_batches(spark, sf_dir)))
+    found = metrics.demo_event_metrics(dressed, exact=False).drop("unique_users")
+    return sinks.last_batch(_windows_stream(spark, sf_dir, "complete", found, "complete"))
+
+
+@query("stream_late_accounting", f"""WITH {EV},
+d AS (SELECT date_trunc('day', "timestamp") AS day, event_type, "timestamp" AS t,
+  n % 3 = 0 AND "timestamp" < TIMESTAMP '2024-01-20' AS is_late FROM ev),
+p AS (SELECT *, CASE WHEN is_late THEN 2 WHEN t < TIMESTAMP '2024-01-20' THEN 0 ELSE 1 END AS part FROM d),
+m AS (SELECT date_trunc('milliseconds', max(t) FILTER (part = 0)) - INTERVAL 10 MINUTE AS mark FROM p)
+SELECT CAST(part AS BIGINT) AS batch, count(*) AS input_rows, CAST(max(CAST(t AS DATE)) AS VARCHAR) AS last_day,
+  count(DISTINCT day || event_type) FILTER (part = 2 AND day + INTERVAL 1 DAY <= (SELECT mark FROM m)) AS late_groups
+FROM p GROUP BY part""")
+def stream_late_accounting(spark, sf_dir):
+    """What the stream of ``stream_late_events`` read and dropped in each batch, from the progress log."""
+    log = fresh_path(spark, "progress")
+    listener = sinks.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        last = F.max(F.to_date("timestamp").cast("string")).alias("last_day")
+        running = sinks.started(late_days(spark, sf_dir, lambda rows: rows.observe("read", last)), "late",
+                                fresh_path(spark, "late"), fresh_path(spark, "late-checkpoint"))
+        sinks.wait_logged(spark, log, running)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = sinks.progress(spark, log).where((F.col("run") == str(running.runId)) & (F.col("input_rows") > 0))
+    return rows.select("batch", "input_rows", F.col("observed")["read"]["last_day"].alias("last_day"), "late_groups")
+
+
+@query("stream_compacted_lake", f"""WITH {ENR}
+SELECT event_id, CAST("timestamp" AS DATE) AS event_date, event_revenue FROM enr""")
+def stream_compacted_lake(spark, sf_dir):
+    """A lake table written batch by batch, compacted after two batches and again at the end; what later batches and the
+    last, unfinished one hold is read beside it."""
+    path, check = fresh_path(spark, "lake"), fresh_path(spark, "lake-checkpoint")
+    rows = priced_batches(spark, sf_dir).select("event_id", F.to_date("timestamp").alias("event_date"), "event_revenue")
+
+    def outputs(batch, stamp):
+        sinks.replace_batch(batch, path, stamp, ("event_date",))
+        if stamp[1] == 2:
+            sinks.compact(spark, path, ["event_date"])
+            sinks.clean(spark, path, ["event_date"])
+    sinks.write_each(rows, "data_lake", check, outputs, once=True).awaitTermination()
+    sinks.compact(spark, path, ["event_date"])
+    return sinks.batches(spark, path).drop("run", "batch")
+
+
+@query("stream_restart", ORACLES["parse_events"])
+def stream_restart(spark, sf_dir):
+    """Message files, one a trigger, through a stream that is stopped in mid-run and resumed from its checkpoint."""
+    configure(spark)
+    path, target, check = (fresh_path(spark, n) for n in ("message-files", "parsed", "parsed-checkpoint"))
+    sent = tables.messages(spark, sf_dir)
+    for part in range(6):
+        sent.where(F.pmod(F.col("offset"), F.lit(6)) == part).coalesce(1).write.mode("append").options(**schemas.JSON_TIME).json(path)
+    p = F.col("properties")
+
+    def start(**trigger):
+        parsed = enrich.require_fields(readers.parse_events(readers.message_stream(spark, path, 1))).select(
+            "event_id", "event_type", "timestamp", "user_id", "session_id", "source",
+            p["product_id"].alias("product_id"), p["quantity"].try_cast("int").alias("quantity"),
+            F.col("metadata")["environment"].alias("environment"), "kafka_timestamp", "offset", "partition")
+        return (parsed.writeStream.format("parquet").option("path", target).option("checkpointLocation", check)
+                .trigger(**trigger).start())
+    running = start(processingTime="0 seconds")
+    while running.isActive and (running.lastProgress is None or running.lastProgress["batchId"] < 1):
+        time.sleep(0.05)
+    running.stop()
+    start(availableNow=True).awaitTermination()
+    return spark.read.parquet(target)

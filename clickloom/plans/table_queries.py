@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.operators import privacy, warehouse
+from clickloom.operators import privacy, snapshots, warehouse
 from clickloom.plans import flows
 from clickloom.plans.catalog import (ENR, EV, as_of, events, money_sql, priced_events, query, ratio_sql,
                                      sessions_sql)
@@ -64,13 +64,13 @@ def warehouse_table(spark, sf_dir):
         "offset", F.to_date("timestamp").alias("event_date"))
     cut = lambda day: F.lit(day).cast("timestamp")
     target = rows.where(F.col("timestamp") < cut("2024-01-25")).drop("offset")
-    warehouse.write_days(target.withColumn("updated_at", F.lit(None).cast("timestamp")), path, DAY)
+    snapshots.create(spark, path, target.withColumn("updated_at", F.lit(None).cast("timestamp")), DAY, ["event_id"])
     later = rows.where(F.col("timestamp") >= cut("2024-01-20"))
     staging = later.withColumns({
         "customer_segment": F.when(F.col("offset") % 5 == 0, "VIP").otherwise(F.col("customer_segment")),
         "event_revenue": F.col("event_revenue") + 1}).drop("offset")
-    warehouse.upsert_table(spark, path, staging, DAY, as_of())
-    return spark.read.parquet(path).select("event_date", "event_id", "customer_segment", "event_revenue")
+    snapshots.upsert(spark, path, staging, as_of())
+    return snapshots.read(spark, path).select("event_date", "event_id", "customer_segment", "event_revenue")
 
 
 @query("erase_from_table", f"""WITH {EV}
@@ -79,10 +79,10 @@ WHERE user_no % 10 <> 8 GROUP BY 1""")
 def erase_from_table(spark, sf_dir):
     path = fresh_path(spark, "events")
     rows = events(spark, sf_dir).select("event_id", "user_id", F.to_date("timestamp").alias("event_date"))
-    warehouse.write_days(rows, path, DAY)
+    snapshots.create(spark, path, rows, DAY, ["event_id"])
     gone = rows.where(F.col("user_id").endswith("8")).select("user_id").distinct()
-    privacy.erase_from_table(spark, path, gone, DAY)
-    return spark.read.parquet(path).groupBy("event_date").agg(
+    privacy.erase_from_table(spark, path, gone)
+    return snapshots.read(spark, path).groupBy("event_date").agg(
         F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
 
 
@@ -115,7 +115,7 @@ def _odd_table(spark, sf_dir):
         F.when(F.col("k") % 5 == 1, "h/w:1").when(F.col("k") % 5 == 2, "a b%20").when(F.col("k") % 5 != 0, "plain").alias("place"),
         F.when(user % 4 != 0, F.concat(F.lit("u"), (user % 4).cast("string"))).alias("part"))
     path = fresh_path(spark, "odd")
-    warehouse.write_days(rows, path, _ODD)
+    snapshots.create(spark, path, rows, _ODD, ["event_id"])
     return path, rows
 
 
@@ -126,8 +126,8 @@ def erase_odd_partitions(spark, sf_dir):
     path, rows = _odd_table(spark, sf_dir)
     user = F.col("user_id").cast("int")
     gone = rows.where((user % 10 == 8) | (user % 4 == 1)).select("user_id").distinct()
-    privacy.erase_from_table(spark, path, gone, _ODD)
-    return spark.read.parquet(path).select("event_id", "place", "part")
+    privacy.erase_from_table(spark, path, gone)
+    return snapshots.read(spark, path).select("event_id", "place", "part")
 
 
 @query("upsert_odd_partitions", f"""WITH {EV}, t AS (SELECT event_id, n, event_type, {_PLACES} FROM ev)
@@ -138,8 +138,8 @@ def upsert_odd_partitions(spark, sf_dir):
     number = F.col("event_id").cast("long")
     changed = rows.where((number % 7 == 0) & ~F.col("place").eqNullSafe("plain")).withColumn("event_type", F.lit("changed"))
     new = rows.where((number % 11 == 0) & F.col("part").isNull()).withColumn("event_id", F.concat(F.lit("new"), "event_id"))
-    warehouse.upsert_table(spark, path, changed.unionByName(new), _ODD, as_of(), updated=["event_type"])
-    return spark.read.parquet(path).select("event_id", "place", "part", "event_type")
+    snapshots.upsert(spark, path, changed.unionByName(new), as_of(), updated=["event_type"])
+    return snapshots.read(spark, path).select("event_id", "place", "part", "event_type")
 
 
 @query("replace_odd_partitions", f"""WITH {EV}, t AS (SELECT event_id, n, user_id, user_no, {_PLACES} FROM ev)
@@ -151,5 +151,5 @@ def replace_odd_partitions(spark, sf_dir):
     moved = rows.where(F.col("user_id").cast("int") % 6 == 0).groupBy("user_id").agg(
         F.lit("all").alias("event_id"), F.max("timestamp").alias("timestamp"), F.lit("merged").alias("event_type"),
         F.lit(None).cast("string").alias("place"), F.lit("moved").alias("part"))
-    warehouse.replace_rows(spark, path, moved, ["user_id"], _ODD)
-    return spark.read.parquet(path).select("event_id", "user_id", "place", "part")
+    snapshots.replace_rows(spark, path, moved, ["user_id"])
+    return snapshots.read(spark, path).select("event_id", "user_id", "place", "part")

@@ -41,15 +41,17 @@ def enrichment_job_shared(messages: DataFrame, profiles: DataFrame, products: Da
     """The stateless outputs of the enrichment job, and its dead letters, from one read and one
     enrichment of each batch."""
     def outputs(batch: DataFrame, stamp: sinks.Stamp) -> None:
-        scored = enrich.enrich(parse_events(batch), profiles, products).persist()
+        parsed = quality.parsed_messages(batch).persist()
+        scored = enrich.enrich(quality.events_of(parsed), profiles, products).persist()
         try:
             sinks.replace_batch(scored, f"{target}/enriched_events", stamp)
             sinks.replace_batch(enrich.valid_events(scored), f"{target}/data_lake", stamp,
                                 ("processing_date", "hour_of_day"))
             sinks.replace_batch(enrich.quality_issues(scored), f"{target}/quality_issues", stamp)
-            sinks.replace_batch(quality.quarantine(batch), f"{target}/dead_letters", stamp)
+            sinks.replace_batch(quality.dead_letters(parsed), f"{target}/dead_letters", stamp)
         finally:
             scored.unpersist()
+            parsed.unpersist()
     return sinks.write_each(messages, "enriched_events", checkpoints, outputs, once)
 
 

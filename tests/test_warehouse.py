@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators import kpi, privacy, quality, warehouse
+from clickloom.operators import kpi, privacy, quality, snapshots, warehouse
 from clickloom.plans import flows
 from clickloom.sources import tables
 
@@ -44,33 +44,6 @@ def test_upsert_sets_null_like_the_staging_row(spark):
     assert found.customer_segment is None and found.event_revenue is None
 
 
-def test_upsert_table_rewrites_touched_days_only(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    warehouse.write_days(with_update(frame(spark, ("a", "x", "p", "S", 1.0, 1, 1), ("b", "x", "p", "S", 1.0, 1, 2),
-                                           ("c", "x", "p", "S", 1.0, 1, 3))), path, ["day"])
-    kept = sorted(os.listdir(f"{path}/day=3"))
-    # "b" lives in day 2 although its new version names day 4
-    warehouse.upsert_table(spark, path, frame(spark, ("b", "y", "p", "S", 9.0, 2, 4), ("d", "y", "p", "S", 3.0, 2, 1)), ["day"], now())
-    rows = {r.event_id: (r.event_type, r.day) for r in spark.read.parquet(path).collect()}
-    assert rows == {"a": ("x", 1), "b": ("y", 2), "c": ("x", 3), "d": ("y", 1)}
-    assert sorted(os.listdir(f"{path}/day=3")) == kept
-
-
-def test_replace_rows_moves_between_days(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    warehouse.write_days(frame(spark, ("a", "x", "p", "S", 1.0, 1, 1), ("b", "x", "p", "S", 1.0, 1, 2)), path, ["day"])
-    warehouse.replace_rows(spark, path, frame(spark, ("a", "y", "p", "S", 1.0, 1, 2)), ["event_id"], ["day"])
-    assert {(r.event_id, r.day) for r in spark.read.parquet(path).collect()} == {("a", 2), ("b", 2)}
-
-
-def test_erase(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    df = spark.createDataFrame([("u1", 1), ("u2", 1), ("u1", 2), ("u3", 3)], "user_id string, day int")
-    warehouse.write_days(df, path, ["day"])
-    privacy.erase_from_table(spark, path, spark.createDataFrame([("u1",)], "user_id string"), ["day"])
-    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("u2", 1), ("u3", 3)]
-
-
 def test_latest_and_changes(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("b", 1, None)], "k string, t int, v string")
     assert sorted(tuple(r) for r in warehouse.latest_per_key(df, ["k"], ["t"]).collect()) == [("a", 3, "z"), ("b", 1, None)]
@@ -117,11 +90,11 @@ def test_hourly_run(spark, sf_dir, tmp_path):
     assert run(early, "2024-01-20 13:00:00").where("NOT passed").count() == 0
     assert run(late, "2024-01-31 00:00:00").where("NOT passed").count() == 0
     whole = flows.enrichment(messages, people, goods)
-    stored = spark.read.parquet(f"{root}/events")
+    stored = snapshots.read(spark, f"{root}/events")
     assert stored.count() == stored.select("event_id").distinct().count() == whole.lake.count()
     from clickloom.operators.sessions import session_metrics
     wanted = session_metrics(whole.lake)
-    found = spark.read.parquet(f"{root}/user_sessions")
+    found = snapshots.read(spark, f"{root}/user_sessions")
     columns = ["session_id", "user_id", "session_start", "session_end", "total_events", "session_revenue", "abandoned_cart"]
     key = lambda df: sorted(map(str, df.select(*columns).collect()))
     assert key(found) == key(wanted)
@@ -130,7 +103,7 @@ def test_hourly_run(spark, sf_dir, tmp_path):
     assert days.count() == days.select("report_date").distinct().count()
     before = key(found)
     run(late, "2024-01-31 00:00:00")
-    assert key(spark.read.parquet(f"{root}/user_sessions")) == before
+    assert key(snapshots.read(spark, f"{root}/user_sessions")) == before
     issues = spark.read.parquet(f"{root}/quality_issues")
     assert issues.select("event_id").distinct().count() == whole.issues.count() > 0
     assert spark.read.parquet(f"{root}/realtime_metrics").count() > 0
