@@ -44,8 +44,9 @@ def typed(pages: DataFrame, least: int = 0) -> DataFrame:
     body = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", body.alias("html"), F.sha1(body.cast("binary")).alias("digest"),
                         (F.octet_length(body) >= least).alias("shared"))
-    firsts = (rows.where("shared").groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-              .where("n > 1").drop("n"))
+    # Written, so that the join can split the pages of one payload.
+    firsts = written(rows.where("shared").groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+                     .where("n > 1").drop("n"), "firsts")
     first = F.when(F.col("shared"), F.col("first"))
     revisit = first.isNotNull() & ~F.col("page_id").eqNullSafe(first)
     return rows.join(firsts, "digest", "left").select(
