@@ -244,7 +244,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     """(doc_id, print, ranges) from ``printed`` documents: the byte ranges (start, end) that repeat; documents without
     any are left out."""
     found = anchor_rows(docs, length, gram)
-    often = found.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    # What is grouped by a join's key is written first, so that the join can split a hot one.
+    often = written(found.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "often")
     rows = written(found.join(often, "anchor", "left_semi"), "anchors")
     one = F.min(F.struct("doc_id", "print", "at", "low", "high")).alias("one")
     segments = written(rows.groupBy("anchor", "segment").agg(F.count("*").alias("n"), one)
@@ -253,7 +254,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     whole = rows.join(copies, ["anchor", "segment"], "left_semi").select(
         "doc_id", "print", (F.col("at") - F.col("high")).alias("start"),
         (F.col("at") - F.col("low") + length).alias("end"))
-    kinds = segments.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = written(segments.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
     body = F.substr(F.encode("d.text", "UTF-8"), (F.col("r.at") - F.col("r.high") + 1).cast("int"),
                     (F.col("r.high") - F.col("r.low") + length).cast("int"))
     mixed = with_text(segments.join(kinds, "anchor"), docs).select("r.*", body.alias("body"))
@@ -262,8 +263,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     pairs = F.transform(F.sequence(F.lit(0), F.size("cover") - 1, F.lit(2)), lambda i: F.struct(
         (F.col("at") + F.get("cover", i)).alias("start"), (F.col("at") + F.get("cover", i + 1)).alias("end")))
     single = parts.select("doc_id", "print", F.inline(pairs))
-    return whole.unionByName(single).groupBy("doc_id", "print").agg(
-        F.collect_set(F.struct("start", "end")).alias("ranges"))
+    return written(whole.unionByName(single).groupBy("doc_id", "print").agg(
+        F.collect_set(F.struct("start", "end")).alias("ranges")), "ranges")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
