@@ -1,5 +1,6 @@
 """Checks on data: freshness, table checks, expectations, quarantine, lag and health."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -123,6 +124,32 @@ def expect(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return _as_rows(df.agg(*aggs), checks, "rule")
 
 
+# The four suites by name; a suite is written against the columns its table always has.
+SUITES: dict[str, Callable[[], list[Rule]]] = {
+    "raw_events": lambda: [
+        has_columns(event_id="string", event_type="string", timestamp="timestamp", user_id="string",
+                    properties="map<string,string>", metadata="map<string,string>"),
+        row_count(1), not_null("event_id"), not_null("user_id"), not_null("event_type"), not_null("timestamp"),
+        in_set("event_type", EVENT_TYPES), unique("event_id")],
+    "enriched_events": lambda: [
+        row_count(1), not_null("event_id"), not_null("customer_segment"), not_null("customer_value_segment"),
+        between("data_quality_score", 0.0, 1.0), between("hour_of_day", 0, 23), fits_money("event_revenue"),
+        Rule("revenue_not_negative", F.col("event_revenue") >= 0)],
+    "business_metrics": lambda: [
+        row_count(1), unique("report_date"), not_null("total_revenue"),
+        Rule("users_within_events", F.col("unique_users") <= F.col("total_events")),
+        Rule("conversion_not_negative", F.col("conversion_rate").isNull() | (F.col("conversion_rate") >= 0))],
+    "data_warehouse": lambda: [
+        row_count(1), not_null("event_id"), unique("event_id"), fits_money("event_revenue"),
+        Rule("day_is_that_of_the_event", F.col("event_date") == F.to_date("timestamp"))],
+}
+
+
+def run_suite(df: DataFrame, name: str) -> DataFrame:
+    """The rules of a named suite on a table: (suite, rule, value, passed)."""
+    return expect(df, SUITES[name]()).select(F.lit(name).alias("suite"), "rule", "value", "passed")
+
+
 def item_rules() -> list[Rule]:
     """What a client guarantees of line items."""
     return [Rule("quantity_at_least_1", F.col("quantity") >= 1), Rule("price_above_0", F.col("price") > 0)]

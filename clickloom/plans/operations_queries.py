@@ -1,11 +1,13 @@
 """Queries on data quality, the warehouse and whose data may be used."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from clickloom.functions import business as rules
 from clickloom.functions.numeric import money, money_sum, slot_start
 from clickloom.operators import enrich, privacy, quality, sessions, warehouse
-from clickloom.plans.catalog import (ENR, EV, REVENUE, as_of, events, money_sql, priced_events,
+from clickloom.plans.catalog import (ENR, EV, REVENUE, as_of, enriched_events, events, money_sql, priced_events,
                                      query, ratio_sql, sessions_sql, slot_sql)
 from clickloom.plans.event_queries import _item_ctes
 from clickloom.plans.report_queries import HOUR, revenue_events
@@ -58,6 +60,33 @@ def expectations(spark, sf_dir):
         quality.has_columns(event_id="string", timestamp="timestamp", price="string", coupon="string")])
 
 
+@query("expectation_suites", f"""WITH {ENR},
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS odd, count(*) - count(DISTINCT event_id) AS twice,
+  count(*) FILTER (WHERE customer_segment IS NULL) AS unknown FROM enr),
+d AS (SELECT count(DISTINCT CAST("timestamp" AS DATE)) AS days FROM enr)
+SELECT 'raw_events' AS suite, 'has_columns' AS rule, 0 AS value, true AS passed UNION ALL SELECT 'raw_events', 'row_count', n, n >= 1 FROM c
+UNION ALL SELECT 'raw_events', unnest(['event_id_not_null', 'user_id_not_null', 'event_type_not_null', 'timestamp_not_null']), 0, true
+UNION ALL SELECT 'raw_events', 'event_type_in_set', odd, odd = 0 FROM c
+UNION ALL SELECT 'raw_events', 'event_id_unique', twice, twice = 0 FROM c
+UNION ALL SELECT 'enriched_events', 'row_count', n, n >= 1 FROM c
+UNION ALL SELECT 'enriched_events', 'customer_segment_not_null', unknown, unknown = 0 FROM c
+UNION ALL SELECT 'enriched_events', unnest(['event_id_not_null', 'customer_value_segment_not_null', 'data_quality_score_between',
+  'hour_of_day_between', 'event_revenue_fits_money', 'revenue_not_negative']), 0, true
+UNION ALL SELECT 'business_metrics', 'row_count', days, days >= 1 FROM d
+UNION ALL SELECT 'business_metrics', unnest(['report_date_unique', 'total_revenue_not_null', 'users_within_events',
+  'conversion_not_negative']), 0, true
+UNION ALL SELECT 'data_warehouse', 'row_count', n, n >= 1 FROM c
+UNION ALL SELECT 'data_warehouse', 'event_id_unique', twice, twice = 0 FROM c
+UNION ALL SELECT 'data_warehouse', unnest(['event_id_not_null', 'event_revenue_fits_money', 'day_is_that_of_the_event']), 0, true""")
+def expectation_suites(spark, sf_dir):
+    """The four named suites, each on its table."""
+    raw, rows = events(spark, sf_dir), enriched_events(spark, sf_dir)
+    stored_rows = rows.withColumn("event_date", F.to_date("timestamp"))
+    days = warehouse.daily_summary(stored_rows, sessions.session_metrics(rows))
+    tables_of = {"raw_events": raw, "enriched_events": rows, "business_metrics": days, "data_warehouse": stored_rows}
+    return reduce(DataFrame.unionByName, [quality.run_suite(df, name) for name, df in tables_of.items()])
+
+
 @query("rule_violations", f"""WITH {_item_ctes()}, t AS (SELECT count(*) FILTER (WHERE quantity < 1) AS a,
   count(*) FILTER (WHERE price <= 0) AS b FROM items)
 SELECT 'quantity_at_least_1' AS rule, a AS value, a = 0 AS passed FROM t

@@ -98,6 +98,22 @@ def cart_abandonment(spark, sf_dir):
     return kpi.cart_abandonment(sessions.session_metrics(rows, "6 hours"))
 
 
+@query("cart_abandonment_rate", f"""WITH {ENR} {sessions_sql(21600)},
+hourly AS (SELECT {slot_sql('session_end', 3600)} AS ts, count(*) AS n FROM sessions WHERE abandoned_cart GROUP BY 1),
+samples AS (SELECT ts, CAST(sum(n) OVER (PARTITION BY epoch_us(ts) // 604800000000 ORDER BY ts ROWS UNBOUNDED PRECEDING)
+  AS DOUBLE) AS value FROM hourly),
+steps AS (SELECT *, lag(value) OVER (ORDER BY ts) AS before FROM samples),
+gains AS (SELECT *, CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value ELSE value - before END AS gain FROM steps)
+SELECT {slot_sql('ts', 21600)} AS window_start, sum(gain) AS increase, sum(gain) / CAST(21600 AS DOUBLE) * 100 AS abandonment_rate
+FROM gains GROUP BY 1""")
+def cart_abandonment_rate(spark, sf_dir):
+    """The dashboard's own panel: the rate per second of the abandonment counter, times 100."""
+    rows = revenue_events(spark, sf_dir).withColumn("customer_segment", F.lit(None).cast("string"))
+    counter = ts.with_series(metrics.abandonment_counter(sessions.session_metrics(rows, "6 hours")))
+    return ts.counter_rate(counter, "6 hours").select("window_start", "increase",
+                                                     (F.col("per_second") * 100).alias("abandonment_rate"))
+
+
 @query("event_rate", f"""WITH {EV}
 SELECT {slot_sql('"timestamp"', 300)} AS slot_start, count(*) AS events,
   count(*) / CAST(300 AS DOUBLE) AS events_per_second, count(*) * 60 / CAST(300 AS DOUBLE) AS events_per_minute

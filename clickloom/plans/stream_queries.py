@@ -191,6 +191,21 @@ def stream_session_sequences(spark, sf_dir):
     return found.withColumn("product_sequence", names).drop("event_properties")
 
 
+@query("stream_behavior_sequences", _closed(ORACLES["behavior_sequences"], "window_end", "30 MINUTE"))
+def stream_behavior_sequences(spark, sf_dir):
+    """The lists of finished windows, from events in several batches and out of order."""
+    return sinks.drain(spark, stream_ordered.behavior_sequences(event_batches(spark, sf_dir)), "window-lists")
+
+
+@query("stream_enriched_sink", f"""WITH {ENR}
+SELECT event_id, event_type, "timestamp", user_id, session_id, source, customer_segment, event_revenue, data_quality_score,
+  customer_value_segment, known_product AS product_id FROM enr""")
+def stream_enriched_sink(spark, sf_dir):
+    return _messages_of(spark, _run_job(spark, sf_dir, "enriched_events"), """event_id string, event_type string,
+        timestamp timestamp, user_id string, session_id string, source string, customer_segment string, event_revenue double,
+        data_quality_score double, customer_value_segment string, product_id string""")
+
+
 @query("stream_enrichment_job", f"""WITH {ENR}
 SELECT CAST(hour("timestamp") AS BIGINT) AS hour_of_day, count(*) AS events, count(DISTINCT user_id) AS users,
   {money_sql('event_revenue')} AS revenue FROM enr

@@ -1,4 +1,4 @@
-"""Metric samples recorded from events: counters that restart weekly, and hourly gauges."""
+"""Metric samples recorded from events and sessions: counters that restart weekly, and hourly gauges."""
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -26,3 +26,13 @@ def lag_gauges(events: DataFrame, every: str = "1 hour") -> DataFrame:
             .select("ts", F.lit("processing_delay_ms").alias("metric"),
                     F.create_map(F.lit("partition"), F.col("partition").cast("string")).alias("labels"),
                     "value"))
+
+
+def abandonment_counter(sessions: DataFrame, every: str = "1 hour", restart: str = "7 days") -> DataFrame:
+    """``cart_abandonment_total``: abandoned carts by the end of each slot in which a session ended with one."""
+    counts = (sessions.where("abandoned_cart").groupBy(slot_start(F.col("session_end"), every).alias("ts"))
+              .agg(F.count("*").alias("n")).withColumn("life", slot(F.col("ts"), restart)))
+    so_far = Window.partitionBy("life").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select("ts", F.lit("cart_abandonment_total").alias("metric"),
+                         F.create_map().cast("map<string,string>").alias("labels"),
+                         F.sum("n").over(so_far).cast("double").alias("value"))

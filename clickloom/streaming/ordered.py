@@ -191,3 +191,72 @@ def session_sequences(events: DataFrame, gap: str = "30 minutes", chunk_size: in
     maps = F.zip_with("names", "texts", F.map_from_arrays)
     return found.select("session_id", "user_id", F.timestamp_micros("start").alias("session_start"), "chunk", "entries",
                         "event_sequence", maps.alias("event_properties"))
+
+
+class WindowLists(TimeOrdered):
+    """Collects the event types of a key in every sliding window that holds them, in chunks, once the window is over.
+
+    Events are kept by second and seconds by slide, so a window reads the events of its slides and nothing else, and a
+    slide is dropped with the last window that holds it.
+    """
+
+    fields = {"event_type": "string"}
+
+    def __init__(self, idle: int, size: int, slide: int, chunk_size: int):
+        super().__init__(idle)
+        self.size, self.slide, self.chunk_size = size, slide, chunk_size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.slides = handle.getMapState("slides", "start long", "seconds array<long>")
+        self.taken = handle.getMapState("taken", "until long", "kinds array<string>")
+
+    def slide_of(self, us: int) -> int:
+        return us // 1000 // self.slide * self.slide
+
+    def expect(self, events):
+        start = self.slide_of(events[0][0])
+        for end in range(start + self.slide, start + self.size + 1, self.slide):
+            self.handle.registerTimer(end)
+
+    def take(self, key, events):
+        until, start = second_end(events[0].us), self.slide_of(events[0].us)
+        seconds = self.slides.getValue((start,))[0] if self.slides.containsKey((start,)) else []
+        held = self.taken.getValue((until,))[0] if until in seconds else []
+        self.taken.updateValue((until,), ([*held, *(e.event_type for e in events)],))
+        if until not in seconds:
+            self.slides.updateValue((start,), ([*seconds, until],))
+        return iter(())
+
+    def pause(self, key, at):
+        if at % self.slide:
+            return
+        kinds = []
+        for start in range(at - self.size, at, self.slide):
+            if self.slides.containsKey((start,)):
+                for until in sorted(self.slides.getValue((start,))[0]):
+                    kinds += self.taken.getValue((until,))[0]
+        for chunk, first in enumerate(range(0, len(kinds), self.chunk_size)):
+            part = kinds[first:first + self.chunk_size]
+            yield Row(user_id=key[0], start=at - self.size, chunk=chunk, entries=len(part), event_sequence=part)
+        over = at - self.size
+        if self.slides.containsKey((over,)):
+            for until in self.slides.getValue((over,))[0]:
+                self.taken.removeKey((until,))
+            self.slides.removeKey((over,))
+
+    def forget(self):
+        self.slides.clear()
+        self.taken.clear()
+
+
+def behavior_sequences(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes", chunk_size: int = 1000,
+                       delay: str = DELAY) -> DataFrame:
+    """Ordered event types of each user and window, in chunks, as ``operators.windows.behavior_sequences`` gives them."""
+    length = 1000 * seconds(size)
+    # A key's last window is over a size after its last event.
+    processor = WindowLists(length + 2 * SECOND, length, 1000 * seconds(slide), chunk_size)
+    found = ordered(events.select("user_id", "event_id", "timestamp", "event_type"), ["user_id"], processor,
+                    "user_id string, start long, chunk long, entries int, event_sequence array<string>", delay)
+    return found.select("user_id", F.timestamp_millis("start").alias("window_start"),
+                        F.timestamp_millis(F.col("start") + length).alias("window_end"), "chunk", "entries", "event_sequence")
