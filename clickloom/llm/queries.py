@@ -209,7 +209,7 @@ FROM d LEFT JOIN c USING (rid) LEFT JOIN m USING (rid) LEFT JOIN x USING (rid)""
 WITH RECURSIVE d AS (SELECT *, lang AS l, doc_id::VARCHAR AS i, coalesce(list_reduce(list_prepend(4294967295::BIGINT,
     list_transform(string_split_regex(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda x, y:
     list_reduce(list_prepend(xor(x, y), range(8)), lambda p, q: xor(p >> 1, 3988292384 * (p & 1)))), 0) AS crc FROM documents),
-e AS (SELECT *, coalesce((xor(crc, 4294967295) % 7 = 0)::INT, 0) AS more FROM d),
+e AS (SELECT *, (doc_id IS NOT NULL AND xor(crc, 4294967295) % 7 = 0)::INT AS more FROM d),
 f AS (SELECT row_number() OVER () AS rid, doc_id, l,
     coalesce(strlen(i) || ':' || i, '-') || coalesce(strlen(source) || ':' || source, '-')
       || coalesce(strlen(lang) || ':' || lang, '-') AS head,
