@@ -12,42 +12,51 @@ from clickloom.streaming.ordered import DELAY, IDLE, TimeOrdered, ordered
 OUTPUT = "user_id string, event_id string, event_type string, us long, cart_total double"
 
 
+# Products of a cart that are kept with its total; the others have state of their own.
+HELD = 1000
+
+
 class CartState(TimeOrdered):
     """A map from product to units and price, and the total; the rules are those of ``operators.carts``."""
 
     fields = {"event_type": "string", "product": "string", "units": "long", "price": "decimal(18,4)"}
+    memory = {"total": ("decimal(38,4)", Decimal(0)), "more": ("boolean", False),
+              "held": ("map<string, struct<units: long, price: decimal(18,4)>>", {})}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.items = handle.getMapState("items", "product string", "units long, price decimal(18,4)")
-        self.total = handle.getValueState("total", "total decimal(38,4)")
-
-    def take(self, key, events):
-        total = self.total.get()[0] if self.total.exists() else Decimal(0)
-        touched, emptied = {}, False
-        for event in events:
-            if event.event_type == "purchase":
-                total, touched, emptied = Decimal(0), {}, True
+        self.items = handle.getMapState("items", "who string, product string", "units long, price decimal(18,4)")
+
+    def take(self, who, state, event):
+        if event.event_type == "purchase":
+            self.empty(who, state)
+        else:
+            product = "" if event.product is None else f"={event.product}"
+            name = (repr(who), product)
+            near = product in state.held or not state.more and len(state.held) < HELD
+            if near:
+                units, price = state.held.get(product, (0, None))
             else:
-                product = "" if event.product is None else f"={event.product}"
-                if product not in touched:
-                    kept = None if emptied or not self.items.containsKey((product,)) else self.items.getValue((product,))
-                    touched[product] = (0, None) if kept is None else tuple(kept)
-                units, price = touched[product]
-                after = max(0, units + event.units), price if event.price is None else event.price
-                total += after[0] * (after[1] or Decimal(0)) - units * (price or Decimal(0))
-                touched[product] = after
-            yield Row(user_id=key[0], event_id=event.event_id, event_type=event.event_type, us=event.us,
-                      cart_total=float(total))
-        if emptied:
-            self.items.clear()
-        for product, held in touched.items():
-            self.items.updateValue((product,), held)
-        self.total.update((total,))
-
-    def forget(self):
-        self.items.clear()
-        self.total.clear()
+                units, price = self.items.getValue(name) if self.items.containsKey(name) else (0, None)
+            after = max(0, units + event.units), price if event.price is None else event.price
+            state.total += after[0] * (after[1] or Decimal(0)) - units * (price or Decimal(0))
+            if near:
+                state.held[product] = after
+            else:
+                state.more = True
+                self.items.updateValue(name, after)
+        yield Row(user_id=who[0], event_id=event.event_id, event_type=event.event_type, us=event.us,
+                  cart_total=float(state.total))
+
+    def empty(self, who, state):
+        if state.more:
+            for name in [tuple(n) for n in self.items.keys() if n[0] == repr(who)]:
+                self.items.removeKey(name)
+        state.total, state.more, state.held = Decimal(0), False, {}
+
+    def forget(self, who, state):
+        self.empty(who, state)
+        super().forget(who, state)
 
 
 def cart_totals(events: DataFrame, delay: str = DELAY, idle: str = IDLE) -> DataFrame:
@@ -55,5 +64,5 @@ def cart_totals(events: DataFrame, delay: str = DELAY, idle: str = IDLE) -> Data
     names = {"_product": "product", "_units": "units", "_price": "price"}
     rows = (events.where(F.col("event_type").isin(*CART_TYPES)).withColumns(cart_columns())
             .select("user_id", "event_id", "event_type", "timestamp", *[F.col(a).alias(b) for a, b in names.items()]))
-    found = ordered(rows, ["user_id"], CartState(1000 * seconds(idle)), OUTPUT, delay)
+    found = ordered(rows, ["user_id"], CartState(1000 * seconds(idle), ("user_id",)), OUTPUT, delay)
     return found.withColumn("timestamp", F.timestamp_micros("us")).drop("us")

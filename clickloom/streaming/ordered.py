@@ -1,11 +1,21 @@
 """Ordered state on streams: each key's events in event-time order, however they arrive.
 
-An event waits in the second it belongs to. A timer ends that second once the watermark has passed it; its events, and no
-others, are then read, sorted by (time, event id) and taken. Every event is written and read once. A key without events for
+Keys are dealt to groups, and the state of a group lies in rows that hold many events or many keys each: a call from Python to
+the state store costs far more than a row. Events wait in chunks, sorted by (time, event id) and named by their first time. A
+timer ends the first second that waits once the watermark has passed it; then the events of all seconds that the watermark has
+passed, and no others, are merged from their chunks and taken in order. An event is written and read once, beside those that
+share a chunk with the watermark. What is kept of a key lies in one of the pages of its group; a key without events for
 ``idle`` milliseconds is forgotten.
 """
 
+import random
+from collections import namedtuple
 from collections.abc import Iterator
+from copy import copy
+from heapq import heappop, heappush
+from itertools import islice
+from types import SimpleNamespace
+from zlib import crc32
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -14,6 +24,9 @@ from clickloom.functions.numeric import seconds
 
 DELAY, IDLE = "30 minutes", "90 days"
 SECOND = 1000
+# Groups of keys, pages of a group, events that arrive and are sorted together, rows of a chunk, entries kept in a page.
+GROUPS, PAGES = 1024, 32
+ARRIVALS, CHUNK, INLINE = 10_000, 250, 20
 
 
 def second_end(us: int) -> int:
@@ -21,160 +34,254 @@ def second_end(us: int) -> int:
     return (us // 1_000_000 + 1) * SECOND
 
 
+def place(row: tuple) -> tuple:
+    """The order of rows that begin with a time and an id."""
+    return row[0], row[1] is not None, row[1] or ""
+
+
 class TimeOrdered(StatefulProcessor):
-    """Base of the ordered processors. ``fields`` has what is kept of a waiting event beside ``us`` and ``event_id``."""
+    """Base of the ordered processors. ``fields`` has what is kept of a waiting event beside ``us`` and ``event_id``,
+    ``memory`` what is kept of a key, with its first value. Without ``keys``, columns of text, a group is one key."""
 
     fields: dict[str, str] = {}
+    memory: dict[str, tuple[str, object]] = {}
 
-    def __init__(self, idle: int):
-        self.idle = idle
+    def __init__(self, idle: int, keys: tuple[str, ...] = ()):
+        self.idle, self.keys = idle, keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = {"us": "long", "event_id": "string"} | self.fields
-        self.names, kept = list(fields), ", ".join(f"{name}: {kind}" for name, kind in fields.items())
-        self.waiting = handle.getMapState("waiting", "until long", f"events array<struct<{kept}>>")
-        self.seen = handle.getValueState("seen", "last long, wake long")
+        fields = {"us": "long", "event_id": "string"} | {k: "string" for k in self.keys} | self.fields
+        self.event = namedtuple("Event", fields)
+        listed = lambda kinds: ", ".join(f"{name}: {kind}" for name, kind in kinds.items())
+        kept = {"who": "array<string>", "last": "long", "wake": "long"} | {n: kind for n, (kind, _) in self.memory.items()}
+        self.waiting = handle.getMapState("waiting", "us long, chunk long", f"events array<struct<{listed(fields)}>>")
+        self.alarms = handle.getMapState("alarms", "us long, chunk long", "alarms array<struct<us: long, id: string, who: array<string>>>")
+        self.pages = handle.getMapState("pages", "page long", f"keys array<struct<{listed(kept)}>>")
+        self.served: dict[tuple, int] = {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new: dict[int, list] = {}
-        for row in rows:
-            new.setdefault(second_end(row.us), []).append(tuple(row[n] for n in self.names))
-        for until, events in new.items():
-            self.expect(events)
-            if self.waiting.containsKey((until,)):
-                events = [tuple(e) for e in self.waiting.getValue((until,))[0]] + events
-            else:
-                self.handle.registerTimer(until)
-            self.waiting.updateValue((until,), (events,))
+        rows, ends = iter(rows), []
+        while events := [tuple([row[n] for n in self.event._fields]) for row in islice(rows, ARRIVALS)]:
+            events.sort(key=place)
+            self.keep(self.waiting, events)
+            ends += [events[0][0], events[-1][0]]
+        for until in {second_end(min(ends)), second_end(max(ends))} if ends else ():
+            self.handle.registerTimer(until)
         return iter(())
 
+    def keep(self, chunks, rows: list[tuple]) -> None:
+        """Store sorted rows in chunks."""
+        for at in range(0, len(rows), CHUNK):
+            part = rows[at:at + CHUNK]
+            chunks.updateValue((part[0][0], random.getrandbits(62)), (part,))
+
+    def due(self, chunks, before: int) -> Iterator[tuple]:
+        """Take the rows before a time from their chunks, in order. A chunk is opened when its first row is due."""
+        names = sorted((tuple(n) for n in chunks.keys() if n[0] < before), reverse=True)
+        heap, rows = [], {}
+        while names or heap:
+            while names and (not heap or names[-1][0] <= heap[0][0][0]):
+                name = names.pop()
+                held = [tuple(r) for r in chunks.getValue(name)[0]]
+                chunks.removeKey(name)
+                now = [r for r in held if r[0] < before]
+                if len(now) < len(held):
+                    self.keep(chunks, held[len(now):])
+                rows[name] = iter(now)
+                row = next(rows[name])
+                heappush(heap, (place(row), name, row))
+            _, name, row = heappop(heap)
+            yield row
+            after = next(rows[name], None)
+            if after is None:
+                del rows[name]
+            else:
+                heappush(heap, (place(after), name, after))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at = expiredTimerInfo.getExpiryTimeInMs()
-        last, wake = self.seen.get() if self.seen.exists() else (None, None)
-        if self.waiting.containsKey((at,)):
-            events = sorted((Row(*self.names)(*e) for e in self.waiting.getValue((at,))[0]),
-                            key=lambda e: (e.us, e.event_id is not None, e.event_id))
-            self.waiting.removeKey((at,))
-            yield from self.take(key, events)
-            last = max(at, last or at)
-            if wake is None:
-                wake = last + self.idle
-                self.handle.registerTimer(wake)
-            self.seen.update((last, wake))
-        yield from self.pause(key, at)
-        if wake == at:
-            if last + self.idle <= at:
-                self.seen.clear()
-                self.forget()
+        mark = at if timerValues is None else max(at, timerValues.getCurrentWatermarkInMs())
+        if self.served.get(tuple(key), mark - 1) >= mark:
+            return
+        self.served[tuple(key)] = mark
+        opened: dict[int, dict] = {}
+        touched: dict[tuple, SimpleNamespace] = {}
+
+        def known(who):
+            if who not in touched:
+                page = crc32(repr(who).encode()) % PAGES
+                if page not in opened:
+                    opened[page] = self.read_page(page)
+                touched[who] = opened[page].setdefault(who, self.blank())
+            return touched[who]
+
+        for row in self.due(self.waiting, mark // SECOND * 1_000_000):
+            event = self.event._make(row)
+            who = tuple([getattr(event, k) for k in self.keys]) or tuple(key)
+            state, until = known(who), second_end(event.us)
+            if state.last is not None and until > state.last + self.idle:
+                yield from self.pause(who, state, state.last + self.idle)
+                self.forget(who, state)
+            state.last = until
+            yield from self.take(who, state, event)
+        for _, _, who in self.due(self.alarms, mark * 1000 + 1):
+            known(tuple(who))
+
+        alarms = []
+        for who, state in touched.items():
+            if state.last is None:  # forgotten since the alarm was set
+                wake = None
             else:
-                self.handle.registerTimer(last + self.idle)
-                self.seen.update((last, last + self.idle))
-
-    def expect(self, events: list[tuple]) -> None:
-        """Register what the arrival of events makes due later, beside their own second."""
-
-    def take(self, key, events: list[Row]) -> Iterator[Row]:
-        """The output of the next events in order."""
+                yield from self.pause(who, state, mark)
+                wake = self.wake(state, mark)
+            if wake is None:
+                self.forget(who, state)
+                del opened[crc32(repr(who).encode()) % PAGES][who]
+                continue
+            if state.wake is None or state.wake <= mark:
+                state.wake = wake
+                alarms.append((wake * 1000, None, list(who)))
+            self.settle(who, state)
+        for page, states in opened.items():
+            self.write_page(page, states)
+        self.keep(self.alarms, sorted(alarms, key=lambda a: a[0]))
+        ahead = {second_end(n[0]) for n in [min(self.waiting.keys(), default=None)] if n}
+        ahead |= {n[0] // 1000 for n in [min(self.alarms.keys(), default=None)] if n}
+        for until in ahead:
+            self.handle.registerTimer(until)
+
+    def blank(self) -> SimpleNamespace:
+        """What is kept of a key without events."""
+        return SimpleNamespace(last=None, wake=None, **{n: copy(first) for n, (_, first) in self.memory.items()})
+
+    def read_page(self, page: int) -> dict[tuple, SimpleNamespace]:
+        if not self.pages.containsKey((page,)):
+            return {}
+        names = ["last", "wake", *self.memory]
+        return {tuple(row[0]): SimpleNamespace(**dict(zip(names, plain(tuple(row)[1:]))))
+                for row in self.pages.getValue((page,))[0]}
+
+    def write_page(self, page: int, states: dict[tuple, SimpleNamespace]) -> None:
+        if states:
+            rows = [(list(who), s.last, s.wake, *[getattr(s, n) for n in self.memory]) for who, s in states.items()]
+            self.pages.updateValue((page,), (rows,))
+        elif self.pages.containsKey((page,)):
+            self.pages.removeKey((page,))
+
+    def take(self, who: tuple, state: SimpleNamespace, event) -> Iterator[Row]:
+        """The output of the next event in order."""
         return iter(())
 
-    def pause(self, key, at: int) -> Iterator[Row]:
+    def pause(self, who: tuple, state: SimpleNamespace, at: int) -> Iterator[Row]:
         """What is due at a time, after the events before it were taken."""
         return iter(())
 
-    def forget(self) -> None:
-        """Clear the key's own state."""
+    def wake(self, state: SimpleNamespace, mark: int) -> int | None:
+        """When the key has something due without further events; None if it can be forgotten."""
+        end = state.last + self.idle
+        return end if end > mark else None
+
+    def settle(self, who: tuple, state: SimpleNamespace) -> None:
+        """Move what is too much for a page to state of its own."""
+
+    def forget(self, who: tuple, state: SimpleNamespace) -> None:
+        """Clear what is kept of the key; an alarm that is set stays known."""
+        vars(state).update(vars(self.blank()) | {"wake": state.wake})
 
     def close(self) -> None:
         pass
 
 
+def plain(value):
+    """A value of the state with tuples and lists in place of rows."""
+    if isinstance(value, tuple):
+        return tuple([plain(v) for v in value])
+    if isinstance(value, list):
+        return [plain(v) for v in value]
+    if isinstance(value, dict):
+        return {k: plain(v) for k, v in value.items()}
+    return value
+
+
 def ordered(events: DataFrame, keys: list[str], processor: TimeOrdered, output: str, delay: str) -> DataFrame:
-    """The output of ``processor`` over the events of each of ``keys``."""
+    """The output of ``processor``, which was made for ``keys``, over the events of each of them."""
     rows = events.withColumn("us", F.unix_micros("timestamp")).withWatermark("timestamp", delay)
-    return rows.groupBy(*keys).transformWithState(
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64(*keys), F.lit(GROUPS)))
+    return dealt.groupBy("group").transformWithState(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime")
 
 
 class Positions(TimeOrdered):
     """Numbers the events of a key."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.count = handle.getValueState("count", "n long")
-
-    def take(self, key, events):
-        n = self.count.get()[0] if self.count.exists() else 0
-        for n, event in enumerate(events, n + 1):
-            yield Row(session_id=key[0], event_id=event.event_id, us=event.us, session_sequence=n)
-        self.count.update((n,))
+    memory = {"count": ("long", 0)}
 
-    def forget(self):
-        self.count.clear()
+    def take(self, who, state, event):
+        state.count += 1
+        yield Row(session_id=who[0], event_id=event.event_id, us=event.us, session_sequence=state.count)
 
 
 def session_positions(events: DataFrame, delay: str = DELAY, idle: str = IDLE) -> DataFrame:
     """The position of each event in its session, as ``operators.ordered.number_rows`` gives it."""
-    found = ordered(events.select("session_id", "event_id", "timestamp"), ["session_id"], Positions(1000 * seconds(idle)),
+    found = ordered(events.select("session_id", "event_id", "timestamp"), ["session_id"],
+                    Positions(1000 * seconds(idle), ("session_id",)),
                     "session_id string, event_id string, us long, session_sequence long", delay)
     return found.withColumn("timestamp", F.timestamp_micros("us")).drop("us")
 
 
 class SessionLists(TimeOrdered):
     """Collects the event types and properties of each session in chunks. A full chunk comes at once, the last one when no
-    event can lengthen the session any more."""
+    event can lengthen the session any more. Many entries leave the page for parts of their own."""
 
     # The properties travel as two lists.
     fields = {"event_type": "string", "names": "array<string>", "texts": "array<string>"}
+    memory = {"start": ("long", None), "latest": ("long", None), "chunk": ("long", 0), "parts": ("int", 0), "held": ("int", 0),
+              "entries": ("array<struct<event_type: string, names: array<string>, texts: array<string>>>", [])}
 
-    def __init__(self, idle: int, gap: int, chunk_size: int):
-        super().__init__(idle)
+    def __init__(self, idle: int, gap: int, chunk_size: int, keys: tuple[str, ...] = ()):
+        super().__init__(idle, keys)
         self.gap, self.chunk_size = gap, chunk_size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.open = handle.getValueState("open", "start long, last long, chunk long, held int")
-        self.entries = handle.getListState("entries", "event_type string, names array<string>, texts array<string>")
-
-    def expect(self, events):
-        # A timer that is set while others expire would come a batch late, so each is set on arrival.
-        self.handle.registerTimer(second_end(max(e[0] for e in events) + self.gap))
-
-    def take(self, key, events):
-        start, last, chunk, held = self.open.get() if self.open.exists() else (None, None, 0, 0)
-        new = []
-        for event in events:
-            if last is not None and event.us - last > self.gap:
-                yield from self.chunk_of(key, start, chunk, new)
-                start, chunk, held, new = None, 0, 0, []
-            start, last, held = event.us if start is None else start, event.us, held + 1
-            new.append((event.event_type, event.names, event.texts))
-            if held == self.chunk_size:
-                yield from self.chunk_of(key, start, chunk, new)
-                chunk, held, new = chunk + 1, 0, []
-        if new:
-            self.entries.appendList(new)
-        self.open.update((start, last, chunk, held))
-
-    def chunk_of(self, key, start, chunk, new):
-        """The entries held in the state and those that came since, as one row."""
-        held = [tuple(e) for e in self.entries.get()] if self.entries.exists() else []
-        self.entries.clear()
-        if held or new:
-            kinds, names, texts = map(list, zip(*held, *new))
-            yield Row(session_id=key[0], user_id=key[1], start=start, chunk=chunk, entries=len(kinds),
+        self.parts = handle.getMapState("parts", "who string, part int", f"entries {self.memory['entries'][0]}")
+
+    def take(self, who, state, event):
+        if state.latest is not None and event.us - state.latest > self.gap:
+            yield from self.cut(who, state)
+            state.start, state.chunk = None, 0
+        state.start, state.latest = event.us if state.start is None else state.start, event.us
+        state.entries.append((event.event_type, event.names, event.texts))
+        if state.held + len(state.entries) == self.chunk_size:
+            yield from self.cut(who, state)
+            state.chunk += 1
+
+    def cut(self, who, state):
+        """The entries held, as one row."""
+        entries = []
+        for part in range(state.parts):
+            entries += self.parts.getValue((repr(who), part))[0]
+            self.parts.removeKey((repr(who), part))
+        entries += state.entries
+        state.parts, state.held, state.entries = 0, 0, []
+        if entries:
+            kinds, names, texts = map(list, zip(*entries))
+            yield Row(session_id=who[0], user_id=who[1], start=state.start, chunk=state.chunk, entries=len(kinds),
                       event_sequence=kinds, names=names, texts=texts)
 
-    def pause(self, key, at):
-        if self.open.exists():
-            start, last, chunk, held = self.open.get()
-            if second_end(last + self.gap) <= at:
-                yield from self.chunk_of(key, start, chunk, [])
-                self.open.clear()
+    def pause(self, who, state, at):
+        if state.latest is not None and second_end(state.latest + self.gap) <= at:
+            yield from self.cut(who, state)
+            state.start, state.latest, state.chunk = None, None, 0
+
+    def wake(self, state, mark):
+        return None if state.latest is None else second_end(state.latest + self.gap)
 
-    def forget(self):
-        self.open.clear()
-        self.entries.clear()
+    def settle(self, who, state):
+        if len(state.entries) > INLINE:
+            self.parts.updateValue((repr(who), state.parts), (state.entries,))
+            state.parts, state.held, state.entries = state.parts + 1, state.held + len(state.entries), []
 
 
 def session_sequences(events: DataFrame, gap: str = "30 minutes", chunk_size: int = 1000, delay: str = DELAY) -> DataFrame:
@@ -182,7 +289,7 @@ def session_sequences(events: DataFrame, gap: str = "30 minutes", chunk_size: in
     them."""
     pause = seconds(gap) * 1_000_000
     # A session outlives its gap by a second at most; its key can be forgotten then.
-    processor = SessionLists(pause // 1000 + 2 * SECOND, pause, chunk_size)
+    processor = SessionLists(pause // 1000 + 2 * SECOND, pause, chunk_size, ("session_id", "user_id"))
     rows = events.select("session_id", "user_id", "event_id", "timestamp", "event_type",
                          F.map_keys("properties").alias("names"), F.map_values("properties").alias("texts"))
     found = ordered(rows, ["session_id", "user_id"], processor,
@@ -196,58 +303,61 @@ def session_sequences(events: DataFrame, gap: str = "30 minutes", chunk_size: in
 class WindowLists(TimeOrdered):
     """Collects the event types of a key in every sliding window that holds them, in chunks, once the window is over.
 
-    Events are kept by second and seconds by slide, so a window reads the events of its slides and nothing else, and a
-    slide is dropped with the last window that holds it.
+    Events are kept by slide, so a window reads the events of its slides and nothing else, and a slide is dropped with the
+    last window that holds it. Many events of a slide leave the page for parts of their own.
     """
 
     fields = {"event_type": "string"}
+    memory = {"done": ("long", None), "slides": ("array<struct<start: long, parts: int, kinds: array<string>>>", [])}
 
-    def __init__(self, idle: int, size: int, slide: int, chunk_size: int):
-        super().__init__(idle)
+    def __init__(self, idle: int, size: int, slide: int, chunk_size: int, keys: tuple[str, ...] = ()):
+        super().__init__(idle, keys)
         self.size, self.slide, self.chunk_size = size, slide, chunk_size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.slides = handle.getMapState("slides", "start long", "seconds array<long>")
-        self.taken = handle.getMapState("taken", "until long", "kinds array<string>")
-
-    def slide_of(self, us: int) -> int:
-        return us // 1000 // self.slide * self.slide
-
-    def expect(self, events):
-        start = self.slide_of(events[0][0])
-        for end in range(start + self.slide, start + self.size + 1, self.slide):
-            self.handle.registerTimer(end)
-
-    def take(self, key, events):
-        until, start = second_end(events[0].us), self.slide_of(events[0].us)
-        seconds = self.slides.getValue((start,))[0] if self.slides.containsKey((start,)) else []
-        held = self.taken.getValue((until,))[0] if until in seconds else []
-        self.taken.updateValue((until,), ([*held, *(e.event_type for e in events)],))
-        if until not in seconds:
-            self.slides.updateValue((start,), ([*seconds, until],))
-        return iter(())
-
-    def pause(self, key, at):
-        if at % self.slide:
-            return
-        kinds = []
-        for start in range(at - self.size, at, self.slide):
-            if self.slides.containsKey((start,)):
-                for until in sorted(self.slides.getValue((start,))[0]):
-                    kinds += self.taken.getValue((until,))[0]
-        for chunk, first in enumerate(range(0, len(kinds), self.chunk_size)):
-            part = kinds[first:first + self.chunk_size]
-            yield Row(user_id=key[0], start=at - self.size, chunk=chunk, entries=len(part), event_sequence=part)
-        over = at - self.size
-        if self.slides.containsKey((over,)):
-            for until in self.slides.getValue((over,))[0]:
-                self.taken.removeKey((until,))
-            self.slides.removeKey((over,))
-
-    def forget(self):
-        self.slides.clear()
-        self.taken.clear()
+        self.parts = handle.getMapState("parts", "who string, start long, part int", "kinds array<string>")
+
+    def take(self, who, state, event):
+        start = event.us // 1000 // self.slide * self.slide
+        if not state.slides or state.slides[-1][0] != start:
+            yield from self.pause(who, state, start)
+            state.slides.append((start, 0, []))
+        state.slides[-1][2].append(event.event_type)
+
+    def ends(self, state) -> list[int]:
+        """The ends of the windows that hold events and were not given yet."""
+        ends = {start + step for start, _, _ in state.slides for step in range(self.slide, self.size + 1, self.slide)}
+        return sorted(e for e in ends if state.done is None or e > state.done)
+
+    def pause(self, who, state, at):
+        for end in self.ends(state):
+            if end > at:
+                break
+            kinds = []
+            for start, parts, held in state.slides:
+                if end - self.size <= start < end:
+                    for part in range(parts):
+                        kinds += self.parts.getValue((repr(who), start, part))[0]
+                    kinds += held
+            for chunk, first in enumerate(range(0, len(kinds), self.chunk_size)):
+                part = kinds[first:first + self.chunk_size]
+                yield Row(user_id=who[0], start=end - self.size, chunk=chunk, entries=len(part), event_sequence=part)
+        for start, parts, _ in state.slides:
+            if start + self.size <= at:
+                for part in range(parts):
+                    self.parts.removeKey((repr(who), start, part))
+        state.slides = [s for s in state.slides if s[0] + self.size > at]
+        state.done = at
+
+    def wake(self, state, mark):
+        return next(iter(self.ends(state)), None)
+
+    def settle(self, who, state):
+        for at, (start, parts, kinds) in enumerate(state.slides):
+            if len(kinds) > INLINE:
+                self.parts.updateValue((repr(who), start, parts), (kinds,))
+                state.slides[at] = (start, parts + 1, [])
 
 
 def behavior_sequences(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes", chunk_size: int = 1000,
@@ -255,7 +365,7 @@ def behavior_sequences(events: DataFrame, size: str = "1 hour", slide: str = "10
     """Ordered event types of each user and window, in chunks, as ``operators.windows.behavior_sequences`` gives them."""
     length = 1000 * seconds(size)
     # A key's last window is over a size after its last event.
-    processor = WindowLists(length + 2 * SECOND, length, 1000 * seconds(slide), chunk_size)
+    processor = WindowLists(length + 2 * SECOND, length, 1000 * seconds(slide), chunk_size, ("user_id",))
     found = ordered(events.select("user_id", "event_id", "timestamp", "event_type"), ["user_id"], processor,
                     "user_id string, start long, chunk long, entries int, event_sequence array<string>", delay)
     return found.select("user_id", F.timestamp_millis("start").alias("window_start"),

@@ -238,3 +238,46 @@ def test_waiting_events_are_read_once():
         out += processor.handleExpiredTimer(("u",), None, Expired(at))
     assert [r.us for r in out] == sorted(e.us for e in events)
     assert State.reads < 3 * n and len(processor.waiting) == 0
+
+
+def test_state_calls_are_shared_by_keys():
+    """1000 sessions of a group in two batches: the state is called by chunk and page, not by event or key."""
+    from pyspark.sql import Row
+
+    from clickloom.streaming import ordered
+
+    class State(dict):
+        calls = 0
+
+        def __getattribute__(self, name):
+            State.calls += name in ("containsKey", "getValue", "updateValue", "removeKey", "keys")
+            return dict.__getattribute__(self, name)
+
+        def containsKey(self, k): return k in self
+        def getValue(self, k): return self[k]
+        def updateValue(self, k, v): self[k] = v
+        def removeKey(self, k): del self[k]
+
+    class Handle:
+        def __init__(self): self.timers = set()
+        def getMapState(self, *_): return State()
+        def registerTimer(self, at): self.timers.add(at)
+
+    class Time:
+        def __init__(self, at): self.at = at
+        def getExpiryTimeInMs(self): return min(handle.timers)
+        def getCurrentWatermarkInMs(self): return self.at
+
+    n, handle = 1000, Handle()
+    processor = ordered.Positions(10 ** 9, ("session_id",))
+    processor.init(handle)
+    out = []
+    for batch in range(2):
+        rows = [Row(us=1_000_000 * (batch * n + i * 7 % n), event_id=str(i), session_id=str(i) if i else None) for i in range(n)]
+        assert not list(processor.handleInputRows((5,), iter(rows), None))
+        out += processor.handleExpiredTimer((5,), Time(1000 * n * (batch + 1)), Time(0))
+    assert {(r.session_id, r.session_sequence) for r in out} == {(str(i) if i else None, b) for i in range(n) for b in (1, 2)}
+    assert State.calls < n and len(processor.waiting) == 0
+    # All are forgotten at the end of the idle time.
+    assert not list(processor.handleExpiredTimer((5,), Time(10 ** 12), Time(0)))
+    assert not processor.pages and not processor.alarms
