@@ -24,29 +24,36 @@ def cart_columns() -> dict[str, Column]:
 
 
 def cart_totals(events: DataFrame, keys: list[str] | None = None, ts: str = "timestamp",
-                tie: str = "event_id") -> DataFrame:
-    """Value of the cart after each cart event and purchase.
+                tie: str = "event_id", columns: list[str] | None = None) -> DataFrame:
+    """Value of the cart after each cart event and purchase, with ``columns`` of the events, or all of them.
 
     A cart lies between two purchases. Within it the units of a product are their running sum less what removals took
     too much, the lowest value the sum has had below 0, and the price is the last one given. An event changes the total by
     the product's worth after it less that before it.
     """
     keys, order = keys or ["user_id"], [ts, tie]
-    names = events.columns
+    names = columns or events.columns
     rows = events.where(F.col("event_type").isin(*CART_TYPES)).withColumns(cart_columns())
+    # Only what is asked for is moved and stored.
+    needed = dict.fromkeys([*names, *keys, *order, "event_type", *cart_columns()])
+    rows = rows.select(*[F.col(f"`{c}`") for c in needed])
     bought = (F.col("event_type") == "purchase").cast("int")
     rows = running(ranged(rows, keys, order), keys, order, _cart=Running("sum", bought))
 
     held = [*keys, "_cart", "_product"]
-    items = running(ranged(rows, held, order), held, order,
-                    _sum=Running("sum", F.col("_units")), _known=Running("last", F.col("_price")))
-    items = running(items, held, order, _low=Running("min", F.col("_sum")))
+    price, total = F.col("_price"), F.col("_sum")
+    items = running(ranged(rows, held, order), held, order, _sum=Running("sum", F.col("_units")),
+                    _known=Running("last", price), _known_before=Running("last", price, before=True))
+    items = running(items, held, order, _low=Running("min", total), _low_before=Running("min", total, before=True))
     zero = F.lit(0).cast("decimal(18,4)")
-    units = F.col("_sum") - F.least(F.col("_low"), F.lit(0))
-    items = items.withColumn("_worth", (units.cast("decimal(19,0)") * F.coalesce("_known", zero)).cast("decimal(37,4)"))
-    items = running(items, held, order, _before=Running("last", F.col("_worth"), before=True))
 
-    change = F.col("_worth") - F.coalesce("_before", zero)
+    def worth(units: Column, low: str, known: str) -> Column:
+        held_units = units - F.least(F.col(low), F.lit(0))
+        return (held_units.cast("decimal(19,0)") * F.coalesce(known, zero)).cast("decimal(37,4)")
+
+    change = worth(total, "_low", "_known") - worth(total - F.col("_units"), "_low_before", "_known_before")
+    # What the products were worth is settled; only the change of the total is moved on.
+    items = items.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, *keys, *order, "_cart"])], change.alias("_change"))
     whole = [*keys, "_cart"]
-    totals = running(ranged(items, whole, order), whole, order, cart_total=Running("sum", change))
+    totals = running(ranged(items, whole, order), whole, order, cart_total=Running("sum", F.col("_change")))
     return totals.select(*[F.col(f"`{c}`") for c in names], F.col("cart_total").cast("double").alias("cart_total"))

@@ -65,7 +65,8 @@ def running(rows: DataFrame, keys: list[str], order: list[str], **values: Runnin
              .where("_piece > 1").drop("_piece"))
     local = rows.withColumns({f"_here_{n}": v.over(frame[v.before]) for n, v in values.items()})
     match = [F.col(n).eqNullSafe(F.col(f"_carry_{n}")) for n in (RANGE, *keys)]
-    whole = local.join(carry, reduce(lambda a, b: a & b, match), "left")
+    # At most one group goes on into a range, so there are no more carries than ranges.
+    whole = local.join(F.broadcast(carry), reduce(lambda a, b: a & b, match), "left")
     return whole.select(*[F.col(f"`{c}`") for c in rows.columns if c not in values], *[
         v.with_carry(F.col(f"_here_{n}"), F.col(f"_carry_{n}")).alias(n) for n, v in values.items()])
 

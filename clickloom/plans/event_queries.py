@@ -321,8 +321,7 @@ cart AS (SELECT id || '-a' AS event_id, user_id, 'add_to_cart' AS event_type, t
 @query("cart_items", _cart_sql(CART_LINES))
 def cart_items(spark, sf_dir):
     """Order lines as carts: products come again at other prices, removals carry none and may take more than is there."""
-    return carts.cart_totals(tables.cart_events(spark, sf_dir)).select(
-        "event_id", "user_id", "event_type", "timestamp", "cart_total")
+    return carts.cart_totals(tables.cart_events(spark, sf_dir), columns=["event_id", "user_id", "event_type", "timestamp"])
 
 
 def _idle_query(seconds):

@@ -230,3 +230,15 @@ def test_no_range_holds_a_hot_group(spark, monkeypatch):
     for table in tables:
         sizes = sorted(r["count"] for r in table.groupBy("_range").count().collect())
         assert len(sizes) > 4 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_carts_move_what_is_asked_for(spark, make, monkeypatch):
+    """Tables between the steps hold no properties, and carried values, one for a range, are not joined by a shuffle."""
+    rows = make([{"event_id": str(i), "ts": "2024-01-01 00:00:00", "event_type": "add_to_cart",
+                  "properties": {"product_id": str(i % 2), "price": "2"}} for i in range(4)])
+    tables, keep = [], ordered.stored
+    monkeypatch.setattr(ordered, "stored", lambda df, name: tables.append(keep(df, name)) or tables[-1])
+    found = carts.cart_totals(rows, columns=["event_id"])
+    assert [tuple(r) for r in found.orderBy("event_id").collect()] == [("0", 2.0), ("1", 4.0), ("2", 6.0), ("3", 8.0)]
+    assert len(tables) == 3 and not any("properties" in t.columns for t in tables)
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
