@@ -23,18 +23,35 @@ def event_stream(spark, sf_dir):
     return tables.canonical(readers.table_stream(spark, sf_dir, tables.SCHEMAS["events"], "events.parquet"))
 
 
+# A file of a batch holds about so many rows.
+FILE_ROWS = 1_000_000
+
+
+def arrivals(rows, parts, path):
+    """Write the rows of each of ``parts`` (a column ``part``), one after the other, and return how many files each has:
+    the same number for all, so that a trigger of that many files is a part, whatever tasks wrote it."""
+    spark, most = rows.sparkSession, rows.groupBy("part").count().agg(F.max("count")).first()[0]
+    files = 1 + (most or 0) // FILE_ROWS
+    for done, part in enumerate(parts, 1):
+        of_part = rows.where(F.col("part") == part).drop("part")
+        of_part.repartition(files).write.mode("append").parquet(path)
+        # A task without rows writes no file.
+        for _ in range(files * done - len(spark.read.schema(of_part.schema).parquet(path).inputFiles())):
+            of_part.limit(0).write.mode("append").parquet(path)
+    return files
+
+
 def event_batches(spark, sf_dir):
-    """The same stream in several batches, out of order: four files, one a trigger, of about a week each; every other
-    event of the last half hour before a cut comes with the next file."""
+    """The same stream in several batches, out of order: four, one a trigger, of about a week each; every other
+    event of the last half hour before a cut comes with the next one."""
     configure(spark)
     path = fresh_path(spark, "event-files")
     rows = tables.table(spark, sf_dir, "events")
     late = F.when(F.col("event_id") % 2 == 1, 1800).otherwise(0)
     since = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
     numbered = rows.withColumn("part", F.least(F.lit(3), F.floor((since + late) / (8 * 86400))))
-    for part in range(4):
-        numbered.where(F.col("part") == part).drop("part").write.mode("append").parquet(path)
-    return tables.canonical(readers.table_stream(spark, path, tables.SCHEMAS["events"], files_per_trigger=1))
+    files = arrivals(numbered, range(4), path)
+    return tables.canonical(readers.table_stream(spark, path, tables.SCHEMAS["events"], files_per_trigger=files))
 
 
 def priced_batches(spark, sf_dir):

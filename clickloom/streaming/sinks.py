@@ -138,7 +138,10 @@ def compact(spark: SparkSession, path: str, partitions: list[str]) -> None:
 
 
 def clean(spark: SparkSession, path: str, partitions: list[str]) -> None:
-    """Delete the folders of compacted batches, once no reader that started before uses them."""
+    """Delete the folders of compacted batches, once no reader that started before uses them. If there are none yet,
+    because the batches so far had no rows, nothing is deleted."""
+    if not snapshots.exists(spark, f"{path}/{COMPACTED}"):
+        return
     done = snapshots.read(spark, f"{path}/{COMPACTED}").select(*partitions, "run", "batch").distinct()
     loose = spark.read.schema(done.schema).parquet(path).withColumn("file", F.col("_metadata.file_path"))
     old = loose.join(F.broadcast(done.select("run", "batch").distinct()), ["run", "batch"], "left_semi").select("file").distinct()

@@ -69,3 +69,12 @@ def test_latest_values_and_last_batch(spark):
     assert sorted(map(tuple, sinks.latest_values(rows, ["k", "s"]).collect()), key=str) == [
         ("a", "x", 2), ("a", None, 5), ("b", "x", 3)]
     assert [tuple(r) for r in sinks.last_batch(rows).collect()] == [("a", None, 5)]
+
+
+def test_clean_before_a_first_compaction(spark, tmp_path):
+    """The first batches may hold no rows, so that nothing is finished yet."""
+    path = f"{tmp_path}/t"
+    write(spark, path, 2)
+    sinks.compact(spark, path, ["day"])
+    sinks.clean(spark, path, ["day"])
+    assert ids(spark, path) == list(range(80, 120))

@@ -281,3 +281,23 @@ def test_state_calls_are_shared_by_keys():
     # All are forgotten at the end of the idle time.
     assert not list(processor.handleExpiredTimer((5,), Time(10 ** 12), Time(0)))
     assert not processor.pages and not processor.alarms
+
+
+@pytest.mark.parametrize("file_rows", [1_000_000, 40])
+def test_batches_do_not_follow_the_files_of_the_table(spark, tmp_path, monkeypatch, file_rows):
+    """A table in many files, some without rows of a week, comes in four batches and in nearly the order of its times."""
+    from clickloom.plans import stream_queries
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", file_rows, raising=False)
+    rows = spark.range(400).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id * 4320)").alias("ts"),
+        (F.col("id") % 9).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"))
+    # Of the last week there are only three events, fewer than files.
+    rows.where("id < 160 or id in (170, 300, 399)").repartitionByRange(6, "ts").write.parquet(f"{tmp_path}/events.parquet")
+    path, found = f"{tmp_path}/out", {}
+
+    def outputs(batch, stamp):
+        found[stamp[1]] = [r["offset"] for r in batch.select("offset").collect()]
+    sinks.write_each(stream_queries.event_batches(spark, str(tmp_path)), "data_lake", f"{tmp_path}/check", outputs, True).awaitTermination()
+    assert sorted(i for ids in found.values() for i in ids) == [*range(160), 170, 300, 399]
+    assert sorted(found) == [0, 1, 2, 3]
+    assert all(max(found[a]) < min(found[b]) for a in found for b in found if a < b and found[a] and found[b])
