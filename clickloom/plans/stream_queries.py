@@ -183,9 +183,8 @@ def stream_cart_items(spark, sf_dir):
     year = lambda shift: F.floor(F.year(F.col("timestamp") + F.expr(f"interval {shift}")) / 3)
     late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
     numbered = stored(rows.withColumn("part", F.when(late, year("20 hours")).otherwise(year("0 hours"))), "cart-events")
-    for part in sorted(r[0] for r in numbered.select("part").distinct().collect()):
-        numbered.where(F.col("part") == part).drop("part").write.mode("append").parquet(path)
-    sent = readers.table_stream(spark, path, rows.schema, files_per_trigger=1)
+    files = arrivals(numbered, sorted(r[0] for r in numbered.select("part").distinct().collect()), path)
+    sent = readers.table_stream(spark, path, rows.schema, files_per_trigger=files)
     found = carts.cart_totals(sent, "1 day", "9000 days")
     return sinks.drain(spark, found, "carts").select("event_id", "user_id", "event_type", "timestamp", "cart_total")
 

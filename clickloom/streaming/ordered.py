@@ -1,19 +1,22 @@
 """Ordered state on streams: each key's events in event-time order, however they arrive.
 
 Keys are dealt to groups, and the state of a group lies in rows that hold many events or many keys each: a call from Python to
-the state store costs far more than a row. Events wait in chunks, sorted by (time, event id) and named by their first time. A
+the state store costs far more than a row, and a value with columns is converted field by field, so what a row holds is packed
+into bytes. Events wait in chunks, sorted by (time, event id) and named by their first time. A
 timer ends the first second that waits once the watermark has passed it; then the events of all seconds that the watermark has
 passed, and no others, are merged from their chunks and taken in order. An event is written and read once, beside those that
 share a chunk with the watermark. What is kept of a key lies in one of the pages of its group; a key without events for
 ``idle`` milliseconds is forgotten.
 """
 
+import pickle
 import random
 from collections import namedtuple
 from collections.abc import Iterator
 from copy import copy
 from heapq import heappop, heappush
-from itertools import islice
+from itertools import chain, islice
+from operator import itemgetter
 from types import SimpleNamespace
 from zlib import crc32
 
@@ -25,7 +28,7 @@ from clickloom.functions.numeric import seconds
 DELAY, IDLE = "30 minutes", "90 days"
 SECOND = 1000
 # Groups of keys, pages of a group, events that arrive and are sorted together, rows of a chunk, entries kept in a page.
-GROUPS, PAGES = 1024, 32
+GROUPS, PAGES = 1024, 8
 ARRIVALS, CHUNK, INLINE = 10_000, 250, 20
 
 
@@ -39,30 +42,39 @@ def place(row: tuple) -> tuple:
     return row[0], row[1] is not None, row[1] or ""
 
 
+def packed(value) -> tuple[bytes]:
+    """Plain values (numbers, texts, None, and tuples, lists and dicts of them) as a row of the state."""
+    return (pickle.dumps(value, pickle.HIGHEST_PROTOCOL),)
+
+
+def unpacked(row: tuple):
+    return pickle.loads(row[0])
+
+
 class TimeOrdered(StatefulProcessor):
-    """Base of the ordered processors. ``fields`` has what is kept of a waiting event beside ``us`` and ``event_id``,
+    """Base of the ordered processors. ``fields`` names what is kept of a waiting event beside ``us`` and ``event_id``,
     ``memory`` what is kept of a key, with its first value. Without ``keys``, columns of text, a group is one key."""
 
-    fields: dict[str, str] = {}
-    memory: dict[str, tuple[str, object]] = {}
+    fields: tuple[str, ...] = ()
+    memory: dict[str, object] = {}
 
     def __init__(self, idle: int, keys: tuple[str, ...] = ()):
         self.idle, self.keys = idle, keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = {"us": "long", "event_id": "string"} | {k: "string" for k in self.keys} | self.fields
-        self.event = namedtuple("Event", fields)
-        listed = lambda kinds: ", ".join(f"{name}: {kind}" for name, kind in kinds.items())
-        kept = {"who": "array<string>", "last": "long", "wake": "long"} | {n: kind for n, (kind, _) in self.memory.items()}
-        self.waiting = handle.getMapState("waiting", "us long, chunk long", f"events array<struct<{listed(fields)}>>")
-        self.alarms = handle.getMapState("alarms", "us long, chunk long", "alarms array<struct<us: long, id: string, who: array<string>>>")
-        self.pages = handle.getMapState("pages", "page long", f"keys array<struct<{listed(kept)}>>")
+        self.event = namedtuple("Event", ("us", "event_id", *self.keys, *self.fields))
+        self.waiting = handle.getMapState("waiting", "us long, chunk long", "events binary")
+        self.alarms = handle.getMapState("alarms", "us long, chunk long", "alarms binary")
+        self.pages = handle.getMapState("pages", "page long", "keys binary")
         self.served: dict[tuple, int] = {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         rows, ends = iter(rows), []
-        while events := [tuple([row[n] for n in self.event._fields]) for row in islice(rows, ARRIVALS)]:
+        for first in islice(rows, 1):
+            places = [first.__fields__.index(name) for name in self.event._fields]
+            rows = map(itemgetter(*places), map(tuple, chain((first,), rows)))
+        while events := list(islice(rows, ARRIVALS)):
             events.sort(key=place)
             self.keep(self.waiting, events)
             ends += [events[0][0], events[-1][0]]
@@ -74,7 +86,7 @@ class TimeOrdered(StatefulProcessor):
         """Store sorted rows in chunks."""
         for at in range(0, len(rows), CHUNK):
             part = rows[at:at + CHUNK]
-            chunks.updateValue((part[0][0], random.getrandbits(62)), (part,))
+            chunks.updateValue((part[0][0], random.getrandbits(62)), packed(part))
 
     def due(self, chunks, before: int) -> Iterator[tuple]:
         """Take the rows before a time from their chunks, in order. A chunk is opened when its first row is due."""
@@ -83,7 +95,7 @@ class TimeOrdered(StatefulProcessor):
         while names or heap:
             while names and (not heap or names[-1][0] <= heap[0][0][0]):
                 name = names.pop()
-                held = [tuple(r) for r in chunks.getValue(name)[0]]
+                held = unpacked(chunks.getValue(name))
                 chunks.removeKey(name)
                 now = [r for r in held if r[0] < before]
                 if len(now) < len(held):
@@ -126,7 +138,7 @@ class TimeOrdered(StatefulProcessor):
             state.last = until
             yield from self.take(who, state, event)
         for _, _, who in self.due(self.alarms, mark * 1000 + 1):
-            known(tuple(who))
+            known(who)
 
         alarms = []
         for who, state in touched.items():
@@ -141,7 +153,7 @@ class TimeOrdered(StatefulProcessor):
                 continue
             if state.wake is None or state.wake <= mark:
                 state.wake = wake
-                alarms.append((wake * 1000, None, list(who)))
+                alarms.append((wake * 1000, None, who))
             self.settle(who, state)
         for page, states in opened.items():
             self.write_page(page, states)
@@ -153,19 +165,18 @@ class TimeOrdered(StatefulProcessor):
 
     def blank(self) -> SimpleNamespace:
         """What is kept of a key without events."""
-        return SimpleNamespace(last=None, wake=None, **{n: copy(first) for n, (_, first) in self.memory.items()})
+        return SimpleNamespace(last=None, wake=None, **{n: copy(first) for n, first in self.memory.items()})
 
     def read_page(self, page: int) -> dict[tuple, SimpleNamespace]:
         if not self.pages.containsKey((page,)):
             return {}
         names = ["last", "wake", *self.memory]
-        return {tuple(row[0]): SimpleNamespace(**dict(zip(names, plain(tuple(row)[1:]))))
-                for row in self.pages.getValue((page,))[0]}
+        return {who: SimpleNamespace(**dict(zip(names, kept))) for who, *kept in unpacked(self.pages.getValue((page,)))}
 
     def write_page(self, page: int, states: dict[tuple, SimpleNamespace]) -> None:
         if states:
-            rows = [(list(who), s.last, s.wake, *[getattr(s, n) for n in self.memory]) for who, s in states.items()]
-            self.pages.updateValue((page,), (rows,))
+            rows = [(who, s.last, s.wake, *[getattr(s, n) for n in self.memory]) for who, s in states.items()]
+            self.pages.updateValue((page,), packed(rows))
         elif self.pages.containsKey((page,)):
             self.pages.removeKey((page,))
 
@@ -193,17 +204,6 @@ class TimeOrdered(StatefulProcessor):
         pass
 
 
-def plain(value):
-    """A value of the state with tuples and lists in place of rows."""
-    if isinstance(value, tuple):
-        return tuple([plain(v) for v in value])
-    if isinstance(value, list):
-        return [plain(v) for v in value]
-    if isinstance(value, dict):
-        return {k: plain(v) for k, v in value.items()}
-    return value
-
-
 def ordered(events: DataFrame, keys: list[str], processor: TimeOrdered, output: str, delay: str) -> DataFrame:
     """The output of ``processor``, which was made for ``keys``, over the events of each of them."""
     rows = events.withColumn("us", F.unix_micros("timestamp")).withWatermark("timestamp", delay)
@@ -215,7 +215,7 @@ def ordered(events: DataFrame, keys: list[str], processor: TimeOrdered, output:
 class Positions(TimeOrdered):
     """Numbers the events of a key."""
 
-    memory = {"count": ("long", 0)}
+    memory = {"count": 0}
 
     def take(self, who, state, event):
         state.count += 1
@@ -234,10 +234,9 @@ class SessionLists(TimeOrdered):
     """Collects the event types and properties of each session in chunks. A full chunk comes at once, the last one when no
     event can lengthen the session any more. Many entries leave the page for parts of their own."""
 
-    # The properties travel as two lists.
-    fields = {"event_type": "string", "names": "array<string>", "texts": "array<string>"}
-    memory = {"start": ("long", None), "latest": ("long", None), "chunk": ("long", 0), "parts": ("int", 0), "held": ("int", 0),
-              "entries": ("array<struct<event_type: string, names: array<string>, texts: array<string>>>", [])}
+    # The properties travel as two lists. An entry has what ``fields`` names.
+    fields = ("event_type", "names", "texts")
+    memory = {"start": None, "latest": None, "chunk": 0, "parts": 0, "held": 0, "entries": []}
 
     def __init__(self, idle: int, gap: int, chunk_size: int, keys: tuple[str, ...] = ()):
         super().__init__(idle, keys)
@@ -245,7 +244,7 @@ class SessionLists(TimeOrdered):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.parts = handle.getMapState("parts", "who string, part int", f"entries {self.memory['entries'][0]}")
+        self.parts = handle.getMapState("parts", "who string, part int", "entries binary")
 
     def take(self, who, state, event):
         if state.latest is not None and event.us - state.latest > self.gap:
@@ -261,7 +260,7 @@ class SessionLists(TimeOrdered):
         """The entries held, as one row."""
         entries = []
         for part in range(state.parts):
-            entries += self.parts.getValue((repr(who), part))[0]
+            entries += unpacked(self.parts.getValue((repr(who), part)))
             self.parts.removeKey((repr(who), part))
         entries += state.entries
         state.parts, state.held, state.entries = 0, 0, []
@@ -280,7 +279,7 @@ class SessionLists(TimeOrdered):
 
     def settle(self, who, state):
         if len(state.entries) > INLINE:
-            self.parts.updateValue((repr(who), state.parts), (state.entries,))
+            self.parts.updateValue((repr(who), state.parts), packed(state.entries))
             state.parts, state.held, state.entries = state.parts + 1, state.held + len(state.entries), []
 
 
@@ -307,8 +306,9 @@ class WindowLists(TimeOrdered):
     last window that holds it. Many events of a slide leave the page for parts of their own.
     """
 
-    fields = {"event_type": "string"}
-    memory = {"done": ("long", None), "slides": ("array<struct<start: long, parts: int, kinds: array<string>>>", [])}
+    # A slide has its start, the number of its parts and the event types that are in none.
+    fields = ("event_type",)
+    memory = {"done": None, "slides": []}
 
     def __init__(self, idle: int, size: int, slide: int, chunk_size: int, keys: tuple[str, ...] = ()):
         super().__init__(idle, keys)
@@ -316,7 +316,7 @@ class WindowLists(TimeOrdered):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.parts = handle.getMapState("parts", "who string, start long, part int", "kinds array<string>")
+        self.parts = handle.getMapState("parts", "who string, start long, part int", "kinds binary")
 
     def take(self, who, state, event):
         start = event.us // 1000 // self.slide * self.slide
@@ -338,7 +338,7 @@ class WindowLists(TimeOrdered):
             for start, parts, held in state.slides:
                 if end - self.size <= start < end:
                     for part in range(parts):
-                        kinds += self.parts.getValue((repr(who), start, part))[0]
+                        kinds += unpacked(self.parts.getValue((repr(who), start, part)))
                     kinds += held
             for chunk, first in enumerate(range(0, len(kinds), self.chunk_size)):
                 part = kinds[first:first + self.chunk_size]
@@ -356,7 +356,7 @@ class WindowLists(TimeOrdered):
     def settle(self, who, state):
         for at, (start, parts, kinds) in enumerate(state.slides):
             if len(kinds) > INLINE:
-                self.parts.updateValue((repr(who), start, parts), (kinds,))
+                self.parts.updateValue((repr(who), start, parts), packed(kinds))
                 state.slides[at] = (start, parts + 1, [])
 
 

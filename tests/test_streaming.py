@@ -301,3 +301,28 @@ def test_batches_do_not_follow_the_files_of_the_table(spark, tmp_path, monkeypat
     assert sorted(i for ids in found.values() for i in ids) == [*range(160), 170, 300, 399]
     assert sorted(found) == [0, 1, 2, 3]
     assert all(max(found[a]) < min(found[b]) for a in found for b in found if a < b and found[a] and found[b])
+
+
+def test_carts_are_kept_as_packed_rows():
+    """A chunk of waiting events and a page of carts are one value each; a cart goes on from its page as it was left."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    from clickloom.streaming import carts
+
+    class State(dict):
+        containsKey, getValue, updateValue, removeKey = dict.__contains__, dict.__getitem__, dict.__setitem__, dict.pop
+
+    handle = SimpleNamespace(getMapState=lambda *_: State(), registerTimer=lambda at: None)
+    processor = carts.CartState(10 ** 12, ("user_id",))
+    processor.init(handle)
+    event = lambda at, units, price: Row(event_id=str(at), us=at * 1_000_000, user_id=None, product="p", units=units, price=price,
+                                         event_type="remove_from_cart" if units < 0 else "add_to_cart")
+    out = []
+    for at, rows in ((10, [event(2, -1, None), event(1, 2, 12_345)]), (20, [event(11, 3, 20_001)])):
+        assert not list(processor.handleInputRows((1,), iter(rows), None))
+        assert [type(v) for row in processor.waiting.values() for v in row] == [bytes]
+        out += processor.handleExpiredTimer((1,), None, SimpleNamespace(getExpiryTimeInMs=lambda: at * 1000))
+        assert [type(v) for row in processor.pages.values() for v in row] == [bytes]
+    assert [(r.event_id, r.cart_total) for r in out] == [("1", 2.469), ("2", 1.2345), ("11", 8.0004)]
