@@ -320,11 +320,13 @@ def _sent(rows, schema):
 
 
 def _run_job(spark, sf_dir, output):
-    """Run one output of the two jobs over several batches of messages; returns its folder."""
+    """Run one output of the two jobs over several batches of messages; returns its folder. The dimensions are put together
+    once, not for every batch."""
     target, checkpoints = fresh_path(spark, output), fresh_path(spark, f"{output}-checkpoint")
     if output in jobs.ENRICHMENT_OUTPUTS:
-        started = jobs.enrichment_job(_sent(event_batches(spark, sf_dir), schemas.RAW_EVENT), tables.profiles(spark, sf_dir),
-                                      tables.products(spark, sf_dir), target, checkpoints, True, outputs=(output,))
+        started = jobs.enrichment_job(_sent(event_batches(spark, sf_dir), schemas.RAW_EVENT),
+                                      stored(tables.profiles(spark, sf_dir), "profiles"), tables.products(spark, sf_dir),
+                                      target, checkpoints, True, outputs=(output,))
     else:
         started = jobs.session_job(_sent(priced_batches(spark, sf_dir), schemas.SESSION_EVENT), target, checkpoints, True,
                                    outputs=(output,))

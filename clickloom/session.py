@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     # A hot join key is split at run time, even when that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A table is broadcast by the size of its rows, several times that of its compressed files.
+    "spark.sql.sources.fileCompressionFactor": "8.0",
     # Rows go to Python in small batches, so that long texts do not fill a worker.
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Sessions of a stream are merged per map partition before they are shuffled.

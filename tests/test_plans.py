@@ -1,5 +1,6 @@
 """Shapes of physical plans: pruning, pushdown, no pair joins, hot keys split at run time."""
 
+import os
 import re
 
 import pytest
@@ -96,3 +97,14 @@ def test_events_without_product_are_spread(spark, small_limits):
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(sizes) == 40000 and max(sizes) < 40000 / 3
     assert joined.where("price = 9").count() == 400
+
+
+def test_tables_are_broadcast_by_their_rows_not_by_their_files(spark, make, tmp_path):
+    """A profile table of 14 MB in files of less than the limit of 10 MB does not pass through the driver."""
+    path = f"{tmp_path}/profiles"
+    spark.range(250_000, numPartitions=1).select(F.md5(F.col("id").cast("string")).alias("user_id")).write.parquet(path)
+    files = sum(os.path.getsize(f"{path}/{name}") for name in os.listdir(path))
+    profiles = spark.read.schema("user_id string").parquet(path)
+    plan = enrich.join_profiles(make([{"ts": "2024-01-01 00:00:00"}]), profiles)._jdf.queryExecution().sparkPlan().toString()
+    small = enrich.join_profiles(make([{"ts": "2024-01-01 00:00:00"}]), profiles.limit(10))
+    assert files < 10 << 20 and "BroadcastHashJoin" not in plan and small.count() == 1
