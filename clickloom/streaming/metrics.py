@@ -99,16 +99,12 @@ def conversion_funnel(events: DataFrame, size: str = "5 minutes", slide: str = "
 
 def user_behavior(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes",
                   delay: str = SESSION_DELAY) -> DataFrame:
-    rows = _tagged(watermarked(events, delay), session="session_id", type="event_type")
-    per_value = (rows.groupBy("user_id", F.window("timestamp", size, slide).alias("window"), "_tag", "_id")
-                 .agg(F.count(_if_lead(F.lit(1))).alias("n"),
-                      F.sum(_if_lead(money(F.col("event_revenue")))).alias("revenue"),
-                      F.min(F.struct("timestamp", "customer_segment")).alias("first")))
-    wide = per_value.groupBy("user_id", "window").agg(
-        F.sum("n").alias("events_count"), _distinct("session").alias("session_count"),
-        _distinct("type").alias("unique_event_types"),
-        F.sum("revenue").cast("double").alias("hourly_revenue"),
-        F.min("first")["customer_segment"].alias("customer_segment"))
+    """One state row for each user and window. Its sets hold the sessions and types that a user has in one window."""
+    wide = watermarked(events, delay).groupBy("user_id", F.window("timestamp", size, slide).alias("window")).agg(
+        F.count("*").alias("events_count"), F.size(F.collect_set("session_id")).cast("long").alias("session_count"),
+        F.size(F.collect_set("event_type")).cast("long").alias("unique_event_types"),
+        F.sum(money(F.col("event_revenue"))).cast("double").alias("hourly_revenue"),
+        F.min(F.struct("timestamp", "customer_segment"))["customer_segment"].alias("customer_segment"))
     return behavior_columns(flat_window(wide))
 
 

@@ -326,3 +326,20 @@ def test_carts_are_kept_as_packed_rows():
         out += processor.handleExpiredTimer((1,), None, SimpleNamespace(getExpiryTimeInMs=lambda: at * 1000))
         assert [type(v) for row in processor.pages.values() for v in row] == [bytes]
     assert [(r.event_id, r.cart_total) for r in out] == [("1", 2.469), ("2", 1.2345), ("11", 8.0004)]
+
+
+def test_user_behavior_keeps_one_row_of_state_for_a_user_and_window(spark, tmp_path):
+    path, start = str(tmp_path / "events"), F.timestamp_seconds(F.lit(1_704_067_200))
+    rows = spark.range(60).select(
+        (F.col("id") % 2).cast("string").alias("user_id"), (F.col("id") % 7).cast("string").alias("session_id"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id") % 3)).alias("event_type"),
+        F.timestamp_seconds(F.unix_seconds(start) + F.col("id")).alias("timestamp"),
+        F.lit(1.5).alias("event_revenue"), F.lit("New").alias("customer_segment"))
+    rows.write.parquet(path)
+    found = metrics.user_behavior(spark.readStream.schema(rows.schema).parquet(path))
+    query = found.writeStream.format("memory").queryName("behavior_state").option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    states = [p["stateOperators"] for p in query.recentProgress]
+    assert states and all(len(s) == 1 for s in states)
+    assert max(s[0]["numRowsTotal"] for s in states) == 2 * 6
