@@ -1,6 +1,8 @@
 """Cart value per user on a stream, counted in event-time order."""
 
-from pyspark.sql import DataFrame, Row, functions as F
+from collections import namedtuple
+
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessorHandle
 
 from clickloom.functions.numeric import seconds
@@ -8,6 +10,7 @@ from clickloom.operators.carts import CART_TYPES, cart_columns
 from clickloom.streaming.ordered import DELAY, IDLE, TimeOrdered, ordered
 
 OUTPUT = "user_id string, event_id string, event_type string, us long, cart_total double"
+Total = namedtuple("Total", ("user_id", "event_id", "event_type", "us", "cart_total"))
 
 
 # Products of a cart that are kept with its total; the others have state of their own.
@@ -44,8 +47,7 @@ class CartState(TimeOrdered):
             else:
                 state.more = True
                 self.items.updateValue(name, after)
-        yield Row(user_id=who[0], event_id=event.event_id, event_type=event.event_type, us=event.us,
-                  cart_total=state.total / SCALE)
+        yield Total(who[0], event.event_id, event.event_type, event.us, state.total / SCALE)
 
     def empty(self, who, state):
         if state.more:

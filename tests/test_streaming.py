@@ -328,6 +328,50 @@ def test_carts_are_kept_as_packed_rows():
     assert [(r.event_id, r.cart_total) for r in out] == [("1", 2.469), ("2", 1.2345), ("11", 8.0004)]
 
 
+def test_events_come_as_texts_and_go_as_frames():
+    """25,000 events of a group: what Spark hands over has one value for each event beside its time and group, and what it gets is
+    three frames. Large and missing numbers and odd texts stay as they are."""
+    import json
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from clickloom.streaming import carts, ordered
+
+    class State(dict):
+        containsKey, getValue, updateValue, removeKey = dict.__contains__, dict.__getitem__, dict.__setitem__, dict.pop
+
+    handle = SimpleNamespace(getMapState=lambda *_: State(), registerTimer=lambda at: None)
+    names = ["user_id", "event_id", "event_type", "us", "cart_total"]
+    processor, n = ordered.Framed(carts.CartState(10 ** 12, ("user_id",)), names), 25_000
+    processor.init(handle)
+    odd, large = 'a "b"\n\\\u2028\u00e9', 2 ** 53 + 1
+    texts = [json.dumps({"us": i * 1_000_000 + large, "event_id": str(i), "user_id": odd if i % 2 else None, "product": None,
+                         "event_type": "add_to_cart", "units": 1, "price": None if i > 1 else large}) for i in range(n)]
+    frames = (pd.DataFrame({"event": texts[at:at + 1000]}) for at in range(0, n, 1000))
+    assert not list(processor.handleInputRows((1,), frames, None))
+    found = list(processor.handleExpiredTimer((1,), None, SimpleNamespace(getExpiryTimeInMs=lambda: 2 * large)))
+    assert [len(f) for f in found] == [10_000, 10_000, 5_000] and all(list(f) == names for f in found)
+    rows = [r for f in found for r in f.itertuples(index=False)]
+    assert [(r.user_id, r.event_id, r.us) for r in rows] == [
+        (odd if i % 2 else None, str(i), i * 1_000_000 + large) for i in range(n)]
+    assert all(r.cart_total == (i // 2 + 1) * large / 10_000 for i, r in enumerate(rows))
+
+
+def test_odd_values_pass_a_stream_of_carts(spark, make, tmp_path):
+    from clickloom.streaming import carts
+    path, odd = f"{tmp_path}/in", 'a "b"\n\\\u2028\u00e9'
+    add = {"event_type": "add_to_cart"}
+    write_messages(spark, make([
+        add | {"event_id": odd, "ts": "2024-01-01 00:01:00", "properties": {"product_id": odd, "price": "999999999999.0001"}},
+        add | {"event_id": "b", "ts": "2024-01-01 00:02:00.123456", "properties": {"product_id": odd}, "user_id": odd},
+        add | {"event_id": "c", "ts": "2024-01-01 00:03:00", "properties": {"price": "0.5", "quantity": "2"}}]), path)
+    write_messages(spark, make([{"event_id": "z", "ts": "2024-01-01 02:00:00", "event_type": "purchase"}]), path)
+    found = sinks.drain(spark, carts.cart_totals(stream(spark, path)), "cart").collect()
+    assert {(r.user_id, r.event_id, r.timestamp.microsecond, r.cart_total) for r in found} == {
+        ("u1", odd, 0, 999999999999.0001), (odd, "b", 123456, 0.0), ("u1", "c", 0, 1000000000000.0001)}
+
+
 def test_user_behavior_keeps_one_row_of_state_for_a_user_and_window(spark, tmp_path):
     path, start = str(tmp_path / "events"), F.timestamp_seconds(F.lit(1_704_067_200))
     rows = spark.range(60).select(
