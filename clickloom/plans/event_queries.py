@@ -197,23 +197,28 @@ def behavior_sequences(spark, sf_dir):
     return windows.behavior_sequences(events(spark, sf_dir))
 
 
-_DEMO = EV + """,
+def _demo_sql(price: str) -> str:
+    return EV + f""",
 demo AS (SELECT event_id, make_timestamp(epoch_us(TIMESTAMP '2024-01-01')
     + (epoch_us("timestamp") - epoch_us(TIMESTAMP '2024-01-01')) // 1000) AS "timestamp",
-  user_id, event_type, property_price AS price,
+  user_id, event_type, {price} AS price,
   CASE n % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'tablet' END AS source,
   CASE user_no % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'UK' WHEN 2 THEN 'CA' WHEN 3 THEN 'DE' ELSE 'FR' END AS country,
   CASE event_type WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 3 WHEN 'add_to_cart' THEN 10
        WHEN 'purchase' THEN 100 ELSE 0 END AS event_value FROM ev)"""
 
 
-@query("demo_enriched_events", f"""WITH {_DEMO}
+_DEMO = _demo_sql("property_price")
+
+
+# A removal has its price here: a demo event has one whatever its type. A click on a product has a quantity.
+@query("demo_enriched_events", f"""WITH {_demo_sql("CASE WHEN quantity IS NOT NULL THEN v END")}
 SELECT event_id, "timestamp", user_id || '_' || strftime("timestamp", '%Y%m%d%H') AS session_id,
   source = 'mobile' AS is_mobile, CAST(event_value AS BIGINT) AS event_value,
   CASE WHEN price > 200 THEN 'premium' WHEN price > 50 THEN 'standard' ELSE 'budget' END AS customer_segment
 FROM demo""")
 def demo_enriched_events(spark, sf_dir):
-    return windows.with_demo_columns(tables.demo_events(spark, sf_dir)).select(
+    return windows.with_demo_columns(tables.demo_events(spark, sf_dir, removal_prices=True)).select(
         "event_id", "timestamp", "session_id", "is_mobile", "event_value", "customer_segment")
 
 

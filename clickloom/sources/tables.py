@@ -28,19 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def canonical_events(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = (),
-                     since: str | None = None) -> DataFrame:
+                     since: str | None = None, removal_prices: bool = False) -> DataFrame:
     """The ``events`` table as canonical events. ``types`` names the table's own types and
     ``since`` the earliest time to read; both filters reach the scan."""
     rows = table(spark, sf_dir, "events")
     if since:
         rows = rows.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
-    return canonical(rows, types)
+    return canonical(rows, types, removal_prices)
 
 
-def canonical(rows: DataFrame, types: tuple[str, ...] = ()) -> DataFrame:
-    """Canonical events from rows of the ``events`` table, batch or stream."""
+def canonical(rows: DataFrame, types: tuple[str, ...] = (), removal_prices: bool = False) -> DataFrame:
+    """Canonical events from rows of the ``events`` table, batch or stream. With ``removal_prices`` a removal from the cart
+    keeps its price."""
     if types:
         rows = rows.where(F.col("event_type").isin(*types))
+    unpriced = "false" if removal_prices else "k % 3 = 2"
     with_k = rows.withColumns({"k": F.expr("cast(get_json_object(props, '$.k') as int)"),
                                "at": F.expr("cast(ts as timestamp)")})
     return with_k.selectExpr(
@@ -53,8 +55,8 @@ def canonical(rows: DataFrame, types: tuple[str, ...] = ()) -> DataFrame:
         "cast(user_id as string) AS user_id",
         "concat(cast(user_id as string), '_', date_format(at, 'yyyyMMdd')) AS session_id",
         "CASE event_id % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'synthetic' END AS source",
-        """CASE WHEN k % 20 = 0 THEN cast(map() as map<string, string>)
-           WHEN event_type = 'click' AND k % 3 = 2 THEN map('product_id', cast(k + 100 * (event_id % 20) as string),
+        f"""CASE WHEN k % 20 = 0 THEN cast(map() as map<string, string>)
+           WHEN event_type = 'click' AND {unpriced} THEN map('product_id', cast(k + 100 * (event_id % 20) as string),
              'quantity', cast(1 + k % 3 as string), 'k', cast(k as string))
            WHEN event_type = 'click' THEN map('product_id', cast(k + 100 * (event_id % 20) as string),
              'price', cast(value as string), 'quantity', cast(1 + k % 3 as string), 'k', cast(k as string))
@@ -195,8 +197,8 @@ def cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_lines.unionByName(bought)
 
 
-def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_demo(canonical_events(spark, sf_dir))
+def demo_events(spark: SparkSession, sf_dir: str, removal_prices: bool = False) -> DataFrame:
+    return as_demo(canonical_events(spark, sf_dir, removal_prices=removal_prices))
 
 
 def as_demo(events: DataFrame) -> DataFrame:

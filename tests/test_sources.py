@@ -88,3 +88,21 @@ def test_message_json_round_trip(spark):
     text = readers.to_message_json(df).first().value
     again = readers.parse_events(message_rows(spark, text)).first()
     assert again.timestamp.microsecond == 123456 and again.properties["total_amount"] == "12.5"
+
+
+def test_demo_removals_keep_their_price(spark, tmp_path):
+    """A removal is classed by its price like every other demo event; carts need none on it."""
+    from clickloom.plans.registered import ORACLES, QUERIES
+    from tests.compare import connect, differences
+
+    folder, rows = str(tmp_path), [(i, 1, "click", float(v), f'{{"k": {k}}}') for i, (v, k) in enumerate(
+        [(300, 2), (60, 5), (10, 8), (300, 20), (300, 1), (60, 3)])]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string").selectExpr(
+        "event_id", "timestamp_ntz'2024-01-02' AS ts", "user_id", "event_type", "value", "props").write.parquet(
+        f"{folder}/events.parquet")
+    segments = {r.event_id: r.customer_segment for r in QUERIES["demo_enriched_events"](spark, folder).collect()}
+    assert segments == {"0": "premium", "1": "standard", "2": "budget", "3": "budget", "4": "premium", "5": "standard"}
+    con = connect(folder)
+    con.execute(f"CREATE OR REPLACE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    for name in ("demo_enriched_events", "demo_event_metrics"):
+        assert differences(QUERIES[name](spark, folder), con, ORACLES[name]) == ""
