@@ -5,11 +5,13 @@ of its own; it takes units of the product away, never more than are there. A pur
 id the event is about one nameless product; a missing quantity is 1, a missing price keeps the product's (0 at first).
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import business as rules
 from clickloom.functions.numeric import money
-from clickloom.operators.ordered import RANGE, Running, ranged, running
+from clickloom.operators.ordered import Running, apart, ranged, running, within
 
 CART_TYPES = ("add_to_cart", "remove_from_cart", "purchase")
 
@@ -36,13 +38,20 @@ def cart_totals(events: DataFrame, keys: list[str] | None = None, ts: str = "tim
     rows = events.where(F.col("event_type").isin(*CART_TYPES)).withColumns(cart_columns())
     # Only what is asked for is moved and stored.
     needed = dict.fromkeys([*names, *keys, *order, "event_type", *cart_columns()])
-    rows = rows.select(*[F.col(f"`{c}`") for c in needed])
+    large, others = apart(rows.select(*[F.col(f"`{c}`") for c in needed]), keys)
+    # Users whose events are a small part of a task are moved once.
+    totals = _totals(others, names, keys, order, lambda rows, by: rows, within)
+    return totals if large is None else totals.unionByName(_totals(large, names, keys, order, lambda rows, by: ranged(rows, by, order), running))
+
+
+def _totals(rows: DataFrame, names: list[str], keys: list[str], order: list[str], dealt: Callable, running: Callable) -> DataFrame:
+    """The totals by ``running``, which takes rows that were ``dealt`` by the same keys."""
     bought = (F.col("event_type") == "purchase").cast("int")
-    rows = running(ranged(rows, keys, order), keys, order, _cart=Running("sum", bought))
+    rows = running(dealt(rows, keys), keys, order, _cart=Running("sum", bought))
 
     held = [*keys, "_cart", "_product"]
     price, total = F.col("_price"), F.col("_sum")
-    items = running(ranged(rows, held, order), held, order, _sum=Running("sum", F.col("_units")),
+    items = running(dealt(rows, held), held, order, _sum=Running("sum", F.col("_units")),
                     _known=Running("last", price), _known_before=Running("last", price, before=True))
     items = running(items, held, order, _low=Running("min", total), _low_before=Running("min", total, before=True))
     zero = F.lit(0).cast("decimal(18,4)")
@@ -55,5 +64,5 @@ def cart_totals(events: DataFrame, keys: list[str] | None = None, ts: str = "tim
     # What the products were worth is settled; only the change of the total is moved on.
     items = items.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, *keys, *order, "_cart"])], change.alias("_change"))
     whole = [*keys, "_cart"]
-    totals = running(ranged(items, whole, order), whole, order, cart_total=Running("sum", F.col("_change")))
+    totals = running(dealt(items, whole), whole, order, cart_total=Running("sum", F.col("_change")))
     return totals.select(*[F.col(f"`{c}`") for c in names], F.col("cart_total").cast("double").alias("cart_total"))

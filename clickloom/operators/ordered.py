@@ -6,6 +6,9 @@ many groups. Inside a range a group is counted by a window; what the group's ear
 row per range in which it goes on. The ranges are stored once, since their bounds are drawn from a sample.
 
 Rows of equal group, time and id (copies of one event) lie in one range.
+
+Where all groups are small, ranges only cost disk: ``apart`` parts the rows of the few groups that are much of a task from all
+others, which ``within`` counts by plain windows.
 """
 
 from dataclasses import dataclass
@@ -16,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from clickloom.session import stored
 
 RANGE = "_range"
+# Hashes that groups are first counted by.
+HASHES = 1 << 16
 
 
 def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -71,6 +76,36 @@ def running(rows: DataFrame, keys: list[str], order: list[str], **values: Runnin
         v.with_carry(F.col(f"_here_{n}"), F.col(f"_carry_{n}")).alias(n) for n, v in values.items()])
 
 
+def within(rows: DataFrame, keys: list[str], order: list[str], **values: Running) -> DataFrame:
+    """``rows`` with each of ``values`` as ``running`` gives it, for groups that are each a small part of a task. Rows that are
+    already dealt by some of ``keys`` are not moved."""
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    frame = {b: inside.rowsBetween(Window.unboundedPreceding, -1 if b else 0) for b in (False, True)}
+    return rows.withColumns({n: v.with_carry(v.over(frame[v.before]), F.lit(None)) for n, v in values.items()})
+
+
+def apart(rows: DataFrame, keys: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of groups that are more than half of an even share of a shuffle partition, None if there are none, and the others.
+
+    Groups are counted by hash, which leaves a few numbers a task to move; only hashes with that many rows are counted by
+    group. There are at most twice as many large groups as shuffle partitions.
+    """
+    spark = rows.sparkSession
+    hashed, cells = F.pmod(F.xxhash64(*keys), F.lit(HASHES)), [F.col(k).alias(f"_large_{k}") for k in keys]
+    counts = {r[0]: r[1] for r in rows.groupBy(hashed).count().collect()}
+    limit = sum(counts.values()) / (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    full = [h for h, n in counts.items() if n > limit]
+    if not full:
+        return None, rows
+    large = rows.where(hashed.isin(full)).groupBy(*cells).count().where(F.col("count") > limit).drop("count")
+    found = large.collect()
+    if not found:
+        return None, rows
+    listed = F.broadcast(spark.createDataFrame(found, large.schema))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys])
+    return rows.join(listed, same, "left_semi"), rows.join(listed, same, "left_anti")
+
+
 def number_rows(df: DataFrame, keys: list[str], ts: str = "timestamp", tie: str = "event_id",
                 name: str = "session_sequence") -> DataFrame:
     """1-based position of each row in its group by (ts, tie)."""

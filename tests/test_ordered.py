@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from clickloom.operators import carts, insights, ordered, sessions, windows
+from clickloom.sources import tables as tables_source
 
 
 @pytest.fixture(scope="module")
@@ -242,3 +243,33 @@ def test_carts_move_what_is_asked_for(spark, make, monkeypatch):
     assert [tuple(r) for r in found.orderBy("event_id").collect()] == [("0", 2.0), ("1", 4.0), ("2", 6.0), ("3", 8.0)]
     assert len(tables) == 3 and not any("properties" in t.columns for t in tables)
     assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_carts_of_small_users_are_moved_once(spark, make, monkeypatch):
+    """Users that are a small part of a task go through one shuffle and no table; only the rows of a large one lie in ranges."""
+    rnd = random.Random(9)
+    def event(i, user):
+        kind = rnd.choice(["add_to_cart", "add_to_cart", "remove_from_cart", "purchase"])
+        item = {"product_id": str(rnd.randrange(4)), "quantity": str(rnd.randrange(1, 4))}
+        return {"event_id": str(i), "ts": f"2024-01-01 00:{rnd.randrange(60):02d}:{rnd.randrange(60):02d}", "user_id": user,
+                "event_type": kind, "properties": item | ({"price": str(rnd.randrange(1, 50))} if kind == "add_to_cart" else {})}
+    small = [event(i, f"u{i % 200}") for i in range(1000)]
+    large = [event(1000 + i, None if i % 2 else "large") for i in range(600)]
+    tables, keep = [], ordered.stored
+    monkeypatch.setattr(ordered, "stored", lambda df, name: tables.append(keep(df, name)) or tables[-1])
+    for rows, stored in ((small, 0), (small + large, 3)):
+        events, before = make(rows), len(tables)
+        found = carts.cart_totals(events, columns=["event_id"])
+        if not stored:
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange ") == 1 and "hashpartitioning(user_id" in plan
+        assert {r.event_id: r.cart_total for r in found.collect()} == plain_carts(events.collect())
+        assert len(tables) - before == stored and all(t.count() == len(large) for t in tables)
+    assert sorted(ordered.apart(make(small + large), ["user_id"])[0].select("event_id").collect()) == sorted(
+        (str(1000 + i),) for i in range(600))
+
+
+def test_unasked_columns_of_cart_events_are_not_read(spark, sf_dir):
+    """Who counts the users of order lines reads no price, part or quantity."""
+    plan = tables_source.cart_events(spark, sf_dir).select("user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" in plan and not any(c in plan for c in ("l_partkey", "l_quantity", "l_extendedprice", "l_suppkey"))
