@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.session import stored
+from clickloom.session import brief_shuffles, stored
 
 RANGE = "_range"
 # Hashes that groups are first counted by.
@@ -92,13 +92,15 @@ def apart(rows: DataFrame, keys: list[str]) -> tuple[DataFrame | None, DataFrame
     """
     spark = rows.sparkSession
     hashed, cells = F.pmod(F.xxhash64(*keys), F.lit(HASHES)), [F.col(k).alias(f"_large_{k}") for k in keys]
-    counts = {r[0]: r[1] for r in rows.groupBy(hashed).count().collect()}
+    with brief_shuffles(spark):
+        counts = {r[0]: r[1] for r in rows.groupBy(hashed).count().collect()}
     limit = sum(counts.values()) / (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     full = [h for h, n in counts.items() if n > limit]
     if not full:
         return None, rows
-    large = rows.where(hashed.isin(full)).groupBy(*cells).count().where(F.col("count") > limit).drop("count")
-    found = large.collect()
+    with brief_shuffles(spark):
+        large = rows.where(hashed.isin(full)).groupBy(*cells).count().where(F.col("count") > limit).drop("count")
+        found = large.collect()
     if not found:
         return None, rows
     listed = F.broadcast(spark.createDataFrame(found, large.schema))

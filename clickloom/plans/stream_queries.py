@@ -13,7 +13,7 @@ from clickloom.functions.numeric import money_sum
 from clickloom.operators import enrich, sessions, windows
 from clickloom.plans import event_queries  # its SQL is reused below
 from clickloom.plans.catalog import ENR, EV, ORACLES, as_of, money_sql, query, sessions_sql
-from clickloom.session import configure, fresh_path, stored
+from clickloom.session import brief_shuffles, configure, discard, fresh_path, stored
 from clickloom.sources import readers, tables
 from clickloom.streaming import carts, jobs, metrics, ordered as stream_ordered, sinks
 
@@ -29,13 +29,14 @@ FILE_ROWS = 1_000_000
 
 def arrivals(rows, parts, path):
     """Write the rows of each of ``parts`` (a column ``part``), one after the other, and return how many files each has:
-    the same number for all, so that a trigger of that many files is a part, whatever tasks wrote it."""
+    the same number for all, so that a trigger of that many files is a part, whatever tasks wrote it. No row is shuffled: a task
+    writes what it reads."""
     spark, most = rows.sparkSession, rows.groupBy("part").count().agg(F.max("count")).first()[0]
     files = 1 + (most or 0) // FILE_ROWS
     for done, part in enumerate(parts, 1):
         of_part = rows.where(F.col("part") == part).drop("part")
-        of_part.repartition(files).write.mode("append").parquet(path)
-        # A task without rows writes no file.
+        of_part.coalesce(files).write.mode("append").option("compression", "zstd").parquet(path)
+        # There may be fewer tasks, and a task without rows writes no file.
         for _ in range(files * done - len(spark.read.schema(of_part.schema).parquet(path).inputFiles())):
             of_part.limit(0).write.mode("append").parquet(path)
     return files
@@ -182,8 +183,13 @@ def stream_cart_items(spark, sf_dir):
     path, rows = fresh_path(spark, "cart-files"), tables.cart_events(spark, sf_dir)
     year = lambda shift: F.floor(F.year(F.col("timestamp") + F.expr(f"interval {shift}")) / 3)
     late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
-    numbered = stored(rows.withColumn("part", F.when(late, year("20 hours")).otherwise(year("0 hours"))), "cart-events")
+    kept = fresh_path(spark, "cart-events")
+    parted = rows.withColumn("part", F.when(late, year("20 hours")).otherwise(year("0 hours")))
+    with brief_shuffles(spark):
+        parted.write.option("compression", "zstd").parquet(kept)
+    numbered = spark.read.schema(parted.schema).parquet(kept)
     files = arrivals(numbered, sorted(r[0] for r in numbered.select("part").distinct().collect()), path)
+    discard(spark, kept)
     sent = readers.table_stream(spark, path, rows.schema, files_per_trigger=files)
     found = carts.cart_totals(sent, "1 day", "9000 days")
     return sinks.drain(spark, found, "carts").select("event_id", "user_id", "event_type", "timestamp", "cart_total")

@@ -3,10 +3,13 @@
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 MARKER = "clickloom.configured"
+BRIEF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SQL_SETTINGS = {
     # Hours, days and partitions are cut in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -35,6 +38,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is computed once, or a stream that is started, inside: its shuffle files go when a query or batch ends, not when
+    the driver collects its garbage."""
+    before = spark.conf.get(BRIEF, "false")
+    spark.conf.set(BRIEF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(BRIEF, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -60,3 +75,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that this run wrote to the shared folder and that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from clickloom.operators import snapshots
 from clickloom.operators.warehouse import latest_per_key, write_days
-from clickloom.session import fresh_path, stored
+from clickloom.session import brief_shuffles, fresh_path, stored
 from clickloom.sources.readers import to_message_json
 
 # ---- Fixed values: how often each sink of the two jobs writes --------------------------------
@@ -221,8 +221,9 @@ def wait_logged(spark: SparkSession, path: str, running: StreamingQuery, seconds
 
 def started(df: DataFrame, name: str, path: str, checkpoint: str) -> StreamingQuery:
     """A stream that appends to a table what its source holds now."""
-    return (df.writeStream.queryName(name).outputMode("append").format("parquet").option("path", path)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with brief_shuffles(df.sparkSession):
+        return (df.writeStream.queryName(name).outputMode("append").format("parquet").option("path", path)
+                .option("compression", "zstd").option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

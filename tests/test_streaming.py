@@ -387,3 +387,38 @@ def test_user_behavior_keeps_one_row_of_state_for_a_user_and_window(spark, tmp_p
     states = [p["stateOperators"] for p in query.recentProgress]
     assert states and all(len(s) == 1 for s in states)
     assert max(s[0]["numRowsTotal"] for s in states) == 2 * 6
+
+
+def test_cart_items_leave_no_copy_and_little_state(spark, tmp_path, monkeypatch):
+    """The carts of order lines lie once as files of the stream, their shuffles go with the batches, waiting events are compressed."""
+    import os
+    import pickle
+
+    from clickloom.plans import stream_queries
+    from clickloom.plans.registered import ORACLES, QUERIES
+    from clickloom.session import BRIEF
+    from clickloom.streaming import ordered
+    from tests.compare import connect, differences
+
+    n, folder = F.col("id"), str(tmp_path / "in")
+    day = F.expr("timestamp_ntz'1995-01-01' + make_interval(0, 0, 0, cast(id * 7 as int))")
+    spark.range(400).select(n.alias("o_orderkey"), (n % 9).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(1.0).alias(
+        "o_totalprice"), day.alias("o_orderdate"), F.lit("1").alias("o_orderpriority")).coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    spark.range(1600).select(F.floor(n / 4).alias("l_orderkey"), (n % 7).alias("l_partkey"), (n % 3).alias("l_suppkey"), (n % 4 + 1).cast(
+        "int").alias("l_linenumber"), (n % 5 + 1).cast("double").alias("l_quantity"), (n % 90 + 10).cast("double").alias("l_extendedprice"),
+        F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.expr("timestamp_ntz'1995-01-01'").alias("l_shipdate")).repartition(5).write.parquet(f"{folder}/lineitem.parquet")
+    con = connect(folder)
+    for name in ("orders", "lineitem"):
+        con.execute(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet/*.parquet')")
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 300)
+    monkeypatch.setattr(stream_queries, "fresh_path", lambda spark, name: str(tmp_path / name))
+    before = spark.conf.get(BRIEF)
+    assert differences(QUERIES["stream_cart_items"](spark, folder), con, ORACLES["stream_cart_items"]) == ""
+    assert not os.path.exists(tmp_path / "cart-events") and spark.conf.get(BRIEF) == before
+    files = [f for f in os.listdir(tmp_path / "cart-files") if f.startswith("part-")]
+    assert len(files) % 3 == 0 and len(files) > 3
+
+    events = [(1_000_000 * i, f"{i}-1-{i * 7919 % 99991}-a", str(i % 3), "add_to_cart", str(i % 50), i % 9, 10_000 * i) for i in range(250)]
+    state = ordered.packed(tuple(zip(*events)))
+    assert ordered.unpacked(state) == tuple(zip(*events)) and len(state[0]) < len(pickle.dumps(events)) / 2
